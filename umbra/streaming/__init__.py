@@ -1,0 +1,4 @@
+"""No streaming operators: every input of the engine is a finished table.
+
+The package keeps the folder so that a later source with late rows has a place.
+"""
