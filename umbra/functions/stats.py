@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -100,12 +101,12 @@ def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided(t.to_numpy(dtype=float), df.to_numpy(dtype=float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def hypergeometric_tail(k: pd.Series, drawn: pd.Series, marked: pd.Series, total: pd.Series) -> pd.Series:
     """P(X >= k) for `drawn` of `total` with `marked` marked."""
     out = []

@@ -264,7 +264,7 @@ def read_hits(spark: SparkSession, path: str | list[str], parser, what: str, **o
 
 
 def read_hhr(spark: SparkSession, path: str | list[str], min_prob: float = 90.0) -> DataFrame:
-    return parse_hhr(spark.read.option("wholetext", True).text(path), min_prob)
+    return parse_hhr(spark.read.text(path, wholetext=True), min_prob)
 
 
 # ---------------------------------------------------------------- best hits
