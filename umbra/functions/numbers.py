@@ -20,7 +20,8 @@ def to_number(c: Column | str) -> Column:
 
 
 def zero_as_missing(c: Column | str, enabled: bool = True) -> Column:
-    return F.nullif(finite(c), F.lit(0.0)) if enabled else finite(c)
+    v = finite(c)
+    return F.when(v != 0, v) if enabled else v
 
 
 def log2(c: Column | str) -> Column:
@@ -34,7 +35,8 @@ def delog2(c: Column | str) -> Column:
 
 def ratio(a: Column | str, b: Column | str) -> Column:
     """a / b, missing when b is missing or zero."""
-    return col(a) / F.nullif(col(b).cast("double"), F.lit(0.0))
+    d = col(b).cast("double")
+    return col(a) / F.when(d != 0, d)
 
 
 def percent(n: Column | str, d: Column | str, digits: int = 1) -> Column:

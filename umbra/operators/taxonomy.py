@@ -81,14 +81,10 @@ def lineage_of(taxids: DataFrame, dump: dict[str, DataFrame], ranks: Sequence[st
     return lookup_join(now, tree, ["current"])
 
 
-def lineage_map(df: DataFrame, ranks: Sequence[str] = RANKS) -> Column:
+def lineage_map(ranks: Sequence[str] = RANKS) -> Column:
     """Rank columns as a map without the missing ranks."""
-    entries = F.array(*[F.struct(F.lit(r), F.col(r)) for r in ranks])
-    return F.map_from_entries(F.filter(entries, lambda e: e.getField(e_name(1)).isNotNull()))
-
-
-def e_name(i: int) -> str:
-    return f"col{i + 1}"
+    entries = F.array(*[F.struct(F.lit(r).alias("rank"), F.col(r).alias("taxid")) for r in ranks])
+    return F.map_from_entries(F.filter(entries, lambda e: e["taxid"].isNotNull()))
 
 
 def collapse_taxon_rank(
@@ -144,19 +140,22 @@ def consensus_taxon(
     """
     depth = {r: i for i, r in enumerate(ranks)}
     per_rank = F.array(
-        *[F.struct(F.lit(depth[r]).alias("depth"), F.col(f"{r}{suffix}").alias("taxid")) for r in ranks]
+        *[
+            F.struct(F.lit(depth[r]).alias("depth"), F.lit(r).alias("rank"), F.col(f"{r}{suffix}").alias("taxid"))
+            for r in ranks
+        ]
     )
     has_lineage = F.coalesce(*[F.col(f"{r}{suffix}") for r in ranks]).isNotNull()
     rows = peptides.where(has_lineage)
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n_peptides"))
     votes = (
         rows.select(*keys, F.explode(per_rank).alias("_r"))
-        .select(*keys, "_r.depth", "_r.taxid")
+        .select(*keys, "_r.depth", "_r.rank", "_r.taxid")
         .where("taxid IS NOT NULL")
-        .groupBy(*keys, "depth", "taxid")
+        .groupBy(*keys, "depth", "rank", "taxid")
         .agg(F.count("*").alias("_n"))
     )
-    ranked = votes.groupBy(*keys, "depth").agg(
+    ranked = votes.groupBy(*keys, "depth", "rank").agg(
         F.sum("_n").alias("_total"),
         F.min(F.struct((-F.col("_n")).alias("n"), F.col("taxid").alias("t"))).alias("_low"),
         F.max(F.struct(F.col("_n").alias("n"), F.col("taxid").alias("t"))).alias("_high"),
@@ -164,14 +163,13 @@ def consensus_taxon(
     fraction = F.col("_high.n") / F.col("_total")
     good = ranked.where((F.col("_low.t") == F.col("_high.t")) & (fraction >= min_fraction))
     best = good.groupBy(*keys).agg(
-        F.max(F.struct("depth", F.col("_high.t").alias("taxid"), fraction.alias("fraction"))).alias("_b")
+        F.max(F.struct("depth", "rank", F.col("_high.t").alias("taxid"), fraction.alias("fraction"))).alias("_b")
     )
-    names = F.array(*[F.lit(r) for r in ranks])
     enough = F.col("n_peptides") >= min_peptides
     return sizes.join(best, list(keys), "left").select(
         *keys,
         F.when(enough, F.col("_b.taxid")).alias("consensus_taxid"),
-        F.when(enough, F.element_at(names, F.col("_b.depth") + 1)).alias("consensus_rank"),
+        F.when(enough, F.col("_b.rank")).alias("consensus_rank"),
         F.when(enough, F.col("_b.fraction")).alias("fraction"),
         "n_peptides",
     )

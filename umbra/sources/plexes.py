@@ -29,8 +29,8 @@ class PlexRun(NamedTuple):
     psms: DataFrame | None
 
 
-def list_names(spark: SparkSession, path: str, folders: bool) -> list[str]:
-    """Names of the sub-folders or files of a folder on any file system Spark reads."""
+def list_names(spark: SparkSession, path: str, folders_only: bool) -> list[str]:
+    """Names in a folder on any file system Spark reads; a large table may be a folder itself."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -39,7 +39,7 @@ def list_names(spark: SparkSession, path: str, folders: bool) -> list[str]:
     if not fs.getFileStatus(p).isDirectory():
         raise InputError(f"{path} is one file; fragpipe_tmt reads the run directory")
     return sorted(
-        s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() == folders
+        s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() or not folders_only
     )
 
 
@@ -94,13 +94,13 @@ def read_plexes(
     """Headers and annotations are read on the driver, table bodies by the executors."""
     if level not in ("ion", "peptide"):
         raise OptionError(f"level must be ion or peptide, not {level!r}")
-    folders = list_names(spark, root, folders=True)
+    folders = list_names(spark, root, folders_only=True)
     plexes = sorted((f for f in folders if fnmatch.fnmatchcase(f, plex_glob)), key=natural_order)
     if not plexes:
         raise InputError(f"{root}: {plex_glob!r} matches no plex; found {folders}")
     features, values, psms, design, owner = [], [], [], [], {}
     for order, plex in enumerate(plexes):
-        files = list_names(spark, f"{root}/{plex}", folders=False)
+        files = list_names(spark, f"{root}/{plex}", folders_only=False)
         if f"{level}.tsv" not in files:
             raise InputError(f"plex {plex} has no {level}.tsv; found {files}")
         ann = annotation_path(root, plex, annotation)

@@ -59,12 +59,14 @@ def unpivot_samples(
     df: DataFrame, ids: Sequence[str], columns: dict[str, str], zero_missing: bool = True
 ) -> DataFrame:
     """Wide sample columns -> (ids, sample, value), missing cells left out."""
-    wide = df.select(*ids, *[F.col(f"`{c}`").alias(f"{i}") for i, c in enumerate(columns)])
-    names = F.array(*[F.lit(s) for s in columns.values()])
-    long = wide.unpivot(list(ids), [str(i) for i in range(len(columns))], "_i", "_v")
+    # The tag keeps a sample name from meeting an id column.
+    tag = "s:"
+    wide = df.select(*ids, *[F.col(f"`{c}`").alias(tag + name) for c, name in columns.items()])
+    names = [F.col(f"`{tag}{name}`") for name in columns.values()]
+    long = wide.unpivot(list(ids), names, "_i", "_v")
     return long.select(
         *ids,
-        F.element_at(names, F.col("_i").cast("int") + 1).alias("sample"),
+        F.substring("_i", len(tag) + 1, 10_000).alias("sample"),
         zero_as_missing(to_number("_v"), zero_missing).alias("value"),
     ).where("value IS NOT NULL")
 
