@@ -1 +1,195 @@
-"""Placeholder."""
+"""Filters, models, multiple testing, enrichment and the shortlist."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from bindings import registry as R
+from bindings.registry import load, query
+from umbra.operators import filters as Fl
+from umbra.operators import models as M
+from umbra.operators import organisms as O
+from umbra.operators import tables as Tb
+from umbra.plans.joins import lookup_join
+
+
+def values(spark, sf) -> DataFrame:
+    """Part x sample sums; a part without a line in a sample has no row."""
+    return R.protein_values(spark, sf).select("protein_id", "sample", "value")
+
+
+def log_values(spark, sf) -> DataFrame:
+    return values(spark, sf).withColumn("value", F.log2("value"))
+
+
+# ---------------------------------------------------------------- filters
+FLAG_SQL = f"""{R.PROTVAL_SQL},
+lv AS (SELECT protein_id, "group", count(value) AS n FROM pv GROUP BY ALL),
+fl AS (SELECT protein_id, count(*) FILTER (n >= 6) AS n_levels_valid, 2::BIGINT AS n_levels,
+  count(*) FILTER (n >= 6) = 2 AS keep_valid FROM lv GROUP BY 1),
+px AS (SELECT protein_id, count(DISTINCT plex) AS n_plexes FROM pv GROUP BY 1),
+fx AS (SELECT *, n_plexes >= 3 AS keep_plex FROM fl JOIN px USING (protein_id))"""
+
+
+@query("protein_filters", f"WITH {FLAG_SQL} FROM fx")
+def protein_filters(spark, sf):
+    return Fl.protein_filters(values(spark, sf), R.design(spark, sf), 6, 3)
+
+
+@query("filter_report", f"""WITH {FLAG_SQL}
+SELECT count(*) AS n_proteins, count(*) FILTER (NOT keep_valid) AS removed_by_valid, count(*) FILTER (NOT keep_plex) AS removed_by_plex,
+  count(*) FILTER (keep_valid AND NOT keep_plex) AS removed_by_plex_only, count(*) FILTER (keep_valid AND n_plexes = 1) AS valid_in_one_plex,
+  count(*) FILTER (keep_valid AND keep_plex) AS n_kept FROM fx""")
+def filter_report(spark, sf):
+    return Fl.filter_report(Fl.protein_filters(values(spark, sf), R.design(spark, sf), 6, 3))
+
+
+@query("zero_variance_proteins", """
+WITH v AS (SELECT l_orderkey AS protein_id, l_returnflag AS g, max(l_linenumber) - min(l_linenumber) AS r FROM lineitem GROUP BY ALL)
+SELECT protein_id FROM v GROUP BY 1 HAVING max(r) = 0""")
+def zero_variance_proteins(spark, sf):
+    li = load(spark, sf, "lineitem")
+    v = li.select(F.col("l_orderkey").alias("protein_id"), F.col("l_returnflag").alias("sample"), F.col("l_linenumber").alias("value"))
+    d = v.select("sample", F.col("sample").alias("group")).distinct()
+    return Fl.zero_variance(v, d)
+
+
+@query("sample_median_shift", f"""WITH {R.PROTVAL_SQL},
+l AS (SELECT protein_id, sample, log2(value) AS v FROM pv), m AS (SELECT sample, median(v) AS md FROM l GROUP BY 1)
+SELECT protein_id, sample, round(v - md, 6) AS value FROM l JOIN m USING (sample)""")
+def sample_median_shift(spark, sf):
+    return Fl.sample_median_shift(log_values(spark, sf)).select("protein_id", "sample", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------- models
+FIT_SQL = f"""{R.PROTVAL_SQL},
+g AS (SELECT protein_id, "group", avg(log2(value)) AS m, count(*) AS n, var_pop(log2(value)) * count(*) AS ss FROM pv GROUP BY ALL),
+fit AS (SELECT protein_id, sum(n) AS n_observed, sum(ss) / nullif(sum(n) - count(*), 0) AS sigma2, sum(n) - count(*) AS df_residual,
+  max(m) FILTER ("group" = 'O') - max(m) FILTER ("group" = 'F') AS lfc, sqrt(sum(1.0 / n)) AS su, count(*) AS k FROM g GROUP BY 1)"""
+
+
+@query("protein_models", f"""WITH {FIT_SQL}
+SELECT protein_id, CAST(n_observed AS BIGINT) AS n_observed, CAST(df_residual AS BIGINT) AS df_residual, round(sigma2, 6) AS sigma2,
+  CASE WHEN k = 2 THEN round(lfc, 6) END AS lfc, CASE WHEN k = 2 THEN round(su, 6) END AS stdev_unscaled FROM fit""")
+def protein_models(spark, sf):
+    fits = M.fit_proteins(log_values(spark, sf), R.design(spark, sf))
+    c = F.get("contrasts", 0)
+    return fits.select("protein_id", "n_observed", "df_residual", F.round("sigma2", 6).alias("sigma2"),
+                       F.round(c["lfc"], 6).alias("lfc"), F.round(c["stdev_unscaled"], 6).alias("stdev_unscaled"))
+
+
+@query("protein_contrasts_unmoderated", f"""WITH {FIT_SQL}
+SELECT protein_id, 'O_vs_F' AS contrast, round(lfc, 6) AS lfc, round(lfc / (su * sqrt(sigma2)), 4) AS t FROM fit
+WHERE k = 2 AND df_residual > 0""")
+def protein_contrasts_unmoderated(spark, sf):
+    fits = M.fit_proteins(log_values(spark, sf), R.design(spark, sf))
+    out = M.moderated_contrasts(fits, moderate=False)
+    return out.select("protein_id", "contrast", F.round("lfc", 6).alias("lfc"), F.round("t", 4).alias("t"))
+
+
+@query("protein_models_with_plex")
+def protein_models_with_plex(spark, sf):
+    fits = M.fit_proteins(log_values(spark, sf), R.design(spark, sf), ("group", "plex"))
+    return fits.select("protein_id", "n_observed", "sigma2", "df_residual", F.explode("contrasts").alias("c")).select(
+        "protein_id", "n_observed", "sigma2", "df_residual", "c.*")
+
+
+@query("differential_abundance")
+def differential_abundance(spark, sf):
+    centred = Fl.sample_median_shift(log_values(spark, sf))
+    return M.differential_abundance(centred, R.design(spark, sf), ("group", "plex"))
+
+
+@query("ratio_model")
+def ratio_model(spark, sf):
+    taxa = R.taxa(spark, sf).where("taxid IS NOT NULL").select("protein_id", "taxid")
+    owned = lookup_join(R.protein_values(spark, sf), taxa, ["protein_id"])
+    factors = O.taxon_size_factors(owned, R.design(spark, sf), 4)
+    return M.ratio_model(log_values(spark, sf), taxa, factors, R.design(spark, sf))
+
+
+@query("ratio_values", f"""WITH {R.PROTVAL_SQL}, {R.TAXA_SQL},
+f AS (SELECT taxid, sample, sum(value) / 1e6 AS factor FROM pv JOIN taxa USING (protein_id) WHERE taxid IS NOT NULL GROUP BY ALL)
+SELECT protein_id, sample, round(log2(value) - log2(factor), 6) AS value FROM pv JOIN taxa USING (protein_id) JOIN f USING (taxid, sample)""")
+def ratio_values(spark, sf):
+    taxa = R.taxa(spark, sf).where("taxid IS NOT NULL")
+    owned = lookup_join(R.protein_values(spark, sf), taxa, ["protein_id"], "inner")
+    factors = O.taxon_intensity(owned).withColumn("factor", F.col("value") / 1e6)
+    out = M.ratio_values(log_values(spark, sf), taxa, factors)
+    return out.select("protein_id", "sample", F.round("value", 6).alias("value"))
+
+
+@query("organism_fold_changes", f"""WITH {R.PROTVAL_SQL}, {R.TAXA_SQL},
+f AS (SELECT taxid, sample, "group", sum(value) AS factor FROM pv JOIN taxa USING (protein_id) WHERE taxid IS NOT NULL GROUP BY ALL)
+SELECT taxid, round(avg(log2(factor)) FILTER ("group" = 'O') - avg(log2(factor)) FILTER ("group" = 'F'), 6) AS factor_log2fc FROM f GROUP BY taxid""")
+def organism_fold_changes(spark, sf):
+    taxa = R.taxa(spark, sf).where("taxid IS NOT NULL")
+    owned = lookup_join(R.protein_values(spark, sf), taxa, ["protein_id"], "inner")
+    factors = O.taxon_intensity(owned).select("taxid", "sample", F.col("value").alias("factor"), F.lit("sum").alias("method"))
+    out = M.factor_fold_change(factors, R.design(spark, sf), "F", "O")
+    return out.select("taxid", F.round("factor_log2fc", 6).alias("factor_log2fc"))
+
+
+# ---------------------------------------------------------------- multiple testing
+# A price share stands in for a p value; every order priority is a contrast.
+TEST_SQL = """tst AS (SELECT o_orderkey AS protein_id, o_orderpriority AS contrast, o_totalprice / 600000 AS p_value, o_custkey, o_orderstatus FROM orders),
+rk AS (SELECT *, p_value * count(*) OVER (PARTITION BY contrast) / row_number() OVER (PARTITION BY contrast ORDER BY p_value, protein_id) AS raw FROM tst),
+bh AS (SELECT *, least(1.0, min(raw) OVER (PARTITION BY contrast ORDER BY p_value DESC)) AS q_value FROM rk)"""
+
+
+def tests(spark, sf) -> DataFrame:
+    o = load(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("protein_id"), F.col("o_orderpriority").alias("contrast"),
+        (F.col("o_totalprice") / 600000).alias("p_value"), "o_custkey", "o_orderstatus")
+
+
+@query("bh_adjust", f"WITH {TEST_SQL} SELECT protein_id, contrast, round(q_value, 8) AS q_value FROM bh")
+def bh_adjust(spark, sf):
+    out = M.bh_adjust(tests(spark, sf))
+    return out.select("protein_id", "contrast", F.round("q_value", 8).alias("q_value"))
+
+
+ENRICH_SQL = f"""WITH {TEST_SQL},
+t AS (SELECT protein_id, contrast, p_value < 0.2 AS sig FROM tst WHERE protein_id IN (SELECT l_orderkey FROM lineitem)),
+tot AS (SELECT contrast, count(*) AS n_background, count(*) FILTER (sig) AS n_significant FROM t GROUP BY 1),
+c AS (SELECT contrast, l_suppkey AS pathway, count(*) AS n_in_pathway, count(*) FILTER (sig) AS n_overlap
+  FROM t JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) ON l_orderkey = protein_id GROUP BY ALL),
+j AS (SELECT * FROM c JOIN tot USING (contrast)),
+h AS (SELECT contrast, pathway, sum(exp(
+    lgamma(n_in_pathway + 1.0) - lgamma(x + 1.0) - lgamma(n_in_pathway - x + 1.0)
+    + lgamma(n_background - n_in_pathway + 1.0) - lgamma(n_significant - x + 1.0) - lgamma(n_background - n_in_pathway - n_significant + x + 1.0)
+    - lgamma(n_background + 1.0) + lgamma(n_significant + 1.0) + lgamma(n_background - n_significant + 1.0))) AS p
+  FROM (SELECT *, unnest(range(n_overlap, least(n_in_pathway, n_significant) + 1)) AS x FROM j)
+  WHERE n_significant - x <= n_background - n_in_pathway GROUP BY ALL)
+SELECT contrast, pathway, n_in_pathway, n_overlap, n_background, n_significant,
+  round(CASE WHEN n_overlap = 0 THEN 1.0 ELSE least(1.0, p) END, 6) AS p_value FROM j LEFT JOIN h USING (contrast, pathway)"""
+
+
+@query("kegg_enrichment", ENRICH_SQL)
+def kegg_enrichment(spark, sf):
+    results = tests(spark, sf).withColumn("q_value", F.col("p_value"))
+    paths = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("protein_id"), F.col("l_suppkey").alias("pathway"))
+    out = M.kegg_enrichment(results, paths, alpha=0.2)
+    return out.withColumn("p_value", F.round("p_value", 6))
+
+
+def _judged(spark, sf) -> DataFrame:
+    return tests(spark, sf).select(
+        "protein_id", "contrast", F.col("p_value").alias("q_value"), (F.col("o_orderstatus") == "F").alias("has_ko"),
+        (F.col("o_custkey") > 700).alias("surface_or_secreted"), F.floor(F.col("p_value") * 10).cast("int").alias("export_score"))
+
+
+@query("candidate_shortlist", f"""WITH {TEST_SQL}
+SELECT protein_id, contrast FROM tst WHERE p_value < 0.2 AND o_orderstatus <> 'F' AND o_custkey > 700""")
+def candidate_shortlist(spark, sf):
+    return Tb.candidate_shortlist(_judged(spark, sf), ["contrast"], 0.2).select("protein_id", "contrast")
+
+
+@query("shortlist_population", f"""WITH {TEST_SQL}
+SELECT contrast, count(*) AS n_tested, count(*) FILTER (p_value < 0.2) AS n_significant, count(*) FILTER (o_orderstatus <> 'F') AS n_without_ko,
+  count(*) FILTER (o_custkey > 700) AS n_surface, count(*) FILTER (p_value < 0.2 AND o_orderstatus <> 'F' AND o_custkey > 700) AS n_listed
+FROM tst GROUP BY contrast""")
+def shortlist_population(spark, sf):
+    return Tb.shortlist_population(_judged(spark, sf), ["contrast"], 0.2)

@@ -8,11 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from umbra.errors import InputError, OptionError
 from umbra.plans.joins import lookup_join
 from umbra.plans.lineage import cut_lineage
-from umbra.plans.order import exact_median
+from umbra.plans.order import by_size, exact_median
 
 CLASSES = ("unique", "taxon_unique", "family_unique", "shared", "shared_unknown_taxon")
 # The classes each mode keeps.
@@ -122,35 +123,49 @@ def rollup_sum(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return rows.groupBy(*by, "protein_id", "sample").agg(F.sum("value").alias("value"))
 
 
+def _middle(cells: np.ndarray, axis: int) -> np.ndarray:
+    """Median along an axis over the cells that are present."""
+    filled = np.sort(np.where(np.isnan(cells), np.inf, cells), axis=axis)
+    n = (~np.isnan(cells)).sum(axis=axis, keepdims=True)
+    low = np.take_along_axis(filled, (n - 1) // 2, axis=axis)
+    high = np.take_along_axis(filled, n // 2, axis=axis)
+    return ((low + high) / 2).squeeze(axis)
+
+
 def _polish(cells: np.ndarray, iterations: int) -> np.ndarray:
     """Column effects plus overall level of a log matrix with missing cells."""
     resid = cells.copy()
     overall, rows, cols = 0.0, np.zeros(cells.shape[0]), np.zeros(cells.shape[1])
     for _ in range(iterations):
-        step = np.nanmedian(resid, axis=1)
-        resid -= step[:, None]
-        rows += step
-        shift = np.median(rows)
-        rows -= shift
-        overall += shift
-        step = np.nanmedian(resid, axis=0)
-        resid -= step[None, :]
-        cols += step
-        shift = np.median(cols)
-        cols -= shift
-        overall += shift
+        for axis, effect in ((1, rows), (0, cols)):
+            step = _middle(resid, axis)
+            resid -= np.expand_dims(step, axis)
+            effect += step
+            shift = np.median(effect)
+            effect -= shift
+            overall += shift
     return overall + cols
 
 
-def _polish_group(iterations: int, by: tuple[str, ...]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="feature_id", columns="sample", values="value", aggfunc="sum")
-        level = 2.0 ** _polish(np.log2(wide.to_numpy(dtype=float)), iterations)
-        scale = np.nansum(wide.to_numpy()) / level.sum()
-        out = pd.DataFrame({"sample": wide.columns, "value": level * scale})
-        for c in (*by, "protein_id"):
-            out[c] = pdf[c].iloc[0]
-        return out[[*by, "protein_id", "sample", "value"]]
+def _polish_packed(iterations: int, keys: list[str]):
+    """Rows of one protein each, its cells packed in arrays."""
+
+    def run(batches):
+        for pdf in batches:
+            parts = []
+            for i, (fs, ss, vs) in enumerate(zip(pdf["fs"], pdf["ss"], pdf["vs"])):
+                _, r = np.unique(np.asarray(fs), return_inverse=True)
+                names, c = np.unique(np.asarray(ss), return_inverse=True)
+                wide = np.zeros((r.max() + 1, len(names)))
+                np.add.at(wide, (r, c), np.asarray(vs, dtype=float))
+                wide[wide == 0] = np.nan
+                level = 2.0 ** _polish(np.log2(wide), iterations)
+                part = pd.DataFrame({"sample": names, "value": level * (np.nansum(wide) / level.sum())})
+                for k in keys:
+                    part[k] = pdf[k].iloc[i]
+                parts.append(part[[*keys, "sample", "value"]])
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
 
     return run
 
@@ -208,19 +223,26 @@ def rollup_median_polish(
     """
     rows = rows.where("value > 0")
     prot = [*by, "protein_id"]
-    schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in prot
-    ) + ", sample string, value double"
-    order = [*by, "protein_id", "sample", "value"]
-    sizes = rows.groupBy(*prot).count()
-    large = sizes.where(F.col("count") > cell_limit).select(*prot)
-    if not large.limit(1).count():
-        return rows.groupBy(*prot).applyInPandas(_polish_group(iterations, tuple(by)), schema).select(*order)
-    large = cut_lineage(large, "large")
-    small = lookup_join(rows, large, prot, "left_anti")
-    done = small.groupBy(*prot).applyInPandas(_polish_group(iterations, tuple(by)), schema).select(*order)
-    big = _polish_large(lookup_join(rows, large, prot, "left_semi"), by, iterations, cell_limit)
-    return done.unionByName(big.select(*order))
+    order = [*prot, "sample", "value"]
+
+    def small(part: DataFrame) -> DataFrame:
+        cells = F.array_agg(F.struct("feature_id", "sample", "value"))
+        packed = part.groupBy(*prot).agg(cells.alias("_c")).select(
+            *prot,
+            F.col("_c.feature_id").alias("fs"),
+            F.col("_c.sample").alias("ss"),
+            F.col("_c.value").alias("vs"),
+        )
+        fields = [f for f in packed.schema.fields if f.name in prot]
+        schema = Ty.StructType(
+            fields + [Ty.StructField("sample", Ty.StringType()), Ty.StructField("value", Ty.DoubleType())]
+        )
+        return packed.mapInPandas(_polish_packed(iterations, prot), schema)
+
+    def large(part: DataFrame) -> DataFrame:
+        return _polish_large(part, by, iterations, cell_limit).select(*order)
+
+    return by_size(rows, prot, cell_limit, small, large)
 
 
 def rollup(

@@ -59,16 +59,19 @@ def unpivot_samples(
     df: DataFrame, ids: Sequence[str], columns: dict[str, str], zero_missing: bool = True
 ) -> DataFrame:
     """Wide sample columns -> (ids, sample, value), missing cells left out."""
-    # The tag keeps a sample name from meeting an id column.
+    # The tag keeps a sample name from meeting an id column. Cells become
+    # numbers before the rows multiply.
     tag = "s:"
-    wide = df.select(*ids, *[F.col(f"`{c}`").alias(tag + name) for c, name in columns.items()])
-    names = [F.col(f"`{tag}{name}`") for name in columns.values()]
-    long = wide.unpivot(list(ids), names, "_i", "_v")
-    return long.select(
+    wide = df.select(
         *ids,
-        F.substring("_i", len(tag) + 1, 10_000).alias("sample"),
-        zero_as_missing(to_number("_v"), zero_missing).alias("value"),
-    ).where("value IS NOT NULL")
+        *[
+            zero_as_missing(to_number(F.col(f"`{c}`")), zero_missing).alias(tag + name)
+            for c, name in columns.items()
+        ],
+    )
+    names = [F.col(f"`{tag}{name}`") for name in columns.values()]
+    long = wide.unpivot(list(ids), names, "_i", "value").where("value IS NOT NULL")
+    return long.select(*ids, F.substring("_i", len(tag) + 1, 10_000).alias("sample"), "value")
 
 
 def zero_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
