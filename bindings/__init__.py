@@ -4,6 +4,7 @@ from bindings.registry import ORACLES, QUERIES
 from bindings import (  # noqa: F401  (registers the queries)
     evidence_queries,
     isobaric_queries,
+    job_queries,
     quant_queries,
     reader_queries,
     statistics_queries,

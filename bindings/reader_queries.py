@@ -28,6 +28,13 @@ def s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+def source(spark, sf: str, name: str) -> DataFrame:
+    """A table spread over the cores; one small file would be parsed by one task."""
+    df = load(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores)
+
+
 def scratch(spark, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -133,7 +140,7 @@ SELECT 'S' || l_suppkey AS contig, l_orderkey AS start, l_orderkey + CAST(l_quan
   'P' || l_partkey || '.' || l_linenumber AS protein_id
 FROM lineitem WHERE l_linestatus = 'O'""")
 def gff_genes(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     kind = F.when(F.col("l_linestatus") == "O", "CDS").otherwise("gene")
     line = tabbed(
         F.concat(F.lit("S"), s("l_suppkey")), "made", kind, s("l_orderkey"),
@@ -171,7 +178,7 @@ SELECT 'L' || l_orderkey || '.' || l_partkey || '.' || l_suppkey AS protein_id,
   CAST(2 * l_linenumber AS INTEGER) AS n_tmh, CAST(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS INTEGER) AS n_tmb
 FROM lineitem""")
 def membrane_segments(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     labels = F.concat(F.expr("repeat('iiHHHHhhh', l_linenumber)"), F.lit("ooo"),
                       F.when(F.col("l_returnflag") == "A", "BBBB").otherwise(""), F.lit("i"))
     pid = F.concat(F.lit("L"), s("l_orderkey"), F.lit("."), s("l_partkey"), F.lit("."), s("l_suppkey"))
@@ -203,7 +210,7 @@ SELECT 'P' || l_partkey AS protein_id, 'F' || l_suppkey AS name,
   CASE WHEN l_linestatus = 'O' THEN 'Uncharacterized protein' END AS description,
   l_discount AS evalue, l_extendedprice AS score FROM lineitem""")
 def hmm_table(spark, sf):
-    hits = H.parse_tblout(tblout_lines(load(spark, sf, "lineitem")))
+    hits = H.parse_tblout(tblout_lines(source(spark, sf, "lineitem")))
     return hits.select("protein_id", "name", "accession", "description", "evalue", "score")
 
 
@@ -211,7 +218,7 @@ def hmm_table(spark, sf):
 SELECT 'P' || l_suppkey AS protein_id, 'P' || l_partkey AS name, l_discount AS evalue, l_extendedprice AS score
 FROM lineitem WHERE l_suppkey <> l_partkey""")
 def hmm_table_by_query(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     fixed = [F.concat(F.lit("P"), s("l_partkey")), "-", F.concat(F.lit("P"), s("l_suppkey")), "-",
              s("l_discount"), s("l_extendedprice")] + ["0.0"] * 12
     hits = H.by_query(H.parse_tblout(li.select(spaced(*fixed, "-").alias("value"))))
@@ -223,7 +230,7 @@ SELECT 'P' || l_partkey AS protein_id, 'GH' || l_suppkey AS name, l_discount AS
   round(l_quantity / 50, 6) AS coverage
 FROM lineitem WHERE l_quantity / 50 >= 0.35 AND l_discount <= 0.05""")
 def hmm_domains(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     end = (F.col("l_quantity").cast("int") + 9).cast("string")
     cells = [F.concat(F.lit("P"), s("l_partkey")), "-", "300", F.concat(F.lit("GH"), s("l_suppkey"), F.lit(".hmm")),
              "-", "50", "1e-20", "80.0", "0.0", "1", "1", "0.1", s("l_discount"), s("l_extendedprice"), "0.0",
@@ -256,7 +263,7 @@ DIAMOND_SQL = """dia AS (
 
 def diamond_hits(spark, sf) -> DataFrame:
     return H.parse_diamond(
-        diamond_lines(load(spark, sf, "lineitem")), F.col("tag"), evalue=0.08, qcov=50, ident=30,
+        diamond_lines(source(spark, sf, "lineitem")), F.col("tag"), evalue=0.08, qcov=50, ident=30,
         max_evalues={"A": 0.02}, min_idents={"R": 60}).drop("tag")
 
 
@@ -272,7 +279,7 @@ SELECT 'P' || l_partkey AS protein_id, 'K' || l_suppkey AS name, l_extendedprice
   l_discount AS evalue, 'family ' || l_suppkey AS description
 FROM lineitem WHERE l_returnflag = 'R'""")
 def kofam_calls(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     line = tabbed(F.when(F.col("l_returnflag") == "R", "*").otherwise(" "), F.concat(F.lit("P"), s("l_partkey")),
                   F.concat(F.lit("K"), s("l_suppkey")), "100", s("l_extendedprice"), s("l_discount"),
                   F.concat(F.lit('"family '), s("l_suppkey"), F.lit('"')))
@@ -286,7 +293,7 @@ SELECT 'P' || l_partkey AS protein_id, CASE WHEN l_returnflag = 'A' THEN 'Pfam'
   CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 'IPR' || l_suppkey END AS ipr, l_discount AS evalue
 FROM lineitem""")
 def interpro_matches(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     db = F.when(F.col("l_returnflag") == "A", "Pfam").otherwise("Gene3D")
     desc = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("domain "), s("l_suppkey"))).otherwise("-")
     short = [F.concat(F.lit("P"), s("l_partkey")), "md5", "300", db, F.concat(F.lit("S"), s("l_suppkey")), desc,
@@ -302,7 +309,7 @@ SELECT 'P' || l_partkey AS protein_id, 'T' || l_suppkey AS name, l_returnflag AS
   l_discount AS evalue
 FROM lineitem WHERE l_quantity / 50 >= 0.5 AND 1 - l_tax >= 0.95 AND l_discount <= 0.05""")
 def structure_hits(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     line = tabbed(F.concat(F.lit("P"), s("l_partkey"), F.lit(".pdb_A")), F.concat(F.lit("T"), s("l_suppkey")), "0.3",
                   "150", s("l_discount"), s("l_extendedprice"), (1 - F.col("l_tax")).cast("string"),
                   "0.9", (F.col("l_quantity") / 50).cast("string"), "header", F.col("l_returnflag"))
@@ -315,7 +322,7 @@ def structure_hits(spark, sf):
 SELECT 'O' || l_orderkey AS protein_id, 'PF' || l_partkey AS name, 'Supplier ' || l_suppkey AS description,
   100 - l_quantity AS score FROM lineitem WHERE 100 - l_quantity >= 90""")
 def profile_profile_hits(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     label = F.rpad(F.concat(F.lit("PF"), s("l_partkey"), F.lit(" Supplier "), s("l_suppkey")), 30, " ")
     line = F.concat(F.lpad(s("l_linenumber"), 3, " "), F.lit(" "), label, F.lit(" "),
                     F.lpad((100 - F.col("l_quantity")).cast("string"), 5, " "),
@@ -357,7 +364,7 @@ LONG_SQL = "UNPIVOT (value FOR sample IN (A, N, R))"
   FROM lineitem GROUP BY l_orderkey)
 SELECT feature_id, sample, value FROM (FROM w {LONG_SQL}) WHERE value <> 0""")
 def peptide_table_values(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     wide = li.groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("razor"), F.array_join(F.array_sort(F.collect_set(
             F.concat(F.lit("P"), s("l_partkey")))), ";").alias("mapped"), *flag_sums())
@@ -374,7 +381,7 @@ def peptide_table_values(spark, sf):
 SELECT l_orderkey || '_' || l_returnflag || '_2' AS feature_id, 'P' || min(l_partkey) AS razor,
   count(DISTINCT l_partkey) AS n_candidates FROM lineitem GROUP BY l_orderkey, l_returnflag""")
 def ion_table_candidates(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     wide = li.groupBy("l_orderkey", "l_returnflag").agg(
         F.min("l_partkey").alias("razor"), F.array_join(F.array_sort(F.collect_set(
             F.concat(F.lit("P"), s("l_partkey"), F.lit(" text")))), ";").alias("mapped"),
@@ -392,7 +399,7 @@ def ion_table_candidates(spark, sf):
 SELECT 'PEP' || l_orderkey AS peptide, 'P' || min(l_partkey) AS razor, count(DISTINCT l_partkey) AS n_candidates
 FROM lineitem GROUP BY l_orderkey""")
 def peptides_without_intensities(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     table = li.groupBy("l_orderkey").agg(
         F.concat(F.lit("P"), F.min("l_partkey").cast("string")).alias("Protein"),
         F.array_join(F.collect_set(F.concat(F.lit("P"), s("l_partkey"))), ";").alias("Mapped Proteins"),
@@ -406,7 +413,7 @@ def peptides_without_intensities(spark, sf):
   FROM lineitem GROUP BY l_partkey)
 SELECT group_id, sample, value FROM (FROM w {LONG_SQL}) WHERE value <> 0""")
 def protein_matrix_values(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     table = li.groupBy(F.concat(F.lit("P"), s("l_partkey")).alias("Protein")).agg(
         F.lit("true").alias("Is Decoy"), F.min("l_suppkey").alias("Protein Length"), *flag_sums())
     path = put_table(table, scratch(spark, "combined_protein"))
@@ -417,7 +424,7 @@ def protein_matrix_values(spark, sf):
   FROM lineitem GROUP BY l_partkey)
 SELECT group_id, sample, value FROM (FROM w {LONG_SQL}) WHERE value <> 0""")
 def protein_group_matrix_values(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     table = li.groupBy(F.concat(F.lit("P"), s("l_partkey")).alias("Protein.Group")).agg(
         F.lit("x").alias("Genes"), *[c.alias(v) for c, v in zip(flag_sums(), STATUS_COLUMNS.values())])
     path = put_table(table, scratch(spark, "pg_matrix"))
@@ -429,7 +436,7 @@ SELECT l_orderkey || '_2__' AS feature_id, min('P' || l_partkey) AS razor, count
   round(sum(l_extendedprice), 2) AS total
 FROM lineitem GROUP BY l_orderkey""")
 def long_feature_table(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     table = li.select(
         F.concat(F.lit("P"), s("l_partkey")).alias("ProteinName"), s("l_orderkey").alias("PeptideSequence"),
         F.lit("2").alias("PrecursorCharge"), F.lit("NA").alias("FragmentIon"), F.lit("NA").alias("ProductCharge"),
@@ -446,7 +453,7 @@ def long_feature_table(spark, sf):
 SELECT CAST(l_orderkey AS VARCHAR) AS feature_id, l_returnflag AS sample, round(sum(l_extendedprice), 2) AS value
 FROM lineitem GROUP BY ALL""")
 def processed_feature_table(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     table = li.select(
         F.concat(F.lit("P"), s("l_partkey")).alias("PROTEIN"), s("l_orderkey").alias("PEPTIDE"),
         s("l_orderkey").alias("FEATURE"), F.col("l_returnflag").alias("RUN"),
@@ -460,7 +467,7 @@ def processed_feature_table(spark, sf):
 SELECT 'P' || l_partkey AS group_id, l_returnflag AS sample, round(sum(l_quantity), 6) AS value
 FROM lineitem GROUP BY ALL""")
 def processed_protein_table(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = source(spark, sf, "lineitem")
     table = li.groupBy("l_partkey", "l_returnflag").agg(F.log2(F.sum("l_quantity")).alias("LogIntensities")).select(
         F.concat(F.lit("P"), s("l_partkey")).alias("Protein"), F.col("l_returnflag").alias("originalRUN"),
         F.lit("g").alias("GROUP_ORIGINAL"), F.lit("s").alias("SUBJECT_ORIGINAL"), "LogIntensities")
@@ -470,7 +477,7 @@ def processed_protein_table(spark, sf):
 
 def plex_run(spark, sf) -> X.PlexRun:
     """Three plex folders written from lineitem: flag = plex, status = channel."""
-    li = load(spark, sf, "lineitem").where("l_returnflag IS NOT NULL")
+    li = source(spark, sf, "lineitem").where("l_returnflag IS NOT NULL")
     root = scratch(spark, "run")
     channels = {"F": "126", "O": "127N"}
     for i, flag in enumerate(("A", "N", "R"), 1):

@@ -11,7 +11,8 @@ from umbra.functions.text import col
 def finite(c: Column | str) -> Column:
     """Not-a-number and infinities as missing."""
     v = col(c).cast("double")
-    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+    # Not-a-number compares as larger than infinity.
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
 
 
 def to_number(c: Column | str) -> Column:

@@ -282,84 +282,71 @@ def build_annotation(
             assert_unique(side, keys, name)
     reduced = reduce_hits(hits, library, ko_with_specific_map(eggnog, by), options, by)
     df = join_evidence(proteins, [reduced, *given.values()], by)
-    for c in ("pfam_hits", "pfam_accs", "ncbifam_hits", "ncbifam_accs", "interpro_sigs",
-              "dbcan_hits", "kofam_ko", "diamond_dbs", "ko", "pathway", "cazy", "pfams_emapper"):
-        df = df.withColumn(c, F.coalesce(c, _empty_array()))
-    for c in ("pfam_informative", "ncbifam_informative", "interpro_informative", "kofam_specific",
-              "foldseek_informative", "hh_informative", "has_anchor"):
-        df = df.withColumn(c, F.coalesce(c, F.lit(False)))
+    sets = ("pfam_hits", "pfam_accs", "ncbifam_hits", "ncbifam_accs", "interpro_sigs", "dbcan_hits",
+            "kofam_ko", "diamond_dbs", "ko", "pathway", "cazy", "pfams_emapper")
+    flags = ("pfam_informative", "ncbifam_informative", "interpro_informative", "kofam_specific",
+             "foldseek_informative", "hh_informative", "has_anchor")
+    filled = {c: F.coalesce(c, _empty_array()) for c in sets}
+    filled.update({c: F.coalesce(c, F.lit(False)) for c in flags})
+    # A source that did not run leaves its columns missing, not false.
     if signalp is None:
-        df = df.withColumn("sp_class", F.lit(None).cast("string"))
+        filled["sp_class"] = F.lit(None).cast("string")
     if tmbed is None:
-        df = df.withColumn("n_tmh", F.lit(None).cast("int")).withColumn("n_tmb", F.lit(None).cast("int"))
-    if context is None:
-        df = df.withColumn("context_flags", _empty_array())
+        filled["n_tmh"] = filled["n_tmb"] = F.lit(None).cast("int")
+    filled["context_flags"] = _empty_array() if context is None else F.coalesce("context_flags", _empty_array())
     if clusters is None:
-        df = df.withColumn("family_id", F.lit(None).cast("string"))
-    return annotate_columns(df, options)
+        filled["family_id"] = F.lit(None).cast("string")
+    return annotate_columns(df.withColumns(filled), options)
 
 
 def annotate_columns(df: DataFrame, options: EvidenceOptions = EvidenceOptions()) -> DataFrame:
-    """Derived columns of the annotation table, all row-wise."""
+    """Derived columns of the annotation table, all row-wise, in three layers."""
     emapper_named = F.size("pfams_emapper") > 0
     emapper_vague = F.exists("pfams_emapper", lambda p: ~T.is_informative(p, empty=True))
     ncbifam_vague = (F.size("ncbifam_hits") > 0) & ~F.col("ncbifam_informative")
     pfam_vague = (F.size("pfam_hits") > 0) & ~F.col("pfam_informative")
     specific = F.size(T.specific_pathways("pathway")) > 0
-    kofam_first = (F.size("kofam_ko") > 0) & F.col("kofam_specific")
-    df = (
-        df.withColumn("has_ko", (F.size("ko") > 0) | (F.size("kofam_ko") > 0))
-        .withColumn("has_pathway", ((F.size("ko") > 0) & specific) | kofam_first)
-        .withColumn("ko_source", ko_source("ko", "kofam_ko"))
-        .withColumn("ko_conflict", ko_conflict("ko", "kofam_ko"))
-        .withColumn("ncbifam_uninformative", ncbifam_vague)
-        .withColumn(
-            "has_seq_annotation",
-            F.col("pfam_informative")
+    has_fold, has_hh = F.col("foldseek_hit").isNotNull(), F.col("hh_hit").isNotNull()
+    vague_rescue = (has_fold & ~F.col("foldseek_informative")) | (has_hh & ~F.col("hh_informative"))
+    df = df.withColumns(
+        {
+            "has_ko": (F.size("ko") > 0) | (F.size("kofam_ko") > 0),
+            "has_pathway": ((F.size("ko") > 0) & specific) | ((F.size("kofam_ko") > 0) & F.col("kofam_specific")),
+            "ko_source": ko_source("ko", "kofam_ko"),
+            "ko_conflict": ko_conflict("ko", "kofam_ko"),
+            "ncbifam_uninformative": ncbifam_vague,
+            "has_seq_annotation": F.col("pfam_informative")
             | F.col("ncbifam_informative")
             | F.col("interpro_informative")
             | (emapper_named & ~emapper_vague)
             | (F.size("cazy") > 0)
             | (F.size("dbcan_hits") > 0)
             | (F.size("diamond_dbs") > 0),
-        )
-        .withColumn("duf_only", pfam_vague | (emapper_named & emapper_vague) | ncbifam_vague)
-        .withColumn("has_structure", F.col("foldseek_hit").isNotNull() & F.col("foldseek_informative"))
-        .withColumn(
-            "has_profile",
-            F.col("jackhmmer_hit").isNotNull() | (F.col("hh_hit").isNotNull() & F.col("hh_informative")),
-        )
-        .withColumn(
-            "rescue_demoted",
-            (F.col("foldseek_hit").isNotNull() & ~F.col("foldseek_informative"))
-            | (F.col("hh_hit").isNotNull() & ~F.col("hh_informative")),
-        )
-        .withColumn(
-            "rescued_by",
-            F.nullif(
-                F.concat_ws(
-                    ";",
-                    F.when(F.col("has_structure"), F.lit("structure")),
-                    F.when(F.col("has_profile"), F.lit("profile")),
-                ),
-                F.lit(""),
-            ),
-        )
-        .withColumn(
-            "bin",
-            assign_bin("has_ko", "has_pathway", "has_seq_annotation", "duf_only", "has_structure",
-                       "has_profile"),
-        )
-        .withColumn("kegg_enrichment_visible", F.col("bin") == "1_ko_pathway")
-        .withColumn("lpxtg", T.sortase_motif("seq"))
-        .withColumn(
-            "toxin_fold",
-            T.toxin_fold("foldseek_desc", options.toxin_patterns)
+            "duf_only": pfam_vague | (emapper_named & emapper_vague) | ncbifam_vague,
+            "has_structure": has_fold & F.col("foldseek_informative"),
+            "has_profile": F.col("jackhmmer_hit").isNotNull() | (has_hh & F.col("hh_informative")),
+            "rescue_demoted": vague_rescue,
+            "lpxtg": T.sortase_motif("seq"),
+            "toxin_fold": T.toxin_fold("foldseek_desc", options.toxin_patterns)
             | T.toxin_fold("hh_desc", options.toxin_patterns),
-        )
-        .withColumn("surface_or_secreted", surface_or_secreted())
+        }
+    )
+    rescued = F.concat_ws(
+        ";",
+        F.when(F.col("has_structure"), F.lit("structure")),
+        F.when(F.col("has_profile"), F.lit("profile")),
+    )
+    df = df.withColumns(
+        {
+            "rescued_by": F.when(rescued != "", rescued),
+            "bin": assign_bin(
+                "has_ko", "has_pathway", "has_seq_annotation", "duf_only", "has_structure", "has_profile"
+            ),
+            "surface_or_secreted": surface_or_secreted(),
+            "export_score": export_score(options.score),
+        }
     )
-    return df.withColumn("export_score", export_score(options.score))
+    return df.withColumn("kegg_enrichment_visible", F.col("bin") == "1_ko_pathway")
 
 
 def surface_or_secreted() -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import types as Ty
 
 from umbra.errors import InputError, OptionError
 from umbra.plans.joins import lookup_join
-from umbra.plans.lineage import cut_lineage
+from umbra.plans.lineage import cut_lineage, spread
 from umbra.plans.order import by_size, exact_median
 
 CLASSES = ("unique", "taxon_unique", "family_unique", "shared", "shared_unknown_taxon")
@@ -137,13 +137,17 @@ def _polish(cells: np.ndarray, iterations: int) -> np.ndarray:
     resid = cells.copy()
     overall, rows, cols = 0.0, np.zeros(cells.shape[0]), np.zeros(cells.shape[1])
     for _ in range(iterations):
+        moved = False
         for axis, effect in ((1, rows), (0, cols)):
             step = _middle(resid, axis)
+            moved = moved or bool(step.any())
             resid -= np.expand_dims(step, axis)
             effect += step
             shift = np.median(effect)
             effect -= shift
             overall += shift
+        if not moved:
+            break
     return overall + cols
 
 
@@ -152,20 +156,23 @@ def _polish_packed(iterations: int, keys: list[str]):
 
     def run(batches):
         for pdf in batches:
-            parts = []
-            for i, (fs, ss, vs) in enumerate(zip(pdf["fs"], pdf["ss"], pdf["vs"])):
-                _, r = np.unique(np.asarray(fs), return_inverse=True)
-                names, c = np.unique(np.asarray(ss), return_inverse=True)
-                wide = np.zeros((r.max() + 1, len(names)))
+            counts, names, values = [], [], []
+            for fs, ss, vs in zip(pdf["fs"], pdf["ss"], pdf["vs"]):
+                feats, samples = {}, {}
+                r = [feats.setdefault(f, len(feats)) for f in fs]
+                c = [samples.setdefault(x, len(samples)) for x in ss]
+                wide = np.zeros((len(feats), len(samples)))
                 np.add.at(wide, (r, c), np.asarray(vs, dtype=float))
                 wide[wide == 0] = np.nan
                 level = 2.0 ** _polish(np.log2(wide), iterations)
-                part = pd.DataFrame({"sample": names, "value": level * (np.nansum(wide) / level.sum())})
-                for k in keys:
-                    part[k] = pdf[k].iloc[i]
-                parts.append(part[[*keys, "sample", "value"]])
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+                counts.append(len(samples))
+                names.extend(samples)
+                values.append(level * (np.nansum(wide) / level.sum()))
+            if counts:
+                out = pdf[keys].loc[pdf.index.repeat(counts)].reset_index(drop=True)
+                out["sample"] = names
+                out["value"] = np.concatenate(values)
+                yield out
 
     return run
 
@@ -227,7 +234,7 @@ def rollup_median_polish(
 
     def small(part: DataFrame) -> DataFrame:
         cells = F.array_agg(F.struct("feature_id", "sample", "value"))
-        packed = part.groupBy(*prot).agg(cells.alias("_c")).select(
+        packed = spread(part, prot).groupBy(*prot).agg(cells.alias("_c")).select(
             *prot,
             F.col("_c.feature_id").alias("fs"),
             F.col("_c.sample").alias("ss"),

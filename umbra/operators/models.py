@@ -13,7 +13,7 @@ from pyspark.sql import types as Ty
 from umbra.functions.stats import digamma, hypergeometric_tail, t_p_value, trigamma, trigamma_inverse
 from umbra.operators.design import with_design
 from umbra.plans.joins import lookup_join
-from umbra.plans.lineage import cut_lineage
+from umbra.plans.lineage import cut_lineage, spread
 from umbra.plans.order import exact_median, row_numbers, suffix_minimum
 
 CONTRASTS = Ty.ArrayType(
@@ -107,7 +107,7 @@ def fit_proteins(
             F.struct("sample", F.col(terms[0]).alias("g"), batch.alias("b"), F.col("value").alias("y"))
         )
     )
-    packed = rows.groupBy(*keys).agg(cells.alias("_c")).select(
+    packed = spread(rows, keys).groupBy(*keys).agg(cells.alias("_c")).select(
         *keys,
         F.transform("_c", lambda c: c["g"]).alias("groups"),
         F.transform("_c", lambda c: c["b"]).alias("batches"),

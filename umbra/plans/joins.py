@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from umbra.plans.lineage import cut_lineage
+
 # Rows up to which a narrow lookup table is sent to every executor.
 BROADCAST_ROWS = 200_000
 # A key is hot when it holds at least this share of the large table, so there
@@ -20,6 +22,12 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def is_derived(df: DataFrame) -> bool:
+    """True when reading `df` means aggregating or joining, not only scanning."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(step in plan for step in ("Aggregate", "Join", "Window", "Distinct"))
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -38,6 +46,9 @@ def lookup_join(
     on = list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join does not cover how={how!r}")
+    if is_derived(lookup):
+        # Its size is asked for first and its rows after: compute them once.
+        lookup = cut_lineage(lookup, "lookup")
     if fits_broadcast(lookup, limit):
         return big.join(F.broadcast(lookup), on, how)
     counts = big.groupBy(*on).count()

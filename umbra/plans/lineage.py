@@ -38,3 +38,13 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash `df` by `keys` over all shuffle partitions before Python work per group.
+
+    Adaptive execution would merge small shuffle blocks into one task; the rows
+    are few but each one costs a model fit.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)

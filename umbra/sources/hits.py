@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from umbra.functions import text as T
 from umbra.functions.numbers import to_number
-from umbra.sources.lines import data_lines, fields, kept, read_lines, warn_if_unparsed
+from umbra.sources.lines import cells, data_lines, field, kept, read_lines, warn_if_unparsed
 
 HIT_COLUMNS = {
     "protein_id": "string",
@@ -41,18 +41,17 @@ def hit(lines: DataFrame, source: str, **columns: Column) -> DataFrame:
 # ---------------------------------------------------------------- profile searches
 def parse_tblout(lines: DataFrame, source: str = "pfam") -> DataFrame:
     """18 fixed columns and a free-text description; keyed on the target sequence."""
-    c = fields(r"\s+", 19)
-    whole = F.size(c) >= 19
-    rows = data_lines(lines)
+    whole = F.size("_c") >= 19
+    rows = cells(data_lines(lines), r"\s+", 19, trim=True)
     out = hit(
         rows,
         source,
-        protein_id=F.get(c, 0),
-        name=F.get(c, 2),
-        accession=T.blank_to_null(F.get(c, 3)),
-        description=F.when(whole, T.blank_to_null(F.get(c, 18))),
-        evalue=to_number(F.get(c, 4)),
-        score=to_number(F.get(c, 5)),
+        protein_id=field(0),
+        name=field(2),
+        accession=T.blank_to_null(field(3)),
+        description=F.when(whole, T.blank_to_null(field(18))),
+        evalue=to_number(field(4)),
+        score=to_number(field(5)),
     )
     return out.where("evalue IS NOT NULL AND score IS NOT NULL")
 
@@ -76,18 +75,17 @@ def parse_domtblout(
     lines: DataFrame, min_cov: float = 0.35, max_evalue: float = 1e-15, source: str = "dbcan"
 ) -> DataFrame:
     """Domains that cover enough of their model at a low enough independent e-value."""
-    c = fields(r"\s+", 23)
-    cov = (to_number(F.get(c, 16)) - to_number(F.get(c, 15)) + 1) / F.nullif(
-        to_number(F.get(c, 5)), F.lit(0.0)
+    cov = (to_number(field(16)) - to_number(field(15)) + 1) / F.nullif(
+        to_number(field(5)), F.lit(0.0)
     )
     return hit(
-        data_lines(lines),
+        cells(data_lines(lines), r"\s+", 23, trim=True),
         source,
-        protein_id=F.get(c, 0),
-        name=F.regexp_replace(F.get(c, 3), r"\.hmm$", ""),
-        accession=T.blank_to_null(F.get(c, 4)),
-        evalue=to_number(F.get(c, 12)),
-        score=to_number(F.get(c, 13)),
+        protein_id=field(0),
+        name=F.regexp_replace(field(3), r"\.hmm$", ""),
+        accession=T.blank_to_null(field(4)),
+        evalue=to_number(field(12)),
+        score=to_number(field(13)),
         qcov=cov,
     ).where((F.col("qcov") >= min_cov) & (F.col("evalue") <= max_evalue))
 
@@ -126,20 +124,19 @@ def parse_diamond(
 
     Limits apply per database tag where the tag is listed, otherwise the defaults.
     """
-    c = F.split("value", "\t")
     tag = F.lit(db) if isinstance(db, str) else db
-    rows = data_lines(lines).where(F.size(c) == 9)
+    rows = cells(data_lines(lines)).where(F.size("_c") == 9)
     hits = hit(
         rows,
         "diamond",
         db=tag,
-        protein_id=T.first_token(F.get(c, 0)),
-        name=F.get(c, 1),
-        description=T.blank_to_null(F.get(c, 8)),
-        ident=to_number(F.get(c, 2)),
-        evalue=to_number(F.get(c, 4)),
-        score=to_number(F.get(c, 5)),
-        qcov=to_number(F.get(c, 6)),
+        protein_id=T.first_token(field(0)),
+        name=field(1),
+        description=T.blank_to_null(field(8)),
+        ident=to_number(field(2)),
+        evalue=to_number(field(4)),
+        score=to_number(field(5)),
+        qcov=to_number(field(6)),
     )
     return per_database_thresholds(hits, evalue, qcov, ident, max_evalues, min_idents)
 
@@ -196,13 +193,12 @@ def parse_foldseek(
 ) -> DataFrame:
     """Structure hits; the query-normalised score is used where the file has it."""
     names = foldseek_columns(header)
-    c = F.split("value", "\t")
 
     def cell(name: str) -> Column:
-        return F.get(c, names.index(name)) if name in names else F.lit(None).cast("string")
+        return field(names.index(name)) if name in names else F.lit(None).cast("string")
 
     tm_score = cell("qtmscore") if "qtmscore" in names else cell("alntmscore")
-    rows = data_lines(lines)
+    rows = cells(data_lines(lines))
     return hit(
         rows.where((to_number(tm_score) >= tm) & (to_number(cell("prob")) >= prob)),
         "foldseek",
@@ -224,36 +220,36 @@ def is_legacy_foldseek(header: str | None) -> bool:
 # ---------------------------------------------------------------- orthology and signatures
 def parse_kofam(lines: DataFrame) -> DataFrame:
     """Rows flagged `*`; the quotes around the definition are removed."""
-    c = F.split("value", "\t")
     return hit(
-        lines.where((F.get(c, 0) == "*") & (F.size(c) >= 6)),
+        cells(lines).where((field(0) == "*") & (F.size("_c") >= 6)),
         "kofam",
-        protein_id=T.first_token(F.get(c, 1)),
-        name=F.get(c, 2),
-        accession=F.get(c, 2),
-        score=to_number(F.get(c, 4)),
-        evalue=to_number(F.get(c, 5)),
-        description=F.regexp_replace(F.get(c, 6), '^"|"$', ""),
+        protein_id=T.first_token(field(1)),
+        name=field(2),
+        accession=field(2),
+        score=to_number(field(4)),
+        evalue=to_number(field(5)),
+        description=F.regexp_replace(field(6), '^"|"$', ""),
     ).where("score IS NOT NULL")
 
 
 def parse_interproscan(lines: DataFrame) -> DataFrame:
     """11 to 14 columns; `db` is the member analysis and `ipr` may be missing."""
-    c = F.split("value", "\t")
-    rows = data_lines(lines, None).where(F.size(c) >= 11).withColumn(
-        "ipr", T.blank_to_null(F.get(c, 11))
-    ).withColumn("ipr_desc", T.blank_to_null(F.get(c, 12))).withColumn(
-        "go", T.blank_to_null(F.get(c, 13))
+    rows = cells(data_lines(lines, None)).where(F.size("_c") >= 11).withColumns(
+        {
+            "ipr": T.blank_to_null(field(11)),
+            "ipr_desc": T.blank_to_null(field(12)),
+            "go": T.blank_to_null(field(13)),
+        }
     )
     return hit(
         rows,
         "interpro",
-        db=F.get(c, 3),
-        protein_id=T.first_token(F.get(c, 0)),
-        name=F.get(c, 4),
-        accession=F.get(c, 4),
-        description=F.coalesce(T.blank_to_null(F.get(c, 5)), F.col("ipr_desc")),
-        evalue=to_number(F.get(c, 8)),
+        db=field(3),
+        protein_id=T.first_token(field(0)),
+        name=field(4),
+        accession=field(4),
+        description=F.coalesce(T.blank_to_null(field(5)), F.col("ipr_desc")),
+        evalue=to_number(field(8)),
     )
 
 

@@ -25,11 +25,21 @@ def read_lines(spark: SparkSession, path: str | list[str], optional: bool = Fals
 
 def kept(lines: DataFrame) -> list[str]:
     """Columns a parser passes through, such as the data set key."""
-    return [c for c in lines.columns if c != "value"]
+    return [c for c in lines.columns if c not in ("value", "_c")]
 
 
-def fields(pattern: str, limit: int = -1) -> Column:
-    return F.split(F.trim("value"), pattern, limit)
+def cells(lines: DataFrame, pattern: str = "\t", limit: int = -1, trim: bool = False) -> DataFrame:
+    """Lines with their fields as the array `_c`.
+
+    The array goes through a generator, so a line is split once however many
+    fields are read; a plain projection would be copied into every use.
+    """
+    text = F.trim("value") if trim else F.col("value")
+    return lines.withColumn("_c", F.explode(F.array(F.split(text, pattern, limit))))
+
+
+def field(i: int) -> Column:
+    return F.get("_c", F.lit(i))
 
 
 def data_lines(lines: DataFrame, comment: str | None = "#") -> DataFrame:

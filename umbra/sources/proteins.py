@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from umbra.errors import InputError
 from umbra.functions import text as T
-from umbra.sources.lines import data_lines, fields, kept, read_lines, warn_if_unparsed
+from umbra.sources.lines import cells, data_lines, field, kept, read_lines, warn_if_unparsed
 
 # The annotation table's columns, in file order.
 EGGNOG_COLUMNS = (
@@ -77,12 +77,11 @@ def parse_eggnog(lines: DataFrame, header: str | None) -> DataFrame:
         schema = ", ".join(["protein_id string"] + [f"{c} string" for c in EGGNOG_COLUMNS[1:]])
         return lines.sparkSession.createDataFrame([], schema)
     names = [EGGNOG_ALIASES.get(n.strip(), n.strip()) for n in header.lstrip("#").split("\t")]
-    cells = F.split("value", "\t")
-    out = [T.blank_to_null(F.get(cells, names.index("query"))).alias("protein_id")]
+    out = [T.blank_to_null(field(names.index("query"))).alias("protein_id")]
     for c in EGGNOG_COLUMNS[1:]:
-        cell = T.blank_to_null(F.get(cells, names.index(c))) if c in names else F.lit(None)
+        cell = T.blank_to_null(field(names.index(c))) if c in names else F.lit(None)
         out.append(cell.cast("string").alias(c))
-    return data_lines(lines).select(*extra, *out).where("protein_id IS NOT NULL")
+    return cells(data_lines(lines)).select(*extra, *out).where("protein_id IS NOT NULL")
 
 
 def eggnog_header(lines: DataFrame) -> str | None:
@@ -138,11 +137,10 @@ def read_hmm_library(spark: SparkSession, path: str | list[str]) -> DataFrame:
 # ---------------------------------------------------------------- pairs and coordinates
 def parse_clusters(lines: DataFrame) -> DataFrame:
     """representative <tab> member -> (protein_id, family_id)."""
-    c = F.split("value", "\t")
-    return data_lines(lines).select(
+    return cells(data_lines(lines)).select(
         *kept(lines),
-        T.blank_to_null(F.get(c, 1)).alias("protein_id"),
-        T.blank_to_null(F.get(c, 0)).alias("family_id"),
+        T.blank_to_null(field(1)).alias("protein_id"),
+        T.blank_to_null(field(0)).alias("family_id"),
     ).where("protein_id IS NOT NULL AND family_id IS NOT NULL")
 
 
@@ -152,18 +150,17 @@ def read_clusters(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parse_gff(lines: DataFrame, feature: str = "CDS") -> DataFrame:
     """Gene coordinates keyed to the protein id in the attribute column."""
-    c = F.split("value", "\t")
-    attrs = F.get(c, 8)
+    attrs = field(8)
 
     def attr(name: str) -> Column:
         return T.blank_to_null(F.regexp_extract(attrs, rf"(?:^|;)\s*{name}=([^;]*)", 1))
 
-    return data_lines(lines).where(F.get(c, 2) == feature).select(
+    return cells(data_lines(lines)).where(field(2) == feature).select(
         *kept(lines),
-        T.blank_to_null(F.get(c, 0)).alias("contig"),
-        F.get(c, 3).try_cast("long").alias("start"),
-        F.get(c, 4).try_cast("long").alias("end"),
-        F.get(c, 6).alias("strand"),
+        T.blank_to_null(field(0)).alias("contig"),
+        field(3).try_cast("long").alias("start"),
+        field(4).try_cast("long").alias("end"),
+        field(6).alias("strand"),
         F.coalesce(attr("protein_id"), attr("ID")).alias("protein_id"),
     ).where("contig IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL AND protein_id IS NOT NULL")
 
@@ -175,11 +172,10 @@ def read_gff(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parse_context(lines: DataFrame, header: list[str]) -> DataFrame:
     """Neighbourhood table: integer columns stay counts, only text `true` is a flag."""
-    c = F.split("value", "\t")
-    out = [T.first_token(F.get(c, header.index("protein_id"))).alias("protein_id")]
+    out = [T.first_token(field(header.index("protein_id"))).alias("protein_id")]
     flags = []
     for i, name in enumerate(header):
-        cell = F.lower(F.trim(F.get(c, i)))
+        cell = F.lower(F.trim(field(i)))
         if name == "protein_id":
             continue
         if name.startswith("n_"):
@@ -192,7 +188,7 @@ def parse_context(lines: DataFrame, header: list[str]) -> DataFrame:
         lambda x: x.isNotNull(),
     )
     return (
-        lines.where((F.col("value") != "\t".join(header)) & (F.trim("value") != ""))
+        cells(lines.where((F.col("value") != "\t".join(header)) & (F.trim("value") != "")))
         .select(*kept(lines), *out)
         .withColumn("context_flags", raised)
     )
@@ -208,12 +204,11 @@ def read_context(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_failures(lines: DataFrame) -> DataFrame:
     """protein_id, length, error of structures that were tried and failed."""
-    c = F.split("value", "\t")
-    return lines.where(~F.startswith("value", F.lit("protein_id\t"))).select(
+    return cells(lines.where(~F.startswith("value", F.lit("protein_id\t")))).select(
         *kept(lines),
-        T.blank_to_null(F.get(c, 0)).alias("protein_id"),
-        F.get(c, 1).try_cast("int").alias("length"),
-        F.get(c, 2).alias("error"),
+        T.blank_to_null(field(0)).alias("protein_id"),
+        field(1).try_cast("int").alias("length"),
+        field(2).alias("error"),
     ).where("protein_id IS NOT NULL")
 
 
@@ -224,11 +219,10 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def parse_signalp(lines: DataFrame) -> DataFrame:
-    c = fields("\t")
-    return data_lines(lines).select(
+    return cells(data_lines(lines), trim=True).select(
         *kept(lines),
-        T.first_token(F.get(c, 0)).alias("protein_id"),
-        T.blank_to_null(F.get(c, 1)).alias("sp_class"),
+        T.first_token(field(0)).alias("protein_id"),
+        T.blank_to_null(field(1)).alias("sp_class"),
     ).where("protein_id <> '' AND sp_class IS NOT NULL")
 
 
