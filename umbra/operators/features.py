@@ -124,55 +124,73 @@ def rollup_sum(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _middle(cells: np.ndarray, axis: int) -> np.ndarray:
-    """Median along an axis over the cells that are present."""
-    filled = np.sort(np.where(np.isnan(cells), np.inf, cells), axis=axis)
+    """Median along an axis over the cells that are present, NaN where none is."""
     n = (~np.isnan(cells)).sum(axis=axis, keepdims=True)
-    low = np.take_along_axis(filled, (n - 1) // 2, axis=axis)
-    high = np.take_along_axis(filled, n // 2, axis=axis)
-    return ((low + high) / 2).squeeze(axis)
+    filled = np.sort(np.where(np.isnan(cells), np.inf, cells), axis=axis)
+    low = np.take_along_axis(filled, np.maximum(n - 1, 0) // 2, axis=axis)
+    high = np.take_along_axis(filled, np.minimum(n // 2, cells.shape[axis] - 1), axis=axis)
+    return np.where(n > 0, (low + high) / 2, np.nan).squeeze(axis)
 
 
 def _polish(cells: np.ndarray, iterations: int) -> np.ndarray:
-    """Column effects plus overall level of a log matrix with missing cells."""
+    """Level per (protein, sample) of log cells (protein, feature, sample) with gaps."""
     resid = cells.copy()
-    overall, rows, cols = 0.0, np.zeros(cells.shape[0]), np.zeros(cells.shape[1])
+    rows = np.where(np.isnan(cells).all(axis=2), np.nan, 0.0)
+    cols = np.where(np.isnan(cells).all(axis=1), np.nan, 0.0)
+    overall = np.zeros(len(cells))
     for _ in range(iterations):
         moved = False
-        for axis, effect in ((1, rows), (0, cols)):
+        for axis, effect in ((2, rows), (1, cols)):
             step = _middle(resid, axis)
-            moved = moved or bool(step.any())
+            moved = moved or bool(np.nan_to_num(step).any())
             resid -= np.expand_dims(step, axis)
             effect += step
-            shift = np.median(effect)
-            effect -= shift
+            shift = _middle(effect, 1)
+            effect -= shift[:, None]
             overall += shift
         if not moved:
             break
-    return overall + cols
+    return overall[:, None] + cols
+
+
+def _dense(coded: list, n_samples: int) -> np.ndarray:
+    """Coded proteins as one array, padded to the one with the most features."""
+    wide = np.zeros((len(coded), max(c[0] for c in coded), n_samples))
+    for i, (_, r, c, v) in enumerate(coded):
+        np.add.at(wide[i], (r, c), v)
+    wide[wide == 0] = np.nan
+    return wide
 
 
-def _polish_packed(iterations: int, keys: list[str]):
-    """Rows of one protein each, its cells packed in arrays."""
+def _polish_packed(iterations: int, keys: list[str], chunk_cells: int = 1_000_000):
+    """Rows of one protein each, its cells packed in arrays; similar sizes share a chunk."""
 
     def run(batches):
         for pdf in batches:
-            counts, names, values = [], [], []
+            samples: dict[str, int] = {}
+            coded = []
             for fs, ss, vs in zip(pdf["fs"], pdf["ss"], pdf["vs"]):
-                feats, samples = {}, {}
+                feats: dict = {}
                 r = [feats.setdefault(f, len(feats)) for f in fs]
                 c = [samples.setdefault(x, len(samples)) for x in ss]
-                wide = np.zeros((len(feats), len(samples)))
-                np.add.at(wide, (r, c), np.asarray(vs, dtype=float))
-                wide[wide == 0] = np.nan
+                coded.append((len(feats), r, c, np.asarray(vs, dtype=float)))
+            names = np.array(list(samples), dtype=object)
+            order = sorted(range(len(coded)), key=lambda i: coded[i][0])
+            start = 0
+            while start < len(order):
+                end = start + 1
+                while end < len(order) and (end + 1 - start) * coded[order[end]][0] * len(names) <= chunk_cells:
+                    end += 1
+                part = order[start:end]
+                wide = _dense([coded[i] for i in part], len(names))
                 level = 2.0 ** _polish(np.log2(wide), iterations)
-                counts.append(len(samples))
-                names.extend(samples)
-                values.append(level * (np.nansum(wide) / level.sum()))
-            if counts:
-                out = pdf[keys].loc[pdf.index.repeat(counts)].reset_index(drop=True)
-                out["sample"] = names
-                out["value"] = np.concatenate(values)
+                scale = np.nansum(wide, axis=(1, 2)) / np.nansum(level, axis=1)
+                where, col = np.nonzero(~np.isnan(level))
+                out = pdf[keys].iloc[[part[i] for i in where]].reset_index(drop=True)
+                out["sample"] = names[col]
+                out["value"] = (level * scale[:, None])[where, col]
                 yield out
+                start = end
 
     return run
 
