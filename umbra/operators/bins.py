@@ -79,7 +79,7 @@ def bin_summary(
     order = F.array_position(slots, F.col("bin"))
     total = out.where("bin = 'TOTAL'").select(*by, F.col("n").alias("_total"))
     if by:
-        out = out.join(F.broadcast(total), list(by))
+        out = out.join(total, list(by))
     else:
         out = out.withColumn("_total", F.max("n").over(_all_rows()))
     return out.select(
@@ -123,9 +123,9 @@ def invisibility_rates(
         (100.0 * unseen / F.nullif(known, F.lit(0))).alias("pct_quantified"),
     )
     if by:
-        both = db.join(F.broadcast(qn), list(by), "left")
+        both = db.join(qn, list(by), "left")
     else:
-        both = db.withColumn("_k", F.lit(1)).join(F.broadcast(qn.withColumn("_k", F.lit(1))), "_k").drop("_k")
+        both = db.withColumn("_k", F.lit(1)).join(qn.withColumn("_k", F.lit(1)), "_k").drop("_k")
     return both.withColumn(
         "ratio", F.col("pct_quantified") / F.nullif(F.col("pct_database"), F.lit(0.0))
     )

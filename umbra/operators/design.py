@@ -62,7 +62,7 @@ def condition_from_name(design: DataFrame, rule: str = "auto", by: Sequence[str]
     pick = F.coalesce(*[F.when(F.col(f"_ok{i}"), F.lit(i)) for i in range(n)])
     verdict = verdict.select(*by, F.when(~differ, pick).alias("_pick"))
     if by:
-        rows = rows.join(F.broadcast(verdict), list(by))
+        rows = rows.join(verdict, list(by))
     else:
         chosen = verdict.first()["_pick"]
         rows = rows.withColumn("_pick", F.lit(chosen).cast("int"))

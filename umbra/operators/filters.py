@@ -38,7 +38,7 @@ def min_valid_per_group(
         F.count_if(F.col("_n") >= minimum).alias("n_levels_valid")
     )
     if by:
-        out = per_protein.join(F.broadcast(levels), list(by))
+        out = lookup_join(per_protein, levels, by, "inner")
     else:
         out = per_protein.withColumn("n_levels", F.lit(levels.first()[0]))
     return out.withColumn("keep_valid", F.col("n_levels_valid") == F.col("n_levels"))

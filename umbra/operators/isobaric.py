@@ -60,7 +60,7 @@ def channel_factors(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     channel = exact_median(values, [*by, "plex", "sample"], "value", "channel_median")
     # At most one row per channel, so a plex is a handful of rows.
     plex = channel.groupBy(*by, "plex").agg(F.median("channel_median").alias("plex_median"))
-    return channel.join(F.broadcast(plex), [*by, "plex"]).withColumn(
+    return channel.join(plex, [*by, "plex"]).withColumn(
         "factor", F.col("plex_median") / F.nullif(F.col("channel_median"), F.lit(0.0))
     )
 
@@ -91,14 +91,14 @@ def under_corrected_channels(
         F.count("*").alias("n_features")
     )
     rows = (
-        factors.join(F.broadcast(seen), [*by, "plex", "sample"])
-        .join(F.broadcast(feats), [*by, "plex"])
+        factors.join(seen, [*by, "plex", "sample"])
+        .join(feats, [*by, "plex"])
         .withColumn("missing", 1.0 - F.col("n_seen") / F.col("n_features"))
     )
     peers = rows.groupBy(*by, "plex").agg(F.median("missing").alias("peer_missing"))
     fold = F.greatest(F.col("factor"), 1.0 / F.col("factor"))
     return (
-        rows.join(F.broadcast(peers), [*by, "plex"])
+        rows.join(peers, [*by, "plex"])
         .withColumn("fold", fold)
         .withColumn(
             "under_corrected",
@@ -154,7 +154,7 @@ def plex_exposure(
     n_plex = proteins.select(*by, "plex").distinct().groupBy(*by).agg(F.count("*").alias("_plexes"))
     per_protein = seen.groupBy(*by, "taxid", "protein_id").agg(F.count("*").alias("_seen"))
     if by:
-        joined = per_protein.join(F.broadcast(n_plex), list(by))
+        joined = lookup_join(per_protein, n_plex, by, "inner")
     else:
         joined = per_protein.withColumn("_plexes", F.lit(n_plex.first()[0]))
     taxa = joined.groupBy(*by, "taxid", "_plexes").agg(
@@ -190,10 +190,10 @@ def confounding_check(design: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(F.col("n_samples") == 1).alias("n_single_sample_cells"),
     )
     if by:
-        out = summary.join(F.broadcast(levels), list(by))
+        out = summary.join(levels, list(by))
     else:
         out = summary.withColumn("_k", F.lit(1)).join(
-            F.broadcast(levels.withColumn("_k", F.lit(1))), "_k"
+            levels.withColumn("_k", F.lit(1)), "_k"
         ).drop("_k")
     return out.withColumn(
         "n_empty_cells", F.col("n_plexes") * F.col("n_groups") - F.col("n_cells")

@@ -154,7 +154,7 @@ def variance_prior(fits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     key = list(by) if by else ["_all"]
     s2 = s2 if by else s2.withColumn("_all", F.lit(1))
     mid = exact_median(s2, key, "sigma2", "_mid")
-    floored = s2.join(F.broadcast(mid), key).withColumn(
+    floored = lookup_join(s2, mid, key, "inner").withColumn(
         "_z", F.ln(F.greatest("sigma2", 1e-5 * F.col("_mid"), F.lit(1e-300)))
     )
     sums = floored.groupBy(*key, "df_residual").agg(
@@ -184,7 +184,7 @@ def moderated_contrasts(
         key = list(by) if by else ["_all"]
         prior = variance_prior(fits, by)
         rows = rows if by else rows.withColumn("_all", F.lit(1))
-        rows = rows.join(F.broadcast(prior), key)
+        rows = lookup_join(rows, prior, key, "inner")
         d0, d = F.col("df_prior"), F.col("df_residual")
         mixed = (d * F.col("sigma2") + d0 * F.col("s2_prior")) / (d + d0)
         rows = rows.withColumn("s2_post", F.when(d0 == float("inf"), F.col("s2_prior")).otherwise(mixed))
@@ -272,7 +272,7 @@ def ratio_model(
     keys = [*by, "protein_id", "contrast"]
     first = naive.groupBy(*by).agg(F.min("contrast").alias("contrast")) if by else None
     if first is not None:
-        naive = naive.join(F.broadcast(first), [*by, "contrast"], "left_semi")
+        naive = lookup_join(naive, first, [*by, "contrast"], "left_semi")
     else:
         naive = naive.where(F.col("contrast") == F.lit(naive.agg(F.min("contrast")).first()[0]))
     a = naive.select(*keys, F.col("lfc").alias("lfc_naive"), F.col("q_value").alias("q_naive"))

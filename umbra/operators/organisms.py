@@ -34,7 +34,7 @@ def taxon_size_factors(
     x = proteins.where("value > 0 AND taxid IS NOT NULL AND taxid <> ''")
     n_samples = samples.select(*by, "sample").distinct().groupBy(*by).agg(F.count("*").alias("_ns"))
     if by:
-        x = x.join(F.broadcast(n_samples), list(by))
+        x = lookup_join(x, n_samples, by, "inner")
     else:
         x = x.withColumn("_ns", F.lit(n_samples.first()[0]))
     # A protein has at most one row per sample, so this window is small.

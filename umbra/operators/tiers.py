@@ -31,7 +31,7 @@ def tiered_sets(counts: DataFrame, by: Sequence[str], max_tiers: int = MAX_TIERS
     sizes = counts.groupBy(*by).agg(F.count("*").alias("_tiers"))
     good = sizes.where(F.col("_tiers").between(2, max_tiers)).drop("_tiers")
     if by:
-        return counts.join(F.broadcast(good), list(by), "left_semi")
+        return lookup_join(counts, good, by, "left_semi")
     # Reads no further than one tier too many.
     n = counts.limit(max_tiers + 1).count()
     return counts if 2 <= n <= max_tiers else counts.where(F.lit(False))
@@ -61,7 +61,7 @@ def tier_coverage(
     )
     tiers = tiered_sets(tier_counts(annotation.where(~T.starts_with_any("protein_id", control_prefixes)),
                                     by, delimiters), by, max_tiers)
-    rows = rows.join(F.broadcast(tiers.select(*by, "tier")), [*by, "tier"], "left_semi")
+    rows = lookup_join(rows, tiers.select(*by, "tier"), [*by, "tier"], "left_semi")
     # Counts per (tier, shape, score) move; the rest is sums over them.
     cells = rows.groupBy(*by, "tier", "shape", "export_score").agg(
         F.count("*").alias("_n"),
@@ -81,7 +81,7 @@ def tier_coverage(
     )
     total = F.sum("n").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1)))
     return (
-        stats.join(F.broadcast(shapes), [*by, "tier"])
+        stats.join(shapes, [*by, "tier"])
         .withColumn("_total", total)
         .select(
             *by,
@@ -228,7 +228,8 @@ def annotation_coverage_by_tier(
         T.id_tier("protein_id", delimiters).alias("tier"),
         T.id_key_shape("protein_id", delimiters).alias("shape"),
         F.col("matched_by").isNotNull().alias("_a"),
-    ).join(F.broadcast(tiers.select(*by, "tier")), [*by, "tier"], "left_semi")
+    )
+    rows = lookup_join(rows, tiers.select(*by, "tier"), [*by, "tier"], "left_semi")
     cells = rows.groupBy(*by, "tier", "shape").agg(
         F.count("*").alias("_n"), F.count_if("_a").alias("_a")
     )

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from umbra.plans.lineage import cut_lineage
 
-# Rows up to which a narrow lookup table is sent to every executor.
+# A lookup table is sent to every executor up to this many rows and characters.
 BROADCAST_ROWS = 200_000
+BROADCAST_CHARS = 64 * 1024 * 1024
 # A key is hot when it holds at least this share of the large table, so there
 # are never more than 1 / HOT_SHARE hot keys.
 HOT_SHARE = 0.001
@@ -18,14 +19,16 @@ HOT_MIN_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `limit` rows; reads no further than that."""
-    return df.limit(limit + 1).count() <= limit
+    """True when `df` is within both bounds; reads at most one row more than `limit`."""
+    width = F.length(F.struct(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
+    seen = df.limit(limit + 1).agg(F.count("*").alias("n"), F.sum(width).alias("chars")).first()
+    return seen["n"] <= limit and (seen["chars"] or 0) <= BROADCAST_CHARS
 
 
 def is_derived(df: DataFrame) -> bool:
-    """True when reading `df` means aggregating or joining, not only scanning."""
+    """True when reading `df` means aggregating, joining or Python work, not only scanning."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(step in plan for step in ("Aggregate", "Join", "Window", "Distinct"))
+    return any(step in plan for step in ("Aggregate", "Join", "Window", "Distinct", "InPandas"))
 
 
 def lookup_join(

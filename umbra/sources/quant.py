@@ -178,7 +178,7 @@ def map_samples_to_columns(
     )
     tried = manifest.select(*by, "sample", F.posexplode(keys).alias("priority", "column"))
     matched = (
-        tried.join(F.broadcast(columns), [*by, "column"])
+        tried.join(columns, [*by, "column"])
         .groupBy(*by, "sample")
         .agg(F.min_by("column", "priority").alias("column"))
     )
@@ -416,7 +416,7 @@ def read_metadata(spark: SparkSession, path: str, sample_col: str = "sample") ->
 def missing_metadata(design: DataFrame, metadata: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Samples of the design that the metadata does not name."""
     return design.select(*by, "sample").join(
-        F.broadcast(metadata.select(*by, "sample").distinct()), [*by, "sample"], "left_anti"
+        metadata.select(*by, "sample").distinct(), [*by, "sample"], "left_anti"
     )
 
 
@@ -432,5 +432,5 @@ def apply_metadata(
         raise DesignError(f"metadata does not name the samples {left_out}")
     keep = [c for c in design.columns if c not in columns]
     return design.select(*keep).join(
-        F.broadcast(metadata.select(*by, "sample", *columns)), [*by, "sample"]
+        metadata.select(*by, "sample", *columns), [*by, "sample"]
     )
