@@ -612,3 +612,60 @@ def group_conflicts(spark, sf):
 def _per_order(g: DataFrame, ann: DataFrame) -> DataFrame:
     """Annotation rows under each order that names the protein."""
     return Tb.group_members(g, ["l_orderkey"]).select("l_orderkey", "protein_id").join(ann, "protein_id")
+
+
+# ---------------------------------------------------------------- informative tests per source
+@query("interpro_informative", """
+SELECT l_partkey AS protein_id, count(*) AS n, count(*) FILTER (l_returnflag <> 'A' AND l_linestatus = 'O' AND l_suppkey >= 20) AS n_informative
+FROM lineitem GROUP BY l_partkey""")
+def interpro_informative(spark, sf):
+    li = load(spark, sf, "lineitem")
+    analysis = F.when(F.col("l_returnflag") == "A", "SignalP_GRAM_POSITIVE").otherwise("Gene3D")
+    desc = F.when(F.col("l_linestatus") == "O", F.when(F.col("l_suppkey") < 20, "FAMILY NOT NAMED").otherwise("Rossmann fold"))
+    return li.groupBy(F.col("l_partkey").alias("protein_id")).agg(
+        F.count("*").alias("n"), F.count_if(T.interpro_informative(analysis, desc)).alias("n_informative"))
+
+
+@query("ncbifam_uninformative", """
+WITH h AS (SELECT l_partkey AS protein_id, s_nationkey AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity <= 5)
+SELECT protein_id, bool_or(k < 10) AS any_informative, NOT bool_or(k < 10) AS ncbifam_uninformative FROM h GROUP BY 1""")
+def ncbifam_uninformative(spark, sf):
+    li = load(spark, sf, "lineitem").where("l_quantity <= 5")
+    hits = H.hit(li.select(F.col("l_partkey").alias("_p"), F.concat(F.lit("T"), s("l_suppkey")).alias("_n"),
+                           F.col("l_extendedprice").alias("_s")),
+                 "ncbifam", protein_id=s("_p"), name=F.col("_n"), score=F.col("_s")).select(*H.HIT_COLUMNS)
+    sup = load(spark, sf, "supplier")
+    desc = F.when(F.col("s_nationkey") < 10, "ribosomal protein").otherwise("hypothetical protein")
+    library = sup.select(F.concat(F.lit("T"), s("s_suppkey")).alias("name"), F.lit(None).cast("string").alias("accession"),
+                         desc.alias("description"))
+    red = E.reduce_hits(hits, library)
+    return red.select(F.col("protein_id").cast("long").alias("protein_id"), F.col("ncbifam_informative").alias("any_informative"),
+                      (~F.col("ncbifam_informative")).alias("ncbifam_uninformative"))
+
+
+@query("surface_or_secreted", """
+SELECT p_partkey AS protein_id, p_type IN ('PROMO', 'SMALL') OR p_size > 45 OR p_brand = 'Brand#1' OR p_retailprice > 1500 AS surface_or_secreted FROM part""")
+def surface_or_secreted(spark, sf):
+    p = load(spark, sf, "part")
+    flags = p.withColumns({
+        "sp_class": F.when(F.col("p_type") == "PROMO", "SP").when(F.col("p_type") == "SMALL", "PILIN").when(
+            F.col("p_type") == "LARGE", "OTHER"),
+        "n_tmb": F.when(F.col("p_size") > 45, 2).when(F.col("p_size") > 20, 0),
+        "lpxtg": F.when(F.col("p_brand") == "Brand#1", True),
+        "has_anchor": F.col("p_retailprice") > 1500})
+    return flags.select(F.col("p_partkey").alias("protein_id"), E.surface_or_secreted().alias("surface_or_secreted"))
+
+
+@query("kegg_visible_share", f"""WITH {EVIDENCE_SQL}
+SELECT bin = '1_ko_pathway' AS kegg_enrichment_visible, count(*) AS n FROM ann GROUP BY 1""")
+def kegg_visible_share(spark, sf):
+    return annotation(spark, sf).groupBy("kegg_enrichment_visible").agg(F.count("*").alias("n"))
+
+
+@query("evidence_union", """
+SELECT 'pfam' AS source, count(*) FILTER (l_returnflag = 'A' AND l_quantity <= 2) AS n FROM lineitem
+UNION ALL SELECT 'kofam', count(*) FILTER (l_returnflag = 'N' AND l_quantity <= 1) FROM lineitem
+UNION ALL SELECT 'foldseek', count(*) FILTER (l_returnflag = 'R' AND l_quantity <= 3) FROM lineitem
+UNION ALL SELECT 'jackhmmer', count(*) FILTER (l_returnflag = 'R' AND l_quantity >= 49) FROM lineitem""")
+def evidence_union(spark, sf):
+    return evidence_hits(spark, sf).groupBy("source").agg(F.count("*").alias("n"))

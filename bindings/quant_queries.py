@@ -353,3 +353,26 @@ def normalisation_risk(spark, sf):
         F.round(F.length("taxid") - 7.5, 1).alias("factor_log2fc"))
     out = O.normalisation_risk(rows, min_lfc=0.4, opposing=0.5)
     return out.select("taxid", "n_tested", "n_dev", "n_opposing", "assumption")
+
+
+@query("result_table_written", """
+SELECT p_partkey AS protein_id, p_brand AS taxid FROM part""")
+def result_table_written(spark, sf):
+    """The table as read back from storage, after its keys were checked."""
+    from bindings.reader_queries import scratch
+
+    rows = load(spark, sf, "part").select(F.col("p_partkey").alias("protein_id"), F.col("p_brand").alias("taxid"))
+    return K.write_result_table(rows, scratch(spark, "result"), ["protein_id"])
+
+
+@query("design_from_long_table", """
+SELECT l_returnflag || l_shipyear AS sample, min(l_linestatus) AS "group" FROM (
+  SELECT *, CAST(year(l_shipdate) AS VARCHAR) AS l_shipyear FROM lineitem) GROUP BY 1""")
+def design_from_long_table(spark, sf):
+    li = load(spark, sf, "lineitem")
+    run = F.concat("l_returnflag", F.year("l_shipdate").cast("string"))
+    rows = li.select(run.alias("run"), "l_linestatus", F.col("l_partkey").cast("string").alias("p"),
+                     F.col("l_orderkey").cast("string").alias("f"), "l_extendedprice")
+    q = Q.long_features(rows, F.col("p"), F.col("f"), F.col("f"), F.col("run"), F.col("l_extendedprice"),
+                        F.col("l_linestatus"), F.col("run"))
+    return q.design.select("sample", "group")

@@ -193,3 +193,25 @@ SELECT contrast, count(*) AS n_tested, count(*) FILTER (p_value < 0.2) AS n_sign
 FROM tst GROUP BY contrast""")
 def shortlist_population(spark, sf):
     return Tb.shortlist_population(_judged(spark, sf), ["contrast"], 0.2)
+
+
+def _ratio_sql() -> str:
+    """Group means of log2 values with and without the organism's log2 factor."""
+    from bindings.quant_queries import factor_sql
+
+    factors = factor_sql(4).replace("round(CASE WHEN method = 'sum_fallback' THEN plain ELSE fac END, 6)",
+                                    "CASE WHEN method = 'sum_fallback' THEN plain ELSE fac END")
+    body, final = factors.rsplit("\nSELECT taxid, sample,", 1)
+    return f"""{body},
+sf AS (SELECT taxid, sample,{final}),
+ratios AS (SELECT protein_id, pv.sample, "group", log2(pv.value) AS v, log2(pv.value) - log2(factor) AS a
+  FROM pv JOIN taxa USING (protein_id) JOIN sf ON sf.taxid = taxa.taxid AND sf.sample = pv.sample WHERE factor > 0)
+SELECT protein_id, round(avg(v) FILTER ("group" = 'O') - avg(v) FILTER ("group" = 'F'), 6) AS lfc_naive,
+  round(avg(a) FILTER ("group" = 'O') - avg(a) FILTER ("group" = 'F'), 6) AS lfc_adj
+FROM ratios GROUP BY protein_id HAVING count(DISTINCT "group") = 2"""
+
+
+@query("ratio_model_fold_changes", _ratio_sql())
+def ratio_model_fold_changes(spark, sf):
+    out = ratio_model(spark, sf)
+    return out.select("protein_id", F.round("lfc_naive", 6).alias("lfc_naive"), F.round("lfc_adj", 6).alias("lfc_adj"))
