@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from umbra.plans.lineage import cut_lineage
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -111,8 +113,10 @@ def protein_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def design(spark: SparkSession, sf: str) -> DataFrame:
+    """The samples, written once: every operator reads them."""
     li = load(spark, sf, "lineitem")
-    return li.select(
+    rows = li.select(
         sample_column().alias("sample"), F.col("l_returnflag").alias("plex"),
         F.col("l_linestatus").alias("group"),
     ).distinct()
+    return cut_lineage(rows, "design")

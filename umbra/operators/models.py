@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -14,7 +14,7 @@ from umbra.functions.stats import digamma, hypergeometric_tail, t_p_value, triga
 from umbra.operators.design import with_design
 from umbra.plans.joins import lookup_join
 from umbra.plans.lineage import cut_lineage, spread
-from umbra.plans.order import exact_median, row_numbers, suffix_minimum
+from umbra.plans.order import by_size, exact_median, row_numbers, suffix_minimum
 
 CONTRASTS = Ty.ArrayType(
     Ty.StructType(
@@ -154,7 +154,12 @@ def variance_prior(fits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     key = list(by) if by else ["_all"]
     s2 = s2 if by else s2.withColumn("_all", F.lit(1))
     mid = exact_median(s2, key, "sigma2", "_mid")
-    floored = lookup_join(s2, mid, key, "inner").withColumn(
+    if by:
+        s2 = lookup_join(s2, mid, key, "inner")
+    else:
+        one = mid.first()
+        s2 = s2.withColumn("_mid", F.lit(one["_mid"] if one else None).cast("double"))
+    floored = s2.withColumn(
         "_z", F.ln(F.greatest("sigma2", 1e-5 * F.col("_mid"), F.lit(1e-300)))
     )
     sums = floored.groupBy(*key, "df_residual").agg(
@@ -181,16 +186,17 @@ def moderated_contrasts(
     """One row per (protein, contrast) with t, p and the variance behind it."""
     rows = fits.where("df_residual > 0 AND sigma2 IS NOT NULL")
     if moderate:
-        key = list(by) if by else ["_all"]
         prior = variance_prior(fits, by)
-        rows = rows if by else rows.withColumn("_all", F.lit(1))
-        rows = lookup_join(rows, prior, key, "inner")
+        if by:
+            rows = lookup_join(rows, prior, by, "inner")
+        else:
+            one = prior.first()
+            for c in ("df_prior", "s2_prior", "df_pooled"):
+                rows = rows.withColumn(c, F.lit(one[c] if one else None).cast("double"))
         d0, d = F.col("df_prior"), F.col("df_residual")
         mixed = (d * F.col("sigma2") + d0 * F.col("s2_prior")) / (d + d0)
         rows = rows.withColumn("s2_post", F.when(d0 == float("inf"), F.col("s2_prior")).otherwise(mixed))
         rows = rows.withColumn("df_total", F.least(d + d0, F.col("df_pooled")))
-        if not by:
-            rows = rows.drop("_all")
     else:
         rows = rows.withColumn("s2_post", F.col("sigma2")).withColumn(
             "df_total", F.col("df_residual").cast("double")
@@ -222,13 +228,21 @@ def bh_adjust(
     """Benjamini-Hochberg within every key: p * n / rank, then minima from the largest p down."""
     keys = list(keys)
     rows = results.where(F.col(p).isNotNull())
-    ranked = row_numbers(rows, keys, [p, tie], "_rank", limit, splits)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    raw = lookup_join(ranked, sizes, keys).withColumn(
-        "_raw", F.col(p) * F.col("_n") / F.col("_rank")
-    )
-    lowest = suffix_minimum(raw, keys, p, "_raw", "_q", limit, splits)
-    return lowest.withColumn(out, F.least("_q", F.lit(1.0))).drop("_rank", "_n", "_raw", "_q")
+
+    def direct(part):
+        ascending = Window.partitionBy(*keys).orderBy(p, tie)
+        raw = F.col(p) * F.count("*").over(Window.partitionBy(*keys)) / F.row_number().over(ascending)
+        lowest = F.min("_raw").over(Window.partitionBy(*keys).orderBy(F.col(p).desc()))
+        return part.withColumn("_raw", raw).withColumn(out, F.least(lowest, F.lit(1.0))).drop("_raw")
+
+    def ranged(part):
+        ranked = row_numbers(part, keys, [p, tie], "_rank", limit, splits)
+        sizes = part.groupBy(*keys).agg(F.count("*").alias("_n"))
+        raw = lookup_join(ranked, sizes, keys).withColumn("_raw", F.col(p) * F.col("_n") / F.col("_rank"))
+        lowest = suffix_minimum(raw, keys, p, "_raw", "_q", limit, splits)
+        return lowest.select(*part.columns, F.least("_q", F.lit(1.0)).alias(out))
+
+    return by_size(rows, keys, limit, direct, ranged)
 
 
 def differential_abundance(
@@ -264,7 +278,7 @@ def ratio_model(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Naive and organism-adjusted result of the first contrast for proteins with a usable taxon."""
-    adjusted_values = ratio_values(values, taxa, factors, by)
+    adjusted_values = cut_lineage(ratio_values(values, taxa, factors, by), "ratios")
     usable = adjusted_values.select(*by, "protein_id").distinct()
     naive_values = lookup_join(values, usable, [*by, "protein_id"], "left_semi")
     naive = differential_abundance(naive_values, design, terms, by=by)
