@@ -11,6 +11,8 @@ from bindings.quant_queries import EVID_SQL, MODE_SQL, factor_sql
 from bindings.registry import load, query
 from umbra.operators.evidence import EvidenceOptions, ScoreOptions
 from umbra.plans import jobs as J
+from umbra.plans.joins import lookup_join
+from umbra.plans.lineage import cut_lineage
 from umbra.sources import proteins as P
 
 
@@ -39,7 +41,7 @@ def quantified(spark, sf) -> J.Quantified:
         (F.col("p_size") > 20).alias("has_ko"), (F.col("p_size") < 40).alias("surface_or_secreted"),
         F.when(F.col("p_size") > 5, F.col("p_brand")).alias("eggnog_taxid"))
     return J.quantify(
-        R.features(spark, sf), R.feature_values(spark, sf), annotation, R.design(spark, sf),
+        R.features(spark, sf), R.feature_values(spark, sf), annotation,
         candidates=R.candidates(spark, sf))
 
 
@@ -59,7 +61,8 @@ pv AS (SELECT razor AS protein_id, sample, sum(value) AS value FROM fv JOIN cls
   WHERE {MODE_SQL['taxon_unique']} GROUP BY ALL)""").replace(f", {R.TAXA_SQL}", "").replace(
     "count(DISTINCT sample) FROM pv", "count(DISTINCT sample) FROM fv"))
 def quantify_job_factors(spark, sf):
-    return quantified(spark, sf).size_factors.withColumn("factor", F.round("factor", 6))
+    out = J.size_factors(quantified(spark, sf).quant, R.design(spark, sf))
+    return out.withColumn("factor", F.round("factor", 6))
 
 
 @query("analyse_job")
@@ -68,18 +71,12 @@ def analyse_job(spark, sf):
     annotation = part.select(
         F.col("p_partkey").alias("protein_id"), F.col("p_type").alias("bin"), F.col("p_size").alias("export_score"),
         (F.col("p_size") > 20).alias("has_ko"), (F.col("p_size") < 40).alias("surface_or_secreted"))
-    out = J.analyse(_quant_of_parts(spark, sf), annotation, R.design(spark, sf), ("group", "plex"), min_valid=3)
+    quant, design = _quant_of_parts(spark, sf), R.design(spark, sf)
+    out = J.analyse(quant, annotation, design, J.size_factors(quant, design), ("group", "plex"), min_valid=3)
     return out.abundance
 
 
-def _quant_of_parts(spark, sf) -> J.Quantified:
+def _quant_of_parts(spark, sf):
     """Every line counts for its part, as protein-level input does."""
-    from umbra.operators.organisms import taxon_size_factors
-    from umbra.plans.joins import lookup_join
-
-    quant = lookup_join(R.protein_values(spark, sf).drop("plex", "group"), R.taxa(spark, sf), ["protein_id"]).withColumn(
-        "effective_taxid", F.col("taxid"))
-    factors = taxon_size_factors(quant, R.design(spark, sf))
-    return J.Quantified(quant, None, None, None, factors, None)
-
-
+    quant = lookup_join(R.protein_values(spark, sf).drop("plex", "group"), R.taxa(spark, sf), ["protein_id"])
+    return cut_lineage(quant.withColumn("effective_taxid", F.col("taxid")), "quant")

@@ -46,7 +46,6 @@ class Quantified(NamedTuple):
     evidence: DataFrame
     assigned: DataFrame
     taxon_intensity: DataFrame
-    size_factors: DataFrame
     funnel: DataFrame
 
 
@@ -54,18 +53,16 @@ def quantify(
     feature_table: DataFrame,
     values: DataFrame,
     annotation: DataFrame,
-    samples: DataFrame,
     mode: str = "taxon_unique",
     method: str = "sum",
     min_features: int = 1,
-    min_proteins: int = 4,
     taxonomy_source: str = "eggnog",
     comparison: DataFrame | None = None,
     families: DataFrame | None = None,
     candidates: DataFrame | None = None,
     by: Sequence[str] = (),
 ) -> Quantified:
-    """Peptides to annotated protein quant, organism sums and size factors."""
+    """Peptides to annotated protein quant, its evidence, organism sums and the funnel."""
     keys = [*by, "protein_id"]
     taxa = effective_taxid(annotation, comparison, taxonomy_source, by)
     owned = taxa.select(*keys, F.col("effective_taxid").alias("taxid"))
@@ -86,7 +83,6 @@ def quantify(
         ),
         "quant",
     )
-    with_taxon = quant.withColumn("taxid", F.col("effective_taxid"))
     used = assigned.where("assigned IS NOT NULL")
     steps = [
         tables.Step("proteins in the annotation table", "protein", "", annotation.select(*keys)),
@@ -106,12 +102,19 @@ def quantify(
         quant,
         counts,
         assigned,
-        organisms.taxon_intensity(with_taxon, by),
-        organisms.taxon_size_factors(with_taxon, samples, min_proteins, by),
+        organisms.taxon_intensity(quant.withColumn("taxid", F.col("effective_taxid")), by),
         tables.quant_funnel(steps, by),
     )
 
 
+def size_factors(
+    quant: DataFrame, samples: DataFrame, min_proteins: int = 4, by: Sequence[str] = ()
+) -> DataFrame:
+    """Organism size factors of annotated protein quant, written once."""
+    owned = quant.withColumn("taxid", F.col("effective_taxid"))
+    return cut_lineage(organisms.taxon_size_factors(owned, samples, min_proteins, by), "factors")
+
+
 class Tested(NamedTuple):
     filters: DataFrame
     abundance: DataFrame
@@ -120,9 +123,10 @@ class Tested(NamedTuple):
 
 
 def analyse(
-    quantified: Quantified,
+    quant: DataFrame,
     annotation: DataFrame,
     design: DataFrame,
+    factors: DataFrame,
     terms: Sequence[str] = ("group",),
     min_valid: int = 2,
     min_plexes: int = 1,
@@ -131,16 +135,16 @@ def analyse(
 ) -> Tested:
     """Protein quant to moderated statistics, with and without the organism reference."""
     keys = [*by, "protein_id"]
-    linear = quantified.quant.select(*keys, "sample", "value")
+    linear = quant.select(*keys, "sample", "value")
     flags = cut_lineage(filters.protein_filters(linear, design, min_valid, min_plexes, by), "flags")
     kept = flags.where("keep_valid AND keep_plex").select(*keys)
     logged = linear.join(kept, keys, "left_semi").where("value > 0").withColumn("value", F.log2("value"))
     centred = cut_lineage(filters.sample_median_shift(logged, by, normalise), "log2")
     abundance = cut_lineage(models.differential_abundance(centred, design, terms, by=by), "abundance")
-    taxa = quantified.quant.where("effective_taxid IS NOT NULL").select(
+    taxa = quant.where("effective_taxid IS NOT NULL").select(
         *keys, F.col("effective_taxid").alias("taxid")
     ).distinct()
-    ratio = models.ratio_model(centred, taxa, quantified.size_factors, design, terms, by)
+    ratio = models.ratio_model(centred, taxa, factors, design, terms, by)
     results = tables.annotate_quant(
         abundance, [annotation.select(*keys, "bin", "has_ko", "surface_or_secreted", "export_score")], by,
         check_keys=False,
