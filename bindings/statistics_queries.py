@@ -196,7 +196,11 @@ def shortlist_population(spark, sf):
 
 
 def _ratio_sql() -> str:
-    """Group means of log2 values with and without the organism's log2 factor."""
+    """Group means of log2 values, and of those minus the organism's log2 factor.
+
+    The naive mean is over every sample of the protein, as in the abundance
+    model; the adjusted one over samples whose organism has a factor.
+    """
     from bindings.quant_queries import factor_sql
 
     factors = factor_sql(4).replace("round(CASE WHEN method = 'sum_fallback' THEN plain ELSE fac END, 6)",
@@ -205,10 +209,12 @@ def _ratio_sql() -> str:
     return f"""{body},
 sf AS (SELECT taxid, sample,{final}),
 ratios AS (SELECT protein_id, pv.sample, "group", log2(pv.value) AS v, log2(pv.value) - log2(factor) AS a
-  FROM pv JOIN taxa USING (protein_id) JOIN sf ON sf.taxid = taxa.taxid AND sf.sample = pv.sample WHERE factor > 0)
+  FROM pv JOIN taxa USING (protein_id)
+  LEFT JOIN (SELECT * FROM sf WHERE factor > 0) f ON f.taxid = taxa.taxid AND f.sample = pv.sample
+  WHERE taxa.taxid IS NOT NULL)
 SELECT protein_id, round(avg(v) FILTER ("group" = 'O') - avg(v) FILTER ("group" = 'F'), 6) AS lfc_naive,
   round(avg(a) FILTER ("group" = 'O') - avg(a) FILTER ("group" = 'F'), 6) AS lfc_adj
-FROM ratios GROUP BY protein_id HAVING count(DISTINCT "group") = 2"""
+FROM ratios GROUP BY protein_id HAVING count(DISTINCT "group") FILTER (a IS NOT NULL) = 2 AND count(a) > 2"""
 
 
 @query("ratio_model_fold_changes", _ratio_sql())
