@@ -25,13 +25,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from umbra.llm.common import TOKENIZERS, joined_bytes, span_hashes, text_batches
+from umbra.llm.common import TOKENIZERS, joined_bytes, span_hashes, text_batches, text_rows
 
 DEFAULT_VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.json"
 #: Fragments remembered per worker, and the longest of them.
 REMEMBERED, REMEMBERED_BYTES = 400_000, 48
 #: Characters encoded in one step; a longer text is a step of its own.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
 
 # White space beyond ASCII: its last bytes look like those of letters.
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -179,22 +179,34 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of `keep`, `ids` (little-endian unsigned 32-bit) and `n_tokens` of every text."""
+def _plain(source: DataFrame) -> str:
+    """The schema of all but the last column."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+
+
+def encode_documents(
+    docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, text: str = "text", keep: tuple[str, ...] = ("doc_id",), decoded: bool = False
+) -> DataFrame:
+    """The columns of `keep`, `ids` (little-endian unsigned 32-bit) and `n_tokens` of every text.
+
+    With `decoded` also `text`, decoded from the ids alone.
+    """
     source = docs.select(*[f"`{c}`" for c in keep], docs[text].alias("_text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = codec(vocabulary).encode_many
+        own = codec(vocabulary)
         for batch in batches:
-            ids = encode(batch.pop("_text").tolist())
-            yield batch.assign(ids=ids, n_tokens=np.array([len(i) // 4 for i in ids], np.int64))
+            for i, j in text_rows(batch["_text"]):
+                part = batch.iloc[i:j]
+                ids = own.encode_many(part["_text"].tolist())
+                out = part[list(keep)].assign(ids=ids, n_tokens=np.array([len(x) // 4 for x in ids], np.int64))
+                yield out.assign(text=list(map(own.decode, ids))) if decoded else out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInPandas(run, f"{schema}, ids binary, n_tokens bigint")
+    return source.mapInPandas(run, f"{_plain(source)}, ids binary, n_tokens bigint" + ", text string" * decoded)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of `keep` and `text`, decoded from the ids alone."""
+    """The columns of `keep` and `text`, decoded from the ids alone; null ids give a null text."""
     source = encoded.select(*[f"`{c}`" for c in keep], encoded[ids].alias("_ids"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,5 +214,4 @@ def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, i
         for batch in batches:
             yield batch.assign(text=[decode(i) if i is not None else None for i in batch.pop("_ids")])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInPandas(run, f"{schema}, text string")
+    return source.mapInPandas(run, f"{_plain(source)}, text string")

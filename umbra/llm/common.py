@@ -55,7 +55,7 @@ def map_pandas(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
     return df.mapInPandas(run, schema)
 
 
-def text_batches(values, limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def text_batches(values, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) in runs of at most `limit` bytes, or of one longer text."""
     start, held, size = 0, [], 0
     for i, v in enumerate(values):
@@ -69,6 +69,19 @@ def text_batches(values, limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes
         yield start, held
 
 
+def text_rows(values, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `limit` characters, or of one longer text."""
+    start, size = 0, 0
+    for i, v in enumerate(values):
+        n = len(v) if isinstance(v, str) else 0
+        if i > start and size + n > limit:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if len(values) > start:
+        yield start, len(values)
+
+
 def joined_bytes(texts: list[bytes], gap: int = 1, fill: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array with `gap` bytes of `fill` after each; starts and lengths."""
     pad = bytes([fill]) * gap

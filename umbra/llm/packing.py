@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from umbra.llm.bpe import DEFAULT_VOCABULARY, codec
-from umbra.llm.common import stage
+from umbra.llm.common import stage, text_rows
 
 CAPACITY = 2048
 #: Items that one task packs; the number of partitions follows the input.
@@ -96,17 +96,19 @@ def token_pieces(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, capacity
         encode = codec(vocabulary).encode_many
         item = TaskContext.get().partitionId() << 36
         for batch in batches:
-            rows = []
-            for doc, ids in zip(batch["doc_id"].astype("Int64").tolist(), encode(batch["_text"].tolist()), strict=True):
-                ids += closing
-                n, view = len(ids) // 4, memoryview(ids)
-                first = n % capacity or min(n, capacity)
-                for piece, end in enumerate(range(first, n + 1, capacity)):
-                    start = max(0, end - capacity) if piece else 0
-                    rows.append((item, doc, piece, start, end - start, zlib.crc32(view[4 * start : 4 * end])))
-                    item += 1
-            out = pd.DataFrame(rows, columns=["item", "doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64", "piece": "int32"})
+            ids_of = batch["doc_id"].astype("Int64").tolist()
+            for i, j in text_rows(batch["_text"]):
+                rows = []
+                for doc, ids in zip(ids_of[i:j], encode(batch["_text"].iloc[i:j].tolist()), strict=True):
+                    ids += closing
+                    n, view = len(ids) // 4, memoryview(ids)
+                    first = n % capacity or capacity
+                    for piece, end in enumerate(range(first, n + 1, capacity)):
+                        start = end - capacity if piece else 0
+                        rows.append((item, doc, piece, start, end - start, zlib.crc32(view[4 * start : 4 * end])))
+                        item += 1
+                out = pd.DataFrame(rows, columns=["item", "doc_id", "piece", "start", "length", "ids_crc32"])
+                yield out.astype({"doc_id": "Int64", "piece": "int32"})
 
     return source.mapInPandas(run, _PIECES)
 
