@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbra.llm import bpe, packing, quality
+from umbra.llm import bpe, neardup, packing, quality, suffixes
 from umbra.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ _W = r"[^\x20\x09-\x0D]+"
 QUALITY_SQL = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{_W}') AS w,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_W}')) AS ln FROM t),
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_W}')) AS ln FROM t),
 pos AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM w WHERE len(w) > 2),
 tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM pos),
 hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
@@ -43,9 +43,9 @@ m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(len(ln) - len(list_distinct(ln)) AS BIGINT) AS n_dup_lines,
         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-        len(list_filter(w, x -> x IN ({_listed(quality.STOP_WORDS)}))) AS n_stop, len(ln) AS n_lines,
-        len(list_filter(ln, x -> regexp_matches(x, '^ *[-*•]'))) AS n_bullet,
-        len(list_filter(ln, x -> regexp_matches(x, '(\.\.\.|…) *$'))) AS n_ellipsis
+        len(list_filter(w, lambda x: x IN ({_listed(quality.STOP_WORDS)}))) AS n_stop, len(ln) AS n_lines,
+        len(list_filter(ln, lambda x: regexp_matches(x, '^ *[-*•]'))) AS n_bullet,
+        len(list_filter(ln, lambda x: regexp_matches(x, '(\.\.\.|…) *$'))) AS n_ellipsis
       FROM w LEFT JOIN hit USING (doc_id)),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -69,7 +69,20 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_bpe_codec")
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_documents(load(spark, sf_dir, "documents"))
-    encoded = encoded.select(F.struct("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256")).alias("d"), "ids")
-    decoded = bpe.decode_documents(encoded, keep=("d",))
-    return decoded.select("d.*", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+    coded = bpe.encode_documents(load(spark, sf_dir, "documents"), decoded=True)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
+    )
+
+
+# ------------------------------------------------------------- near duplicates
+@query("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- repeated passages
+@query("op3_suffix_array_dedup")
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.repeats_removed(load(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
