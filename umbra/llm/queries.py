@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbra.llm import bpe, neardup, packing, quality, secrets, suffixes
-from umbra.llm.common import load
+from umbra.llm import bpe, langid, neardup, packing, quality, secrets, suffixes, toxicity
+from umbra.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,17 @@ FROM t LEFT JOIN r USING (doc_id)"""
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example")
+
+
+# ------------------------------------------------------------- language
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    return langid.languages(docs, ~F.col("held_out"), keep=("doc_id", "held_out"))
+
+
+# ------------------------------------------------------------- toxicity
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    return toxicity.toxicity(docs, load(spark, sf_dir, "labels"), ~F.col("held_out"), keep=("doc_id", "held_out"))
