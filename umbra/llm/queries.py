@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbra.llm import bpe, langid, neardup, packing, quality, secrets, suffixes, toxicity
+from umbra.llm import bpe, langid, neardup, packing, quality, secrets, suffixes, topk, toxicity
 from umbra.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").withColumn("held_out", held_out())
     return toxicity.toxicity(docs, load(spark, sf_dir, "labels"), ~F.col("held_out"), keep=("doc_id", "held_out"))
+
+
+# ------------------------------------------------------------- exact search
+TOPK_SQL = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({topk.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= {topk.K}"""
+
+
+@query("op6_exact_topk", TOPK_SQL)
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
