@@ -123,3 +123,13 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """`docs` with its counts, `base_failed` and `kept`."""
     return measure(docs, text).withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
+
+
+def passing(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The rows of `docs` that pass, as they are.
+
+    A filter on `kept` would be pushed below the projections, with a copy of every measure in
+    each place that names it; a generator stays where it is and reads the verdict once.
+    """
+    judged = quality(docs.select(F.struct("*").alias("d"), docs[text].alias("_t")), rules, "_t")
+    return judged.select(F.inline(F.when(F.col("kept"), F.array("d"))))

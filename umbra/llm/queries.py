@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbra.llm import bpe, langid, neardup, packing, quality, secrets, suffixes, topk, toxicity
+from umbra.llm import bpe, langid, licenses, neardup, packing, quality, secrets, suffixes, topk, toxicity
 from umbra.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,38 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
 @query("op6_exact_topk", TOPK_SQL)
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# ------------------------------------------------------------- licences
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    t = f"regexp_replace(lower({text}), {_quoted(licenses.COPYRIGHT)}, '', 'g')"
+    t = f"' ' || trim(regexp_replace({t}, {_quoted(licenses.OTHER)}, ' ', 'g')) || ' '"
+    for given, one in licenses.SPELLINGS:
+        t = f"replace({t}, ' {given} ', ' {one} ')"
+    return f"sha256(trim({t}))"
+
+
+def _known_sql(texts: dict[str, str]) -> str:
+    values = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in texts.items())
+    return f"SELECT min(id) AS id, {_canonical_sql('t')} AS digest FROM (VALUES {values}) AS x(id, t) GROUP BY 2"
+
+
+LICENSE_SQL = f"""
+WITH known AS ({_known_sql(licenses.TEXTS)}), notice AS ({_known_sql(licenses.NOTICES)}),
+d AS (SELECT doc_id, coalesce(text, '') AS t, {_canonical_sql("coalesce(text, '')")} AS digest FROM documents),
+l AS (SELECT doc_id, {_canonical_sql('line')} AS digest
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(lower(line), '{licenses.MARK}')),
+n AS (SELECT doc_id, string_agg(DISTINCT id, ',' ORDER BY id) AS notices FROM l JOIN notice USING (digest) GROUP BY doc_id)
+SELECT doc_id, d.digest, known.id AS license_id, coalesce(notices, '') AS notices
+FROM d LEFT JOIN known USING (digest) LEFT JOIN n USING (doc_id)"""
+
+
+@query("op5_license_scan", LICENSE_SQL)
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts, notices = licenses.known(spark), licenses.known(spark, licenses.NOTICES)
+    found = licenses.licenses(load(spark, sf_dir, "documents"), texts, notices)
+    return found.select("doc_id", "digest", "license_id", F.array_join("notices", ",").alias("notices"))

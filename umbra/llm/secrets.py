@@ -71,7 +71,7 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
     kinds = (*BASE, LIVE)
     row = fresh(docs, "row")
     held = docs.select(
-        F.monotonically_increasing_id().alias(row), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("d"),
+        F.monotonically_increasing_id().alias(row), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.md5(F.encode(F.coalesce(docs[text], F.lit("")), "UTF-8")).alias("text_md5")).alias("d"),
         docs[owner].cast("string").alias("owner"), docs[repository].cast("string").alias("repository"), F.coalesce(docs[text], F.lit("")).alias("_t"),
     )
     # Numbers given once and written, so that a task that runs again cannot change them.
@@ -111,7 +111,7 @@ def _joined(kinds: tuple[str, ...], spans: Column) -> Column:
 
 
 def secrets(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The columns of `docs` but the text, with n_<kind> of the base, base_sha256, spans, found, n_live and n_example.
+    """The columns of `docs` but the text, with text_md5, n_<kind> of the base, base_sha256, spans, found, n_live and n_example.
 
     `found` has start, kind (its place in BASE, then live), end, live and n_owners of each span.
     """
@@ -131,8 +131,8 @@ def secrets(docs: DataFrame, text: str = "text", owner: str = "source", reposito
         "n_live": F.size(F.filter("found", lambda x: x["live"])).cast("bigint"),
         "n_example": F.size(F.filter("found", lambda x: x["n_owners"] > max_owners)).cast("bigint"),
     }
-    kept = [c for c in docs.columns if c != text and c not in results and c != "found"]
-    return out.select(*[F.col(f"d.`{c}`") for c in kept], "found", *[v.alias(n) for n, v in results.items()])
+    kept = [c for c in docs.columns if c != text and c not in (*results, "found", "text_md5")]
+    return out.select(*[F.col(f"d.`{c}`") for c in kept], "d.text_md5", "found", *[v.alias(n) for n, v in results.items()])
 
 
 def masked(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
