@@ -52,12 +52,12 @@ def annotate(spark, ids=None, cells=None, seqs=None, library=None, options=E.Evi
 def test_annotation_table_alone_gives_the_expected_bins(spark):
     got = annotate(spark)
     assert {p: r["bin"] for p, r in got.items()} == {p: b for p, (_, b) in PROTEINS.items()}
-    assert got["P_ko_path"]["kegg_enrichment_visible"] and not got["P_ko_global"]["kegg_enrichment_visible"]
+    assert got["amylase"]["kegg_enrichment_visible"] and not got["overview_map"]["kegg_enrichment_visible"]
 
 
 def test_every_combination_of_the_six_predicates_has_one_bin(spark):
     combos = {"C_" + "".join(map(str, b)): b for b in itertools.product([0, 1], repeat=6)}
-    cells = {p: {"KEGG_ko": "ko:K01234" if b[0] else "-", "KEGG_Pathway": "map00010" if b[1] else "-"}
+    cells = {p: {"KEGG_ko": "ko:K07405" if b[0] else "-", "KEGG_Pathway": "map00010" if b[1] else "-"}
              for p, b in combos.items()}
     got = annotate(
         spark, list(combos), cells,
@@ -82,48 +82,48 @@ def test_domain_rules(spark):
     got = annotate(
         spark,
         library=[("T1", "NF1", "hypothetical protein"), ("T2", "NF2", "ribosomal protein S12")],
-        pfam=[tblout_line("P_dark3", "UPF0102", "PF01894.1")],
-        ncbifam=[tblout_line("P_dark1", "T1", "NF1.1"), tblout_line("P_dark2", "T2", "NF2.1")],
+        pfam=[tblout_line("unlisted_b", "UPF0102", "PF01894.1")],
+        ncbifam=[tblout_line("seed_only", "T1", "NF1.1"), tblout_line("unlisted_a", "T2", "NF2.1")],
     )
-    assert [got[p]["bin"] for p in ("P_dark1", "P_dark2", "P_dark3")] == [
+    assert [got[p]["bin"] for p in ("seed_only", "unlisted_a", "unlisted_b")] == [
         "3d_duf_only", "3_annotated_no_ko", "3d_duf_only"]
-    assert got["P_dark2"]["ncbifam_accs"] == ["NF2"]
+    assert got["unlisted_a"]["ncbifam_accs"] == ["NF2"]
     off = annotate(spark, library=[("T1", "NF1", "hypothetical protein")],
                    options=E.EvidenceOptions(ncbifam_uninformative_test=False),
-                   ncbifam=[tblout_line("P_dark1", "T1", "NF1")])
-    assert off["P_dark1"]["bin"] == "3_annotated_no_ko"
+                   ncbifam=[tblout_line("seed_only", "T1", "NF1")])
+    assert off["seed_only"]["bin"] == "3_annotated_no_ko"
 
 
 def test_interpro_structural_and_undescribed_rows_do_not_promote(spark):
     got = annotate(spark, interpro=[
-        interpro_line("P_dark1", "SignalP_GRAM_POSITIVE", "SignalP-noTM", "SignalP-noTM"),
-        interpro_line("P_dark2", "SUPERFAMILY", "SSF1", "-"),
-        interpro_line("P_dark3", "PANTHER", "PTHR1", "FAMILY NOT NAMED"),
-        interpro_line("P_eggduf", "Gene3D", "G3", "Rossmann fold"),
+        interpro_line("seed_only", "SignalP_GRAM_POSITIVE", "SignalP-noTM", "SignalP-noTM"),
+        interpro_line("unlisted_a", "SUPERFAMILY", "SSF1", "-"),
+        interpro_line("unlisted_b", "PANTHER", "PTHR1", "FAMILY NOT NAMED"),
+        interpro_line("duf", "Gene3D", "G3", "Rossmann fold"),
     ])
-    assert [got[p]["bin"] for p in ("P_dark1", "P_dark2", "P_dark3", "P_eggduf")] == [
+    assert [got[p]["bin"] for p in ("seed_only", "unlisted_a", "unlisted_b", "duf")] == [
         "4_dark", "4_dark", "4_dark", "3_annotated_no_ko"]
 
 
 def test_rescues_demotions_and_duf_precedence(spark):
     got = annotate(spark, foldseek=[
-        foldseek_line("P_dark1", "AF-1", "Uncharacterized protein", "afdb50"),
-        foldseek_line("P_dark2", "sp|X", "aerolysin toxin", "swissprot"),
-        foldseek_line("P_eggduf", "sp|X", "aerolysin toxin", "swissprot")],
-        jackhmmer=[tblout_line("UniRef50_A", "P_dark3"), tblout_line("P_dark1", "P_dark1")])
-    assert got["P_dark1"]["bin"] == "4_dark" and got["P_dark1"]["rescue_demoted"]
-    assert got["P_dark1"]["jackhmmer_hit"] is None
-    assert got["P_dark2"]["bin"] == "3s_structure_only"
-    assert got["P_dark3"]["bin"] == "3p_profile_only"
-    assert got["P_eggduf"]["bin"] == "3d_duf_only" and got["P_eggduf"]["rescued_by"] == "structure"
+        foldseek_line("seed_only", "AF-1", "Uncharacterized protein", "afdb50"),
+        foldseek_line("unlisted_a", "sp|X", "aerolysin toxin", "swissprot"),
+        foldseek_line("duf", "sp|X", "aerolysin toxin", "swissprot")],
+        jackhmmer=[tblout_line("UniRef50_A", "unlisted_b"), tblout_line("seed_only", "seed_only")])
+    assert got["seed_only"]["bin"] == "4_dark" and got["seed_only"]["rescue_demoted"]
+    assert got["seed_only"]["jackhmmer_hit"] is None
+    assert got["unlisted_a"]["bin"] == "3s_structure_only"
+    assert got["unlisted_b"]["bin"] == "3p_profile_only"
+    assert got["duf"]["bin"] == "3d_duf_only" and got["duf"]["rescued_by"] == "structure"
 
 
 def test_kofam_rescue_promotion_and_conflict(spark):
-    got = annotate(spark, kofam=[kofam_line("P_dark1", "K01234", "x"), kofam_line("P_ko_path", "K99999", "x"),
-                                 kofam_line("P_ko_orphan", "K03456", "x")])
-    assert (got["P_dark1"]["bin"], got["P_dark1"]["ko_source"]) == ("1_ko_pathway", "kofam")
-    assert got["P_ko_path"]["ko_conflict"] and not got["P_ko_orphan"]["ko_conflict"]
-    assert got["P_ko_orphan"]["ko_source"] == "both"
+    got = annotate(spark, kofam=[kofam_line("seed_only", "K07405", "x"), kofam_line("amylase", "K99999", "x"),
+                                 kofam_line("lone_ko", "K21471", "x")])
+    assert (got["seed_only"]["bin"], got["seed_only"]["ko_source"]) == ("1_ko_pathway", "kofam")
+    assert got["amylase"]["ko_conflict"] and not got["lone_ko"]["ko_conflict"]
+    assert got["lone_ko"]["ko_source"] == "both"
 
 
 def score_of(spark, hits, weights=None, cats=None):
@@ -132,20 +132,20 @@ def score_of(spark, hits, weights=None, cats=None):
         diamond=weights if weights is not None else base.diamond,
         vfdb_category=cats if cats is not None else base.vfdb_category))
     got = annotate(spark, options=opts, vfdb=[diamond_line(p, "VFG", i, t) for p, i, t in hits])
-    base = got["P_dark3"]["export_score"]
+    base = got["unlisted_b"]["export_score"]
     return {p: r["export_score"] - base for p, r in got.items()}
 
 
 def test_database_points(spark):
-    s = score_of(spark, [("P_dark1", 95.0, "hemolysin"), ("P_dark2", 31.0, "hemolysin")])
-    assert s["P_dark1"] - s["P_dark2"] == 4 - 4 // 2
-    s = score_of(spark, [("P_dark1", 95.0, "SopB (VFC0086) [T3SS]"), ("P_dark2", 95.0, "GroEL (VFC0272)")])
-    assert (s["P_dark1"], s["P_dark2"]) == (4, 1)
-    s = score_of(spark, [("P_dark1", 95.0, "x (VFC9999)"), ("P_dark2", 95.0, "none")])
-    assert (s["P_dark1"], s["P_dark2"]) == (4, 4)
+    s = score_of(spark, [("seed_only", 95.0, "hemolysin"), ("unlisted_a", 31.0, "hemolysin")])
+    assert s["seed_only"] - s["unlisted_a"] == 4 - 4 // 2
+    s = score_of(spark, [("seed_only", 95.0, "SopB (VFC0086) [T3SS]"), ("unlisted_a", 95.0, "GroEL (VFC0272)")])
+    assert (s["seed_only"], s["unlisted_a"]) == (4, 1)
+    s = score_of(spark, [("seed_only", 95.0, "x (VFC9999)"), ("unlisted_a", 95.0, "none")])
+    assert (s["seed_only"], s["unlisted_a"]) == (4, 4)
     for w in ({"vfdb": 0}, {}):
-        assert score_of(spark, [("P_dark1", 95.0, "SopB (VFC0086)")], w)["P_dark1"] == 0
-    assert score_of(spark, [("P_dark1", 95.0, "GroEL (VFC0272)")], cats={})["P_dark1"] == 4
+        assert score_of(spark, [("seed_only", 95.0, "SopB (VFC0086)")], w)["seed_only"] == 0
+    assert score_of(spark, [("seed_only", 95.0, "GroEL (VFC0272)")], cats={})["seed_only"] == 4
 
 
 def test_surface_terms_survive_missing_sources(spark):
@@ -158,10 +158,10 @@ def test_surface_terms_survive_missing_sources(spark):
         signalp=None)
     assert {p: r["surface_or_secreted"] for p, r in got.items()} == {
         "real": True, "fake": False, "anchor": True}
-    sp = spark.createDataFrame([("P_dark1", "PILIN"), ("P_dark2", "OTHER")], "protein_id string, sp_class string")
+    sp = spark.createDataFrame([("seed_only", "PILIN"), ("unlisted_a", "OTHER")], "protein_id string, sp_class string")
     got = annotate(spark, signalp=sp)
-    assert got["P_dark1"]["surface_or_secreted"] and not got["P_dark2"]["surface_or_secreted"]
-    assert got["P_dark1"]["export_score"] > got["P_dark2"]["export_score"]
+    assert got["seed_only"]["surface_or_secreted"] and not got["unlisted_a"]["surface_or_secreted"]
+    assert got["seed_only"]["export_score"] > got["unlisted_a"]["export_score"]
 
 
 @pytest.mark.parametrize("desc,hit", [
@@ -263,3 +263,25 @@ def test_source_agreement_counts(spark):
     r = run([([f"NAME{i}"], [f"K{i}"]) for i in range(60)], k)["ko: eggnog vs kofamscan"]
     assert r["namespace_warning"]
     assert run([([], [])], k) == {}
+
+
+def test_ko_maps_stay_in_their_data_set(spark):
+    from umbra.operators import evidence as E
+
+    hits = spark.createDataFrame([("A", "p", "kofam", "K1"), ("B", "p", "kofam", "K1")], "ds string, protein_id string, source string, name string")
+    for c, t in (("db", "string"), ("description", "string"), ("accession", "string"), ("score", "double"), ("evalue", "double"), ("ident", "double")):
+        if c not in hits.columns:
+            hits = hits.withColumn(c, F.lit(None).cast(t))
+    maps = spark.createDataFrame([("A", "K1", True)], "ds string, ko string, ko_specific boolean")
+    both = {r["ds"]: r.asDict() for r in E.reduce_hits(hits, None, maps, by=["ds"]).collect()}
+    alone = E.reduce_hits(hits.where("ds = 'B'"), None, maps.where("ds = 'B'"), by=["ds"]).first().asDict()
+    assert both["B"] == alone and both["A"] != {**alone, "ds": "A"}
+
+
+def test_the_family_rule_is_asked_of_every_data_set(spark):
+    from umbra.errors import InputError
+    from umbra.operators.features import check_families
+
+    fam = spark.createDataFrame([("A", "p1", "f"), ("B", "p1", "f")], "ds string, protein_id string, family_id string")
+    with pytest.raises(InputError, match="one member"):
+        check_families(fam, ["ds"])

@@ -60,16 +60,42 @@ def test_bh_adjust(spark, limit):
     assert got == {i: pytest.approx(q) for i, q in want.items()}
 
 
+def test_bh_with_ninety_percent_ties(spark):
+    ps = [0.001 * i for i in range(1, 41)] + [1.0] * 360
+    df = spark.createDataFrame([(i, "c", p) for i, p in enumerate(ps)] + [(400, "c", None)], "protein_id int, contrast string, p_value double")
+    for limit in (10_000, 15):
+        got = {r["protein_id"]: r["q_value"] for r in bh_adjust(df, limit=limit, splits=10).collect()}
+        assert got == {**{i: pytest.approx(0.4) for i in range(40)}, **{i: 1.0 for i in range(40, 400)}, 400: None}
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_lookup_join_with_hot_keys_equals_a_plain_join(spark, how):
     big = spark.createDataFrame([("hot", i) for i in range(500)] + [("a", 1), ("b", 2), (None, 3)], "k string, i int")
     small = spark.createDataFrame([("hot", 10), ("a", 11), ("z", 12)], "k string, x int")
     want = sorted(map(str, big.join(small, ["k"], how).collect()))
-    split = J.lookup_join(big, small, ["k"], how, limit=0, hot_min_rows=100)
-    assert sorted(map(str, split.collect())) == want
     assert sorted(map(str, J.lookup_join(big, small, ["k"], how).collect())) == want
 
 
+def test_rows_without_a_key_are_spread_and_a_chain_reads_each_source_once(spark, tmp_path):
+    spark.range(20_000).selectExpr("id", "CAST(NULL AS STRING) AS k").write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    small = spark.createDataFrame([("a", 1)], "k string, x int")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+            spark.conf.set(c, v)
+        sizes = J.lookup_join(big, small, ["k"]).groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 4 and max(r["count"] for r in sizes) < 8_000
+        out = big
+        for i in range(3):
+            out = J.lookup_join(out, small.withColumnRenamed("x", f"x{i}"), ["k"])
+        plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+        assert plan.count("FileScan parquet") == 1
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
 def test_duplicate_right_keys_are_refused(spark):
     df = spark.createDataFrame([("a",), ("a",)], "k string")
     with pytest.raises(ValueError, match="duplicate key"):

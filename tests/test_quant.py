@@ -108,13 +108,14 @@ def test_manifest_fractions_and_fallback_keys(spark, tmp_path):
 # ---------------------------------------------------------------- the rule
 @pytest.fixture
 def shared(spark, tmp_path):
+    """Two unique features and one of each other class, all led by protein Q7."""
     path = peptides(tmp_path / "q.tsv", [
-        ("UNIQUEK", "P1", "", "", 1, 2), ("SAMETAXK", "P1", "", "P2", 3, 4),
-        ("CROSSTAXK", "P1", "", "P3", 5, 6), ("NOTAXK", "P1", "", "P4", 7, 8)])
+        ("AVNDLR", "Q7", "", "", 2, 3), ("WFTGHK", "Q7", "", "", 1, 1), ("EELIYPR", "Q7", "", "Q2", 4, 2),
+        ("MSDCVK", "Q7", "", "Q5", 6, 8), ("GHNPTR", "Q7", "", "Q9", 10, 5)])
     q = Q.read_fragpipe_features(spark, path)
-    taxa = spark.createDataFrame([("P1", "820"), ("P2", "820"), ("P3", "999"), ("P4", "")],
+    taxa = spark.createDataFrame([("Q7", "562"), ("Q2", "562"), ("Q5", "287"), ("Q9", "")],
                                  "protein_id string, taxid string")
-    fam = spark.createDataFrame([("P1", "f1"), ("P2", "f1"), ("P3", "f2"), ("P4", "f1")],
+    fam = spark.createDataFrame([("Q7", "kinase"), ("Q2", "kinase"), ("Q5", "porin"), ("Q9", "kinase")],
                                 "protein_id string, family_id string")
     return q, taxa, fam
 
@@ -126,13 +127,13 @@ def test_modes_classes_and_evidence(shared):
         a = Ft.assign_features(q.features, taxa, mode, fam).collect()
         kept[mode] = sum(r["assigned"] is not None for r in a)
         klass[mode] = {r["feature_id"]: r["assignment_class"] for r in a}
-    assert kept == {"protein_unique": 1, "taxon_unique": 2, "taxon_or_family_unique": 3, "razor": 4}
-    assert klass["taxon_unique"] == {"UNIQUEK": "unique", "SAMETAXK": "taxon_unique", "CROSSTAXK": "shared",
-                                     "NOTAXK": "shared_unknown_taxon"}
-    assert klass["taxon_or_family_unique"]["NOTAXK"] == "family_unique"
-    assert klass["taxon_or_family_unique"]["CROSSTAXK"] == "shared"
+    assert kept == {"protein_unique": 2, "taxon_unique": 3, "taxon_or_family_unique": 4, "razor": 5}
+    assert klass["taxon_unique"] == {"AVNDLR": "unique", "WFTGHK": "unique", "EELIYPR": "taxon_unique",
+                                     "MSDCVK": "shared", "GHNPTR": "shared_unknown_taxon"}
+    assert klass["taxon_or_family_unique"]["GHNPTR"] == "family_unique"
+    assert klass["taxon_or_family_unique"]["MSDCVK"] == "shared"
     e = Ft.peptide_evidence(Ft.assign_features(q.features, taxa)).first()
-    assert (e["n_unique"], e["n_taxon_unique"], e["n_features_dropped"], e["taxon_unique_dominated"]) == (1, 1, 2, False)
+    assert (e["n_unique"], e["n_taxon_unique"], e["n_features_dropped"], e["taxon_unique_dominated"]) == (2, 1, 2, False)
     e = Ft.peptide_evidence(Ft.assign_features(q.features, taxa, "razor"), "razor").first()
     assert not e["shared_dominated"]
     with pytest.raises(OptionError, match="must be one of"):
@@ -140,23 +141,23 @@ def test_modes_classes_and_evidence(shared):
     with pytest.raises(InputError):
         Ft.assign_features(q.features, taxa, "taxon_or_family_unique", None)
     with pytest.raises(InputError, match="one member"):
-        Ft.assign_features(q.features, taxa, "taxon_or_family_unique", fam.where("protein_id IN ('P1', 'P3')"))
+        Ft.assign_features(q.features, taxa, "taxon_or_family_unique", fam.where("protein_id IN ('Q7', 'Q5')"))
 
 
 def test_rollups(shared):
     q, taxa, _ = shared
     rows = Ft.assigned_values(q.values, Ft.assign_features(q.features, taxa, "razor"))
     total = {r["sample"]: r["value"] for r in Ft.rollup(rows).collect()}
-    assert total == {"S1": 16.0, "S2": 20.0}
+    assert total == {"S1": 23.0, "S2": 19.0}
     polished = {r["sample"]: r["value"] for r in Ft.rollup(rows, "median_polish").collect()}
-    assert sum(polished.values()) == pytest.approx(36.0) and polished != total
+    assert sum(polished.values()) == pytest.approx(42.0) and polished != total
     with pytest.raises(OptionError):
         Ft.rollup(rows, "medianpolish")
 
 
 def test_evidence_row_survives_when_everything_is_dropped(spark, tmp_path):
     q = Q.read_fragpipe_features(spark, peptides(tmp_path / "q.tsv", [("XK", "P1", "", "P2", 1, 1)]))
-    taxa = spark.createDataFrame([("P1", "820"), ("P2", "999")], "protein_id string, taxid string")
+    taxa = spark.createDataFrame([("P1", "562"), ("P2", "287")], "protein_id string, taxid string")
     a = Ft.assign_features(q.features, taxa)
     e = Ft.peptide_evidence(a)
     r = e.first()
@@ -170,7 +171,7 @@ def test_partitioning_changes_nothing(shared, n_parts):
     q, taxa, _ = shared
     a = Ft.assign_features(q.features.repartition(n_parts), taxa.repartition(n_parts), "taxon_unique")
     got = sorted(map(tuple, Ft.rollup(Ft.assigned_values(q.values.repartition(n_parts), a)).collect()))
-    assert got == [("P1", "S1", 4.0), ("P1", "S2", 6.0)]
+    assert got == [("Q7", "S1", 7.0), ("Q7", "S2", 6.0)]
 
 
 def test_dominance_flags_are_strict(spark):
@@ -376,10 +377,10 @@ def test_linked_assays_carry_the_assignment(shared):
     q, taxa, _ = shared
     spark = taxa.sparkSession
     a = Ft.assign_features(q.features, taxa)
-    de = spark.createDataFrame([("P1", "b_vs_a", 1.0, 0.1, 0.2)],
+    de = spark.createDataFrame([("Q7", "b_vs_a", 1.0, 0.1, 0.2)],
                                "protein_id string, contrast string, lfc double, p_value double, q_value double")
     design = spark.createDataFrame([("S1",), ("S2",)], "sample string")
     t = K.linked_assays(Ft.rollup(Ft.assigned_values(q.values, a)), taxa, design, q.features, q.values, a, de)
-    assert sorted(r["feature_id"] for r in t["link"].collect()) == ["SAMETAXK", "UNIQUEK"]
-    assert "DE.b_vs_a.lfc" in t["proteins"].columns and t["peptides"].count() == 4
+    assert sorted(r["feature_id"] for r in t["link"].collect()) == ["AVNDLR", "EELIYPR", "WFTGHK"]
+    assert "DE.b_vs_a.lfc" in t["proteins"].columns and t["peptides"].count() == 5
     assert set(K.linked_assays(q.values, taxa, design)) == {"proteins", "protein_values", "samples"}

@@ -164,3 +164,13 @@ def test_profile_library_and_gff_and_context_and_failures(spark, tmp_path):
     f = P.read_failures(spark, put(tmp_path / "f", "protein_id\tlength\terror\n"))
     assert f is not None and f.count() == 0
     assert P.read_failures(spark, str(tmp_path / "nope")) is None
+
+
+def test_files_with_other_column_orders_are_read_by_name(spark, tmp_path):
+    from umbra.sources.lines import read_delimited
+
+    put(tmp_path / "d" / "a.tsv", "x\ty\n1\t2\n")
+    put(tmp_path / "d" / "b.tsv", "y\tx\tz\n20\t10\t30\n")
+    df, names = read_delimited(spark, str(tmp_path / "d"))
+    assert names == ["x", "y", "z"]
+    assert sorted(map(tuple, df.select("x", "y", "z").collect())) == [("1", "2", None), ("10", "20", "30")]

@@ -151,7 +151,7 @@ def member_accessions(signatures: Column | str, library: str) -> Column:
     tag = library + ":"
     mine = F.filter(col(signatures), lambda s: F.startswith(s, F.lit(tag)))
     return F.array_sort(
-        F.array_distinct(F.transform(mine, lambda s: F.substring(s, len(tag) + 1, 10_000)))
+        F.array_distinct(F.transform(mine, lambda s: F.substring(s, F.lit(len(tag) + 1), F.char_length(s))))
     )
 
 

@@ -141,33 +141,26 @@ def reduce_hits(
     profile libraries and not by the number of hits.
     """
     keys = [*by, "protein_id"]
-    named = []
     if library is not None:
-        named.append(
+        described = (
             library.select(
                 F.lit("ncbifam").alias("source"),
                 F.explode(F.array_distinct(F.array("name", F.coalesce("accession", "name")))).alias("name"),
                 F.coalesce("description", F.lit("")).alias("lib_desc"),
-                F.lit(None).cast("boolean").alias("ko_specific"),
-            ).groupBy("source", "name").agg(
-                F.min("lib_desc").alias("lib_desc"), F.bool_or("ko_specific").alias("ko_specific")
-            )
+            ).groupBy("source", "name").agg(F.min("lib_desc").alias("lib_desc"))
         )
+    # The profile library is shared; the maps of a KO are those of its own data set.
+    if library is not None:
+        hits = lookup_join(hits, described, ["source", "name"])
+    else:
+        hits = hits.withColumn("lib_desc", F.lit(None).cast("string"))
     if ko_maps is not None:
-        named.append(
-            ko_maps.groupBy("ko").agg(F.bool_or("ko_specific").alias("ko_specific")).select(
-                F.lit("kofam").alias("source"),
-                F.col("ko").alias("name"),
-                F.lit(None).cast("string").alias("lib_desc"),
-                "ko_specific",
-            )
+        maps = ko_maps.groupBy(*by, "ko").agg(F.bool_or("ko_specific").alias("ko_specific")).select(
+            *by, F.lit("kofam").alias("source"), F.col("ko").alias("name"), "ko_specific"
         )
-    if named:
-        hits = lookup_join(hits, union_evidence(named), ["source", "name"])
+        hits = lookup_join(hits, maps, [*by, "source", "name"])
     else:
-        hits = hits.withColumn("lib_desc", F.lit(None).cast("string")).withColumn(
-            "ko_specific", F.lit(None).cast("boolean")
-        )
+        hits = hits.withColumn("ko_specific", F.lit(None).cast("boolean"))
     src = F.col("source")
     says = (
         F.when(src == "pfam", T.is_informative("name", empty=True))

@@ -74,11 +74,13 @@ def check_mode(mode: str) -> tuple[str, ...]:
     return MODES[mode]
 
 
-def check_families(families: DataFrame | None) -> DataFrame:
-    """The family rule needs families, and one with more than one member."""
+def check_families(families: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
+    """The family rule needs families, and in every data set one with more than one member."""
     if families is None:
         raise InputError("taxon_or_family_unique needs family_id of every protein")
-    if not families.groupBy("family_id").count().where("count > 1").limit(1).count():
+    sizes = families.groupBy(*by, "family_id").count()
+    largest = sizes.groupBy(*by).agg(F.max("count").alias("n"))
+    if largest.where("n > 1").limit(1).count() == 0 or largest.where("n <= 1").limit(1).count():
         raise InputError("taxon_or_family_unique: every family has one member")
     return families
 
@@ -97,7 +99,7 @@ def assign_features(
     pairs = candidates if candidates is not None else explode_candidates(features, by)
     pairs = attach_taxon(pairs, taxa, by)
     if use_family:
-        pairs = attach_family(pairs, check_families(families), by)
+        pairs = attach_family(pairs, check_families(families, by), by)
     classes = classify_features(pairs, by, use_family)
     keep = F.col("assignment_class").isin(*allowed)
     return (

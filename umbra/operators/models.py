@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from umbra.errors import OptionError
 from umbra.functions.stats import digamma, hypergeometric_tail, t_p_value, trigamma, trigamma_inverse
 from umbra.operators.design import with_design
 from umbra.plans.joins import lookup_join
 from umbra.plans.lineage import cut_lineage, spread
-from umbra.plans.order import by_size, exact_median, row_numbers, suffix_minimum
+from umbra.plans.order import by_size, exact_median, ranges, suffix_minimum
 
 CONTRASTS = Ty.ArrayType(
     Ty.StructType(
@@ -27,21 +28,28 @@ CONTRASTS = Ty.ArrayType(
 )
 
 
-def _design_matrix(groups: tuple, batches: tuple) -> tuple[np.ndarray, list[str]]:
-    """Cell means for the group, treatment coding for the batch, over observed levels."""
+def _design_matrix(groups: tuple, others: tuple, numeric: Sequence[bool]) -> tuple[np.ndarray, list[str]]:
+    """Cell means for the group; of each other term its value or treatment coding, over observed levels.
+
+    `others` has, for each sample, one text per further term.
+    """
     levels = sorted(set(groups))
     cols = [[float(g == l) for g in groups] for l in levels]
-    for b in sorted(set(batches))[1:]:
-        cols.append([float(x == b) for x in batches])
+    for k, is_number in enumerate(numeric):
+        values = [o[k] for o in others]
+        if is_number:
+            cols.append([float(v) for v in values])
+        else:
+            cols += [[float(x == b) for x in values] for b in sorted(set(values))[1:]]
     return np.array(cols).T, levels
 
 
-def _fit_pattern(groups: tuple, batches: tuple, y: np.ndarray):
+def _fit_pattern(groups: tuple, others: tuple, numeric: Sequence[bool], y: np.ndarray):
     """Least squares for proteins observed in the same samples.
 
     Returns residual variance, residual df and the estimable contrasts.
     """
-    x, levels = _design_matrix(groups, batches)
+    x, levels = _design_matrix(groups, others, numeric)
     n, p = x.shape
     u, s, vt = np.linalg.svd(x, full_matrices=False)
     keep = s > s.max() * max(n, p) * np.finfo(float).eps
@@ -64,18 +72,18 @@ def _fit_pattern(groups: tuple, batches: tuple, y: np.ndarray):
     return sigma2, df, contrasts
 
 
-def _fit_batches(keys: list[str]):
+def _fit_batches(keys: list[str], numeric: Sequence[bool]):
     def run(batches):
         for pdf in batches:
             patterns: dict[tuple, list[int]] = {}
-            for i, (g, b) in enumerate(zip(pdf["groups"], pdf["batches"])):
-                patterns.setdefault((tuple(g), tuple(b)), []).append(i)
+            for i, (g, o) in enumerate(zip(pdf["groups"], pdf["others"])):
+                patterns.setdefault((tuple(g), tuple(map(tuple, o))), []).append(i)
             sigma2 = np.full(len(pdf), np.nan)
             df = np.zeros(len(pdf), dtype=np.int64)
             found: list[list] = [[] for _ in range(len(pdf))]
-            for (g, b), idx in patterns.items():
+            for (g, o), idx in patterns.items():
                 y = np.stack([np.asarray(pdf["ys"].iloc[i], dtype=float) for i in idx], axis=1)
-                s2, d, contrasts = _fit_pattern(g, b, y)
+                s2, d, contrasts = _fit_pattern(g, o, numeric, y)
                 sigma2[idx], df[idx] = s2, d
                 for name, lfc, width in contrasts:
                     for k, i in enumerate(idx):
@@ -97,20 +105,28 @@ def fit_proteins(
 
     `values` is log2 and has one row per (protein, sample), so a protein brings
     at most one number per sample of its experiment. Proteins with the same
-    observed samples share one decomposition.
+    observed samples share one decomposition. Contrasts are of the first term; any
+    number of further ones may follow, numeric columns as covariates and others as
+    factors. A sample without a value of some term takes no part.
     """
     keys = [*by, "protein_id"]
-    batch = F.col(terms[1]) if len(terms) > 1 else F.lit("")
+    missing = [t for t in terms if t not in design.columns]
+    if missing or not terms:
+        raise OptionError(f"the model names {missing or 'no term'}; the design has {design.columns}")
+    kinds = {f.name: isinstance(f.dataType, Ty.NumericType) for f in design.schema.fields}
+    others = F.array(*[F.col(t).cast("string") for t in terms[1:]]).cast("array<string>")
+    if len(terms) > 1:
+        design = design.where(" AND ".join(f"`{t}` IS NOT NULL" for t in terms))
     rows = with_design(values.where("value IS NOT NULL"), design, list(terms), by)
     cells = F.array_sort(
         F.collect_list(
-            F.struct("sample", F.col(terms[0]).alias("g"), batch.alias("b"), F.col("value").alias("y"))
+            F.struct("sample", F.col(terms[0]).alias("g"), others.alias("o"), F.col("value").alias("y"))
         )
     )
     packed = spread(rows, keys).groupBy(*keys).agg(cells.alias("_c")).select(
         *keys,
         F.transform("_c", lambda c: c["g"]).alias("groups"),
-        F.transform("_c", lambda c: c["b"]).alias("batches"),
+        F.transform("_c", lambda c: c["o"]).alias("others"),
         F.transform("_c", lambda c: c["y"]).alias("ys"),
     )
     schema = Ty.StructType(
@@ -122,7 +138,7 @@ def fit_proteins(
             Ty.StructField("contrasts", CONTRASTS),
         ]
     )
-    return packed.mapInPandas(_fit_batches(keys), schema)
+    return packed.mapInPandas(_fit_batches(keys, [kinds[t] for t in terms[1:]]), schema)
 
 
 def _prior(pdf: pd.DataFrame) -> tuple[float, float, float]:
@@ -183,27 +199,34 @@ def variance_prior(fits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def moderated_contrasts(
     fits: DataFrame, by: Sequence[str] = (), moderate: bool = True
 ) -> DataFrame:
-    """One row per (protein, contrast) with t, p and the variance behind it."""
-    rows = fits.where("df_residual > 0 AND sigma2 IS NOT NULL")
+    """One row per (protein, contrast) with t, p and the variance behind it.
+
+    A protein without residual degrees of freedom takes the prior's variance, and is tested
+    where the prior is informative. A protein or contrast that cannot be tested keeps a row
+    with NULLs when moderated; without moderation it is left out.
+    """
+    rows = fits if moderate else fits.where("df_residual > 0 AND sigma2 IS NOT NULL")
     if moderate:
         prior = variance_prior(fits, by)
         if by:
-            rows = lookup_join(rows, prior, by, "inner")
+            rows = lookup_join(rows, prior, by)
         else:
             one = prior.first()
             for c in ("df_prior", "s2_prior", "df_pooled"):
                 rows = rows.withColumn(c, F.lit(one[c] if one else None).cast("double"))
         d0, d = F.col("df_prior"), F.col("df_residual")
         mixed = (d * F.col("sigma2") + d0 * F.col("s2_prior")) / (d + d0)
-        rows = rows.withColumn("s2_post", F.when(d0 == float("inf"), F.col("s2_prior")).otherwise(mixed))
-        rows = rows.withColumn("df_total", F.least(d + d0, F.col("df_pooled")))
+        alone = (d == 0) | F.col("sigma2").isNull()
+        s2 = F.when(alone & (d0 == 0), None).when(alone | (d0 == float("inf")), F.col("s2_prior")).otherwise(mixed)
+        rows = rows.withColumn("s2_post", s2)
+        rows = rows.withColumn("df_total", F.when(F.col("s2_post").isNotNull(), F.least(d + d0, F.col("df_pooled"))))
     else:
         rows = rows.withColumn("s2_post", F.col("sigma2")).withColumn(
             "df_total", F.col("df_residual").cast("double")
         )
     out = rows.select(
         *by, "protein_id", "n_observed", "sigma2", "df_residual", "s2_post", "df_total",
-        F.explode("contrasts").alias("_c"),
+        (F.explode_outer if moderate else F.explode)("contrasts").alias("_c"),
     ).select(*by, "protein_id", "_c.contrast", "_c.lfc", "n_observed", "sigma2", "df_residual",
              "s2_post", "df_total", "_c.stdev_unscaled")
     se = F.col("stdev_unscaled") * F.sqrt("s2_post")
@@ -213,7 +236,7 @@ def moderated_contrasts(
 
 def select_contrasts(results: DataFrame, wanted: Sequence[str] = ()) -> DataFrame:
     """All pairwise contrasts, or those named in the options."""
-    return results.where(F.col("contrast").isin(*wanted)) if wanted else results
+    return results.where(F.col("contrast").isin(*wanted) | F.col("contrast").isNull()) if wanted else results
 
 
 def bh_adjust(
@@ -221,28 +244,36 @@ def bh_adjust(
     keys: Sequence[str] = ("contrast",),
     p: str = "p_value",
     out: str = "q_value",
-    tie: str = "protein_id",
     limit: int = 2_000_000,
     splits: int = 200,
 ) -> DataFrame:
-    """Benjamini-Hochberg within every key: p * n / rank, then minima from the largest p down."""
+    """Benjamini-Hochberg within every key: p * n / rank, then minima from the largest p down.
+
+    Ranks are of distinct p values, each by the rank of its last tie, so that ties are one
+    row. A row without a p value keeps none.
+    """
     keys = list(keys)
-    rows = results.where(F.col(p).isNotNull())
+    counted = cut_lineage(results.where(F.col(p).isNotNull()).groupBy(*keys, p).agg(F.count("*").alias("_k")), "p_values")
 
     def direct(part):
-        ascending = Window.partitionBy(*keys).orderBy(p, tie)
-        raw = F.col(p) * F.count("*").over(Window.partitionBy(*keys)) / F.row_number().over(ascending)
+        ascending = Window.partitionBy(*keys).orderBy(p)
+        total = F.sum("_k").over(Window.partitionBy(*keys))
+        raw = F.col(p) * total / F.sum("_k").over(ascending)
         lowest = F.min("_raw").over(Window.partitionBy(*keys).orderBy(F.col(p).desc()))
-        return part.withColumn("_raw", raw).withColumn(out, F.least(lowest, F.lit(1.0))).drop("_raw")
+        return part.withColumn("_raw", raw).select(*keys, p, F.least(lowest, F.lit(1.0)).alias(out))
 
     def ranged(part):
-        ranked = row_numbers(part, keys, [p, tie], "_rank", limit, splits)
-        sizes = part.groupBy(*keys).agg(F.count("*").alias("_n"))
-        raw = lookup_join(ranked, sizes, keys).withColumn("_raw", F.col(p) * F.col("_n") / F.col("_rank"))
+        cut = ranges(part, keys, p, splits)
+        sizes = cut.groupBy(*keys, "_range").agg(F.sum("_k").alias("_in"))
+        upto = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_in")
+        offsets = sizes.select(*keys, "_range", upto.alias("_before"), F.sum("_in").over(Window.partitionBy(*keys)).alias("_n"))
+        inside = F.sum("_k").over(Window.partitionBy(*keys, "_range").orderBy(p))
+        raw = lookup_join(cut.withColumn("_inside", inside), offsets, [*keys, "_range"], "inner")
+        raw = raw.select(*keys, p, (F.col(p) * F.col("_n") / (F.col("_before") + F.col("_inside"))).alias("_raw"))
         lowest = suffix_minimum(raw, keys, p, "_raw", "_q", limit, splits)
-        return lowest.select(*part.columns, F.least("_q", F.lit(1.0)).alias(out))
+        return lowest.select(*keys, p, F.least("_q", F.lit(1.0)).alias(out))
 
-    return by_size(rows, keys, limit, direct, ranged)
+    return lookup_join(results, by_size(counted, keys, limit, direct, ranged), [*keys, p]).select(*results.columns, out)
 
 
 def differential_abundance(

@@ -54,16 +54,21 @@ def current_taxids(
 ) -> DataFrame:
     """(taxid, current): merged ids followed to their node; an unresolved id has no current.
 
-    Merges of merges are followed by doubling as well.
+    Merges of merges are followed by doubling as well. After as many rounds as the number of
+    merges has binary digits every chain is at its end, so what still moves is a cycle.
     """
     hops = merged.select("taxid", "successor")
-    for _ in range(8):
+    rounds = merged.count().bit_length() + 1
+    while True:
         onward = hops.select(F.col("taxid").alias("successor"), F.col("successor").alias("_next"))
         step = lookup_join(hops, onward, ["successor"]).withColumn("_moved", F.col("_next").isNotNull())
         step = cut_lineage(step, "merged")
         hops = step.select("taxid", F.coalesce("_next", "successor").alias("successor"))
         if not step.where("_moved").limit(1).count():
             break
+        rounds -= 1
+        if rounds < 0:
+            raise InputError("the merged taxids have a cycle")
     known = nodes.select(F.col("taxid").alias("_target")).distinct()
     if deleted is not None:
         known = known.join(deleted.select(F.col("taxid").alias("_target")), "_target", "left_anti")

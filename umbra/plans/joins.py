@@ -7,68 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbra.plans.lineage import cut_lineage
+#: Tasks over which rows with a NULL key are spread: they match nothing.
+NULL_SPREAD = 1024
 
-# A lookup table is sent to every executor up to this many rows and characters.
-BROADCAST_ROWS = 200_000
-BROADCAST_CHARS = 64 * 1024 * 1024
-# A key is hot when it holds at least this share of the large table, so there
-# are never more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.001
-HOT_MIN_ROWS = 1_000_000
 
+def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join `big` to `lookup` (unique on `on`); adaptive execution picks broadcast and splits hot keys.
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when `df` is within both bounds; reads at most one row more than `limit`."""
-    width = F.length(F.struct(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
-    seen = df.limit(limit + 1).agg(F.count("*").alias("n"), F.sum(width).alias("chars")).first()
-    return seen["n"] <= limit and (seen["chars"] or 0) <= BROADCAST_CHARS
-
-
-def is_derived(df: DataFrame) -> bool:
-    """True when reading `df` means aggregating, joining or Python work, not only scanning."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(step in plan for step in ("Aggregate", "Join", "Window", "Distinct", "InPandas"))
-
-
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    limit: int = BROADCAST_ROWS,
-    hot_share: float = HOT_SHARE,
-    hot_min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """Join `big` to `lookup` (unique on `on`) without a straggling task.
-
-    A lookup table within `limit` rows is broadcast. A larger one is shuffled,
-    and the few keys that dominate `big` are served from a broadcast of their
-    own lookup rows, so no task receives a dominating key.
+    Rows of `big` with a NULL key would all be sent to one task only to find nothing, so they
+    get a number as a further key. Each side is read once.
     """
     on = list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join does not cover how={how!r}")
-    if is_derived(lookup):
-        # Its size is asked for first and its rows after: compute them once.
-        lookup = cut_lineage(lookup, "lookup")
-    if fits_broadcast(lookup, limit):
-        return big.join(F.broadcast(lookup), on, how)
-    counts = big.groupBy(*on).count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    floor = max(hot_min_rows, int(total * hot_share))
-    hot_rows = counts.where(F.col("count") >= floor).select(*on).collect()
-    if not hot_rows:
+    nullable = {f.name for f in big.schema.fields if f.nullable}
+    holes = [c for c in on if c in nullable]
+    if how not in ("left", "left_anti") or not holes:
         return big.join(lookup, on, how)
-    spark = big.sparkSession
-    hot = spark.createDataFrame(hot_rows, counts.select(*on).schema).withColumn(
-        "_is_hot", F.lit(True)
-    )
-    marked = big.join(F.broadcast(hot), on, "left")
-    hot_lookup = lookup.join(F.broadcast(hot.drop("_is_hot")), on, "left_semi")
-    hot_part = marked.where("_is_hot").drop("_is_hot").join(F.broadcast(hot_lookup), on, how)
-    cold_part = marked.where("_is_hot IS NULL").drop("_is_hot").join(lookup, on, how)
-    return hot_part.unionByName(cold_part)
+    empty = F.lit(False)
+    for c in holes:
+        empty = empty | F.col(f"`{c}`").isNull()
+    spread = F.when(empty, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD))).otherwise(0).cast("int")
+    # Zero too, but no literal, which the optimizer would take out of the join key.
+    zero = F.pmod(F.hash(*on), F.lit(1)).cast("int")
+    out = big.withColumn("_spread", spread).join(lookup.withColumn("_spread", zero), [*on, "_spread"], how)
+    return out.drop("_spread")
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:

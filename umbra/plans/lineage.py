@@ -6,30 +6,34 @@ A written table survives the loss of executors, which cached blocks do not.
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster, or a scratch folder in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; it must name storage shared by all executors"
-        )
+    """A folder of this session in `spark.checkpoint.dir`, or in the warehouse where that is unset.
+
+    Both are on the file system that Spark itself uses, not on one machine. The folder is
+    deleted when the driver ends.
+    """
     app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        path = tempfile.mkdtemp(prefix="spark-")
-        _LOCAL_DIRS[app] = path
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return _LOCAL_DIRS[app]
+    if app not in _ROOTS:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        _ROOTS[app] = f"{base.rstrip('/')}/stages-{app}"
+        atexit.register(drop, spark, _ROOTS[app])
+    return _ROOTS[app]
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written stages; nothing may read it any more."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -54,6 +54,11 @@ def _with_range(df: DataFrame, bounds: DataFrame, keys: Sequence[str], value: st
     return lookup_join(df, bounds, keys, "inner").withColumn("_range", rng).drop("_bounds")
 
 
+def ranges(df: DataFrame, keys: Sequence[str], value: str, splits: int = SPLITS) -> DataFrame:
+    """`df` with `_range`, the place of `value` among bounds that cut each group evenly."""
+    return _with_range(df, _sketch_bounds(df, keys, value, splits), keys, value)
+
+
 def row_numbers(
     df: DataFrame,
     keys: Sequence[str],

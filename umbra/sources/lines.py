@@ -62,12 +62,36 @@ def header_of(lines: DataFrame, path: str = "") -> list[str]:
     return [row[0]["value"]]
 
 
+def headers(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> dict[str, list[str]]:
+    """Header line -> the files that have it: the first line with text, or the first that matches."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"\r$", "").alias("value"), "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where((F.col("file_block_start") == 0) & (F.col("value").rlike(pattern) if pattern else F.trim("value") != ""))
+    # A file's first block is read by one task, in order.
+    found: dict[str, list[str]] = {}
+    for r in lines.groupBy("file_path").agg(F.first("value").alias("header")).orderBy("file_path").collect():
+        found.setdefault(r["header"], []).append(r["file_path"])
+    return found
+
+
 def read_delimited(
     spark: SparkSession, path: str | list[str], sep: str | None = None
 ) -> tuple[DataFrame, list[str]]:
-    """A delimited file with a header as all-string columns, and the header."""
-    first = path[0] if isinstance(path, list) else path
-    header = header_of(read_lines(spark, first), first)[0].lstrip("﻿")
+    """Delimited files with a header as all-string columns by name, and the columns.
+
+    Each file is read with its own header; a column that a file lacks is missing there.
+    """
+    found = headers(spark, path)
+    if not found:
+        raise InputError(f"{path}: the file is empty")
+    out, names = None, []
+    for header, files in found.items():
+        df, own = _with_header(spark, files, header.lstrip("\ufeff"), sep)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        names += [n for n in own if n not in names]
+    return out, names
+
+
+def _with_header(spark: SparkSession, path: list[str], header: str, sep: str | None) -> tuple[DataFrame, list[str]]:
     sep = sep or ("\t" if "\t" in header else ",")
     names = [h.strip().strip('"') for h in header.split(sep)]
     unique, seen = [], {}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from umbra.errors import InputError
 from umbra.functions import text as T
-from umbra.sources.lines import cells, data_lines, field, kept, read_lines, warn_if_unparsed
+from umbra.sources.lines import cells, data_lines, field, headers, kept, read_lines, warn_if_unparsed
 
 # The annotation table's columns, in file order.
 EGGNOG_COLUMNS = (
@@ -95,8 +95,15 @@ def eggnog_header(lines: DataFrame) -> str | None:
 
 
 def read_eggnog(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    lines = read_lines(spark, path)
-    return parse_eggnog(lines, eggnog_header(lines))
+    found = headers(spark, path, r"^#query")
+    if len(found) < 2:
+        lines = read_lines(spark, path)
+        return parse_eggnog(lines, eggnog_header(lines))
+    out = None  # files of different versions: each by its own header
+    for header, files in found.items():
+        part = parse_eggnog(read_lines(spark, files), header)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def typed_eggnog(eggnog: DataFrame) -> DataFrame:
@@ -196,10 +203,13 @@ def parse_context(lines: DataFrame, header: list[str]) -> DataFrame:
 
 def read_context(spark: SparkSession, path: str) -> DataFrame:
     lines = read_lines(spark, path, optional=True)
-    head = lines.limit(1).collect()
-    if not head:
+    if not lines.limit(1).count():
         return spark.createDataFrame([], "protein_id string, context_flags array<string>")
-    return parse_context(lines, head[0]["value"].split("\t"))
+    out = None
+    for header, files in headers(spark, path).items():
+        part = parse_context(read_lines(spark, files), header.split("\t"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def parse_failures(lines: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def unpivot_samples(
     )
     names = [F.col(f"`{tag}{name}`") for name in columns.values()]
     long = wide.unpivot(list(ids), names, "_i", "value").where("value IS NOT NULL")
-    return long.select(*ids, F.substring("_i", len(tag) + 1, 10_000).alias("sample"), "value")
+    return long.select(*ids, F.substring("_i", F.lit(len(tag) + 1), F.char_length("_i")).alias("sample"), "value")
 
 
 def zero_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from umbra.functions import text as T
 from umbra.plans.joins import assert_unique, lookup_join
 
-# Rows up to which a table also gets one sorted TSV file.
-TSV_ROWS = 1_000_000
-
 
 def flat(df: DataFrame) -> DataFrame:
     """Sets as `;`-joined text, for delimited files."""
@@ -30,8 +27,13 @@ def write_result_table(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     tsv_path: str | None = None,
+    tsv_files: int | None = 1,
 ) -> DataFrame:
-    """Sorted Parquet with unique keys; a TSV copy only of a table small enough for one file."""
+    """Sorted Parquet with unique keys, and a sorted TSV copy where asked for.
+
+    The copy is one file unless the caller gives another number, or None for as many as
+    the sort makes.
+    """
     assert_unique(df, keys, path)
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
         *partition_by
@@ -39,8 +41,7 @@ def write_result_table(
     back = df.sparkSession.read.parquet(path)
     if tsv_path:
         ordered = flat(back).orderBy(*keys)
-        small = back.limit(TSV_ROWS + 1).count() <= TSV_ROWS
-        (ordered.coalesce(1) if small else ordered).write.mode("overwrite").option("sep", "\t").option(
+        (ordered.coalesce(tsv_files) if tsv_files else ordered).write.mode("overwrite").option("sep", "\t").option(
             "header", True
         ).option("encoding", "UTF-8").csv(tsv_path)
     return back
