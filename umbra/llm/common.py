@@ -39,6 +39,23 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Values of the filter that keeps rows without a partner out of shuffles.
+FILTER_VALUES = 1 << 20
+
+
+def split_by(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """`rows` that may have a `key` of `keys`, and those that cannot.
+
+    Keys are hashed to FILTER_VALUES values, which bounds what is broadcast whatever their
+    number. A join of the first part on the key itself has to follow.
+    """
+    name = fresh(rows, "_v")
+    value = F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_VALUES)).alias(name)
+    seen = F.broadcast(keys.select(value).distinct())
+    valued = rows.select("*", value)
+    return valued.join(seen, name, "left_semi").drop(name), valued.join(seen, name, "left_anti").drop(name)
+
+
 def held_out():
     """True for the quarter of documents that no model may learn from."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
@@ -55,7 +72,7 @@ def map_pandas(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
     return df.mapInPandas(run, schema)
 
 
-def text_batches(values, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def text_batches(values, limit: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) in runs of at most `limit` bytes, or of one longer text."""
     start, held, size = 0, [], 0
     for i, v in enumerate(values):
@@ -69,7 +86,7 @@ def text_batches(values, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes
         yield start, held
 
 
-def text_rows(values, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def text_rows(values, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `limit` characters, or of one longer text."""
     start, size = 0, 0
     for i, v in enumerate(values):

@@ -2,22 +2,24 @@
 
 Every document gets K minimum hashes. It is posted under each (coordinate, value) pair,
 and two documents are candidates when they meet under at least T of the K pairs. For a
-similarity of 0.75 the matches are binomial(24, 0.75): fewer than 7 have a chance of
-4e-7. Pairs are ordered by how many documents they hold; by the prefix principle two
+similarity of 0.75 the matches are binomial(64, 0.75): fewer than 30 have a chance under
+1e-6. Pairs are ordered by how many documents they hold; by the prefix principle two
 documents with T matches meet under one of their K - T + 1 rarest pairs, so the common
-ones are skipped. Links are confirmed on whole shingle sets.
+ones, such as those of a passage that many documents share, are skipped. Links are
+confirmed on whole shingle sets.
 
-A group of copies is never expanded. Equal sets are one node. Under each pair all nodes
-are first compared with its leader, the node whose pairs hold most documents; what that
-links is contracted, and only nodes of different components that still share a pair are
-compared with each other. Pairs that hold many of these are subdivided by a second one.
+A group of copies is never expanded. Equal sets are one node. Under each pair the nodes
+are first compared with its leader alone, the node whose pairs hold most documents, and
+what that links is contracted. Only where different components are left around a leader
+are its nodes compared with each other, in blocks of bounded size, and from a block come
+no pairs but the links that join components. Many texts that are like their leader and
+yet unlinked cost the square of their number in comparisons, though not in rows.
 
 Defined cases: words are split at ASCII white space and lower-cased in A-Z only; a null
 or empty text has no shingle, is linked with nothing and stays; a text of under five
 words is one shingle; a null doc_id takes part in links, is no component's id, and stays
 only where no id in its component is known; rows that repeat a doc_id are nodes of their
-own; an empty table gives an empty one; other columns pass through unless they have the
-name of a result.
+own; an empty table gives an empty one; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -29,25 +31,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, powers, prefix_sums, stage, text_batches
+from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, powers, prefix_sums, split_by, stage, text_batches
 
 SHINGLE = 5
-COORDINATES = 24
-MATCHES = 7
+COORDINATES = 64
+MATCHES = 30
 #: Similarity as a whole percentage: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Values of the filter that keeps texts without a candidate out of the shuffle.
-FILTER_VALUES = 1 << 20
-#: A pair that holds more nodes of different components is subdivided by a second pair.
-CROSS_LIMIT = 64
+#: Nodes around one leader that are compared in one block.
+BLOCK_NODES = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_CHAIN = np.array([pow(0xD1342543DE82EF95, k, 1 << 64) for k in range(64)], np.uint64)
-_XOR = mix64(np.arange(1000, 1064, dtype=np.uint64))
-_MULTIPLY = mix64(np.arange(2000, 2064, dtype=np.uint64)) | np.uint64(1)
+_CHAIN = np.array([pow(0xD1342543DE82EF95, k, 1 << 64) for k in range(256)], np.uint64)
+_XOR = mix64(np.arange(1000, 1256, dtype=np.uint64))
+_MULTIPLY = mix64(np.arange(2000, 2256, dtype=np.uint64)) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
@@ -96,7 +96,7 @@ def set_id(s: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES) -> DataFrame:
-    """doc_id, n_shingles, node (null without shingles) and sig, the keys of the signature."""
+    """doc_id, n_shingles, set (its id, null without shingles) and sig, the keys of the signature."""
     source = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("_text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -108,25 +108,23 @@ def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES
                 yield pd.DataFrame({
                     "doc_id": ids.iloc[at : at + len(texts)].reset_index(drop=True),
                     "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
-                    "node": [set_id(s) if len(s) else None for s in sets],
+                    "set": [set_id(s) if len(s) else None for s in sets],
                     "sig": [next(keys) if len(s) else None for s in sets],
                 })
 
-    return source.mapInPandas(run, "doc_id bigint, n_shingles bigint, node binary, sig array<bigint>")
+    return source.mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>")
 
 
 def prefix_keys(nodes: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """node, popularity, sig and its shared keys from rare to common, each with its place in that order."""
+    """node, popularity and keys, those of its rarest that other nodes hold too."""
     posted = nodes.select("node", F.explode("sig").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     found = posted.join(shared, "key").groupBy("node").agg(
         F.sum("n").alias("popularity"), F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys")
     )
-    # Keys that only this node has are the rarest, so the shared ones start after them.
-    alone = F.lit(coordinates) - F.size("keys")
-    return found.select("node", "popularity", F.transform("keys", lambda x, i: F.struct((alone + i).alias("place"), x["key"].alias("key"))).alias("keys")).where(
-        F.size("keys") >= matches
-    )
+    # Keys that only this node has are the rarest of all, so they fill the prefix first.
+    left = F.lit(coordinates - matches + 1) - (F.lit(coordinates) - F.size("keys"))
+    return found.where((F.size("keys") >= matches) & (left > 0)).select("node", "popularity", F.slice("keys", F.lit(1), left)["key"].alias("keys"))
 
 
 def matched(a: str, b: str) -> str:
@@ -171,79 +169,116 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int = SHINGLE, percent:
                 ok = [100 * s >= percent * (t - s) for s, t in zip(same, total, strict=True)]
                 yield part.loc[ok, ["a", "b"]]
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(run, "a binary, b binary")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(run, "a bigint, b bigint")
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and one text of it, for the nodes of `wanted` (node, doc_id)."""
-    value = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_VALUES))
-    # At most FILTER_VALUES rows: what it lets pass by chance is sorted out by the join.
-    seen = wanted.select(value("doc_id").alias("_v")).distinct()
+    """node and one text of it, for the nodes of `wanted` (node, set, doc_id)."""
     texts = docs.select(docs["doc_id"].cast("bigint").alias("_id"), docs["text"].alias("text"))
-    few = texts.withColumn("_v", value("_id")).join(F.broadcast(seen), "_v", "left_semi")
-    found = few.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select("node", "text")
+    few, _ = split_by(texts, wanted.select(F.col("doc_id").alias("_id")), "_id")
+    found = few.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select("node", "set", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok = []
+            own: list[bytes | None] = []
             for _, part in text_batches(batch["text"].tolist()):
-                ok += [set_id(s) if len(s) else None for s in shingle_sets(part, width)]
-            yield batch[[x == bytes(y) if x is not None else False for x, y in zip(ok, batch["node"], strict=True)]]
+                own += [set_id(s) if len(s) else None for s in shingle_sets(part, width)]
+            yield batch.loc[[x is not None and x == bytes(y) for x, y in zip(own, batch["set"], strict=True)], ["node", "text"]]
+
+    # Rows that repeat a doc_id have several texts; those with the node's own set are right, and any of them.
+    return found.mapInPandas(run, "node bigint, text string").groupBy("node").agg(F.min("text").alias("text"))
+
+
+def links_between(rows: pd.DataFrame, width: int, percent: int, matches: int) -> list[tuple[int, int]]:
+    """Links that join different labels among the nodes of a block; `half` 0 and 1 meet, -1 meets all."""
+    node, half = rows["node"].to_numpy(), rows["half"].to_numpy()
+    sig = np.stack([np.asarray(s, np.int64) for s in rows["sig"]])
+    label = np.unique(rows["label"].to_numpy(), return_inverse=True)[1]
+    same = np.zeros((len(node), len(node)), np.uint8)
+    for k in range(sig.shape[1]):
+        same += sig[:, k, None] == sig[None, :, k]
+    near = np.triu((same >= matches) & (label[:, None] != label[None]) & ((half[:, None] != half[None]) | (half[:, None] < 0)), 1)
+    used = np.flatnonzero(near.any(0) | near.any(1))
+    texts, sets = rows["text"].tolist(), {}
+    for at, part in text_batches([texts[i] for i in used]):
+        sets |= {int(used[at + k]): s for k, s in enumerate(shingle_sets(part, width))}
+    root = list(range(int(label.max(initial=0)) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i in np.flatnonzero(near.any(1)).tolist():
+        own = sets[i]
+        others = [j for j in np.flatnonzero(near[i]).tolist() if find(label[j]) != find(label[i])]
+        others = [j for j in others if 100 * min(len(own), len(sets[j])) >= percent * max(len(own), len(sets[j]))]
+        if not others:
+            continue
+        flat, size = np.concatenate([sets[j] for j in others]), np.array([len(sets[j]) for j in others])
+        hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+        common = np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64)
+        for j in np.array(others)[100 * common >= percent * (len(own) + size - common)].tolist():
+            x, y = find(label[i]), find(label[j])
+            if x != y:
+                root[x] = y
+                out.append((int(node[i]), int(node[j])))
+    return out
+
 
-    # Rows that repeat a doc_id have several texts; the one with the node's own set is right.
-    return found.mapInPandas(run, "node binary, text string").groupBy("node").agg(F.min("text").alias("text"))
+def cross_links(around: DataFrame, sig: DataFrame, texts: DataFrame, width: int, percent: int, matches: int, block_nodes: int) -> DataFrame:
+    """Links (a, b) between different labels around one leader. `around`: leader, node, label."""
+    mixed = around.groupBy("leader").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = mixed.where("low != high").select("leader", F.ceil(F.col("n") / block_nodes).cast("int").alias("blocks"))
+    rows = around.join(mixed, "leader").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A node meets its own block, and each other block once.
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "leader", "node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")).alias("half"),
+    )
+    rows = rows.join(sig, "node").join(texts, "node")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(links_between(group.sort_values("node", kind="stable"), width, percent, matches), columns=["a", "b"], dtype=np.int64)
+
+    return rows.groupBy("leader", "low", "high").applyInPandas(run, "a bigint, b bigint")
 
 
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES, matches: int = MATCHES,
-    percent: int = PERCENT, cross_limit: int = CROSS_LIMIT,
+    percent: int = PERCENT, block_nodes: int = BLOCK_NODES,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     rows = stage(signed(docs, width, coordinates), "signed")
-    nodes = stage(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
-    keyed = stage(prefix_keys(nodes, coordinates, matches), "keyed")
-    cut = coordinates - matches + 1
+    nodes = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    sig = nodes.select("node", "sig")
 
     # Every node against the leader of each of its rare keys.
-    posted = keyed.select("node", "popularity", F.explode(F.filter("keys", lambda x: x["place"] < cut)["key"]).alias("key"))
-    lead = posted.groupBy("key").agg(F.max(F.struct("popularity", "node"))["node"].alias("b"))
-    stars = posted.join(lead, "key").where("node != b").select(F.col("node").alias("a"), "b").distinct()
-    sig = nodes.select("node", "sig")
-    stars = stage(
-        stars.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
-        .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-        .where(F.expr(matched("sa", "sb")) >= matches).select("a", "b"), "stars")
-    # Two nodes that share a key at all may be asked for later, so all of them are fetched once.
-    linked = keyed.select("node").join(nodes.select("node", "doc_id"), "node")
-    texts = stage(_texts_of(docs, linked, width), "texts")
+    posted = stage(prefix_keys(nodes, coordinates, matches), "keyed").select("node", "popularity", F.explode("keys").alias("key"))
+    lead = posted.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("popularity", "node"))["node"].alias("leader")).where("n > 1")
+    around = stage(posted.join(lead, "key").where("node != leader").select("leader", "node").distinct(), "around")
+    stars = around.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    stars = stars.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
+    stars = stage(stars.where(F.expr(matched("sa", "sb")) >= matches).select("a", "b"), "stars")
+    asked = around.select("node").union(around.select(F.col("leader").alias("node"))).distinct()
+    texts = stage(_texts_of(docs, nodes.select("node", "set", "doc_id").join(asked, "node"), width), "texts")
     edges = stage(confirmed(stars, texts, width, percent), "links")
     labels = components(edges)
 
-    # What still meets under a rare key from different components.
-    known = labels.select("node", "label")
-    rest = keyed.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rest = rest.join(sig, "node")
-    spread = rest.select("label", F.explode(F.filter("keys", lambda x: x["place"] < cut)["key"]).alias("key"))
-    split = stage(spread.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low != high").select("key", "n"), "split")
-    open_nodes = rest.select("node", "label", "sig", "keys", F.explode(F.filter("keys", lambda x: x["place"] < cut)["key"]).alias("key")).join(split, "key")
-    small = open_nodes.where(F.col("n") <= cross_limit).select("node", "label", "sig", F.array("key").alias("key"))
-    second = F.filter("keys", lambda x: (x["place"] < cut + 1) & (x["key"] != F.col("key")))["key"]
-    large = open_nodes.where(F.col("n") > cross_limit).select("node", "label", "sig", "key", F.explode(second).alias("key2"))
-    large = large.select("node", "label", "sig", F.array(F.least("key", "key2"), F.greatest("key", "key2")).alias("key")).distinct()
-    cross = stage(small.unionByName(large), "cross")
-    x = cross.select(F.col("node").alias("a"), F.col("label").alias("la"), F.col("sig").alias("sa"), "key")
-    y = cross.select(F.col("node").alias("b"), F.col("label").alias("lb"), F.col("sig").alias("sb"), "key")
-    more = x.join(y, "key").where((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b"))).where(F.expr(matched("sa", "sb")) >= matches)
-    more = stage(more.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "more")
-    new_edges = stage(confirmed(more, texts, width, percent), "links")
-    if new_edges.limit(1).count():
-        labels = components(edges.union(new_edges))
-
-    grouped = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # The nodes around one leader that are still of different components.
+    labelled = around.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    more = stage(cross_links(labelled, sig, texts, width, percent, matches, block_nodes), "links")
+    if more.limit(1).count():
+        labels = components(edges.union(more))
+
+    grouped = nodes.select("set", "doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(ids, "label").select("node", "component_id")
-    out = rows.join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    named = grouped.join(ids, "label").select("set", "component_id")
+    out = rows.select("doc_id", "n_shingles", "set").join(named, "set", "left")
+    component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
