@@ -31,7 +31,7 @@ DEFAULT_VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.json"
 #: Fragments remembered per worker, and the longest of them.
 REMEMBERED, REMEMBERED_BYTES = 400_000, 48
 #: Characters encoded in one step; a longer text is a step of its own.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1_000_000
 
 # White space beyond ASCII: its last bytes look like those of letters.
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")

@@ -30,14 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, parts, powers, prefix_sums, stage, text_batches
+from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, parts, powers, prefix_sums, split_by, stage, text_batches
 
 WIDTH = 400
 #: Bytes of text in a block, and suffixes in a bucket.
-BLOCK_BYTES = 2 << 20
-BUCKET_SUFFIXES = 1_500_000
-#: Values of the filter that keeps untouched texts out of shuffles.
-FILTER_VALUES = 1 << 20
+BLOCK_BYTES = 1_000_000
+BUCKET_SUFFIXES = 1_000_000
 
 _SENT = "bucket int, block bigint, kind int, a binary, b binary"
 _NOWHERE = 0xFFFFFFFF
@@ -161,17 +159,6 @@ def _keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.unhex(F.md5(F.encode(t, "UTF-8"))).alias("tid"), t.alias("text"))
 
 
-def _value(c: str):
-    return F.pmod(F.xxhash64(c), F.lit(FILTER_VALUES))
-
-
-def _split(rows: DataFrame, tids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`rows` that may have a tid of `tids`, and those that cannot, by a filter of bounded size."""
-    seen = F.broadcast(tids.select(_value("tid").alias("_v")).distinct())  # FILTER_VALUES rows at most
-    valued = rows.withColumn("_v", _value("tid"))
-    return valued.join(seen, "_v", "left_semi").drop("_v"), valued.join(seen, "_v", "left_anti").drop("_v")
-
-
 def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", bucket_suffixes: int = BUCKET_SUFFIXES) -> DataFrame:
     """tid (md5 of the text) and spans (array of start, end in bytes, end exclusive) of texts with repeats."""
     period, cover = difference_cover(width)
@@ -182,7 +169,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", buck
     classes = stage(classes, "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     copied = classes.where("copies > 1")
-    often, once = _split(long_enough, copied)
+    often, once = split_by(long_enough, copied, "tid")
     once = once.withColumn("note", F.lit(b""))
     often = often.dropDuplicates(["tid"]).sortWithinPartitions("tid").withColumn("note", F.lit(b""))
     distinct = once.unionByName(often)
@@ -200,7 +187,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", buck
     ranks = stage(ranks.withColumnRenamed("runs", "note"), "ranks")
 
     # The texts with tied ranks, near ones side by side, so that a block knows most of their ties.
-    few, _ = _split(long_enough, ranks)
+    few, _ = split_by(long_enough, ranks, "tid")
     few = few.join(ranks, "tid").select("tid", "text", "note").dropDuplicates(["tid"])
 
     def anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -250,7 +237,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, text: str = "text") -> Data
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in names]).alias("d"), docs[text].alias("_t"))
     t = F.coalesce("_t", F.lit(""))
     rows = held.select("d", t.alias("t"), F.unhex(F.md5(F.encode(t, "UTF-8"))).alias("tid"))
-    some, none = _split(rows, spans)
+    some, none = split_by(rows, spans, "tid")
     none = none.select("d", F.octet_length("t").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.encode("t", "UTF-8").alias("kept"))
     some = some.join(spans, "tid", "left").select(
         "d", F.encode("t", "UTF-8").alias("t"), F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("s")
