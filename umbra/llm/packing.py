@@ -2,9 +2,10 @@
 
 Items are dealt over partitions of bounded size and packed there by best-fit
 decreasing. Dual-feasible functions give a lower bound for each partition's bin count;
-a partition that meets its bound is done. In the others the bins that are not full
-give up their items; these are dealt anew over fewer partitions, so that partitions
-exchange documents, and packed again, until all bounds are met or nothing is gained.
+a partition that meets its bound is done, but for its emptiest bin. In the others all bins
+that are not full give up their items; these are dealt anew over fewer partitions, so that partitions
+exchange documents, and packed again, until all bounds are met or nothing is gained
+in partitions of the largest size. A packing that gains nothing is not taken.
 
 Defined cases: a null text is an empty one and still has its closing id; a repeated
 document is packed each time it occurs; a null doc_id is kept; an empty table gives an
@@ -31,6 +32,8 @@ from umbra.llm.common import stage, text_rows
 CAPACITY = 2048
 #: Items that one task packs; the number of partitions follows the input.
 ITEMS_PER_PART = 40_000
+#: A partition that exchanges grows fourfold a round, up to this many times.
+MOST_GROWTH = 16
 MAX_ROUNDS = 12
 _PIECES = "item bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -125,31 +128,30 @@ def pack(items: DataFrame, capacity: int = CAPACITY, item: str = "item", length:
         "offset": F.when(size == capacity, 0).otherwise(F.raise_error(F.lit("an item is longer than a sequence"))).cast("bigint"),
     })]
     left = items.where(size < capacity)
-    n, base, before = left.count(), 0, None
+    n, base, best = left.count(), 0, None
     schema = items.schema.simpleString()[7:-1] + ", _bin bigint, _offset bigint, _open boolean, _first boolean"
 
     for turn in range(MAX_ROUNDS):
         if not n:
             break
-        deal = max(1, math.ceil(n / items_per_part))
+        grown = min(4**turn, MOST_GROWTH)
+        deal = max(1, math.ceil(n / (items_per_part * grown)))
         part = F.pmod(F.xxhash64(F.col(item), F.lit(turn)), F.lit(deal))
         rows = left.withColumn("_part", part).groupBy("_part")
         packed = stage(rows.applyInPandas(_packer(capacity, length, deal, base), schema), "packed")
         base += deal
-        open_now = packed.where("_open")
-        n_open, open_bins = open_now.agg(F.count("*"), F.sum(F.col("_first").cast("int"))).first()
-        all_bins = packed.agg(F.sum(F.col("_first").cast("int"))).first()[0]
-        if before is not None and all_bins >= before[0]:
-            done.append(_placed(before[1], items))  # nothing gained: the packing of the round before stays
+        bins = F.sum(F.col("_first").cast("int"))
+        total = packed.agg(bins).first()[0]
+        gained = best is None or total < best[0]
+        if gained:  # else the packing of an earlier round stays, and its items are dealt again
+            done.append(_placed(packed.where("NOT _open"), items))
+            open_now = packed.where("_open")
+            n, open_bins = open_now.agg(F.count("*"), bins).first()
+            left, best = open_now.select(*items.columns), (open_bins, open_now)
+        if deal == 1 or (grown == MOST_GROWTH and not gained):
             break
-        closed = packed.where("NOT _open")
-        done.append(_placed(closed, items))
-        left, n, before = open_now.select(*items.columns), n_open, (open_bins, open_now)
-        if n_open and deal == 1:
-            done.append(_placed(open_now, items))  # all of it was in one partition: there is nobody to exchange with
-            break
-    else:
-        done.append(_placed(before[1], items))
+    if n:
+        done.append(_placed(best[1], items))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -168,10 +170,12 @@ def _packer(capacity: int, length: str, deal: int, base: int):
         sizes = batch[length].fillna(0).to_numpy(np.int64)
         bins, offsets, filled = best_fit_decreasing(sizes, capacity)
         met = len(filled) <= lower_bound(sizes, capacity)
+        # A partition that meets its bound still has a last bin to share, unless it is the only one.
+        loose = deal > 1 and bins == int(filled.argmin())
         first = np.zeros(len(bins), bool)
         first[np.unique(bins, return_index=True)[1]] = True
         return batch.assign(
-            _bin=(base + part) * (1 << 24) + bins, _offset=offsets, _open=(filled[bins] < capacity) & (not met),
+            _bin=(base + part) * (1 << 24) + bins, _offset=offsets, _open=(filled[bins] < capacity) & (loose | (not met)),
             _first=first,
         )
 

@@ -101,8 +101,17 @@ def label_model(votes: np.ndarray, mass: np.ndarray, iterations: int = ITERATION
     """
     n, m = votes.shape
     post = np.where(votes.any(1), 0.9, 0.01)
-    weight = np.ones(m)
     speaks = np.zeros((2, m))
+
+    def correlation(p: np.ndarray, mean: np.ndarray) -> np.ndarray:
+        d = votes - mean
+        cov = (d * p[:, None]).T @ d / max(p.sum(), 1e-9)
+        sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+        return cov / np.outer(sd, sd) * (1 - np.eye(m))
+
+    # Voters that say the same whatever the class would pass for a class of their own.
+    alike = correlation(mass, np.average(votes, axis=0, weights=mass))
+    weight = 1 / (1 + np.where(alike > 0.9, alike, 0).sum(1))
     shared = np.zeros((m, m))
     # First as if voters were independent; then, with the classes told apart, less what they share.
     for discounted in (False, True):
@@ -119,11 +128,7 @@ def label_model(votes: np.ndarray, mass: np.ndarray, iterations: int = ITERATION
                 break
         if not discounted:
             for c, p in ((0, (1 - post) * mass), (1, post * mass)):
-                d = votes - speaks[c]
-                cov = (d * p[:, None]).T @ d / max(p.sum(), 1e-9)
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-                shared = np.maximum(shared, cov / np.outer(sd, sd))
-            np.fill_diagonal(shared, 0)
+                shared = np.maximum(shared, correlation(p, speaks[c]))
             weight = 1 / (1 + np.where(shared > 0.1, shared, 0).sum(1))
     return post, {"speaks": speaks, "correlation": shared, "weight": weight}
 
