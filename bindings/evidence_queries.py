@@ -382,11 +382,10 @@ def structure_shortfall(spark, sf):
 
 @query("confident_structures", """
 SELECT p_partkey AS protein_id, coalesce(plddt, 70.0) AS plddt
-FROM part LEFT JOIN (SELECT l_partkey, max(l_quantity) * 1.5 AS plddt FROM lineitem WHERE l_returnflag = 'R'
-  AND l_linestatus = 'O' AND l_linenumber = 1 GROUP BY 1) ON l_partkey = p_partkey
+FROM part LEFT JOIN (SELECT l_partkey, max(l_quantity) * 1.5 AS plddt FROM lineitem GROUP BY 1) ON l_partkey = p_partkey
 WHERE coalesce(plddt, 70.0) >= 70""")
 def confident_structures(spark, sf):
-    li = load(spark, sf, "lineitem").where("l_returnflag = 'R' AND l_linestatus = 'O' AND l_linenumber = 1")
+    li = load(spark, sf, "lineitem")
     scores = li.groupBy(F.col("l_partkey").alias("protein_id")).agg((F.max("l_quantity") * 1.5).alias("plddt"))
     parts = load(spark, sf, "part").select(F.col("p_partkey").alias("protein_id"))
     return E.plddt_gate(parts, scores).select("protein_id", F.coalesce("plddt", F.lit(70.0)).alias("plddt"))
@@ -514,13 +513,13 @@ def annotation_coverage_by_tier(spark, sf):
 
 # ---------------------------------------------------------------- agreement
 SIDES_SQL = """sides AS (SELECT p_partkey,
-  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'A' AND l_quantity > 25), []) AS a,
-  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'N' AND l_quantity > 25), []) AS b
+  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'A'), []) AS a,
+  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'N'), []) AS b
   FROM part)"""
 
 
 def two_sources(spark, sf) -> DataFrame:
-    li = load(spark, sf, "lineitem").where("l_quantity > 25")
+    li = load(spark, sf, "lineitem")
     calls = lambda f, t: F.collect_set(F.when(F.col("l_returnflag") == f, t))
     plain = s("l_suppkey")
     sides = li.groupBy(F.col("l_partkey").alias("protein_id")).agg(
@@ -627,10 +626,10 @@ def interpro_informative(spark, sf):
 
 
 @query("ncbifam_uninformative", """
-WITH h AS (SELECT l_partkey AS protein_id, s_nationkey AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity <= 5)
+WITH h AS (SELECT l_partkey AS protein_id, s_nationkey AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
 SELECT protein_id, bool_or(k < 10) AS any_informative, NOT bool_or(k < 10) AS ncbifam_uninformative FROM h GROUP BY 1""")
 def ncbifam_uninformative(spark, sf):
-    li = load(spark, sf, "lineitem").where("l_quantity <= 5")
+    li = load(spark, sf, "lineitem")
     hits = H.hit(li.select(F.col("l_partkey").alias("_p"), F.concat(F.lit("T"), s("l_suppkey")).alias("_n"),
                            F.col("l_extendedprice").alias("_s")),
                  "ncbifam", protein_id=s("_p"), name=F.col("_n"), score=F.col("_s")).select(*H.HIT_COLUMNS)

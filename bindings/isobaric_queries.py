@@ -120,14 +120,14 @@ def channels_in_use(spark, sf):
 
 @query("plex_exposure", f"""WITH {R.TAXA_SQL},
 s AS (SELECT DISTINCT taxid, protein_id, l_returnflag AS plex FROM lineitem JOIN taxa ON protein_id = l_partkey
-  WHERE taxid IS NOT NULL AND l_quantity >= 40),
+  WHERE taxid IS NOT NULL),
 p AS (SELECT taxid, protein_id, count(*) = 3 AS complete FROM s GROUP BY ALL),
 t AS (SELECT taxid, count(*) FILTER (complete) AS c FROM p GROUP BY taxid)
 SELECT count(*) FILTER (c < 40) AS n_exposed, count(*) AS n_taxa FROM t""")
 def plex_exposure(spark, sf):
     from umbra.plans.joins import lookup_join
 
-    li = load(spark, sf, "lineitem").where("l_quantity >= 40").select(
+    li = load(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("protein_id"), F.col("l_returnflag").alias("plex"), F.col("l_extendedprice").alias("value"))
     return I.plex_exposure(lookup_join(li, R.taxa(spark, sf), ["protein_id"]), 40)
 

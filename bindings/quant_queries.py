@@ -182,21 +182,20 @@ def feature_support_by_bin(spark, sf):
 
 
 @query("proteins_named_by_quant", """
-SELECT p_partkey AS protein_id FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 48)""")
+SELECT p_partkey AS protein_id FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""")
 def proteins_named_by_quant(spark, sf):
     return _subset(spark, sf)[0]
 
 
 @query("quant_ids_without_sequence", """
-SELECT DISTINCT l_partkey AS protein_id FROM lineitem WHERE l_quantity > 48
-  AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)""")
+SELECT DISTINCT l_partkey AS protein_id FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)""")
 def quant_ids_without_sequence(spark, sf):
     return _subset(spark, sf, 10)[1]
 
 
 def _subset(spark, sf, min_size=0):
     proteins = load(spark, sf, "part").where(F.col("p_size") > min_size).select(F.col("p_partkey").alias("protein_id"))
-    feats = load(spark, sf, "lineitem").where("l_quantity > 48").groupBy(F.col("l_orderkey").alias("feature_id")).agg(
+    feats = load(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("feature_id")).agg(
         F.collect_set("l_partkey").alias("candidates"))
     return Ft.subset_to_quant(proteins, feats)
 
@@ -337,14 +336,14 @@ def taxon_size_factors_fallbacks(spark, sf):
 
 @query("normalisation_risk", f"""WITH {R.TAXA_SQL},
 d AS (SELECT taxid, l_returnflag AS method, l_discount - 0.05 AS lfc, abs(l_discount - 0.05) > 0.03 AS deviates,
-  round(length(taxid) - 7.5, 1) AS f FROM lineitem JOIN taxa ON protein_id = l_partkey WHERE taxid IS NOT NULL AND l_linenumber = 1),
+  round(length(taxid) - 7.5, 1) AS f FROM lineitem JOIN taxa ON protein_id = l_partkey WHERE taxid IS NOT NULL),
 t AS (SELECT taxid, f AS factor_log2fc, count(*) AS n_tested, count(*) FILTER (deviates) AS n_dev,
   count(*) FILTER (deviates AND sign(lfc) <> sign(f)) AS n_opposing, min(method) AS method FROM d GROUP BY ALL)
 SELECT taxid, n_tested, n_dev, n_opposing, CASE WHEN method = 'sum_fallback' THEN 'fragile (too few proteins)'
   WHEN abs(factor_log2fc) > 0.4 AND n_dev >= 3 AND n_opposing / n_dev > 0.5 AND n_opposing / n_tested >= 0.3 THEN 'AT RISK'
   WHEN n_dev / n_tested > 0.5 THEN 'check (median in a sparse region)' ELSE 'ok' END AS assumption FROM t""")
 def normalisation_risk(spark, sf):
-    li = load(spark, sf, "lineitem").where("l_linenumber = 1")
+    li = load(spark, sf, "lineitem")
     owned = lookup_join(li.withColumn("protein_id", F.col("l_partkey")), R.taxa(spark, sf), ["protein_id"]).where(
         "taxid IS NOT NULL")
     lfc = F.col("l_discount") - 0.05

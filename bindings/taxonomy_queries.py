@@ -84,10 +84,10 @@ def lineage_at_rank(spark, sf):
 
 # ---------------------------------------------------------------- consensus
 # An order is a protein, its lines are peptides, and suppliers give the lineage.
-# A line of flag A stops at the nation, one of quantity 1 has no lineage.
+# A line of flag A stops at the nation.
 PEP_SQL = """pep AS (SELECT l_orderkey AS protein_id, 'R' || n_regionkey AS domain, 'N' || n_nationkey AS genus,
     CASE WHEN l_returnflag <> 'A' THEN 'S' || l_suppkey END AS species
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity > 1),
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 sz AS (SELECT protein_id, count(*) AS n_peptides FROM pep GROUP BY 1),
 v AS (SELECT protein_id, 0 AS d, 'domain' AS rank, domain AS t, count(*) AS n FROM pep GROUP BY ALL
   UNION ALL SELECT protein_id, 5, 'genus', genus, count(*) FROM pep GROUP BY ALL
@@ -103,7 +103,7 @@ con AS (SELECT sz.protein_id, CASE WHEN n_peptides >= 2 THEN w.t END AS consensu
 
 
 def peptide_lineages(spark, sf) -> DataFrame:
-    li = load(spark, sf, "lineitem").where("l_quantity > 1")
+    li = load(spark, sf, "lineitem")
     sup = load(spark, sf, "supplier").join(F.broadcast(load(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
     rows = li.join(F.broadcast(sup), F.col("l_suppkey") == F.col("s_suppkey"))
     ids = {"domain": key("R", "n_regionkey"), "genus": key("N", "n_nationkey"),
