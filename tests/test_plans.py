@@ -125,3 +125,16 @@ def test_large_protein_polish_equals_the_small_one(spark):
     large = {r["sample"]: r["value"] for r in Ft.rollup_median_polish(df, iterations=3, cell_limit=5).collect()}
     assert small == {s: pytest.approx(v) for s, v in large.items()}
     assert sum(small.values()) == pytest.approx(sum(r[3] for r in rows))
+
+
+def test_the_shipped_archive_holds_the_packages():
+    import io
+    import os
+    import zipfile
+
+    from umbra.plans.shipping import archive
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    names = zipfile.ZipFile(io.BytesIO(archive(root, ("umbra", "bindings", "absent")))).namelist()
+    assert {"umbra/__init__.py", "umbra/plans/joins.py", "bindings/registry.py"} <= set(names)
+    assert all(n.endswith(".py") for n in names)
