@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from umbra.llm.common import TOKENIZERS, joined_bytes, span_hashes, text_batches, text_rows
+from umbra.llm.common import TOKENIZERS, in_small_batches, joined_bytes, span_hashes, text_batches, text_rows
 
 DEFAULT_VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.json"
 #: Fragments remembered per worker, and the longest of them.
@@ -202,7 +202,7 @@ def encode_documents(
                 out = part[list(keep)].assign(ids=ids, n_tokens=np.array([len(x) // 4 for x in ids], np.int64))
                 yield out.assign(text=list(map(own.decode, ids))) if decoded else out
 
-    return source.mapInPandas(run, f"{_plain(source)}, ids binary, n_tokens bigint" + ", text string" * decoded)
+    return in_small_batches(source).mapInPandas(run, f"{_plain(source)}, ids binary, n_tokens bigint" + ", text string" * decoded)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -214,4 +214,4 @@ def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, i
         for batch in batches:
             yield batch.assign(text=[decode(i) if i is not None else None for i in batch.pop("_ids")])
 
-    return source.mapInPandas(run, f"{_plain(source)}, text string")
+    return in_small_batches(source).mapInPandas(run, f"{_plain(source)}, text string")

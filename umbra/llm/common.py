@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +30,18 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows that are sent to Python at once. Texts are wide, and several batches are held at a time.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, after the session's Arrow batches were set to BATCH_ROWS where they were larger."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, made longer until no column of `df` has it."""
     taken = {c.lower() for c in df.columns}
@@ -61,17 +72,6 @@ def held_out():
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def map_pandas(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """mapInPandas with a function of one batch."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                yield fn(batch)
-
-    return df.mapInPandas(run, schema)
-
-
 def text_batches(values, limit: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) in runs of at most `limit` bytes, or of one longer text."""
     start, held, size = 0, [], 0

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import mix64, text_rows
+from umbra.llm.common import in_small_batches, mix64, text_rows
 
 LENGTHS = (1, 2, 3)
 DIMENSIONS = 1 << 15
@@ -93,7 +93,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
         return pd.DataFrame({"part": [int(group["part"].iloc[0])], "n": [int(group["n"].sum())], "df": [total.tobytes()]})
 
     schema = "part bigint, n bigint, df binary"
-    sums = docs.select(docs[text].alias("t")).mapInPandas(count, schema)
+    sums = in_small_batches(docs).select(docs[text].alias("t")).mapInPandas(count, schema)
     sums = sums.withColumn("part", F.col("part") % 64).groupBy("part").applyInPandas(add, schema)
     rows = sums.collect()  # at most 64 vectors of fixed length
     total = np.zeros(DIMENSIONS, np.int64)
@@ -222,7 +222,7 @@ def identify(docs: DataFrame, model: dict | None, text: str = "text", keep: tupl
                     score.append(float(1 / np.exp(s - s[k]).sum()))
                 yield part[list(keep)].assign(lang_pred=best, score=score)
 
-    return source.mapInPandas(run, f"{schema}, lang_pred string, score double")
+    return in_small_batches(source).mapInPandas(run, f"{schema}, lang_pred string, score double")
 
 
 def languages(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, powers, prefix_sums, split_by, stage, text_batches
+from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, powers, prefix_sums, split_by, stage, text_batches
 
 SHINGLE = 5
 COORDINATES = 64
@@ -112,7 +112,7 @@ def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES
                     "sig": [next(keys) if len(s) else None for s in sets],
                 })
 
-    return source.mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>")
+    return in_small_batches(source).mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>")
 
 
 def prefix_keys(nodes: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
@@ -186,7 +186,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield batch.loc[[x is not None and x == bytes(y) for x, y in zip(own, batch["set"], strict=True)], ["node", "text"]]
 
     # Rows that repeat a doc_id have several texts; those with the node's own set are right, and any of them.
-    return found.mapInPandas(run, "node bigint, text string").groupBy("node").agg(F.min("text").alias("text"))
+    return in_small_batches(found).mapInPandas(run, "node bigint, text string").groupBy("node").agg(F.min("text").alias("text"))
 
 
 def links_between(rows: pd.DataFrame, width: int, percent: int, matches: int) -> list[tuple[int, int]]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from umbra.llm.bpe import DEFAULT_VOCABULARY, codec
-from umbra.llm.common import stage, text_rows
+from umbra.llm.common import in_small_batches, stage, text_rows
 
 CAPACITY = 2048
 #: Items that one task packs; the number of partitions follows the input.
@@ -113,7 +113,7 @@ def token_pieces(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, capacity
                 out = pd.DataFrame(rows, columns=["item", "doc_id", "piece", "start", "length", "ids_crc32"])
                 yield out.astype({"doc_id": "Int64", "piece": "int32"})
 
-    return source.mapInPandas(run, _PIECES)
+    return in_small_batches(source).mapInPandas(run, _PIECES)
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, item: str = "item", length: str = "length", items_per_part: int = ITEMS_PER_PART) -> DataFrame:

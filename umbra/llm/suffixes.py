@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, parts, powers, prefix_sums, split_by, stage, text_batches
+from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, parts, powers, prefix_sums, split_by, stage, text_batches
 
 WIDTH = 400
 #: Bytes of text in a block, and suffixes in a bucket.
@@ -149,7 +149,7 @@ def tied(texts: DataFrame, choose: Callable[[int, bytes], np.ndarray], depth: in
         ]
         return pd.DataFrame(rows, columns=["tid", "runs"])
 
-    sent = texts.select("tid", "text", "note").mapInPandas(send, _SENT)
+    sent = in_small_batches(texts).select("tid", "text", "note").mapInPandas(send, _SENT)
     ranked = sent.groupBy("bucket").applyInPandas(sort_bucket, "block bigint, kind int, a binary, b binary")
     return ranked.groupBy("block").applyInPandas(gather, "tid binary, runs binary")
 
@@ -188,7 +188,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", buck
 
     # The texts with tied ranks, near ones side by side, so that a block knows most of their ties.
     few, _ = split_by(long_enough, ranks, "tid")
-    few = few.join(ranks, "tid").select("tid", "text", "note").dropDuplicates(["tid"])
+    # Copies are dropped before the join, so that they meet already reduced on the map side.
+    few = few.dropDuplicates(["tid"]).join(ranks, "tid").select("tid", "text", "note")
 
     def anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -201,7 +202,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", buck
                 anchors.append(int(h.min() >> np.uint64(1)))
             yield batch.assign(anchor=np.array(anchors, np.int64))
 
-    near = stage(few.mapInPandas(anchored, "tid binary, text string, note binary, anchor bigint"), "near")
+    near = stage(in_small_batches(few).mapInPandas(anchored, "tid binary, text string, note binary, anchor bigint"), "near")
     left = near.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     pieces = max(1, math.ceil(left / (4 * BLOCK_BYTES)))
     near = near.repartitionByRange(pieces, "anchor", "tid").sortWithinPartitions("anchor", "tid")

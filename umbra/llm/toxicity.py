@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import BYTE_VALUES, joined_bytes, mix64, powers, prefix_sums, text_batches
+from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, powers, prefix_sums, text_batches
 
 #: Common insults of English, German, French and Spanish.
 SEEDS = (
@@ -235,7 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         table, w, b = fit_terms(sets, kinds, group["shouts"].to_numpy(), y, clean_mass, seeds, max_terms)
         return pd.DataFrame({"terms": [table.tobytes()], "weights": [w.tobytes()], "intercept": [b]})
 
-    sets = chosen.mapInPandas(distinct, "k string, y int, h binary, kind binary, shouts boolean").withColumn("one", F.lit(0))
+    sets = in_small_batches(chosen).mapInPandas(distinct, "k string, y int, h binary, kind binary, shouts boolean").withColumn("one", F.lit(0))
     model = sets.groupBy("one").applyInPandas(fit, "terms binary, weights binary, intercept double").first()
     if model is None or not model["terms"]:
         return fallback
@@ -261,7 +261,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", keep: tuple[str, ...
                     found.append(1 / (1 + np.exp(-np.clip(s, -30, 30))))
                 yield batch.iloc[at : at + len(texts)][list(keep)].assign(score=np.array(found))
 
-    return source.mapInPandas(run, f"{schema}, score double")
+    return in_small_batches(source).mapInPandas(run, f"{schema}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, learnable: Column, keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.3) -> DataFrame:
