@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
 
 from pyspark.sql import functions as F
 
 from bindings import registry as R
-from bindings.evidence_queries import EVIDENCE_SQL, eggnog_lines, evidence_hits, s
+from bindings.evidence_queries import EVIDENCE_SQL, eggnog_lines, every_line, evidence_hits, s, whole_hits
 from bindings.quant_queries import EVID_SQL, MODE_SQL, factor_sql
 from bindings.registry import load, query
 from umbra.operators.evidence import EvidenceOptions, ScoreOptions
@@ -16,7 +17,7 @@ from umbra.plans.lineage import cut_lineage
 from umbra.sources import proteins as P
 
 
-def annotated(spark, sf) -> J.Annotated:
+def annotated(spark, sf, hits=evidence_hits) -> J.Annotated:
     part = load(spark, sf, "part")
     proteins = part.select(
         F.concat(F.lit("P"), s("p_partkey")).alias("protein_id"), F.col("p_name").alias("description"),
@@ -24,16 +25,19 @@ def annotated(spark, sf) -> J.Annotated:
     lines, header = eggnog_lines(spark, sf)
     egg = P.typed_eggnog(P.parse_eggnog(lines, header))
     options = EvidenceOptions(score=ScoreOptions(small_length=10))
-    return J.annotate(proteins, egg, evidence_hits(spark, sf), 100, 40, options=options)
+    return J.annotate(proteins, egg, hits(spark, sf), 100, 40, options=options)
 
 
 @query("annotate_job", f"""WITH {EVIDENCE_SQL}
 SELECT bin, count(*) AS n, CAST(sum(export_score) AS BIGINT) AS total_score FROM ann GROUP BY bin""")
-def annotate_job(spark, sf):
-    out = annotated(spark, sf)
+def annotate_job(spark, sf, hits=evidence_hits):
+    out = annotated(spark, sf, hits)
     return out.annotation.groupBy("bin").agg(F.count("*").alias("n"), F.sum("export_score").alias("total_score"))
 
 
+query("annotate_job_whole", every_line(R.ORACLES["annotate_job"]))(partial(annotate_job, hits=whole_hits))
+
+
 def quantified(spark, sf) -> J.Quantified:
     part = load(spark, sf, "part")
     annotation = part.select(

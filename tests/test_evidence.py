@@ -7,6 +7,8 @@ from makers import (PROTEIN_SCHEMA, PROTEINS, diamond_line, domtblout_line, eggn
                     foldseek_line, interpro_line, kofam_line, protein_rows, tblout_line)
 from pyspark.sql import functions as F
 
+from bindings import evidence_queries, job_queries  # noqa: F401
+from bindings.registry import ORACLES, QUERIES
 from umbra.operators import bins as B
 from umbra.operators import evidence as E
 from umbra.operators import tiers as Ti
@@ -285,3 +287,11 @@ def test_the_family_rule_is_asked_of_every_data_set(spark):
     fam = spark.createDataFrame([("A", "p1", "f"), ("B", "p1", "f")], "ds string, protein_id string, family_id string")
     with pytest.raises(InputError, match="one member"):
         check_families(fam, ["ds"])
+
+
+def test_every_line_is_a_hit_of_the_whole_queries(spark):
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    hits = QUERIES["evidence_union_whole"](spark, sf).collect()
+    assert len(hits) == 4 and sum(r["n"] for r in hits) == n
+    assert "l_quantity" not in ORACLES["annotate_job_whole"] and "l_quantity" not in ORACLES["annotation_table_whole"]
