@@ -100,6 +100,25 @@ def test_licences_are_found_in_any_spelling(docs_of, spark):
     assert licenses.licenses(docs_of(texts).limit(0), licenses.known(spark)).count() == 0
 
 
+def test_licence_files_with_titles_and_any_copyright_line(docs_of, spark):
+    mit, apache, bsd = licenses.TEXTS["MIT"], licenses.TEXTS["Apache-2.0"], licenses.TEXTS["BSD-3-Clause"]
+    texts = [
+        "MIT License\n\nCopyright (c) Some Company\n\n" + mit, "The MIT License (MIT)\n\nCopyright Some Company, Inc.\n\n" + mit,
+        "ISC License\n\nCopyright (c) 2020, X\n\n" + licenses.TEXTS["ISC"], "BSD 3-Clause License\n\nCopyright (c) X\nAll rights reserved.\n\n" + bsd,
+        re.sub(r"(?m)^\d\.", "*", bsd), apache[: apache.index("   APPENDIX")], apache.replace("[yyyy] [name of copyright owner]", "2020 X"),
+        *(licenses.TEXTS[k] for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense", "BSD-2-Clause")),
+        "Licensed under CC BY-NC 4.0.", mit.replace("The above copyright notice", "The above\ncopyright notice"), bsd.replace("COPYRIGHT HOLDERS AND CONTRIBUTORS", "\nCOPYRIGHT HOLDERS AND CONTRIBUTORS\n"),
+        mit + "\n" + licenses.TEXTS["ISC"],
+    ]
+    got = by_id(licenses.licenses(docs_of(texts), licenses.known(spark), licenses.known(spark, licenses.NOTICES)))
+    assert [got[i]["license_id"] for i in range(len(texts))] == [
+        "MIT", "MIT", "ISC", "BSD-3-Clause", "BSD-3-Clause", "Apache-2.0", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense",
+        "BSD-2-Clause", None, "MIT", "BSD-3-Clause", None]
+    assert got[13]["notices"] == ["CC-BY-NC-4.0"]
+    with pytest.raises(ValueError, match="notice"):
+        licenses.licenses(docs_of(texts), licenses.known(spark), licenses.known(spark, {"X": "All rights to everyone"}))
+
+
 # ------------------------------------------------------------- BPE
 def test_bpe_equals_the_library_on_random_strings():
     codec = bpe.codec(bpe.DEFAULT_VOCABULARY)
