@@ -25,16 +25,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: that of the smallest id. Repeated rows count as one."""
-    groups = stage(neardup.near_duplicates(docs), "groups")
-    held = docs.select(F.struct("*").alias("d"), F.col("doc_id").cast("bigint").alias("id"), F.col("text"))
-    gone = groups.where("NOT kept").select(F.col("doc_id").alias("id"))
-    some, none = split_by(held, gone, "id")
-    left = none.unionByName(some.join(gone.distinct(), "id", "left_anti").select(*none.columns))
-    again = groups.where("kept").groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id")
+    """One row of each near-duplicate group stays, of the smallest known id. Rows of one id and text count as one.
+
+    Rows are told apart by id and text together, never by id alone, and a null id is a value
+    like others. Rows without a shingle stay; with a known id, their repeats count as one.
+    """
+    of_text = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    key = F.concat(F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")), F.lit(":"), of_text)
+    held = docs.select(F.struct("*").alias("d"), F.col("doc_id"), F.col("text"), key.alias("key"))
+    groups = stage(neardup.near_duplicates(held, key="key"), "groups")
+    gone = groups.where("NOT chosen").select("key").distinct()
+    some, none = split_by(held, gone, "key")
+    left = none.unionByName(some.join(gone, "key", "left_anti").select(*none.columns))
+    again = groups.where("chosen AND (doc_id IS NOT NULL OR n_shingles > 0)").groupBy("key").count().where("count > 1").select("key")
     if again.limit(1).count():
-        some, none = split_by(left, again, "id")
-        left = none.unionByName(some.dropDuplicates(["id", "text"]))
+        some, none = split_by(left, again, "key")
+        once = some.join(again, "key", "left_semi").dropDuplicates(["key", "text"])
+        left = none.unionByName(once).unionByName(some.join(again, "key", "left_anti"))
     return left.select("d.*")
 
 

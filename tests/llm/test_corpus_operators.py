@@ -217,3 +217,13 @@ def test_stages_take_clashing_columns_nulls_repeats_and_empty_tables(docs_of, sp
         assert step(spark, docs.limit(0), sf).count() == 0
     left = corpus_pipeline.near_dedup(spark, docs, sf).collect()
     assert sorted((r["doc_id"] or -1) for r in left) == [-1, 3, 4, 10]
+
+
+def test_near_dedup_drops_rows_and_not_ids(docs_of, spark, sf):
+    a, b, c = (" ".join(sentences(k, 30)) for k in (11, 12, 13))
+    rows = [(5, a), (5, b), (3, b + " end"), (None, c), (7, c + " end"), (8, "x y"), (8, "x y"), (None, ""), (None, "")]
+    docs = docs_of([t for _, t in rows], ids=[i for i, _ in rows])
+    left = sorted(((r["doc_id"] or -1), r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, sf).collect())
+    assert left == sorted([(5, a), (3, b + " end"), (7, c + " end"), (8, "x y"), (-1, ""), (-1, "")])
+    nulls = docs_of([c, c + " end", a], ids=[None, None, None])
+    assert corpus_pipeline.near_dedup(spark, nulls, sf).count() == 2

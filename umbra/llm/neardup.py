@@ -95,9 +95,10 @@ def set_id(s: np.ndarray) -> bytes:
     return a.tobytes() + b.tobytes()
 
 
-def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES) -> DataFrame:
-    """doc_id, n_shingles, set (its id, null without shingles) and sig, the keys of the signature."""
-    source = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("_text"))
+def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES, key: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, set (its id, null without shingles), sig, the keys of the signature, and key if one is named."""
+    keyed = docs[key] if key else F.lit(None)
+    source = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("_text"), keyed.cast("string").alias("key"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -110,9 +111,10 @@ def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES
                     "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
                     "set": [set_id(s) if len(s) else None for s in sets],
                     "sig": [next(keys) if len(s) else None for s in sets],
+                    "key": batch["key"].iloc[at : at + len(texts)].reset_index(drop=True),
                 })
 
-    return in_small_batches(source).mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>")
+    return in_small_batches(source).mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>, key string")
 
 
 def prefix_keys(nodes: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
@@ -248,11 +250,16 @@ def cross_links(around: DataFrame, sig: DataFrame, texts: DataFrame, width: int,
 
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES, matches: int = MATCHES,
-    percent: int = PERCENT, block_nodes: int = BLOCK_NODES,
+    percent: int = PERCENT, block_nodes: int = BLOCK_NODES, key: str | None = None,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row."""
-    rows = stage(signed(docs, width, coordinates), "signed")
-    nodes = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+    """doc_id, n_shingles, component_id and kept of every row.
+
+    With a column `key`, that is returned too, and `chosen`: true for the rows of one key
+    of each component, that of the smallest known doc_id, and for rows without a shingle.
+    """
+    rows = stage(signed(docs, width, coordinates, key), "signed")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("key"))
+    nodes = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.min(first).alias("first"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sig = nodes.select("node", "sig")
 
@@ -274,11 +281,12 @@ def near_duplicates(
     if more.limit(1).count():
         labels = components(edges.union(more))
 
-    grouped = nodes.select("set", "doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    ids = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(ids, "label").select("set", "component_id")
-    out = rows.select("doc_id", "n_shingles", "set").join(named, "set", "left")
+    grouped = nodes.select("set", "doc_id", "node", "first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    ids = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min("first")["key"].alias("first_key"))
+    named = grouped.select("set", "label").join(ids, "label").select("set", "component_id", "first_key")
+    out = rows.select("doc_id", "n_shingles", "set", "key").join(named, "set", "left")
     component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    chosen = [F.col("key"), (F.col("set").isNull() | F.col("key").eqNullSafe(F.col("first_key"))).alias("chosen")] if key else []
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), *chosen).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
