@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbra.llm import bpe, langid, licenses, neardup, packing, quality, secrets, suffixes, topk, toxicity
+from umbra.llm import bpe, collocations, langid, licenses, neardup, packing, quality, ranked, secrets, sharding, suffixes, topk, toxicity
 from umbra.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,77 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, notices = licenses.known(spark), licenses.known(spark, licenses.NOTICES)
     found = licenses.licenses(load(spark, sf_dir, "documents"), texts, notices)
     return found.select("doc_id", "digest", "license_id", F.array_join("notices", ",").alias("notices"))
+
+
+# ------------------------------------------------------------- sharding
+def _draw_sql(key: str, salt: str) -> str:
+    return f"CAST('0x' || substring(md5({key} || ':{salt}'), 1, {sharding.DRAW_BITS // 4}) AS BIGINT)"
+
+
+_DISTANCES = ", ".join(f"-ln(({_draw_sql('k', str(i))} + 0.5) / {float(1 << sharding.DRAW_BITS)})" for i in range(sharding.SHARDS + 1))
+# A text's CRC-32 byte by byte; the table of 256 values follows from the polynomial.
+SHARDING_SQL = f"""
+WITH c AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc),
+t AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, coalesce(text, '') AS t FROM documents),
+d AS (SELECT doc_id, CAST(octet_length(encode(t)) + 1 AS BIGINT) AS size, [{_DISTANCES}] AS far,
+  xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda x, b: xor(x >> 8, crc[(xor(x, b) & 255) + 1])), 4294967295) AS text_crc32 FROM t, c),
+s AS (SELECT doc_id, size, text_crc32, list_position(far[1:{sharding.SHARDS}], list_min(far[1:{sharding.SHARDS}])) - 1 AS shard,
+  list_position(far, list_min(far)) - 1 AS grown_shard FROM d),
+o AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || size || ':' || text_crc32 || ':' || shard || ':' || grown_shard AS r FROM s)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, CAST(grown_shard AS INTEGER) AS grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY {_draw_sql('r', 'slot')}, doc_id, size, text_crc32) - 1 AS slot FROM o"""
+
+
+@query("op11_rendezvous_sharding", SHARDING_SQL)
+def op11_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(load(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- ranked search
+_UPPER = f"'{ranked.UPPER}', '{ranked.LOWER}'"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '{ranked.TERM}')"
+RANKED_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) FILTER (len(t) > 0) AS nn, greatest(1, CAST(sum(len(t)) AS BIGINT)) AS ll FROM d),
+p AS (SELECT doc_id, any_value(len(t)) AS n, x AS term, count(*) AS tf FROM (SELECT doc_id, t, unnest(t) AS x FROM d) GROUP BY doc_id, x),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, nn),
+q AS (SELECT item_id, x AS term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS x FROM benchmark) GROUP BY item_id, x),
+r AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= {ranked.K}"""
+
+
+@query("op12_ranked_search", RANKED_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+# ------------------------------------------------------------- collocations
+_PHRASES = " UNION ALL ".join(
+    f"SELECT lang, array_to_string(w[i:i + {k - 1}], ' ') AS p, {k} AS size FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM w)"
+    for k in range(1, collocations.LONGEST + 1)
+)
+_FIRST, _REST = "array_to_string(string_split(p, ' ')[1:k], ' ')", "array_to_string(string_split(p, ' ')[k + 1:], ' ')"
+COLLOCATIONS_SQL = rf"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}), '[.,;:!?
+-]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM s),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, p, size, count(*) AS f FROM ({_PHRASES}) GROUP BY lang, p, size HAVING count(*) >= {collocations.LEAST}),
+x AS (SELECT lang, string_split(p, ' ') AS v, f FROM f WHERE size > 2),
+gone AS (SELECT lang, array_to_string(v[2:], ' ') AS p, f FROM x UNION SELECT lang, array_to_string(v[1:len(v) - 1], ' '), f FROM x),
+c AS (SELECT * FROM f WHERE size > 1 AND NOT EXISTS (SELECT 1 FROM gone g WHERE g.lang = f.lang AND g.p = f.p AND g.f = f.f)),
+k AS (SELECT lang, p, f AS a, {_FIRST} AS u, {_REST} AS v, k FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+e AS (SELECT k.lang, k.p AS phrase, a, k, l.f AS l, r.f AS r, n, CAST((1000::HUGEINT * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM k JOIN n USING (lang) JOIN f l ON l.lang = k.lang AND l.p = u JOIN f r ON r.lang = k.lang AND r.p = v),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS i FROM e),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank FROM b WHERE i = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= {collocations.MOST}"""
+
+
+@query("op13_collocation_mining", COLLOCATIONS_SQL)
+def op13_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"))
