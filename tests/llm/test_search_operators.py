@@ -185,12 +185,12 @@ def phrase_rows(seed=3, n=120):
     return rows + [("en", None), ("en", ""), ("xx", "."), ("de", "a b " * 400), ("en", "q q q q q q q q q q"), ("und", "new york " * 8)]
 
 
-@pytest.mark.parametrize("most, least, blob", [(2000, 5, 2_000_000), (7, 5, 50), (1, 3, 300), (30, 12, 2_000_000)])
+@pytest.mark.parametrize("most, least, blob", [(2000, 5, 2_000_000), (7, 5, 50)])
 def test_collocations_equal_brute_force(spark, monkeypatch, most, least, blob):
     monkeypatch.setattr(collocations, "BLOB_BYTES", blob)
     rows = phrase_rows()
     docs = spark.createDataFrame([(lang, t, 1, "x") for lang, t in rows], "lang string, text string, n int, phrase string")
-    got = collocations.collocations(docs, most=most, least=least, shares=(0.1, 0.3, 0.6, 1.0)).collect()
+    got = collocations.collocations(docs, most=most, least=least, shares=(0.2, 1.0)).collect()
     assert sorted(tuple(r) for r in got) == phrases_by_hand(rows, least, most)
 
 

@@ -41,7 +41,7 @@ from umbra.llm.common import FILTER_VALUES, in_small_batches, stage
 LEAST, LONGEST, MOST = 100, 5, 2000
 DELIMITERS = b".,;:!?\n\x0b\x0c\r"
 #: Shares of a language's frequent words, by occurrences, that have left the frontier after each step.
-SHARES = (0.125, 0.5, 1.0)
+SHARES = (0.3, 1.0)
 #: Bytes of text in a blob. Only a longer stretch without a delimiter makes a larger one.
 BLOB_BYTES = 2_000_000
 
@@ -78,10 +78,16 @@ def hashed(lang: str, phrases: Sequence[bytes]) -> np.ndarray:
 
 def filter_of(phrases: DataFrame) -> np.ndarray:
     """Flags of the hashed values of (lang, phrase); FILTER_VALUES numbers at most are collected."""
+    return filters_of(phrases.withColumn("length", F.lit(1)), 1)[0]
+
+
+def filters_of(phrases: DataFrame, longest: int) -> list[np.ndarray]:
+    """The flags of the phrases of each `length` from 1 to `longest`, gathered in one job."""
     value = F.crc32(F.concat(F.encode("lang", "UTF-8"), F.lit(b"\t"), "phrase")) % FILTER_VALUES
-    flags = np.zeros(FILTER_VALUES, bool)
-    flags[[r["v"] for r in phrases.select(value.cast("int").alias("v")).distinct().collect()]] = True
-    return flags
+    flags = np.zeros((longest, FILTER_VALUES), bool)
+    for r in phrases.select("length", value.cast("int").alias("v")).distinct().collect():
+        flags[r["length"] - 1, r["v"]] = True
+    return list(flags)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -231,10 +237,10 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
             grown = None
             for length in range(2, longest + 1):
                 found = stage(summed(occurrences(corpus, filters, [length]), least).withColumn("inside", F.col("inside") & F.lit(length < longest)), "phrases")
-                if not found.limit(1).count():
+                filters.append(filter_of(found))
+                if not filters[-1].any():
                     break
                 grown = found if grown is None else grown.unionByName(found)
-                filters.append(filter_of(found))
             if grown is not None:
                 known = known.unionByName(grown.select("lang", "phrase", "n"))
                 low = F.lit(0).cast("bigint")
@@ -242,8 +248,10 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
                     low = F.when(F.col("lang") == x, s).otherwise(low)
                 bounded = stage(scored(cuts(grown.where("NOT inside")), known, totals).where(F.col("score") >= low), "bounded")
                 asked = stage(bounded.select("lang", F.explode("missing").alias("phrase")).distinct(), "rests")
-                if asked.limit(1).count():
-                    known = known.unionByName(stage(_counts_of(corpus, asked, longest), "rests"))
+                filters = _beginnings(asked, longest)
+                if filters[0].any():
+                    rests = occurrences(corpus, filters, range(2, longest)).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+                    known = known.unionByName(stage(rests.join(asked, ["lang", "phrase"]), "rests"))
                     exact = scored(cuts(bounded.select("lang", "phrase", F.col("a").alias("n"))), known, totals)
                 else:
                     exact = bounded
@@ -262,10 +270,8 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
     return top.select("lang", "rank", F.col("phrase").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
 
 
-def _counts_of(corpus: DataFrame, asked: DataFrame, longest: int) -> DataFrame:
-    """lang, phrase and n of the phrases asked for, in one pass over the corpus."""
+def _beginnings(phrases: DataFrame, longest: int) -> list[np.ndarray]:
+    """Filters of the first 1, 2, ... words of the phrases, so that one pass over the corpus finds them."""
     words = F.split(F.col("phrase").cast("string"), " ")
-    beginning = lambda k: F.concat_ws(" ", F.slice(words, 1, k)).cast("binary").alias("phrase")
-    filters = [filter_of(asked.where(F.size(words) >= k).select("lang", beginning(k))) for k in range(1, longest)]
-    found = occurrences(corpus, filters, range(2, longest)).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return found.join(asked, ["lang", "phrase"])
+    rows = phrases.select("lang", words.alias("w")).select("lang", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("length"))
+    return filters_of(rows.select("lang", "length", F.concat_ws(" ", F.slice("w", F.lit(1), F.col("length"))).cast("binary").alias("phrase")), longest - 1)
