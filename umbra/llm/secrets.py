@@ -1,13 +1,15 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are the base patterns and, beyond them, long random-looking tokens. The hash
-of each candidate's value is counted by distinct repositories and owners. A value that
-many owners hold is a copied example; one held by a single owner, and random-looking, is
-taken for a live credential. Such tokens outside the base spans are added as `live`.
+of each candidate's value is counted by distinct repositories and owners, over distinct
+texts: copies of a text are one, of its smallest owner and repository, so that a document
+copied to a second place takes no owner with it. A value of more than `max_owners` owners
+or more than `max_repositories` repositories is a widely copied example; one of fewer,
+and random-looking, is taken for a live credential. Such tokens outside the base spans are
+added as `live`.
 
-Counts start from (hash, owner, repository), so a value in a third of all rows is summed
-before it is shuffled; the join back is a plain one, which Spark splits where it is
-skewed.
+Counts start from (hash, text), so a value in a third of all rows is reduced before it is
+shuffled; the join back is a plain one, which Spark splits where it is skewed.
 
 Defined cases: a null text is an empty one and has no span; base spans never depend on
 other rows; a null owner counts as one owner and a null repository as one repository;
@@ -46,8 +48,8 @@ BASE = (
     Kind("hex", "[0-9a-f]{24,}", 0, 24),
 )
 LIVE = Kind("live", "[A-Za-z0-9+/_=-]{20,}", 0, 20)
-#: A value is an example when more owners than this hold it.
-MAX_OWNERS = 1
+#: A value is an example when more owners, or more repositories, than these hold it.
+MAX_OWNERS, MAX_REPOSITORIES = 1, 3
 #: Different characters of a random-looking value.
 LEAST_CHARACTERS = 10
 
@@ -67,7 +69,7 @@ def _matches(kind: Kind) -> Column:
 
 
 def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """The rows with a number of their own (`row`), and the candidates: row, kind, start, end, hash, random, owner, repository."""
+    """The rows with a number of their own (`row`), and the candidates: row, text_md5, kind, start, end, hash, random, owner, repository."""
     kinds = (*BASE, LIVE)
     row = fresh(docs, "row")
     held = docs.select(
@@ -76,11 +78,12 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
     )
     # Numbers given once and written, so that a task that runs again cannot change them.
     rows = stage(held.select(F.col(row).alias("row"), "d", "owner", "repository", *[_matches(k).alias(f"m{i}") for i, k in enumerate(kinds)]), "scanned")
+    rows = rows.withColumn("text_md5", F.col("d.text_md5"))
     found = None
     for i, k in enumerate(kinds):
-        hits = rows.where(f"m{i} IS NOT NULL").select("row", "owner", "repository", F.posexplode(F.arrays_zip(
+        hits = rows.where(f"m{i} IS NOT NULL").select("row", "text_md5", "owner", "repository", F.posexplode(F.arrays_zip(
             F.slice(f"m{i}.gaps", 1, F.size(f"m{i}.found")).alias("gap"), F.col(f"m{i}.found").alias("hit"))).alias("place", "x"))
-        one = hits.select("row", "owner", "repository", F.lit(i).alias("kind"), "place", F.col("x.gap").alias("gap"), "x.hit.*")
+        one = hits.select("row", "text_md5", "owner", "repository", F.lit(i).alias("kind"), "place", F.col("x.gap").alias("gap"), "x.hit.*")
         found = one if found is None else found.unionByName(one)
     # One document's matches, in order: lengths so far are the places.
     upto = "sum(gap + size) OVER (PARTITION BY row, kind ORDER BY place)"
@@ -92,16 +95,16 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
     found = found.withColumns({"_b": F.expr(before), "_a": F.expr(after)})
     free = (F.coalesce(F.col("_b"), F.lit(0)) <= F.col("start")) & F.coalesce(F.col("_a") >= F.col("end"), F.lit(True))
     found = found.where((F.col("kind") < live) | (F.col("random") & free))
-    return rows.select("row", "d"), found.select("row", "kind", "start", "end", "hash", "random", "owner", "repository")
+    return rows.select("row", "d"), found.select("row", "text_md5", "kind", "start", "end", "hash", "random", "owner", "repository")
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """hash, n_repositories and n_owners."""
-    held = candidates.select("hash", "owner", "repository").distinct()
-    by_owner = held.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    per_repository = held.groupBy("hash", "repository").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.sum("one").alias("n_repositories"))
-    owners = by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"))
-    return owners.join(per_repository, "hash")
+    """hash, n_repositories and n_owners, over distinct texts."""
+    null_last = lambda c: F.min(F.struct(F.col(c).isNull().alias("unknown"), F.col(c).alias("value")))["value"]
+    held = candidates.groupBy("hash", "text_md5").agg(null_last("owner").alias("owner"), null_last("repository").alias("repository"))
+    held = stage(held, "held")
+    count = lambda c, name: held.groupBy("hash", c).agg(F.lit(1).alias("one")).groupBy("hash").agg(F.sum("one").alias(name))
+    return count("owner", "n_owners").join(count("repository", "n_repositories"), "hash")
 
 
 def _joined(kinds: tuple[str, ...], spans: Column) -> Column:
@@ -110,18 +113,20 @@ def _joined(kinds: tuple[str, ...], spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def secrets(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The columns of `docs` but the text, with text_md5, n_<kind> of the base, base_sha256, spans, found, n_live and n_example.
+def secrets(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """The columns of `docs` but the text, with text_md5, n_<kind> of the base, base_sha256, spans, found, n_live, n_example and n_repositories.
 
-    `found` has start, kind (its place in BASE, then live), end, live and n_owners of each span.
+    `found` has start, kind (its place in BASE, then live), end, live, n_owners and n_repositories of each span;
+    n_repositories of a row is the largest of its spans, 0 without one.
     """
     rows, candidates = scan(docs, text, owner, repository)
     candidates = stage(candidates, "candidates")
     judged = candidates.join(ownership(candidates), "hash")
-    judged = judged.withColumn("live", F.col("random") & (F.col("n_owners") <= max_owners))
+    copied = (F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)
+    judged = judged.withColumn("live", F.col("random") & ~copied)
     judged = judged.where((F.col("kind") < len(BASE)) | F.col("live"))
-    per_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "n_owners"))).alias("found"))
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean,n_owners:bigint>>")
+    per_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "n_owners", "n_repositories"))).alias("found"))
+    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean,n_owners:bigint,n_repositories:bigint>>")
     out = rows.join(per_row, "row", "left").withColumn("found", F.coalesce("found", empty))
     base = F.filter("found", lambda x: x["kind"] < len(BASE))
     names = tuple(k.name for k in (*BASE, LIVE))
@@ -129,7 +134,8 @@ def secrets(docs: DataFrame, text: str = "text", owner: str = "source", reposito
     results |= {
         "base_sha256": F.sha2(_joined(names, base), 256), "spans": _joined(names, F.col("found")),
         "n_live": F.size(F.filter("found", lambda x: x["live"])).cast("bigint"),
-        "n_example": F.size(F.filter("found", lambda x: x["n_owners"] > max_owners)).cast("bigint"),
+        "n_example": F.size(F.filter("found", lambda x: (x["n_owners"] > max_owners) | (x["n_repositories"] > max_repositories))).cast("bigint"),
+        "n_repositories": F.coalesce(F.array_max(F.transform("found", lambda x: x["n_repositories"])), F.lit(0).cast("bigint")),
     }
     kept = [c for c in docs.columns if c != text and c not in (*results, "found", "text_md5")]
     return out.select(*[F.col(f"d.`{c}`") for c in kept], "d.text_md5", "found", *[v.alias(n) for n, v in results.items()])
