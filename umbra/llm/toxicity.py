@@ -1,16 +1,19 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-Voters are lexicons and patterns. Each says "toxic" or abstains. Their lexicons are a
-short public seed list and terms mined from learnable labelled documents: words and word
-beginnings that toxic documents hold far more often. The label model is a mixture of two
-classes fitted by expectation maximisation: it estimates how often each voter speaks in
-either class, and the correlation of voters within a class, by which the weight of voters
-that repeat each other is reduced. Its posterior labels train a logistic regression on
-the terms, which scores every text.
+Voters are lexicons, patterns and the annotator. Each says "toxic" or abstains. The
+lexicons are a short public seed list, and terms mined from learnable labelled documents:
+words and word beginnings that fall on toxic documents more often than chance allows, in
+lexicons by kind and strength. Patterns are shouting, repeated marks, drawn-out letters,
+masked letters and address in the second person. The annotator's label is a voter like
+the others, so that a text no lexicon speaks about can still be known to be toxic. The label
+model is a mixture of two classes fitted by expectation maximisation: it estimates how
+often each voter speaks in either class, and the correlation of voters within a class, by
+which the weight of voters that repeat each other is reduced. Its posterior labels train a
+logistic regression on the terms and patterns, which scores every text.
 
 Learning uses at most `per_class` toxic documents and CLEAN_RATIO times as many clean
-ones (in expectation: kept by a hash of the id) and the `max_terms` terms that are least
-likely by chance. Everything else covers all rows.
+ones, in expectation: rows are kept by a hash of id and text, and rows that repeat both
+count once. Everything else covers all rows.
 
 Defined cases: a null, empty or wordless text gets the score of no evidence; labels that
 are null or of documents outside the learnable ones teach nothing; repeated labels of one
@@ -21,6 +24,7 @@ are ignored. A score sees the text alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, powers, prefix_sums, text_batches
+from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, powers, prefix_sums, stage, text_batches
 
 #: Common insults of English, German, French and Spanish.
 SEEDS = (
@@ -40,12 +44,20 @@ SEEDS = (
 PREFIXES = (4, 5)  # bytes of a word that count as its beginning
 #: Toxic documents to learn from, and clean ones for each of them.
 PER_CLASS, CLEAN_RATIO = 2500, 4
-MAX_TERMS = 500
-#: A term is mined when its odds of being in a toxic document are this many times greater.
-LEAST_ODDS = 60.0
 LEAST_DOCUMENTS = 3
 VOTERS_PER_KIND = 6
 ITERATIONS = 50
+#: Patterns over the bytes of a text with A-Z lower-cased; each is a voter and a feature.
+PATTERNS = {
+    "repeated_marks": rb"[!?]{3}",
+    "drawn_out": rb"([a-z])\1\1\1",
+    "masked": rb"(?<![a-z])[a-z]+[*@$#]+[a-z*@$#]*",
+    "second_person": rb"(?<![a-z\x80-\xff])(?:you|your|you're|ur|du|dich|dein|tu|toi|t'es|eres)(?![a-z\x80-\xff])",
+}
+_PATTERNS = [re.compile(p) for p in PATTERNS.values()]
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Stand for a pattern, or for shouting, among the terms.
+PATTERN_TERMS = np.arange(1, len(PATTERNS) + 2, dtype=np.uint64)
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -53,8 +65,8 @@ _LETTER = np.zeros(256, bool)
 _LETTER[128:] = _LETTER[97:123] = True
 
 
-def terms(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Distinct term hashes and their kinds (0 word, then beginnings) of each text, and whether it shouts."""
+def terms(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Term hashes and their kinds (0 word, then beginnings, last patterns) of each text."""
     data, starts, sizes = joined_bytes(texts, gap=1, fill=32)
     capitals = np.cumsum(np.append(0, (data >= 65) & (data <= 90)))
     data = _FOLD[data]
@@ -77,12 +89,15 @@ def terms(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     for k, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
         a, z = starts[k], starts[k] + sizes[k]
         n = letters[z] - letters[a]
-        yield hashes[i:j], kinds[i:j], bool(n > 20 and 2 * (capitals[z] - capitals[a]) > n)
+        folded = texts[k].translate(_LOWER)
+        found = [bool(p.search(folded)) for p in _PATTERNS] + [bool(n > 20 and 2 * (capitals[z] - capitals[a]) > n)]
+        said = PATTERN_TERMS[found]
+        yield np.append(hashes[i:j], said), np.append(kinds[i:j], np.full(len(said), 1 + len(PREFIXES), np.int8))
 
 
 def seed_hashes() -> np.ndarray:
     """The term hashes of the seed words."""
-    return np.sort(np.concatenate([h[k == 0] for h, k, _ in terms([w.encode() for w in SEEDS])]))
+    return np.sort(np.concatenate([h[k == 0] for h, k in terms([w.encode() for w in SEEDS])]))
 
 
 def member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -133,7 +148,7 @@ def label_model(votes: np.ndarray, mass: np.ndarray, iterations: int = ITERATION
     return post, {"speaks": speaks, "correlation": shared, "weight": weight}
 
 
-def logistic(rows: list[np.ndarray], target: np.ndarray, mass: np.ndarray, size: int, ridge: float = 0.02, steps: int = 300) -> tuple[np.ndarray, float]:
+def logistic(rows: list[np.ndarray], target: np.ndarray, mass: np.ndarray, size: int, ridge: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
     """Weights of binary features and the intercept, by accelerated gradient steps on all rows."""
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     at = np.concatenate(rows) if len(of) else np.zeros(0, np.int64)
@@ -153,7 +168,34 @@ def logistic(rows: list[np.ndarray], target: np.ndarray, mass: np.ndarray, size:
     return w, b
 
 
-def fit_terms(sets: list[np.ndarray], kinds_of: list[np.ndarray], shouts: np.ndarray, y: np.ndarray, clean_mass: float, seeds: np.ndarray, max_terms: int = MAX_TERMS) -> tuple[np.ndarray, np.ndarray, float]:
+def significant(c1: np.ndarray, c0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Terms on so many toxic and clean documents that chance, over all terms tried, hardly does it (Chernoff's bound)."""
+    rate, expected = c1 / (c1 + c0), n1 / (n0 + n1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rest = np.where(rate < 1, (1 - rate) * np.log((1 - rate) / (1 - expected)), 0)
+        surprise = (c1 + c0) * (np.where(rate > 0, rate * np.log(rate / expected), 0) + rest)
+    return (rate > expected) & (c1 >= LEAST_DOCUMENTS) & (surprise > np.log(len(c1)))
+
+
+def votes_of(rows: list[np.ndarray], kind: np.ndarray, strength: np.ndarray, seeded: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What each voter says of each row: lexicons by kind and strength, patterns, seeds once and twice, the annotator."""
+    lexicons = 1 + len(PREFIXES)
+    voter = np.zeros(len(kind), np.int64)
+    for k in range(lexicons):
+        of = np.flatnonzero(kind == k)
+        voter[of[np.lexsort((of, -strength[of]))]] = k * VOTERS_PER_KIND + np.arange(len(of)) * VOTERS_PER_KIND // max(1, len(of))
+    patterns = np.flatnonzero(kind == lexicons)
+    voter[patterns] = lexicons * VOTERS_PER_KIND + np.arange(len(patterns))
+    votes = np.zeros((len(rows), lexicons * VOTERS_PER_KIND + len(PATTERN_TERMS) + 3))
+    for i, r in enumerate(rows):
+        votes[i, voter[r]] = 1
+        votes[i, -3] = seeded[r].any()
+        votes[i, -2] = seeded[r].sum() > 1
+    votes[:, -1] = y
+    return votes[:, votes.any(0)]
+
+
+def fit_terms(sets: list[np.ndarray], kinds_of: list[np.ndarray], y: np.ndarray, clean_mass: float, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Mine the terms, vote, fit the label model and the classifier: terms, weights, intercept.
 
     `sets` and `kinds_of` are the distinct terms of each text, y is 1 for toxic; a clean text
@@ -166,64 +208,56 @@ def fit_terms(sets: list[np.ndarray], kinds_of: list[np.ndarray], shouts: np.nda
     kind = kind[first]
     c1 = np.bincount(of, mark, len(values))
     c0 = np.bincount(of, 1 - mark, len(values))
-    odds = (c1 + 0.5) * (n0 + 1) / ((c0 + 0.5) * (n1 + 1))
-    # Chernoff's bound of the chance that a term falls so often on toxic documents, over all terms tried.
-    rate, expected = c1 / (c1 + c0), n1 / (n0 + n1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rest = np.where(rate < 1, (1 - rate) * np.log((1 - rate) / (1 - expected)), 0)
-        surprise = (c1 + c0) * (np.where(rate > 0, rate * np.log(rate / expected), 0) + rest)
-    good = (odds >= LEAST_ODDS) & (c1 >= LEAST_DOCUMENTS) & (surprise > np.log(len(values)))
-    good |= member(values, seeds)
-    best = np.flatnonzero(good)[np.lexsort((values[good], -surprise[good]))][:max_terms]
-    best = best[np.argsort(values[best])]
-    table, table_kind = values[best], kind[best]
-    rank = np.empty(len(best), np.int64)
-    rank[np.lexsort((table, -c1[best]))] = np.arange(len(best))
+    best = np.flatnonzero(significant(c1, c0, n1, n0) | member(values, seeds))
+    table, kind = values[best], kind[best]
+    strength = (c1[best] + 0.5) / (c0[best] + 0.5)
     rows = [np.searchsorted(table, s[member(s, table)]) for s in sets]
-    kinds = 1 + len(PREFIXES)
-    votes = np.zeros((len(rows), kinds * VOTERS_PER_KIND + 3))
     seeded = member(table, seeds)
-    for i, r in enumerate(rows):
-        votes[i, table_kind[r] * VOTERS_PER_KIND + rank[r] % VOTERS_PER_KIND] = 1
-        votes[i, -3] = seeded[r].any()
-        votes[i, -2] = seeded[r].sum() > 1
-        votes[i, -1] = shouts[i] and len(r) > 0
     # Clean rows stand for as many as the sample left out.
     mass = np.where(y == 1, 1.0, max(1.0, clean_mass))
-    post, _ = label_model(votes, mass)
+    post, _ = label_model(votes_of(rows, kind, strength, seeded, y), mass)
     w, b = logistic(rows, np.clip(post, 0.001, 0.999), mass, len(table))
     w = np.where(seeded, np.maximum(w, 1.0), np.maximum(w, 0.0))
     return table, w, b
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", per_class: int = PER_CLASS, max_terms: int = MAX_TERMS) -> dict:
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", per_class: int = PER_CLASS) -> dict:
     """Term hashes, their weights and the intercept, from the `docs` that may be learned from."""
     seeds = seed_hashes()
     fallback = {"terms": seeds, "weights": np.full(len(seeds), 4.0), "intercept": -3.0}
     known = labels.where(labels[label].isNotNull() & labels[key].isNotNull()).groupBy(F.col(key).cast("string").alias("_k")).agg(F.max(label).alias("y"))
-    counted = {0: 0, 1: 0}
-    for r in known.groupBy((F.col("y") > 0).alias("y")).count().collect():
-        counted[int(r["y"])] = r["count"]
-    if not counted[0] or not counted[1]:
+    known = known.withColumn("y", (F.col("y") > 0).cast("int"))
+    # Classes are counted over the documents themselves: a label without a learnable document counts for nothing.
+    ids = docs.select(docs[key].cast("string").alias("_k")).where("_k IS NOT NULL").distinct()
+    known = stage(known.join(ids, "_k"), "known")
+    counted = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    if len(counted) < 2:
         return fallback
     scale = 1 << 20
-    wanted = {1: per_class * 4 / 3, 0: CLEAN_RATIO * per_class * 4 / 3}  # a quarter is held out
+    wanted = {1: per_class, 0: CLEAN_RATIO * per_class}
     share = {y: min(scale, int(scale * wanted[y] / n) + 1) for y, n in counted.items()}
-    spot = F.pmod(F.xxhash64("_k", F.lit("sample")), F.lit(scale))
-    known = known.withColumn("y", (F.col("y") > 0).cast("int")).where(spot < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
-    # About 7 * per_class ids in expectation, so they are sent to every task.
-    chosen = docs.select(docs[key].cast("string").alias("_k"), docs[text].alias("t")).join(F.broadcast(known), "_k").select("_k", "t", "y")
+
+    def kept(rows: DataFrame, shares: dict[int, int], *of: str) -> DataFrame:
+        spot = F.pmod(F.xxhash64(*of, F.lit("sample")), F.lit(scale))
+        return rows.where(spot < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0]))
+
+    # About 5 * per_class ids in expectation, so they are sent to every task.
+    chosen = docs.select(docs[key].cast("string").alias("_k"), docs[text].alias("t")).join(F.broadcast(kept(known, share, "_k")), "_k")
+    chosen = chosen.select("_k", "t", "y", F.md5(F.encode(F.coalesce("t", F.lit("")), "UTF-8")).alias("_m"))
+    # An id may stand on many rows: those of one text count once, and the bound holds for rows too.
+    held = {r["y"]: r["count"] for r in chosen.select("_k", "_m", "y").distinct().groupBy("y").count().collect()}
+    again = {y: min(scale, int(scale * wanted[y] / max(1, held.get(y, 0))) + 1) for y in (0, 1)}
+    chosen = kept(chosen, again, "_k", "_m").dropDuplicates(["_k", "_m"]).select("_k", "t", "y")
+    clean_mass = (counted[0] / max(1, held.get(0, 0))) / (counted[1] / max(1, held.get(1, 0))) * (again[1] / again[0])
 
     def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at, part in text_batches(batch["t"].tolist()):
                 rows = []
-                for k, (h, kind, shouts) in enumerate(terms(part)):
+                for k, (h, kind) in enumerate(terms(part)):
                     h, first = np.unique(h, return_index=True)
-                    rows.append((batch["_k"].iloc[at + k], int(batch["y"].iloc[at + k]), h.tobytes(), kind[first].tobytes(), shouts))
-                yield pd.DataFrame(rows, columns=["k", "y", "h", "kind", "shouts"])
-
-    clean_mass = share[1] / share[0]
+                    rows.append((batch["_k"].iloc[at + k], int(batch["y"].iloc[at + k]), h.tobytes(), kind[first].tobytes()))
+                yield pd.DataFrame(rows, columns=["k", "y", "h", "kind"])
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["k", "h"], kind="stable").drop_duplicates(["h", "y"])  # copies teach once
@@ -232,10 +266,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
             return pd.DataFrame({"terms": [b""], "weights": [b""], "intercept": [0.0]})
         sets = [np.frombuffer(h, np.uint64) for h in group["h"]]
         kinds = [np.frombuffer(k, np.int8) for k in group["kind"]]
-        table, w, b = fit_terms(sets, kinds, group["shouts"].to_numpy(), y, clean_mass, seeds, max_terms)
+        table, w, b = fit_terms(sets, kinds, y, clean_mass, seeds)
         return pd.DataFrame({"terms": [table.tobytes()], "weights": [w.tobytes()], "intercept": [b]})
 
-    sets = in_small_batches(chosen).mapInPandas(distinct, "k string, y int, h binary, kind binary, shouts boolean").withColumn("one", F.lit(0))
+    sets = in_small_batches(chosen).mapInPandas(distinct, "k string, y int, h binary, kind binary").withColumn("one", F.lit(0))
     model = sets.groupBy("one").applyInPandas(fit, "terms binary, weights binary, intercept double").first()
     if model is None or not model["terms"]:
         return fallback
@@ -254,7 +288,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", keep: tuple[str, ...
         for batch in batches:
             for at, texts in text_batches(batch["_text"].tolist()):
                 found = []
-                for h, _, _ in terms(texts):
+                for h, _ in terms(texts):
                     h = np.unique(h[maybe[(h >> np.uint64(44)).astype(np.int64)]])
                     h = h[member(h, table)]
                     s = intercept + float(weights[np.searchsorted(table, h)].sum())
