@@ -85,7 +85,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_array_dedup")
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixes.repeats_removed(load(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), suffixes.whole_characters(F.col("kept")).alias("text"))
 
 
 # ------------------------------------------------------------- secrets
@@ -96,10 +96,10 @@ _ASSIGN = rf"({_NAMES}){_QUOTE}\x20*[:=]\x20*{_QUOTE}([A-Za-z0-9+/_.=-]+)"
 
 def _found_sql(kind: int, pattern: str, group: int, least: int) -> str:
     """Matches of one kind; what lies before the n-th one is the first n gaps and n - 1 matches."""
-    return f"""SELECT doc_id, source, {kind} AS kind, w[i] AS w, v[i] AS v,
+    return f"""SELECT doc_id, source, text_md5, {kind} AS kind, w[i] AS w, v[i] AS v,
       list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1:i-1], lambda x: length(x))), 0) AS s
-    FROM (SELECT doc_id, source, w, v, g, unnest(generate_series(1, len(w))) AS i FROM (
-      SELECT doc_id, source, regexp_extract_all(t, '{pattern}') AS w, regexp_extract_all(t, '{pattern}', {group}) AS v,
+    FROM (SELECT doc_id, source, text_md5, w, v, g, unnest(generate_series(1, len(w))) AS i FROM (
+      SELECT doc_id, source, md5(t) AS text_md5, regexp_extract_all(t, '{pattern}') AS w, regexp_extract_all(t, '{pattern}', {group}) AS v,
         string_split_regex(t, '{pattern}') AS g FROM t) WHERE len(w) > 0)
     WHERE length(v[i]) >= {least}"""
 
@@ -110,26 +110,28 @@ _FOUND = " UNION ALL ".join(
 SECRETS_SQL = rf"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 f AS ({_FOUND}),
-c AS (SELECT doc_id, source, kind, CAST(s AS BIGINT) AS s, CAST(s + length(w) AS BIGINT) AS e, v,
+c AS (SELECT doc_id, source, text_md5, kind, CAST(s AS BIGINT) AS s, CAST(s + length(w) AS BIGINT) AS e, v,
   regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= {secrets.LEAST_CHARACTERS} AS random FROM f),
 k AS (SELECT * FROM c WHERE kind < 3 OR random AND NOT EXISTS (
   SELECT 1 FROM c b WHERE b.kind < 3 AND b.doc_id = c.doc_id AND b.s < c.e AND c.s < b.e)),
-o AS (SELECT v, count(DISTINCT coalesce(source, '')) AS n_owners FROM k GROUP BY v),
+h AS (SELECT v, text_md5, min(CAST(source AS VARCHAR)) AS owner, min(CAST(doc_id AS VARCHAR)) AS repository FROM k GROUP BY v, text_md5),
+o AS (SELECT v, count(DISTINCT coalesce(owner, '')) AS n_owners, count(DISTINCT coalesce(repository, '')) AS n_repositories,
+  n_owners > {secrets.MAX_OWNERS} OR n_repositories > {secrets.MAX_REPOSITORIES} AS copied FROM h GROUP BY v),
 j AS (SELECT doc_id, kind, s, e, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || s || ':' || e AS x,
-  random AND n_owners <= {secrets.MAX_OWNERS} AS live, n_owners > {secrets.MAX_OWNERS} AS example FROM k JOIN o USING (v)),
+  random AND NOT copied AS live, copied AS example, n_repositories FROM k JOIN o USING (v)),
 r AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   coalesce(string_agg(x, ',' ORDER BY s, kind) FILTER (kind < 3), '') AS base, string_agg(x, ',' ORDER BY s, kind) AS spans,
-  count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example
+  count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example, max(n_repositories) AS n_repositories
   FROM j WHERE kind < 3 OR live GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(n_repositories, 0) AS n_repositories
 FROM t LEFT JOIN r USING (doc_id)"""
 
 
 @query("op2_secret_scan", SECRETS_SQL)
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(load(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example", "n_repositories")
 
 
 # ------------------------------------------------------------- language
@@ -250,7 +252,8 @@ _PHRASES = " UNION ALL ".join(
 _FIRST, _REST = "array_to_string(string_split(p, ' ')[1:k], ' ')", "array_to_string(string_split(p, ' ')[k + 1:], ' ')"
 COLLOCATIONS_SQL = rf"""
 WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}), '[.,;:!?
--]')) AS piece FROM documents),
+-
+]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM s),
 n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
 f AS (SELECT lang, p, size, count(*) AS f FROM ({_PHRASES}) GROUP BY lang, p, size HAVING count(*) >= {collocations.LEAST}),

@@ -8,8 +8,11 @@ A suffix none of whose next cover positions has a tied rank is resolved by that:
 starts no repeated passage. Only the others, whose ties are long, are sorted to the full
 width, again one bucket at a time. Memory is bounded by a bucket and by a block of texts.
 
-Suffixes are compared by 64-bit hashes of their bytes (40 bits within a bucket for the
-ranks, which only select). A wrong tie would need a suffix beside a repeat to collide.
+A suffix is placed in the order of a hash of the bytes that count, not of the bytes: which
+of two suffixes comes first does not matter here, only which ones are tied, and a bucket
+need not hold the suffixes' bytes. The ranks, which only select, have 40 bits within a
+bucket. Ties that remove bytes are of 128 bits, two hashes of independent tables, so that
+at 10**13 suffixes a wrong tie has a chance under 1e-12.
 Equal texts are sorted once. Within a block each distinct suffix is sent once, so that
 a passage in very many documents reaches its bucket once per block.
 
@@ -27,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, parts, powers, prefix_sums, split_by, stage, text_batches
@@ -37,6 +40,9 @@ WIDTH = 400
 BLOCK_BYTES = 1_000_000
 BUCKET_SUFFIXES = 1_000_000
 
+#: Values of the bytes for the second hash.
+SECOND_VALUES = mix64(np.arange(5001, 5257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
 _SENT = "bucket int, block bigint, kind int, a binary, b binary"
 _NOWHERE = 0xFFFFFFFF
 
@@ -96,11 +102,19 @@ def tied(texts: DataFrame, choose: Callable[[int, bytes], np.ndarray], depth: in
                 chosen = [s + choose(n, notes[at + k]) for k, (s, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True))]
                 where = np.concatenate(chosen).astype(np.int64)
                 sums = prefix_sums(BYTE_VALUES[data])
-                hashes = mix64((sums[where + depth] - sums[where]) * powers(len(data) + 1)[1][where])
-                order = np.argsort(hashes, kind="stable")
+                down = powers(len(data) + 1)[1][where]
+                hashes = mix64((sums[where + depth] - sums[where]) * down)
+                more = np.zeros(0, np.uint64)
+                if hash_bytes > 8:
+                    sums = prefix_sums(SECOND_VALUES[data])
+                    more = mix64((sums[where + depth] - sums[where]) * down)
+                order = np.argsort(hashes, kind="stable") if hash_bytes <= 8 else np.lexsort((more, hashes))
                 hashes, where = hashes[order], where[order]
                 new = np.ones(len(hashes), bool)
                 new[1:] = hashes[1:] != hashes[:-1]
+                if hash_bytes > 8:
+                    more = more[order]
+                    new[1:] |= more[1:] != more[:-1]
                 first = np.flatnonzero(new)
                 number = np.diff(np.append(first, len(hashes)))
                 here = np.sort(where[np.repeat(number > 1, number)])
@@ -108,6 +122,8 @@ def tied(texts: DataFrame, choose: Callable[[int, bytes], np.ndarray], depth: in
                 bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 edge = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
                 low = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :hash_bytes]
+                if hash_bytes > 8:
+                    low = np.concatenate([low, more[first].astype("<u8").view(np.uint8).reshape(-1, 8)], 1)
                 rows = [
                     (b, block, 0, low[i:j].tobytes(), _pack(place[i:j]))
                     for b, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if i < j
@@ -122,11 +138,13 @@ def tied(texts: DataFrame, choose: Callable[[int, bytes], np.ndarray], depth: in
         sent = group["kind"].to_numpy() == 0
         rows = group[sent]
         number = np.fromiter((len(b) // 4 for b in rows["b"]), np.int64, len(rows))
-        wide = np.zeros((int(number.sum()), 8), np.uint8)
+        columns = -(-hash_bytes // 8)
+        wide = np.zeros((int(number.sum()), 8 * columns), np.uint8)
         wide[:, :hash_bytes] = np.frombuffer(b"".join(rows["a"]), np.uint8).reshape(-1, hash_bytes)
-        values = wide.view("<u8").ravel()
-        order = np.argsort(values, kind="stable")
-        same = values[order][1:] == values[order][:-1]
+        values = wide.view("<u8")
+        order = np.argsort(values[:, 0], kind="stable") if columns == 1 else np.lexsort(values.T[::-1])
+        values = values[order]
+        same = (values[1:] == values[:-1]).all(1)
         hit = np.zeros(len(values), bool)
         hit[order[1:]] = same
         hit[order[:-1]] |= same
@@ -215,7 +233,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", buck
         np.add.at(mark, at + 1, -1)
         return np.flatnonzero(np.cumsum(mark)[: max(0, n - width + 1)] > 0)
 
-    long_ties = tied(near, unresolved, width, buckets(left), 8)
+    long_ties = tied(near, unresolved, width, buckets(left), 16)
 
     def as_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -258,3 +276,9 @@ def without_spans(docs: DataFrame, spans: DataFrame, text: str = "text") -> Data
 def repeats_removed(docs: DataFrame, width: int = WIDTH, text: str = "text") -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans and `kept`."""
     return without_spans(docs, repeated_spans(docs, width, text), text)
+
+
+def whole_characters(kept: Column) -> Column:
+    """The bytes that are left as text; half a character left at a cut goes with it."""
+    t = kept.cast("string")
+    return F.when(F.is_valid_utf8(t), t).otherwise(F.replace(F.make_valid_utf8(t), F.lit("\ufffd"), F.lit("")))
