@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from umbra.llm import neardup, packing, quality, secrets, suffixes
 from umbra.llm.common import fresh, load, split_by, stage
 
+#: About 50 words: the shortest passage that counts as repeated.
+PASSAGE_BYTES = 250
+
 
 def with_text(docs: DataFrame, text) -> DataFrame:
     """`docs` with another text, and its length where there is such a column."""
@@ -20,7 +23,7 @@ def with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go; a null or empty text is rejected, as it has too few words."""
     return quality.passing(docs)
 
 
@@ -46,17 +49,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go from the texts; half a character left at a cut goes with them."""
-    left = suffixes.repeats_removed(docs.select(F.struct("*").alias("d"), F.col("text")))
-    kept = F.col("kept").cast("string")
-    whole = F.when(F.is_valid_utf8(kept), kept).otherwise(F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")))
-    out = left.select("d.*", whole.alias(fresh(docs, "_kept")))
+    """Passages of PASSAGE_BYTES or more that stand elsewhere too go from the texts; half a character left at a cut goes with them.
+
+    A null text stays null; an empty table gives an empty one.
+    """
+    left = suffixes.repeats_removed(docs.select(F.struct("*").alias("d"), F.col("text")), PASSAGE_BYTES)
+    out = left.select("d.*", suffixes.whole_characters(F.col("kept")).alias(fresh(docs, "_kept")))
     text = F.when(F.col("text").isNotNull(), F.col(out.columns[-1]))
     return with_text(out, text).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mask. The spans follow from the text, so equal texts share them."""
+    """Secrets are replaced by a mask. The spans follow from the text, so equal texts share them; a null text stays null."""
     found = stage(secrets.secrets(docs).where("size(found) > 0").select(F.col("text_md5").alias("tid"), "found").dropDuplicates(["tid"]), "found")
     held = docs.select(F.struct("*").alias("d"), F.col("text").alias("t"), F.md5(F.encode("text", "UTF-8")).alias("tid"))
     some, none = split_by(held, found, "tid")
@@ -66,7 +70,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences."""
+    """The pieces of all documents in sequences; a null or empty text is one piece of the closing id."""
     return packing.pack_documents(docs)
 
 
