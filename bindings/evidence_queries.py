@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,35 +195,14 @@ def databases_without_weight(spark, sf):
 
 
 # ---------------------------------------------------------------- the annotation table
-#: Conditions on lines of `evidence_hits`, and those under which every line is a hit of one source.
-EVERY_LINE = {
-    "l_returnflag = 'A' AND l_quantity <= 2": "l_returnflag = 'A'",
-    "l_returnflag = 'N' AND l_quantity <= 1": "l_returnflag = 'N'",
-    "l_returnflag = 'R' AND l_quantity <= 3": "l_returnflag = 'R' AND l_linestatus = 'F'",
-    "l_returnflag = 'R' AND l_quantity >= 49": "l_returnflag = 'R' AND l_linestatus <> 'F'",
-}
-
-
-def every_line(text: str) -> str:
-    """A condition or a query of `evidence_hits`, as it is over every line."""
-    for part, whole in EVERY_LINE.items():
-        text = text.replace(part, whole)
-    return text
-
-
-def whole_hits(spark, sf) -> DataFrame:
-    """`evidence_hits` without conditions on quantity: every line is a hit of the source its flag names."""
-    return evidence_hits(spark, sf, every_line)
-
-
-def evidence_hits(spark, sf, condition=str) -> DataFrame:
-    """Profile, orthology and structure hits made from lineitem."""
+def evidence_hits(spark, sf) -> DataFrame:
+    """Every line of lineitem as a hit of the source its flag names; status splits flag R."""
     li = load(spark, sf, "lineitem")
     pid = F.concat(F.lit("P"), s("l_partkey"))
 
     def rows(source, where, name, db=None, desc=None):
         return H.hit(
-            li.where(condition(where)).select(
+            li.where(where).select(
                 pid.alias("_p"), name.alias("_n"), (desc if desc is not None else F.lit(None)).cast("string").alias("_d"),
                 F.col("l_extendedprice").alias("_s"), F.col("l_discount").alias("_e"),
                 (F.col("l_quantity") * 2).alias("_i"), (db if db is not None else F.lit(source)).alias("_b")),
@@ -237,17 +215,17 @@ def evidence_hits(spark, sf, condition=str) -> DataFrame:
     ko = F.concat(F.lit("K"), s("l_linenumber"))
     desc = F.when(F.col("l_tax") < 0.04, "Uncharacterized protein").otherwise("aerolysin toxin")
     return E.union_evidence([
-        rows("pfam", "l_returnflag = 'A' AND l_quantity <= 2", fam),
-        rows("kofam", "l_returnflag = 'N' AND l_quantity <= 1", ko),
-        rows("foldseek", "l_returnflag = 'R' AND l_quantity <= 3", ko, F.lit("pdb"), desc),
-        rows("jackhmmer", "l_returnflag = 'R' AND l_quantity >= 49", ko),
+        rows("pfam", "l_returnflag = 'A'", fam),
+        rows("kofam", "l_returnflag = 'N'", ko),
+        rows("foldseek", "l_returnflag = 'R' AND l_linestatus = 'F'", ko, F.lit("pdb"), desc),
+        rows("jackhmmer", "l_returnflag = 'R' AND l_linestatus <> 'F'", ko),
     ])
 
 
 EVIDENCE_SQL = f"""{EGGNOG_SQL},
 li AS (SELECT *, 'P' || l_partkey AS protein_id FROM lineitem),
-pfam AS (SELECT protein_id, bool_or(l_suppkey >= 20) AS says FROM li WHERE l_returnflag = 'A' AND l_quantity <= 2 GROUP BY 1),
-kos AS (SELECT DISTINCT protein_id, 'K' || l_linenumber AS ko FROM li WHERE l_returnflag = 'N' AND l_quantity <= 1),
+pfam AS (SELECT protein_id, bool_or(l_suppkey >= 20) AS says FROM li WHERE l_returnflag = 'A' GROUP BY 1),
+kos AS (SELECT DISTINCT protein_id, 'K' || l_linenumber AS ko FROM li WHERE l_returnflag = 'N'),
 komap AS (SELECT k AS ko, bool_or(NOT regexp_matches(p, '^(map|ko)?01[12][0-9][0-9]$')) AS specific
   FROM (SELECT unnest(ko) AS k, pathway FROM egg) t, unnest(t.pathway) AS u(p) GROUP BY 1),
 kofam AS (SELECT protein_id, list_sort(list(ko)) AS kofam_ko, coalesce(bool_or(specific), false) AS specific
@@ -256,8 +234,8 @@ fold AS (SELECT protein_id, NOT low AS says FROM (
   SELECT protein_id, l_tax < 0.04 AS low, row_number() OVER (PARTITION BY protein_id
     ORDER BY l_extendedprice DESC, l_discount, 'K' || l_linenumber,
       CASE WHEN l_tax < 0.04 THEN 'Uncharacterized protein' ELSE 'aerolysin toxin' END) AS rn
-  FROM li WHERE l_returnflag = 'R' AND l_quantity <= 3) WHERE rn = 1),
-jack AS (SELECT DISTINCT protein_id FROM li WHERE l_returnflag = 'R' AND l_quantity >= 49),
+  FROM li WHERE l_returnflag = 'R' AND l_linestatus = 'F') WHERE rn = 1),
+jack AS (SELECT DISTINCT protein_id FROM li WHERE l_returnflag = 'R' AND l_linestatus <> 'F'),
 flags AS (SELECT egg.protein_id, egg.ko, coalesce(kofam_ko, []) AS kofam_ko,
   len(egg.ko) > 0 OR kofam_ko IS NOT NULL AS has_ko,
   (len(egg.ko) > 0 AND len(list_filter(pathway, lambda x: NOT regexp_matches(x, '^(map|ko)?01[12][0-9][0-9]$'))) > 0)
@@ -281,7 +259,7 @@ ann AS (SELECT f.protein_id, f.* EXCLUDE (protein_id),
   FROM flags f JOIN part p ON f.protein_id = 'P' || p.p_partkey)"""
 
 
-def annotation(spark, sf, hits=evidence_hits) -> DataFrame:
+def annotation(spark, sf) -> DataFrame:
     part = load(spark, sf, "part")
     proteins = part.select(
         F.concat(F.lit("P"), s("p_partkey")).alias("protein_id"), F.col("p_name").alias("description"),
@@ -289,15 +267,15 @@ def annotation(spark, sf, hits=evidence_hits) -> DataFrame:
     lines, header = eggnog_lines(spark, sf)
     egg = P.typed_eggnog(P.parse_eggnog(lines, header))
     opts = E.EvidenceOptions(score=E.ScoreOptions(small_length=10))
-    return E.build_annotation(proteins, egg, hits(spark, sf), options=opts, check_keys=False)
+    return E.build_annotation(proteins, egg, evidence_hits(spark, sf), options=opts, check_keys=False)
 
 
 @query("annotation_table", f"""WITH {EVIDENCE_SQL}
 SELECT protein_id, bin, has_ko, has_seq AS has_seq_annotation, duf AS duf_only, ko_source, ko_conflict,
   rescued_by, demoted AS rescue_demoted, toxin AS toxin_fold, export_score,
   array_to_string(kofam_ko, ',') AS kofam_ko FROM ann""")
-def annotation_table(spark, sf, hits=evidence_hits):
-    return annotation(spark, sf, hits).select(
+def annotation_table(spark, sf):
+    return annotation(spark, sf).select(
         "protein_id", "bin", "has_ko", "has_seq_annotation", "duf_only", "ko_source", "ko_conflict", "rescued_by",
         "rescue_demoted", "toxin_fold", "export_score", joined("kofam_ko").alias("kofam_ko"))
 
@@ -308,16 +286,16 @@ SELECT b.bin, CAST(b.i AS INTEGER) AS bin_order, count(x.bin) AS n,
   round(100.0 * count(x.bin) / (SELECT count(*) FROM ann), 6) AS percent,
   CAST(median(export_score) AS DOUBLE) AS median_export_score
 FROM {BIN_ORDER_SQL} AS b(i, bin) LEFT JOIN x USING (bin) GROUP BY ALL""")
-def bin_summary(spark, sf, hits=evidence_hits):
-    return B.bin_summary(annotation(spark, sf, hits), digits=6)
+def bin_summary(spark, sf):
+    return B.bin_summary(annotation(spark, sf), digits=6)
 
 
 @query("ko_rescue_summary", f"""WITH {EVIDENCE_SQL}
 SELECT count(*) AS n_proteins, count(*) FILTER (len(kofam_ko) > 0) AS n_kofam,
   count(*) FILTER (ko_source = 'kofam') AS n_rescued, count(*) FILTER (ko_source = 'both') AS n_both,
   count(*) FILTER (ko_conflict) AS n_conflict FROM ann""")
-def ko_rescue_summary(spark, sf, hits=evidence_hits):
-    return E.ko_rescue_summary(annotation(spark, sf, hits))
+def ko_rescue_summary(spark, sf):
+    return E.ko_rescue_summary(annotation(spark, sf))
 
 
 @query("ko_pathway_pairs", f"""WITH {EGGNOG_SQL}
@@ -330,8 +308,8 @@ def ko_pathway_pairs(spark, sf):
 @query("dark_worklist", f"""WITH {EVIDENCE_SQL}
 SELECT protein_id, export_score FROM ann JOIN part ON protein_id = 'P' || p_partkey
 WHERE bin = '4_dark' AND p_size <= 40 ORDER BY export_score DESC, protein_id LIMIT 50""")
-def dark_worklist(spark, sf, hits=evidence_hits):
-    return E.dark_worklist(annotation(spark, sf, hits), 50, 40).select("protein_id", "export_score")
+def dark_worklist(spark, sf):
+    return E.dark_worklist(annotation(spark, sf), 50, 40).select("protein_id", "export_score")
 
 
 @query("invisibility_rates", f"""WITH {EVIDENCE_SQL},
@@ -340,8 +318,8 @@ SELECT (SELECT count(bin) FROM ann) AS n_database,
   round((SELECT 100.0 * count(*) FILTER (bin <> '1_ko_pathway') / count(bin) FROM ann), 6) AS pct_database,
   count(bin) AS n_quantified, count(*) FILTER (bin IS NULL) AS n_unbinned,
   round(100.0 * count(*) FILTER (bin <> '1_ko_pathway') / count(bin), 6) AS pct_quantified FROM q""")
-def invisibility_rates(spark, sf, hits=evidence_hits):
-    ann = annotation(spark, sf, hits).select("protein_id", "bin")
+def invisibility_rates(spark, sf):
+    ann = annotation(spark, sf).select("protein_id", "bin")
     o = load(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("P"), s("o_custkey")).alias("protein_id"))
     q = Tb.annotate_quant(o, [ann], check_keys=False)
     out = B.invisibility_rates(ann, q)
@@ -353,10 +331,10 @@ def invisibility_rates(spark, sf, hits=evidence_hits):
 d AS (SELECT p_brand AS dataset, bin FROM ann JOIN part ON protein_id = 'P' || p_partkey)
 SELECT dataset, {", ".join(f"round(100.0 * count(*) FILTER (bin = '{b}') / count(*), 6) AS \"{b}\"" for b in B.BINS)}
 FROM d GROUP BY dataset""")
-def cross_dataset_bins(spark, sf, hits=evidence_hits):
+def cross_dataset_bins(spark, sf):
     part = load(spark, sf, "part").select(
         F.concat(F.lit("P"), s("p_partkey")).alias("protein_id"), F.col("p_brand").alias("dataset"))
-    return B.cross_dataset_bins(annotation(spark, sf, hits).join(part, "protein_id"), digits=6)
+    return B.cross_dataset_bins(annotation(spark, sf).join(part, "protein_id"), digits=6)
 
 
 @query("retention_by_bin", f"""WITH {EVIDENCE_SQL},
@@ -366,9 +344,9 @@ SELECT bin, count(*) AS n, count(*) FILTER (k.n >= 25) AS kept, count(*) FILTER
   CASE WHEN count(*) FILTER (k.n >= 35) = 0 AND count(*) >= 10 THEN 'GATE'
        WHEN count(*) FILTER (k.n >= 35) = 0 THEN 'NOTE' ELSE 'ok' END AS verdict
 FROM ann JOIN k USING (protein_id) GROUP BY bin""")
-def retention_by_bin(spark, sf, hits=evidence_hits):
+def retention_by_bin(spark, sf):
     n = load(spark, sf, "lineitem").groupBy(F.concat(F.lit("P"), s("l_partkey")).alias("protein_id")).count()
-    rows = annotation(spark, sf, hits).join(n, "protein_id").select(
+    rows = annotation(spark, sf).join(n, "protein_id").select(
         "bin", (F.col("count") >= 25).alias("kept"), (F.col("count") >= 35).alias("tested"))
     return B.retention_by_bin(rows, digits=6)
 
@@ -377,9 +355,9 @@ def retention_by_bin(spark, sf, hits=evidence_hits):
 k AS (SELECT 'P' || l_partkey AS protein_id, count(*) AS n FROM lineitem GROUP BY 1),
 r AS (SELECT count(*) AS n, count(*) FILTER (k.n >= 45) AS tested FROM ann JOIN k USING (protein_id) WHERE bin LIKE '3%' OR bin = '4_dark')
 SELECT n, tested, round(100.0 * tested / n, 6) AS percent, n >= 10 AND 100.0 * tested / n < 1.0 AS gate FROM r""")
-def coverage_of_ko_less_bins(spark, sf, hits=evidence_hits):
+def coverage_of_ko_less_bins(spark, sf):
     n = load(spark, sf, "lineitem").groupBy(F.concat(F.lit("P"), s("l_partkey")).alias("protein_id")).count()
-    rows = annotation(spark, sf, hits).join(n, "protein_id").select("bin", (F.col("count") >= 45).alias("tested"))
+    rows = annotation(spark, sf).join(n, "protein_id").select("bin", (F.col("count") >= 45).alias("tested"))
     return B.ko_less_coverage(rows).withColumn("percent", F.round("percent", 6))
 
 
@@ -623,8 +601,8 @@ m AS (SELECT l_orderkey, unnest(members) AS protein_id FROM grp)
 SELECT l_orderkey, count(*) AS n_members, count(DISTINCT bin) > 1 AS bin_conflict,
   count(DISTINCT nullif(array_to_string(ko, ','), '')) > 1 AS ko_conflict, count(bin) = 0 AS unannotated_group
 FROM m LEFT JOIN (SELECT * FROM ann WHERE bin <> '4_dark') USING (protein_id) GROUP BY l_orderkey""")
-def group_conflicts(spark, sf, hits=evidence_hits):
-    ann = annotation(spark, sf, hits).where("bin <> '4_dark'").select("protein_id", "bin", "ko")
+def group_conflicts(spark, sf):
+    ann = annotation(spark, sf).where("bin <> '4_dark'").select("protein_id", "bin", "ko")
     g = groups(spark, sf)
     # Two orders may hold the same proteins, so the order is part of the key.
     members = Tb.group_conflicts(g, _per_order(g, ann), ["l_orderkey"])
@@ -680,20 +658,14 @@ def surface_or_secreted(spark, sf):
 
 @query("kegg_visible_share", f"""WITH {EVIDENCE_SQL}
 SELECT bin = '1_ko_pathway' AS kegg_enrichment_visible, count(*) AS n FROM ann GROUP BY 1""")
-def kegg_visible_share(spark, sf, hits=evidence_hits):
-    return annotation(spark, sf, hits).groupBy("kegg_enrichment_visible").agg(F.count("*").alias("n"))
+def kegg_visible_share(spark, sf):
+    return annotation(spark, sf).groupBy("kegg_enrichment_visible").agg(F.count("*").alias("n"))
 
 
 @query("evidence_union", """
-SELECT 'pfam' AS source, count(*) FILTER (l_returnflag = 'A' AND l_quantity <= 2) AS n FROM lineitem
-UNION ALL SELECT 'kofam', count(*) FILTER (l_returnflag = 'N' AND l_quantity <= 1) FROM lineitem
-UNION ALL SELECT 'foldseek', count(*) FILTER (l_returnflag = 'R' AND l_quantity <= 3) FROM lineitem
-UNION ALL SELECT 'jackhmmer', count(*) FILTER (l_returnflag = 'R' AND l_quantity >= 49) FROM lineitem""")
-def evidence_union(spark, sf, hits=evidence_hits):
-    return hits(spark, sf).groupBy("source").agg(F.count("*").alias("n"))
-
-
-# ---------------------------------------------------------------- the same over every line
-for _fn in (annotation_table, bin_summary, ko_rescue_summary, dark_worklist, invisibility_rates, cross_dataset_bins, retention_by_bin,
-            coverage_of_ko_less_bins, group_conflicts, kegg_visible_share, evidence_union):
-    query(f"{_fn.__name__}_whole", every_line(ORACLES[_fn.__name__]))(partial(_fn, hits=whole_hits))
+SELECT 'pfam' AS source, count(*) FILTER (l_returnflag = 'A') AS n FROM lineitem
+UNION ALL SELECT 'kofam', count(*) FILTER (l_returnflag = 'N') FROM lineitem
+UNION ALL SELECT 'foldseek', count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'F') FROM lineitem
+UNION ALL SELECT 'jackhmmer', count(*) FILTER (l_returnflag = 'R' AND l_linestatus <> 'F') FROM lineitem""")
+def evidence_union(spark, sf):
+    return evidence_hits(spark, sf).groupBy("source").agg(F.count("*").alias("n"))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from bindings import registry as R
-from bindings.evidence_queries import EVIDENCE_SQL, eggnog_lines, every_line, evidence_hits, s, whole_hits
+from bindings.evidence_queries import EVIDENCE_SQL, eggnog_lines, evidence_hits, s
 from bindings.quant_queries import EVID_SQL, MODE_SQL, factor_sql
 from bindings.registry import load, query
+from bindings.statistics_queries import CENTRED_SQL, plex_fit_sql, moderated_sql, tested, tested_sql
 from umbra.operators.evidence import EvidenceOptions, ScoreOptions
 from umbra.plans import jobs as J
 from umbra.plans.joins import lookup_join
@@ -17,7 +16,7 @@ from umbra.plans.lineage import cut_lineage
 from umbra.sources import proteins as P
 
 
-def annotated(spark, sf, hits=evidence_hits) -> J.Annotated:
+def annotated(spark, sf) -> J.Annotated:
     part = load(spark, sf, "part")
     proteins = part.select(
         F.concat(F.lit("P"), s("p_partkey")).alias("protein_id"), F.col("p_name").alias("description"),
@@ -25,19 +24,16 @@ def annotated(spark, sf, hits=evidence_hits) -> J.Annotated:
     lines, header = eggnog_lines(spark, sf)
     egg = P.typed_eggnog(P.parse_eggnog(lines, header))
     options = EvidenceOptions(score=ScoreOptions(small_length=10))
-    return J.annotate(proteins, egg, hits(spark, sf), 100, 40, options=options)
+    return J.annotate(proteins, egg, evidence_hits(spark, sf), 100, 40, options=options)
 
 
 @query("annotate_job", f"""WITH {EVIDENCE_SQL}
 SELECT bin, count(*) AS n, CAST(sum(export_score) AS BIGINT) AS total_score FROM ann GROUP BY bin""")
-def annotate_job(spark, sf, hits=evidence_hits):
-    out = annotated(spark, sf, hits)
+def annotate_job(spark, sf):
+    out = annotated(spark, sf)
     return out.annotation.groupBy("bin").agg(F.count("*").alias("n"), F.sum("export_score").alias("total_score"))
 
 
-query("annotate_job_whole", every_line(R.ORACLES["annotate_job"]))(partial(annotate_job, hits=whole_hits))
-
-
 def quantified(spark, sf) -> J.Quantified:
     part = load(spark, sf, "part")
     annotation = part.select(
@@ -69,7 +65,12 @@ def quantify_job_factors(spark, sf):
     return out.withColumn("factor", F.round("factor", 6))
 
 
-@query("analyse_job")
+# Proteins with three values or more in both groups.
+ANALYSE_SQL = CENTRED_SQL.replace("FROM pv)", """FROM pv WHERE protein_id IN (
+  SELECT protein_id FROM (SELECT protein_id, "group" FROM pv GROUP BY ALL HAVING count(*) >= 3) GROUP BY 1 HAVING count(*) = 2))""")
+
+
+@query("analyse_job", f"WITH RECURSIVE {ANALYSE_SQL}, {plex_fit_sql('ce')}, {moderated_sql('x', 'fit')} {tested_sql('xq')}")
 def analyse_job(spark, sf):
     part = load(spark, sf, "part")
     annotation = part.select(
@@ -77,7 +78,7 @@ def analyse_job(spark, sf):
         (F.col("p_size") > 20).alias("has_ko"), (F.col("p_size") < 40).alias("surface_or_secreted"))
     quant, design = _quant_of_parts(spark, sf), R.design(spark, sf)
     out = J.analyse(quant, annotation, design, J.size_factors(quant, design), ("group", "plex"), min_valid=3)
-    return out.abundance
+    return tested(out.abundance)
 
 
 def _quant_of_parts(spark, sf):

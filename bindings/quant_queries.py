@@ -14,6 +14,7 @@ from umbra.plans.joins import lookup_join
 from umbra.plans.lineage import cut_lineage
 from umbra.sources import quant as Q
 from umbra.sources import sinks as K
+from umbra.sources.publish import published
 
 MODE_SQL = {
     "protein_unique": "assignment_class = 'unique'",
@@ -120,10 +121,31 @@ def median_polish_totals(spark, sf):
     return out.groupBy("protein_id").agg(F.round(F.sum("value"), 2).alias("total"), F.count("*").alias("n_samples"))
 
 
-@query("median_polish_rollup")
+def polish_sql(sweeps: int) -> str:
+    """The sweeps one after another: medians of features, then of samples, each with the effects' own median moved to the whole."""
+    out = f"""WITH {R.CLASS_SQL}, {R.FEATVAL_SQL},
+c0 AS (SELECT razor AS protein_id, feature_id, sample, value, log2(value) AS r, CAST(0 AS DOUBLE) AS fe, CAST(0 AS DOUBLE) AS se, CAST(0 AS DOUBLE) AS whole
+  FROM fv JOIN cls USING (feature_id) WHERE value > 0)"""
+    for i in range(2 * sweeps):
+        side, effect, other = (("feature_id", "fe", "se"), ("sample", "se", "fe"))[i % 2]
+        out += f""",
+s{i} AS (SELECT protein_id, {side}, median(r) AS step, any_value({effect}) + median(r) AS e FROM c{i} GROUP BY ALL),
+h{i} AS (SELECT protein_id, median(e) AS shift FROM s{i} GROUP BY protein_id),
+c{i + 1} AS (SELECT protein_id, feature_id, sample, value, r - step AS r, e - shift AS {effect}, {other}, whole + shift AS whole
+  FROM c{i} JOIN s{i} USING (protein_id, {side}) JOIN h{i} USING (protein_id))"""
+    last = 2 * sweeps
+    return out + f""",
+moved AS (SELECT protein_id, max(abs(step)) <= 1e-12 AS converged FROM (SELECT protein_id, step FROM s{last - 2} UNION ALL SELECT protein_id, step FROM s{last - 1}) GROUP BY 1),
+l AS (SELECT protein_id, sample, pow(2, any_value(whole + se)) AS level, sum(value) AS part FROM c{last} GROUP BY ALL)
+SELECT protein_id, sample, round(log2(level * sum(part) OVER p / sum(level) OVER p), 6) AS log2_value, converged FROM l JOIN moved USING (protein_id) WINDOW p AS (PARTITION BY protein_id)"""
+
+
+@query("median_polish_rollup", polish_sql(2))
 def median_polish_rollup(spark, sf):
-    rows = Ft.assigned_values(R.feature_values(spark, sf), assigned(spark, sf))
-    return Ft.rollup(rows, "median_polish")
+    """Two sweeps, so that SQL can state them; the production default is ten."""
+    rows = Ft.assigned_values(R.feature_values(spark, sf), assigned(spark, sf, "razor"))
+    out = Ft.rollup_median_polish(rows, iterations=2)
+    return out.select("protein_id", "sample", F.round(F.log2("value"), 6).alias("log2_value"), "converged")
 
 
 EVID_SQL = f"""{R.CLASS_SQL},
@@ -200,9 +222,9 @@ def _subset(spark, sf, min_size=0):
     return Ft.subset_to_quant(proteins, feats)
 
 
-@query("protein_subsample")
+@query("protein_subsample", "SELECT CAST(p_partkey AS VARCHAR) AS protein_id FROM part ORDER BY md5(CAST(p_partkey AS VARCHAR)), 1 LIMIT 500")
 def protein_subsample(spark, sf):
-    """A reproducible trial set; the hash that orders it is Spark's own."""
+    """A reproducible trial set."""
     proteins = load(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("protein_id"))
     return Ft.subsample_proteins(proteins, 500)
 
@@ -243,6 +265,38 @@ def peptide_list(spark, sf):
     return K.peptide_list(c.select(pep.alias("peptide")))
 
 
+@query("wide_quant_written", f"""WITH {R.PROTVAL_SQL}
+SELECT protein_id, {", ".join(f"round(sum(value) FILTER (sample = '{x}'), 2) AS {x}" for x in WIDE_SAMPLES)}
+FROM pv GROUP BY protein_id""")
+def wide_quant_written(spark, sf):
+    """The wide table as read back from the published export, its columns in design order."""
+    from bindings.reader_queries import scratch
+
+    path = scratch(spark, "wide")
+    samples = K.write_wide_quant(R.protein_values(spark, sf), R.design(spark, sf), path)
+    wide = published(spark, path)["quant"]
+    return wide.select("protein_id", *[F.round(x, 2).alias(x) for x in samples])
+
+
+# A customer is a protein and an order status a contrast.
+@query("linked_assays_written", f"""WITH r AS (SELECT o_custkey AS protein_id, o_orderstatus AS c, ln(avg(o_totalprice)) AS lfc,
+    1 / ln(min(o_totalprice)) AS p_value, 1 / ln(max(o_totalprice)) AS q_value FROM orders GROUP BY ALL)
+SELECT c_custkey AS protein_id, c_mktsegment AS bin, {", ".join(f"round(max({x}) FILTER (c = '{c}'), 6) AS de_{c.lower()}_{x}" for c in "FOP" for x in ("lfc", "p_value", "q_value"))}
+FROM customer LEFT JOIN r ON protein_id = c_custkey GROUP BY ALL""")
+def linked_assays_written(spark, sf):
+    """Results folded in as columns, read back from the published tables."""
+    from bindings.reader_queries import scratch
+
+    orders, price = load(spark, sf, "orders"), F.col("o_totalprice")
+    results = orders.groupBy(F.col("o_custkey").alias("protein_id"), F.col("o_orderstatus").alias("contrast")).agg(
+        F.ln(F.avg(price)).alias("lfc"), (1 / F.ln(F.min(price))).alias("p_value"), (1 / F.ln(F.max(price))).alias("q_value"))
+    annotation = load(spark, sf, "customer").select(F.col("c_custkey").alias("protein_id"), F.col("c_mktsegment").alias("bin"))
+    tables = K.linked_assays(R.protein_values(spark, sf), annotation, R.design(spark, sf), results=results)
+    proteins = K.write_linked_assays(tables, scratch(spark, "linked"))["proteins"]
+    named = [F.round(f"`{c}`", 6).alias(c.lower().replace(".", "_")) for c in proteins.columns if c.startswith("DE.")]
+    return proteins.select("protein_id", "bin", *named)
+
+
 # ---------------------------------------------------------------- annotated quant
 ANN_SIDE_SQL = """side AS (SELECT p_partkey AS protein_id, p_type AS bin, p_size AS export_score FROM part)"""
 
@@ -267,13 +321,14 @@ steps AS (
 SELECT CAST(step_order AS INTEGER) AS step_order, step, unit, lag("after") OVER w AS before, "after",
   lag("after") OVER w - "after" AS dropped, '' AS why FROM steps WINDOW w AS (PARTITION BY unit ORDER BY step_order)""")
 def quant_funnel(spark, sf):
-    a = cut_lineage(assigned(spark, sf), "assigned")
-    ev = Ft.peptide_evidence(a)
-    steps = [("annotated", "protein", load(spark, sf, "part")), ("named", "protein", ev), ("read", "feature", a),
-             ("assigned", "feature", a.where("assigned IS NOT NULL")),
-             ("carrying", "protein", ev.where("n_features_used > 0")),
-             ("two features", "protein", ev.where("n_features_used > 1"))]
-    return Tb.quant_funnel([Tb.Step(n, u, "", d) for n, u, d in steps])
+    ev = Ft.peptide_evidence(assigned(spark, sf))
+    used = F.col("n_features_used")
+    steps = [
+        ("annotated", "protein", load(spark, sf, "part"), None), ("named", "protein", ev, None),
+        ("read", "feature", ev, F.sum(used + F.col("n_features_dropped"))), ("assigned", "feature", ev, F.sum(used)),
+        ("carrying", "protein", ev, F.count_if(used > 0)), ("two features", "protein", ev, F.count_if(used > 1)),
+    ]
+    return Tb.quant_funnel([Tb.Step(n, u, "", d, c) for n, u, d, c in steps])
 
 
 @query("linked_assays", f"""WITH {R.CLASS_SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -318,6 +319,29 @@ def structure_hits(spark, sf):
     return hits.select("protein_id", "name", "db", "score", "evalue")
 
 
+# Lines of status F are files with a header, the others files of the layout without one.
+@query("structure_hits_from_files", """
+SELECT 'P' || l_partkey AS protein_id, 'T' || l_suppkey AS name, CASE WHEN l_linestatus = 'F' THEN l_returnflag ELSE 'foldseek' END AS db,
+  l_extendedprice AS score, l_discount AS evalue FROM lineitem
+WHERE CASE WHEN l_linestatus = 'F' THEN l_quantity / 50 ELSE l_linenumber / 8 END >= 0.5 AND 1 - l_tax >= 0.95 AND l_discount <= 0.05""")
+def structure_hits_from_files(spark, sf):
+    li = load(spark, sf, "lineitem")
+    cells = {
+        "query": F.concat(F.lit("P"), s("l_partkey"), F.lit(".pdb_A")), "target": F.concat(F.lit("T"), s("l_suppkey")), "fident": F.lit("0.3"),
+        "alnlen": F.lit("150"), "evalue": s("l_discount"), "bits": s("l_extendedprice"), "prob": (1 - F.col("l_tax")).cast("string"),
+        "alntmscore": (F.col("l_linenumber") / 8).cast("string"), "lddt": F.lit("0.8"), "theader": F.lit("header"),
+    }
+    named = [c.alias(n) for n, c in cells.items()]
+    path = scratch(spark, "structures")
+    qtm = (F.col("l_quantity") / 50).cast("string").alias("qtmscore")
+    put_table(li.where("l_linestatus = 'F'").select(*named, qtm, F.col("l_returnflag").alias("target_db")), f"{path}/new")
+    li.where("l_linestatus <> 'F'").select(*named).write.option("sep", "\t").option("quote", "").csv(f"{path}/old")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        hits = H.read_foldseek(spark, [f"{path}/new", f"{path}/old"], evalue=0.05, prob=0.95, tm=0.5)
+    return hits.select("protein_id", "name", "db", "score", "evalue")
+
+
 @query("profile_profile_hits", """
 SELECT 'O' || l_orderkey AS protein_id, 'PF' || l_partkey AS name, 'Supplier ' || l_suppkey AS description,
   100 - l_quantity AS score FROM lineitem WHERE 100 - l_quantity >= 90""")

@@ -289,9 +289,9 @@ def test_the_family_rule_is_asked_of_every_data_set(spark):
         check_families(fam, ["ds"])
 
 
-def test_every_line_is_a_hit_of_the_whole_queries(spark):
+def test_every_line_is_a_hit(spark):
     sf = "/root/testdata/sf0.001"
     n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
-    hits = QUERIES["evidence_union_whole"](spark, sf).collect()
+    hits = QUERIES["evidence_union"](spark, sf).collect()
     assert len(hits) == 4 and sum(r["n"] for r in hits) == n
-    assert "l_quantity" not in ORACLES["annotate_job_whole"] and "l_quantity" not in ORACLES["annotation_table_whole"]
+    assert "l_quantity" not in ORACLES["annotate_job"] and "l_quantity" not in ORACLES["annotation_table"]

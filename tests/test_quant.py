@@ -1,7 +1,10 @@
 """Quant readers, the shared-peptide rule, plexes and the design."""
 
+import random
+
 import pytest
 from makers import put
+from pyspark.sql import functions as F
 
 from umbra.errors import DesignError, InputError, OptionError
 from umbra.operators import design as Dg
@@ -13,6 +16,7 @@ from umbra.sources import plexes as X
 from umbra.sources import quant as Q
 from umbra.sources import sinks as K
 from umbra.sources.lines import read_lines
+from umbra.sources.publish import published
 
 
 def table(path, header, rows, sep="\t"):
@@ -363,10 +367,11 @@ def test_sinks_write_what_they_say(spark, tmp_path):
     assert text == ["protein_id\tn\tids", 'a\t2\t""', "b\t1\tx;y"]
     with pytest.raises(ValueError, match="duplicate key"):
         K.write_result_table(df.union(df), str(tmp_path / "u"), ["protein_id"])
+    assert not [x for x in tmp_path.iterdir() if x.name.startswith("u")]  # nothing is left of it
     v = spark.createDataFrame([("P", "s10", 1.0), ("P", "s9", 2.0)], "protein_id string, sample string, value double")
     d = spark.createDataFrame([("s10",), ("s9",), ("s11",)], "sample string")
     assert K.write_wide_quant(v, d, str(tmp_path / "w")) == ["s9", "s10", "s11"]
-    assert spark.read.parquet(str(tmp_path / "w")).columns == ["protein_id", "s9", "s10", "s11"]
+    assert published(spark, str(tmp_path / "w"))["quant"].columns == ["protein_id", "s9", "s10", "s11"]
     K.write_fasta(spark.createDataFrame([("P1", "MK")], "protein_id string, seq string"), str(tmp_path / "f"))
     assert [r["value"] for r in read_lines(spark, str(tmp_path / "f")).collect()] == [">P1", "MK"]
     K.write_peptide_list(spark.createDataFrame([("aK[16]",), ("AK",)], "peptide string"), str(tmp_path / "p"))
@@ -384,3 +389,58 @@ def test_linked_assays_carry_the_assignment(shared):
     assert sorted(r["feature_id"] for r in t["link"].collect()) == ["AVNDLR", "EELIYPR", "WFTGHK"]
     assert "DE.b_vs_a.lfc" in t["proteins"].columns and t["peptides"].count() == 5
     assert set(K.linked_assays(q.values, taxa, design)) == {"proteins", "protein_values", "samples"}
+
+
+def test_an_export_is_published_as_a_whole_or_not_at_all(spark, tmp_path):
+    from umbra.sources.publish import Table, manifest, publish, published
+
+    root = str(tmp_path / "export")
+    one = spark.createDataFrame([("b", 1), ("a", 2)], "protein_id string, n int")
+    back = publish({"x": Table(one, ["protein_id"]), "y": Table(one)}, root)
+    assert {n: sorted(map(tuple, t.collect())) for n, t in back.items()} == {n: [("a", 2), ("b", 1)] for n in "xy"}
+    first = manifest(spark, root)
+    with pytest.raises(ValueError, match="duplicate key"):
+        publish({"x": Table(one.limit(1), ["protein_id"]), "z": Table(one.union(one), ["protein_id"])}, root)
+    assert manifest(spark, root) == first and set(published(spark, root)) == {"x", "y"}
+    assert len(list((tmp_path / "export" / "versions").iterdir())) == 1
+    for k in range(3):
+        publish({"x": Table(one.withColumn("n", F.lit(k)), ["protein_id"])}, root)
+    assert {r["n"] for r in published(spark, root)["x"].collect()} == {2} and set(published(spark, root)) == {"x"}
+    assert len(list((tmp_path / "export" / "versions").iterdir())) == 2  # the one before stays for its readers
+    with pytest.raises(FileNotFoundError):
+        published(spark, str(tmp_path / "nothing"))
+
+
+def test_polish_of_sparse_proteins_equals_the_dense_one_and_says_when_it_settled(spark):
+    rng = random.Random(5)
+    rows = [(f"P{p}", f"f{f}", f"s{s}", 2 ** rng.gauss(10, 2)) for p in range(6) for f in range(9) for s in range(7) if rng.random() < 0.6]
+    v = spark.createDataFrame(rows + [("one", "f0", "s0", 8.0), ("zero", "f0", "s0", 0.0)], "protein_id string, feature_id string, sample string, value double")
+    key = lambda df: {(r["protein_id"], r["sample"]): (pytest.approx(r["value"]), r["converged"]) for r in df.collect()}
+    dense = key(Ft.rollup_median_polish(v, iterations=3))
+    sparse = {}
+    for batch in Ft._polish_packed(3, ["protein_id"], dense_cells=0)([_packed(rows + [("one", "f0", "s0", 8.0)])]):
+        sparse |= {(r.protein_id, r.sample): (r.value, r.converged) for r in batch.itertuples()}
+    assert sparse == dense and dense[("one", "s0")] == (8.0, True) and not all(c for _, c in dense.values())
+    assert key(Ft.rollup_median_polish(v, iterations=3, cell_limit=4)) == dense
+    assert all(c for _, c in key(Ft.rollup_median_polish(v, iterations=200)).values())
+
+
+def _packed(rows):
+    import pandas as pd
+
+    df = pd.DataFrame(rows, columns=["protein_id", "fs", "ss", "vs"])
+    return df.groupby("protein_id").agg(list).reset_index()
+
+
+def test_razor_of_a_united_feature_is_that_of_the_first_plex_in_natural_order(spark):
+    df = spark.createDataFrame([("f", "p", "late", "TMT10"), ("f", "p", "early", "TMT9")], "feature_id string, peptide string, razor string, plex string")
+    assert X.unite_features(df).first()["razor"] == "early"
+
+
+def test_a_repeated_key_in_the_annotation_table_is_refused(spark):
+    from umbra.operators import tiers
+
+    proteins = spark.createDataFrame([("a",)], "protein_id string")
+    table = spark.createDataFrame([("a", 1), ("a", 2)], "protein_id string, n int")
+    with pytest.raises(ValueError, match="duplicate key"):
+        tiers.reuse_annotation(proteins, table)

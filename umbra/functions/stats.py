@@ -1,11 +1,8 @@
-"""Tail probabilities and gamma derivatives for use inside tasks."""
+"""Derivatives of the log-gamma function, for the prior of a handful of rows."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -41,87 +38,3 @@ def trigamma_inverse(value: float) -> float:
         else:
             high = mid
     return float(np.sqrt(low * high))
-
-
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    x = np.asarray(x, dtype=float)
-    shift, y = np.zeros_like(x), x.copy()
-    while np.any(y < 10):
-        low = y < 10
-        shift[low] += np.log(y[low])
-        y[low] += 1
-    z = 1 / (y * y)
-    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
-
-
-def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the incomplete beta function."""
-    tiny = 1e-300
-    c = np.ones_like(x)
-    d = 1 - (a + b) * x / (a + 1)
-    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-    h = d.copy()
-    for m in range(1, 400):
-        for num in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1 + num * d
-            d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-            c = 1 + num / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            step = c * d
-            h = h * step
-        if np.all(np.abs(step - 1) < 1e-14):
-            break
-    return h
-
-
-def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """Two-sided p value of Student's t."""
-    t, df = np.broadcast_arrays(np.asarray(t, float), np.asarray(df, float))
-    out = np.full(t.shape, np.nan)
-    ok = np.isfinite(t) & np.isfinite(df) & (df > 0)
-    if not ok.any():
-        return out
-    tt, nu = t[ok], df[ok]
-    x = nu / (nu + tt * tt)
-    a, b = nu / 2, np.full_like(nu, 0.5)
-    log_front = log_gamma(a + b) - log_gamma(a) - log_gamma(b)
-    with np.errstate(divide="ignore"):
-        front = np.exp(log_front + a * np.log(x) + b * np.log1p(-x))
-    direct = x < (a + 1) / (a + b + 2)
-    p = np.where(
-        direct,
-        front * _beta_fraction(a, b, np.where(direct, x, 0.1)) / a,
-        1 - front * _beta_fraction(b, a, np.where(direct, 0.1, 1 - x)) / b,
-    )
-    out[ok] = np.clip(p, 0, 1)
-    return out
-
-
-@F.pandas_udf(DoubleType())
-def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series(t_two_sided(t.to_numpy(dtype=float), df.to_numpy(dtype=float)))
-
-
-@F.pandas_udf(DoubleType())
-def hypergeometric_tail(k: pd.Series, drawn: pd.Series, marked: pd.Series, total: pd.Series) -> pd.Series:
-    """P(X >= k) for `drawn` of `total` with `marked` marked."""
-    out = []
-    for kk, n, m, big in zip(k, drawn, marked, total):
-        x = np.arange(kk, min(n, m) + 1, dtype=float)
-        if kk <= 0:
-            out.append(1.0)
-            continue
-
-        def choose(a, b):
-            return log_gamma(a + 1) - log_gamma(b + 1) - log_gamma(a - b + 1)
-
-        big, n, m = float(big), float(n), float(m)
-        x = x[n - x <= big - m]
-        logs = choose(np.full_like(x, m), x) + choose(np.full_like(x, big - m), n - x)
-        logs -= choose(np.array([big]), np.array([n]))[0]
-        out.append(float(min(1.0, np.exp(logs).sum())))
-    return pd.Series(out, dtype=float)

@@ -134,63 +134,102 @@ def _middle(cells: np.ndarray, axis: int) -> np.ndarray:
     return np.where(n > 0, (low + high) / 2, np.nan).squeeze(axis)
 
 
-def _polish(cells: np.ndarray, iterations: int) -> np.ndarray:
-    """Level per (protein, sample) of log cells (protein, feature, sample) with gaps."""
+def _polish(cells: np.ndarray, iterations: int) -> tuple[np.ndarray, np.ndarray]:
+    """Level per (protein, sample) of log cells (protein, feature, sample) with gaps, and whether the last sweep moved nothing."""
     resid = cells.copy()
     rows = np.where(np.isnan(cells).all(axis=2), np.nan, 0.0)
     cols = np.where(np.isnan(cells).all(axis=1), np.nan, 0.0)
     overall = np.zeros(len(cells))
+    moved = np.ones(len(cells), bool)
     for _ in range(iterations):
-        moved = False
+        moved = np.zeros(len(cells), bool)
         for axis, effect in ((2, rows), (1, cols)):
             step = _middle(resid, axis)
-            moved = moved or bool(np.nan_to_num(step).any())
+            moved |= (np.abs(np.nan_to_num(step)) > STILL).any(axis=1)
             resid -= np.expand_dims(step, axis)
             effect += step
             shift = _middle(effect, 1)
             effect -= shift[:, None]
             overall += shift
+        if not moved.any():
+            break
+    return overall[:, None] + cols, ~moved
+
+
+def _group_median(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Median of the values of each of `n` groups; every group has one."""
+    order = np.lexsort((values, of))
+    sorted_, count = values[order], np.bincount(of, minlength=n)
+    first = np.cumsum(count) - count
+    return (sorted_[first + (count - 1) // 2] + sorted_[first + count // 2]) / 2
+
+
+def _polish_sparse(r: np.ndarray, c: np.ndarray, log: np.ndarray, n_rows: int, n_cols: int, iterations: int) -> tuple[np.ndarray, bool]:
+    """The same for one protein by its observed cells alone."""
+    resid, overall = log.copy(), 0.0
+    rows, cols, moved = np.zeros(n_rows), np.zeros(n_cols), True
+    for _ in range(iterations):
+        moved = False
+        for of, effect in ((r, rows), (c, cols)):
+            step = _group_median(resid, of, len(effect))
+            moved = moved or bool((np.abs(step) > STILL).any())
+            resid -= step[of]
+            effect += step
+            shift = float(np.median(effect))
+            effect -= shift
+            overall += shift
         if not moved:
             break
-    return overall[:, None] + cols
+    return overall + cols, not moved
 
 
-def _dense(coded: list, n_samples: int) -> np.ndarray:
-    """Coded proteins as one array, padded to the one with the most features."""
-    wide = np.zeros((len(coded), max(c[0] for c in coded), n_samples))
-    for i, (_, r, c, v) in enumerate(coded):
-        np.add.at(wide[i], (r, c), v)
-    wide[wide == 0] = np.nan
-    return wide
+#: A sweep whose medians are all this small has moved nothing.
+STILL = 1e-12
+#: Cells of a dense matrix of features and samples; a sparser protein is polished by its observed cells.
+DENSE_CELLS = 200_000
 
 
-def _polish_packed(iterations: int, keys: list[str], chunk_cells: int = 1_000_000):
-    """Rows of one protein each, its cells packed in arrays; similar sizes share a chunk."""
+def _coded(fs, ss, vs) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, list]:
+    """Cells of one protein by its own features and samples: row, column and value, number of rows, names of columns."""
+    feats: dict = {}
+    samples: dict = {}
+    r = np.fromiter((feats.setdefault(f, len(feats)) for f in fs), np.int64, len(fs))
+    c = np.fromiter((samples.setdefault(x, len(samples)) for x in ss), np.int64, len(ss))
+    cell, at = np.unique(r * len(samples) + c, return_inverse=True)
+    value = np.bincount(at, np.asarray(vs, dtype=float), len(cell))
+    return cell // max(1, len(samples)), cell % max(1, len(samples)), value, len(feats), list(samples)
+
+
+def _polish_packed(iterations: int, keys: list[str], chunk_cells: int = 1_000_000, dense_cells: int = DENSE_CELLS):
+    """Rows of one protein each, its cells packed in arrays; proteins of similar size share a dense chunk."""
 
     def run(batches):
         for pdf in batches:
-            samples: dict[str, int] = {}
-            coded = []
-            for fs, ss, vs in zip(pdf["fs"], pdf["ss"], pdf["vs"]):
-                feats: dict = {}
-                r = [feats.setdefault(f, len(feats)) for f in fs]
-                c = [samples.setdefault(x, len(samples)) for x in ss]
-                coded.append((len(feats), r, c, np.asarray(vs, dtype=float)))
-            names = np.array(list(samples), dtype=object)
-            order = sorted(range(len(coded)), key=lambda i: coded[i][0])
+            coded = [_coded(*x) for x in zip(pdf["fs"], pdf["ss"], pdf["vs"])]
+            order = sorted(range(len(coded)), key=lambda i: (coded[i][3] * len(coded[i][4]) > dense_cells, coded[i][3], len(coded[i][4])))
             start = 0
             while start < len(order):
-                end = start + 1
-                while end < len(order) and (end + 1 - start) * coded[order[end]][0] * len(names) <= chunk_cells:
-                    end += 1
-                part = order[start:end]
-                wide = _dense([coded[i] for i in part], len(names))
-                level = 2.0 ** _polish(np.log2(wide), iterations)
-                scale = np.nansum(wide, axis=(1, 2)) / np.nansum(level, axis=1)
-                where, col = np.nonzero(~np.isnan(level))
-                out = pdf[keys].iloc[[part[i] for i in where]].reset_index(drop=True)
-                out["sample"] = names[col]
-                out["value"] = (level * scale[:, None])[where, col]
+                r, c, v, n, names = coded[order[start]]
+                if n * len(names) > dense_cells:
+                    level, still = _polish_sparse(r, c, np.log2(v), n, len(names), iterations)
+                    done, end = [(order[start], 2.0**level, v.sum(), still)], start + 1
+                else:
+                    end, most = start + 1, len(names)
+                    while end < len(order):
+                        n, most = coded[order[end]][3], max(most, len(coded[order[end]][4]))
+                        if n * most > dense_cells or (end + 1 - start) * n * most > chunk_cells:
+                            break
+                        end += 1
+                    part = order[start:end]
+                    wide = np.full((len(part), max(coded[i][3] for i in part), max(len(coded[i][4]) for i in part)), np.nan)
+                    for k, i in enumerate(part):
+                        wide[k, coded[i][0], coded[i][1]] = np.log2(coded[i][2])
+                    level, still = _polish(wide, iterations)
+                    done = [(i, 2.0 ** level[k, : len(coded[i][4])], coded[i][2].sum(), still[k]) for k, i in enumerate(part)]
+                out = pdf[keys].iloc[[i for i, x, _, _ in done for _ in x]].reset_index(drop=True)
+                out["sample"] = [s for i, _, _, _ in done for s in coded[i][4]]
+                out["value"] = np.concatenate([x * (total / x.sum()) for _, x, total, _ in done])
+                out["converged"] = [bool(still) for _, x, _, still in done for _ in x]
                 yield out
                 start = end
 
@@ -208,9 +247,12 @@ def _polish_large(rows: DataFrame, by: Sequence[str], iterations: int, limit: in
     cols = resid.select(*prot, "sample").distinct().withColumn("col", F.lit(0.0))
     overall = resid.select(*prot).distinct().withColumn("all", F.lit(0.0))
     totals = resid.groupBy(*prot).agg(F.sum("value").alias("total"))
+    moved_by = None
     for _ in range(iterations):
+        steps = []
         for side, name, table in (("feature_id", "row", feats), ("sample", "col", cols)):
             step = cut_lineage(exact_median(resid, [*prot, side], "r", "step", limit), "step")
+            steps.append(step.select(*prot, F.abs("step").alias("step")))
             resid = cut_lineage(
                 lookup_join(resid, step, [*prot, side])
                 .withColumn("r", F.col("r") - F.col("step"))
@@ -230,13 +272,16 @@ def _polish_large(rows: DataFrame, by: Sequence[str], iterations: int, limit: in
             )
             moved = cut_lineage(moved, name)
             feats, cols = (moved, cols) if name == "row" else (feats, moved)
+        moved_by = cut_lineage(steps[0].unionByName(steps[1]).groupBy(*prot).agg((F.max("step") <= STILL).alias("converged")), "moved")
+        if not moved_by.where("NOT converged").limit(1).count():
+            break
     level = lookup_join(cols, overall, prot).withColumn(
         "level", F.pow(F.lit(2.0), F.col("all") + F.col("col"))
     )
     sums = level.groupBy(*prot).agg(F.sum("level").alias("level_total"))
-    scaled = lookup_join(lookup_join(level, sums, prot), totals, prot)
+    scaled = lookup_join(lookup_join(lookup_join(level, sums, prot), totals, prot), moved_by, prot)
     return scaled.select(
-        *prot, "sample", (F.col("level") * F.col("total") / F.col("level_total")).alias("value")
+        *prot, "sample", (F.col("level") * F.col("total") / F.col("level_total")).alias("value"), "converged"
     )
 
 
@@ -245,12 +290,14 @@ def rollup_median_polish(
 ) -> DataFrame:
     """Log-space median polish per protein, rescaled to the protein's summed total.
 
-    A protein within `cell_limit` cells is one small matrix. A larger one is
-    polished by distributed medians, so no task holds it.
+    A protein within `cell_limit` observed cells is polished in one task, which holds its
+    observed cells, and a dense matrix only where that is small. A larger one is polished
+    by distributed medians, so no task holds it. `converged` tells whether the last of at
+    most `iterations` sweeps moved nothing.
     """
     rows = rows.where("value > 0")
     prot = [*by, "protein_id"]
-    order = [*prot, "sample", "value"]
+    order = [*prot, "sample", "value", "converged"]
 
     def small(part: DataFrame) -> DataFrame:
         cells = F.array_agg(F.struct("feature_id", "sample", "value"))
@@ -262,7 +309,7 @@ def rollup_median_polish(
         )
         fields = [f for f in packed.schema.fields if f.name in prot]
         schema = Ty.StructType(
-            fields + [Ty.StructField("sample", Ty.StringType()), Ty.StructField("value", Ty.DoubleType())]
+            fields + [Ty.StructField("sample", Ty.StringType()), Ty.StructField("value", Ty.DoubleType()), Ty.StructField("converged", Ty.BooleanType())]
         )
         return packed.mapInPandas(_polish_packed(iterations, prot), schema)
 
@@ -359,4 +406,4 @@ def subset_to_quant(
 
 def subsample_proteins(proteins: DataFrame, n: int) -> DataFrame:
     """A reproducible sample of `n` proteins by the hash of their id."""
-    return proteins.orderBy(F.xxhash64("protein_id"), "protein_id").limit(n)
+    return proteins.orderBy(F.md5(F.col("protein_id").cast("string").cast("binary")), "protein_id").limit(n)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from umbra.errors import OptionError
-from umbra.functions.stats import digamma, hypergeometric_tail, t_p_value, trigamma, trigamma_inverse
+from umbra.functions.stats import digamma, trigamma, trigamma_inverse
+from umbra.functions.tails import hypergeometric_tail, t_two_sided
+from umbra.operators.coding import Model, coded_design, codings, model_of
 from umbra.operators.design import with_design
 from umbra.plans.joins import lookup_join
 from umbra.plans.lineage import cut_lineage, spread
@@ -26,109 +28,138 @@ CONTRASTS = Ty.ArrayType(
         ]
     )
 )
+COEFFICIENTS = Ty.ArrayType(
+    Ty.StructType(
+        [
+            Ty.StructField("coefficient", Ty.StringType()),
+            Ty.StructField("estimate", Ty.DoubleType()),
+            Ty.StructField("stdev_unscaled", Ty.DoubleType()),
+        ]
+    )
+)
 
 
-def _design_matrix(groups: tuple, others: tuple, numeric: Sequence[bool]) -> tuple[np.ndarray, list[str]]:
-    """Cell means for the group; of each other term its value or treatment coding, over observed levels.
+class Pattern(NamedTuple):
+    """The least-squares solution for all proteins observed in the same samples."""
 
-    `others` has, for each sample, one text per further term.
-    """
-    levels = sorted(set(groups))
-    cols = [[float(g == l) for g in groups] for l in levels]
-    for k, is_number in enumerate(numeric):
-        values = [o[k] for o in others]
-        if is_number:
-            cols.append([float(v) for v in values])
-        else:
-            cols += [[float(x == b) for x in values] for b in sorted(set(values))[1:]]
-    return np.array(cols).T, levels
+    sigma2: np.ndarray
+    df: int
+    beta: np.ndarray
+    half: np.ndarray  # c @ half has the length stdev_unscaled of a combination c of coefficients
+    null: np.ndarray  # projects on what the samples do not determine
 
+    def combined(self, c: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """Estimates of a combination of coefficients and its unscaled deviation; None if it is not estimable."""
+        if np.abs(self.null @ c).max(initial=0.0) > 1e-8:
+            return None
+        return c @ self.beta, float(np.sqrt(((c @ self.half) ** 2).sum()))
 
-def _fit_pattern(groups: tuple, others: tuple, numeric: Sequence[bool], y: np.ndarray):
-    """Least squares for proteins observed in the same samples.
 
-    Returns residual variance, residual df and the estimable contrasts.
-    """
-    x, levels = _design_matrix(groups, others, numeric)
+def fit_pattern(x: np.ndarray, y: np.ndarray) -> Pattern:
+    """Least squares of each column of `y` on `x`."""
     n, p = x.shape
     u, s, vt = np.linalg.svd(x, full_matrices=False)
     keep = s > s.max() * max(n, p) * np.finfo(float).eps
     rank = int(keep.sum())
-    inv = vt[keep].T / s[keep]
-    beta = inv @ (u[:, keep].T @ y)
-    resid = y - x @ beta
+    half = vt[keep].T / s[keep]
+    beta = half @ (u[:, keep].T @ y)
     df = n - rank
-    sigma2 = (resid**2).sum(axis=0) / df if df > 0 else np.full(y.shape[1], np.nan)
-    null = np.eye(p) - vt[keep].T @ vt[keep]
-    contrasts = []
+    sigma2 = ((y - x @ beta) ** 2).sum(axis=0) / df if df > 0 else np.full(y.shape[1], np.nan)
+    return Pattern(sigma2, df, beta, half, np.eye(p) - vt[keep].T @ vt[keep])
+
+
+def _weights(names: Sequence[str], levels: Sequence[str], first: int, full: bool, wanted: Mapping[str, Mapping[str, float]] | None) -> dict[str, np.ndarray]:
+    """Contrasts as weights of the coefficients: those asked for, or later minus earlier level of the first factor."""
+    out = {}
+    if wanted is not None:
+        at = {n: k for k, n in enumerate(names)}
+        for contrast, of in wanted.items():
+            if all(n in at for n in of):  # a data set without such a level has no such contrast
+                out[contrast] = np.zeros(len(names))
+                for n, w in of.items():
+                    out[contrast][at[n]] = w
+        return out
+    place = [first + i if full else first + i - 1 for i in range(len(levels))]
     for i, early in enumerate(levels):
         for j in range(i + 1, len(levels)):
-            c = np.zeros(p)
-            c[j], c[i] = 1.0, -1.0
-            if np.abs(null @ c).max() > 1e-8:
-                continue  # not estimable from these samples
-            width = float(np.sqrt(((c @ inv) ** 2).sum()))
-            contrasts.append((f"{levels[j]}_vs_{early}", c @ beta, width))
-    return sigma2, df, contrasts
+            c = np.zeros(len(names))
+            c[place[j]] += 1.0
+            if full or i:
+                c[place[i]] -= 1.0
+            out[f"{levels[j]}_vs_{early}"] = c
+    return out
 
 
-def _fit_batches(keys: list[str], numeric: Sequence[bool]):
+def _fit_batches(keys: list[str], first: int, full: bool, wanted: Mapping[str, Mapping[str, float]] | None):
     def run(batches):
         for pdf in batches:
             patterns: dict[tuple, list[int]] = {}
-            for i, (g, o) in enumerate(zip(pdf["groups"], pdf["others"])):
-                patterns.setdefault((tuple(g), tuple(map(tuple, o))), []).append(i)
-            sigma2 = np.full(len(pdf), np.nan)
-            df = np.zeros(len(pdf), dtype=np.int64)
-            found: list[list] = [[] for _ in range(len(pdf))]
-            for (g, o), idx in patterns.items():
-                y = np.stack([np.asarray(pdf["ys"].iloc[i], dtype=float) for i in idx], axis=1)
-                s2, d, contrasts = _fit_pattern(g, o, numeric, y)
-                sigma2[idx], df[idx] = s2, d
-                for name, lfc, width in contrasts:
-                    for k, i in enumerate(idx):
-                        found[i].append({"contrast": name, "lfc": float(lfc[k]), "stdev_unscaled": width})
+            matrices = [np.stack([np.asarray(r, dtype=float) for r in xs]) for xs in pdf["xs"]]
+            for i, (m, names) in enumerate(zip(matrices, pdf["names"])):
+                patterns.setdefault((m.tobytes(), tuple(names)), []).append(i)
+            n = len(pdf)
+            sigma2, df = np.full(n, np.nan), np.zeros(n, dtype=np.int64)
+            contrasts: list[list] = [[] for _ in range(n)]
+            coefficients: list[list] = [[] for _ in range(n)]
+            for (_, names), idx in patterns.items():
+                fit = fit_pattern(matrices[idx[0]], np.stack([np.asarray(pdf["ys"].iloc[i], dtype=float) for i in idx], axis=1))
+                sigma2[idx], df[idx] = fit.sigma2, fit.df
+                asked = _weights(names, list(pdf["levels"].iloc[idx[0]]), first, full, wanted)
+                for of, field, out in ((asked, "contrast", contrasts), (dict(zip(names, np.eye(len(names)))), "coefficient", coefficients)):
+                    value = "lfc" if field == "contrast" else "estimate"
+                    for name, c in of.items():
+                        found = fit.combined(c)
+                        if found is None and field == "contrast":
+                            continue  # a contrast that these samples do not determine
+                        for k, i in enumerate(idx):
+                            out[i].append({field: name, value: None if found is None else float(found[0][k]), "stdev_unscaled": None if found is None else found[1]})
             out = pdf[keys].copy()
             out["n_observed"] = [len(y) for y in pdf["ys"]]
             out["sigma2"] = pd.Series(sigma2, index=out.index).where(lambda v: v.notna(), None)
             out["df_residual"] = df
-            out["contrasts"] = found
+            out["contrasts"] = contrasts
+            out["coefficients"] = coefficients
             yield out
 
     return run
 
 
 def fit_proteins(
-    values: DataFrame, design: DataFrame, terms: Sequence[str] = ("group",), by: Sequence[str] = ()
+    values: DataFrame,
+    design: DataFrame,
+    terms: Model | str | Sequence[str] = ("group",),
+    by: Sequence[str] = (),
+    contrasts: Mapping[str, Mapping[str, float]] | None = None,
 ) -> DataFrame:
     """Linear model per protein on its observed samples: one row per protein.
 
     `values` is log2 and has one row per (protein, sample), so a protein brings
     at most one number per sample of its experiment. Proteins with the same
-    observed samples share one decomposition. Contrasts are of the first term; any
-    number of further ones may follow, numeric columns as covariates and others as
-    factors. A sample without a value of some term takes no part.
+    observed samples share one decomposition. `terms` is a model (see `coding`):
+    products such as `group:plex` or `group:age` are allowed, numeric columns are
+    covariates and others factors. Contrasts are all pairs of levels of the first
+    factor, unless `contrasts` gives weights of coefficients by name; those that
+    a protein's samples do not determine are left out, and such coefficients are
+    NULL. A sample without a value of some column takes no part.
     """
     keys = [*by, "protein_id"]
-    missing = [t for t in terms if t not in design.columns]
-    if missing or not terms:
-        raise OptionError(f"the model names {missing or 'no term'}; the design has {design.columns}")
-    kinds = {f.name: isinstance(f.dataType, Ty.NumericType) for f in design.schema.fields}
-    others = F.array(*[F.col(t).cast("string") for t in terms[1:]]).cast("array<string>")
-    if len(terms) > 1:
-        design = design.where(" AND ".join(f"`{t}` IS NOT NULL" for t in terms))
-    rows = with_design(values.where("value IS NOT NULL"), design, list(terms), by)
-    cells = F.array_sort(
-        F.collect_list(
-            F.struct("sample", F.col(terms[0]).alias("g"), others.alias("o"), F.col("value").alias("y"))
-        )
-    )
+    model = model_of(terms)
+    coded = cut_lineage(coded_design(design, model, by), "coded")
+    numeric = [c for c in model.columns if isinstance(design.schema[c].dataType, Ty.NumericType)]
+    full = codings(model, numeric)[0][0][1]
+    rows = with_design(values.where("value IS NOT NULL"), coded, ["x"], by)
+    cells = F.array_sort(F.collect_list(F.struct("sample", "x", F.col("value").alias("y"))))
     packed = spread(rows, keys).groupBy(*keys).agg(cells.alias("_c")).select(
-        *keys,
-        F.transform("_c", lambda c: c["g"]).alias("groups"),
-        F.transform("_c", lambda c: c["o"]).alias("others"),
-        F.transform("_c", lambda c: c["y"]).alias("ys"),
+        *keys, F.transform("_c", lambda c: c["x"]).alias("xs"), F.transform("_c", lambda c: c["y"]).alias("ys")
     )
+    shapes = coded.select(*by, "names", "levels").distinct()  # one row for each data set
+    if by:
+        packed = lookup_join(packed, shapes, by, "inner")
+    else:
+        shape = shapes.first()
+        for c in ("names", "levels"):
+            of = F.array(*[F.lit(x) for x in (shape[c] if shape else [])]).cast("array<string>")
+            packed = packed.withColumn(c, of)
     schema = Ty.StructType(
         [f for f in packed.schema.fields if f.name in keys]
         + [
@@ -136,9 +167,10 @@ def fit_proteins(
             Ty.StructField("sigma2", Ty.DoubleType()),
             Ty.StructField("df_residual", Ty.LongType()),
             Ty.StructField("contrasts", CONTRASTS),
+            Ty.StructField("coefficients", COEFFICIENTS),
         ]
     )
-    return packed.mapInPandas(_fit_batches(keys, [kinds[t] for t in terms[1:]]), schema)
+    return packed.mapInPandas(_fit_batches(keys, int(model.intercept), full, contrasts), schema)
 
 
 def _prior(pdf: pd.DataFrame) -> tuple[float, float, float]:
@@ -231,7 +263,7 @@ def moderated_contrasts(
              "s2_post", "df_total", "_c.stdev_unscaled")
     se = F.col("stdev_unscaled") * F.sqrt("s2_post")
     t = F.col("lfc") / F.nullif(se, F.lit(0.0))
-    return out.withColumn("t", t).withColumn("p_value", t_p_value("t", "df_total"))
+    return out.withColumn("t", t).withColumn("p_value", t_two_sided(F.col("t"), F.col("df_total")))
 
 
 def select_contrasts(results: DataFrame, wanted: Sequence[str] = ()) -> DataFrame:
@@ -279,13 +311,14 @@ def bh_adjust(
 def differential_abundance(
     values: DataFrame,
     design: DataFrame,
-    terms: Sequence[str] = ("group",),
-    contrasts: Sequence[str] = (),
+    terms: Model | str | Sequence[str] = ("group",),
+    contrasts: Sequence[str] | Mapping[str, Mapping[str, float]] = (),
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Fit, moderate and adjust. The fits are written once: several passes read them."""
-    fits = cut_lineage(fit_proteins(values, design, terms, by), "fits")
-    tested = cut_lineage(select_contrasts(moderated_contrasts(fits, by), contrasts), "tests")
+    """Fit, moderate and adjust. `contrasts` selects by name, or gives weights of coefficients. The fits are written once: several passes read them."""
+    weights = contrasts if isinstance(contrasts, Mapping) else None
+    fits = cut_lineage(fit_proteins(values, design, terms, by, weights), "fits")
+    tested = cut_lineage(select_contrasts(moderated_contrasts(fits, by), () if weights else contrasts), "tests")
     return bh_adjust(tested, [*by, "contrast"])
 
 
@@ -305,7 +338,7 @@ def ratio_model(
     taxa: DataFrame,
     factors: DataFrame,
     design: DataFrame,
-    terms: Sequence[str] = ("group",),
+    terms: Model | str | Sequence[str] = ("group",),
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Naive and organism-adjusted result of the first contrast for proteins with a usable taxon."""
@@ -346,10 +379,10 @@ def kegg_enrichment(
     by: Sequence[str] = (),
     alpha: float = 0.05,
 ) -> DataFrame:
-    """Over-representation of pathways among significant proteins, per contrast.
+    """Over-representation of pathways among significant proteins, with q values per contrast.
 
     The background is the tested proteins that have a pathway. `pathways` has
-    one row per (protein_id, pathway).
+    one row per (protein_id, pathway). The q values are over the pathways of a contrast.
     """
     keys = [*by, "contrast"]
     annotated = pathways.select(*by, "protein_id").distinct()
@@ -363,6 +396,5 @@ def kegg_enrichment(
         F.count("*").alias("n_in_pathway"), F.count_if("_sig").alias("n_overlap")
     )
     rows = lookup_join(counts, totals, keys)
-    return rows.withColumn(
-        "p_value", hypergeometric_tail("n_overlap", "n_significant", "n_in_pathway", "n_background")
-    )
+    tail = hypergeometric_tail(F.col("n_overlap"), F.col("n_significant"), F.col("n_in_pathway"), F.col("n_background"))
+    return bh_adjust(cut_lineage(rows.withColumn("p_value", tail), "pathways"), keys)

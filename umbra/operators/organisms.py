@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from umbra.plans.joins import lookup_join
-from umbra.plans.order import exact_median
+from umbra.plans.lineage import cut_lineage
+from umbra.plans.order import GROUP_LIMIT, exact_median
 
 METHODS = ("median_of_ratios", "median_of_ratios_poscounts", "sum_fallback")
 
@@ -32,42 +33,40 @@ def taxon_size_factors(
     """
     taxon = [*by, "taxid"]
     x = proteins.where("value > 0 AND taxid IS NOT NULL AND taxid <> ''")
+    # One row per protein, written once: its cells (one a sample at most), their number and geometric mean.
+    packed = x.groupBy(*taxon, "protein_id").agg(
+        F.collect_list(F.struct("sample", "value")).alias("_cells"), F.count("*").alias("_seen"), F.exp(F.avg(F.ln("value"))).alias("_ref")
+    )
     n_samples = samples.select(*by, "sample").distinct().groupBy(*by).agg(F.count("*").alias("_ns"))
     if by:
-        x = lookup_join(x, n_samples, by, "inner")
+        packed = lookup_join(packed, n_samples, by, "inner")
     else:
-        x = x.withColumn("_ns", F.lit(n_samples.first()[0]))
-    # A protein has at most one row per sample, so this window is small.
-    w = Window.partitionBy(*taxon, "protein_id")
-    x = (
-        x.withColumn("_seen", F.count("*").over(w))
-        .withColumn("_ref", F.exp(F.avg(F.ln("value")).over(w)))
-        .withColumn("_first", F.col("sample") == F.min("sample").over(w))
-        .withColumn("_complete", F.col("_seen") == F.col("_ns"))
-        .withColumn("_ratio", F.col("value") / F.col("_ref"))
-    )
-    members = x.groupBy(*taxon).agg(
-        F.count_if("_first").alias("n_members"),
-        F.count_if(F.col("_first") & F.col("_complete")).alias("n_complete"),
+        packed = packed.withColumn("_ns", F.lit(n_samples.first()[0]))
+    packed = cut_lineage(packed.withColumn("_complete", F.col("_seen") == F.col("_ns")), "packed")
+    members = packed.groupBy(*taxon).agg(
+        F.count("*").alias("n_members"), F.count_if("_complete").alias("n_complete")
     ).withColumn(
         "_planned",
         F.when(F.col("n_members") < min_proteins, METHODS[2])
         .when(F.col("n_complete") >= min_proteins, METHODS[0])
         .otherwise(METHODS[1]),
     )
-    x = lookup_join(x, members, taxon)
-    usable = x.where(
-        (F.col("_planned") == METHODS[1]) | ((F.col("_planned") == METHODS[0]) & F.col("_complete"))
-    )
-    medians = exact_median(usable, [*taxon, "sample"], "_ratio", "_factor")
-    per_sample = x.groupBy(*taxon, "sample", "_planned", "n_members", "n_complete").agg(
-        F.sum("value").alias("_sum"),
-        F.count_if(
-            (F.col("_planned") == METHODS[1])
-            | ((F.col("_planned") == METHODS[0]) & F.col("_complete"))
-        ).alias("n_ratios"),
-    )
-    table = per_sample.join(medians, [*taxon, "sample"], "left").withColumn(
+    # Few rows, a taxon each, that three places read.
+    members = cut_lineage(members, "members")
+    most = members.agg(F.max("n_members")).first()[0] or 0
+    rows = lookup_join(packed, members, taxon)
+    usable = (F.col("_planned") == METHODS[1]) | ((F.col("_planned") == METHODS[0]) & F.col("_complete"))
+    ratio = F.when(usable, F.col("_c.value") / F.col("_ref"))
+    cells = rows.select(*taxon, "_planned", "n_members", "n_complete", usable.alias("_usable"), "_ref", F.explode("_cells").alias("_c"), "_complete")
+    cells = cells.select(*taxon, "_c.sample", "_planned", "n_members", "n_complete", F.col("_c.value").alias("value"), ratio.alias("_ratio"))
+    group = [*taxon, "sample", "_planned", "n_members", "n_complete"]
+    sums = [F.sum("value").alias("_sum"), F.count("_ratio").alias("n_ratios")]
+    if most <= GROUP_LIMIT:
+        table = cells.groupBy(*group).agg(*sums, F.median("_ratio").alias("_factor"))
+    else:  # a taxon too large for one task
+        medians = exact_median(cells, [*taxon, "sample"], "_ratio", "_factor")
+        table = cells.groupBy(*group).agg(*sums).join(medians, [*taxon, "sample"], "left")
+    table = table.withColumn(
         "_factor",
         F.when((F.col("_planned") == METHODS[1]) & (F.col("n_ratios") < min_proteins), F.lit(None)).otherwise(
             F.col("_factor")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from umbra.plans.joins import assert_unique, lookup_join
@@ -56,30 +56,36 @@ def group_conflicts(groups: DataFrame, annotation: DataFrame, by: Sequence[str]
 
 
 class Step(NamedTuple):
-    """One funnel step: what was done, what is counted, and the rows left."""
+    """One funnel step: what was done, what is counted, and in which rows.
+
+    `count` is an aggregate of the rows; without one all rows count.
+    """
 
     step: str
     unit: str
     why: str
     rows: DataFrame
+    count: Column | None = None
 
 
 def quant_funnel(steps: Sequence[Step], by: Sequence[str] = ()) -> DataFrame:
     """Ordered steps with before, after and dropped, chained within each unit.
 
-    A filter that removes nothing is a row too. `dropped` is negative where a
-    step's rows are not a subset of the step before.
+    Steps over the same table are counted in one pass over it. A filter that removes nothing
+    is a row too. `dropped` is negative where a step's rows are not a subset of the step
+    before. A data set without a row in some table has no step there.
     """
-    out = None
+    tables: dict[int, list[tuple[int, Step]]] = {}
     for i, s in enumerate(steps):
-        counted = s.rows.groupBy(*by).agg(F.count("*").alias("after")).select(
-            *by,
-            F.lit(i).alias("step_order"),
-            F.lit(s.step).alias("step"),
-            F.lit(s.unit).alias("unit"),
-            "after",
-            F.lit(s.why).alias("why"),
-        )
+        tables.setdefault(id(s.rows), []).append((i, s))
+    out = None
+    for same in tables.values():
+        counts = [(F.count("*") if s.count is None else s.count).cast("bigint").alias(f"_n{i}") for i, s in same]
+        each = [
+            F.struct(F.lit(i).alias("step_order"), F.lit(s.step).alias("step"), F.lit(s.unit).alias("unit"), F.col(f"_n{i}").alias("after"), F.lit(s.why).alias("why"))
+            for i, s in same
+        ]
+        counted = same[0][1].rows.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*each)))
         out = counted if out is None else out.unionByName(counted)
     w = Window.partitionBy(*by, "unit").orderBy("step_order")
     before = F.lag("after").over(w)

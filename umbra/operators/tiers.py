@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from umbra.errors import InputError
 from umbra.functions import text as T
 from umbra.functions.numbers import percent
-from umbra.plans.joins import lookup_join
+from umbra.plans.joins import assert_unique, lookup_join
 
 # More prefixes than this name genomes, not sources.
 MAX_TIERS = 12
@@ -125,9 +125,10 @@ def reuse_annotation(
     """Annotation rows keyed by the proteins' own ids.
 
     One row of `table` serves every protein it matches. `matched_by` is exact,
-    prefix or missing.
+    prefix or missing. A repeated key in `table` is refused: it would be a row at random.
     """
     keys = [*by, "protein_id"]
+    assert_unique(table, keys, "annotation table")
     tried = proteins.select(
         *keys, F.posexplode(candidate_keys(F.col("protein_id"), strip_prefixes)).alias("_rank", "_key")
     )

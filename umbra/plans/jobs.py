@@ -8,7 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umbra.operators import bins, evidence, features, filters, models, organisms, tables
+from umbra.operators import bins, coding, evidence, features, filters, isobaric, models, organisms, tables
+from umbra.operators.design import default_terms
 from umbra.operators.taxonomy import effective_taxid
 from umbra.plans.lineage import cut_lineage
 
@@ -83,20 +84,17 @@ def quantify(
         ),
         "quant",
     )
-    used = assigned.where("assigned IS NOT NULL")
+    carrying, enough = F.col("n_features_used") > 0, F.col("n_features_used") >= max(min_features, 1)
     steps = [
-        tables.Step("proteins in the annotation table", "protein", "", annotation.select(*keys)),
-        tables.Step("proteins named by a quantified feature", "protein", "no feature names the rest",
-                    assigned.select(*by, "razor").distinct()),
-        tables.Step("features read from the quant table", "feature", "", assigned),
-        tables.Step(f"peptide_assignment={mode}", "feature", "class not kept by the mode", used),
-        tables.Step("proteins carrying an assigned feature", "protein", "every feature was dropped",
-                    used.select(*by, "assigned").distinct()),
+        tables.Step("proteins in the annotation table", "protein", "", annotation),
+        tables.Step("proteins named by a quantified feature", "protein", "no feature names the rest", counts),
+        tables.Step("features read from the quant table", "feature", "", counts,
+                    F.sum(F.col("n_features_used") + F.col("n_features_dropped"))),
+        tables.Step(f"peptide_assignment={mode}", "feature", "class not kept by the mode", counts, F.sum("n_features_used")),
+        tables.Step("proteins carrying an assigned feature", "protein", "every feature was dropped", counts, F.count_if(carrying)),
         tables.Step(f"min_features_per_protein={min_features}", "protein",
-                    "removes nothing" if min_features <= 1 else "too few assigned features",
-                    counts.where(F.col("n_features_used") >= max(min_features, 1))),
-        tables.Step("proteins written to the annotated quant table", "protein", "",
-                    quant.select(*keys).distinct()),
+                    "removes nothing" if min_features <= 1 else "too few assigned features", counts, F.count_if(enough)),
+        tables.Step("proteins written to the annotated quant table", "protein", "", quant.select(*keys).distinct()),
     ]
     return Quantified(
         quant,
@@ -127,24 +125,33 @@ def analyse(
     annotation: DataFrame,
     design: DataFrame,
     factors: DataFrame,
-    terms: Sequence[str] = ("group",),
+    terms: coding.Model | str | Sequence[str] | None = None,
     min_valid: int = 2,
     min_plexes: int = 1,
     normalise: bool = True,
     by: Sequence[str] = (),
 ) -> Tested:
-    """Protein quant to moderated statistics, with and without the organism reference."""
+    """Protein quant to moderated statistics, with and without the organism reference.
+
+    Without `terms` the model is `~ 0 + group`, with the plex as a further term where there are
+    plexes; a model that is given is left as it is. A design whose statistics cannot be
+    honest stops the job before anything is fitted.
+    """
     keys = [*by, "protein_id"]
+    model = coding.model_of(default_terms(design) if terms is None else terms)
+    coding.guard_design(design, model, by, () if terms is not None else ("plex",))
+    if "plex" in design.columns:
+        isobaric.require_unconfounded(design, by)
     linear = quant.select(*keys, "sample", "value")
     flags = cut_lineage(filters.protein_filters(linear, design, min_valid, min_plexes, by), "flags")
     kept = flags.where("keep_valid AND keep_plex").select(*keys)
     logged = linear.join(kept, keys, "left_semi").where("value > 0").withColumn("value", F.log2("value"))
     centred = cut_lineage(filters.sample_median_shift(logged, by, normalise), "log2")
-    abundance = cut_lineage(models.differential_abundance(centred, design, terms, by=by), "abundance")
+    abundance = cut_lineage(models.differential_abundance(centred, design, model, by=by), "abundance")
     taxa = quant.where("effective_taxid IS NOT NULL").select(
         *keys, F.col("effective_taxid").alias("taxid")
     ).distinct()
-    ratio = models.ratio_model(centred, taxa, factors, design, terms, by)
+    ratio = models.ratio_model(centred, taxa, factors, design, model, by)
     results = tables.annotate_quant(
         abundance, [annotation.select(*keys, "bin", "has_ko", "surface_or_secreted", "export_score")], by,
         check_keys=False,

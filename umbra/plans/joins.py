@@ -15,7 +15,9 @@ def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str =
     """Join `big` to `lookup` (unique on `on`); adaptive execution picks broadcast and splits hot keys.
 
     Rows of `big` with a NULL key would all be sent to one task only to find nothing, so they
-    get a number as a further key. Each side is read once.
+    get a number as a further key. It follows from the row's own columns and not from its
+    place, so a task that runs again sends the row where it went before. Each side is
+    read once.
     """
     on = list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
@@ -27,7 +29,9 @@ def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str =
     empty = F.lit(False)
     for c in holes:
         empty = empty | F.col(f"`{c}`").isNull()
-    spread = F.when(empty, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD))).otherwise(0).cast("int")
+    # Maps have no hash; their columns are left out, as every other column tells rows apart as well.
+    own = [F.col(f"`{f.name}`") for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.when(empty, 1 + F.pmod(F.xxhash64(*own), F.lit(NULL_SPREAD))).otherwise(0).cast("int")
     # Zero too, but no literal, which the optimizer would take out of the join key.
     zero = F.pmod(F.hash(*on), F.lit(1)).cast("int")
     out = big.withColumn("_spread", spread).join(lookup.withColumn("_spread", zero), [*on, "_spread"], how)

@@ -16,12 +16,16 @@ _ROOTS: dict[str, str] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """A folder of this session in `spark.checkpoint.dir`, or in the warehouse where that is unset.
 
-    Both are on the file system that Spark itself uses, not on one machine. The folder is
-    deleted when the driver ends.
+    The folder is deleted when the driver ends. On a cluster a warehouse on a local disk will
+    not do, since executors would not see each other's files.
     """
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            base = spark.conf.get("spark.sql.warehouse.dir")
+            if base.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+                raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {base} is local")
         _ROOTS[app] = f"{base.rstrip('/')}/stages-{app}"
         atexit.register(drop, spark, _ROOTS[app])
     return _ROOTS[app]

@@ -6,6 +6,7 @@ protein_id, source, db, name, accession, description, evalue, score, ident, qcov
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from umbra.functions import text as T
 from umbra.functions.numbers import to_number
-from umbra.sources.lines import cells, data_lines, field, kept, read_lines, warn_if_unparsed
+from umbra.sources.lines import cells, data_lines, field, headers, kept, read_lines, warn_if_unparsed
 
 HIT_COLUMNS = {
     "protein_id": "string",
@@ -217,6 +218,30 @@ def is_legacy_foldseek(header: str | None) -> bool:
     return "qtmscore" not in foldseek_columns(header)
 
 
+def read_foldseek(spark: SparkSession, path: str | list[str], **limits) -> DataFrame:
+    """Structure hits of a folder whose files have each their own columns, or no header at all.
+
+    Files without the query-normalised score pass a weaker gate, which is said.
+    """
+    files = spark.read.text(path).select("_metadata.file_path").distinct()
+    found = headers(spark, path, r"^#?query\t")
+    headed = {f for names in found.values() for f in names}
+    plain = sorted(r["file_path"] for r in files.collect() if r["file_path"] not in headed)
+    layouts = [*found.items(), *([(None, plain)] if plain else [])]
+    legacy = sum(len(names) for header, names in layouts if is_legacy_foldseek(header))
+    if legacy:
+        warnings.warn(f"{legacy} structure file(s) without qtmscore: the gate on alntmscore is weaker", stacklevel=2)
+    out, lines = None, read_lines(spark, path)
+    for header, names in layouts:
+        rows = read_lines(spark, names)
+        rows = rows.where(~F.col("value").rlike(r"^#?query\t")) if header else rows
+        hits = parse_foldseek(rows, header, **limits)
+        out = hits if out is None else out.unionByName(hits)
+    if out is None:  # no file with a line
+        return parse_foldseek(lines, None, **limits)
+    return warn_if_unparsed(lines, out, "structure hits")
+
+
 # ---------------------------------------------------------------- orthology and signatures
 def parse_kofam(lines: DataFrame) -> DataFrame:
     """Rows flagged `*`; the quotes around the definition are removed."""

@@ -169,10 +169,10 @@ def read_purity(spark: SparkSession, path: str, level: str = "ion") -> DataFrame
 
 
 def unite_features(features: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per feature over all plexes; the razor is that of the first plex by name."""
+    """One row per feature over all plexes; the razor is that of the first plex in natural order, `TMT9` before `TMT10`."""
     return features.groupBy(*by, "feature_id").agg(
         F.min("peptide").alias("peptide"),
-        F.min_by("razor", "plex").alias("razor"),
+        F.min_by("razor", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(T.natural_key("plex"))])).alias("razor"),
     )
 
 

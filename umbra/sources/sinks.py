@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from umbra.functions import text as T
-from umbra.plans.joins import assert_unique, lookup_join
+from umbra.plans.joins import lookup_join
+from umbra.sources.publish import Table, publish, publish_table
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -32,13 +33,9 @@ def write_result_table(
     """Sorted Parquet with unique keys, and a sorted TSV copy where asked for.
 
     The copy is one file unless the caller gives another number, or None for as many as
-    the sort makes.
+    the sort makes. The table is evaluated once; with a repeated key nothing is written.
     """
-    assert_unique(df, keys, path)
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
-        *partition_by
-    ).parquet(path)
-    back = df.sparkSession.read.parquet(path)
+    back = publish_table(Table(df, keys, partition_by), path)
     if tsv_path:
         ordered = flat(back).orderBy(*keys)
         (ordered.coalesce(tsv_files) if tsv_files else ordered).write.mode("overwrite").option("sep", "\t").option(
@@ -57,14 +54,12 @@ def wide_quant(
 def write_wide_quant(
     values: DataFrame, design: DataFrame, path: str, keys: Sequence[str] = ("protein_id",)
 ) -> list[str]:
-    """Pivot in design order and record the sample columns beside the table."""
+    """Pivot in design order and record the sample columns beside the table, which `published(spark, path)` gives back."""
     order = [*T.natural_key("plex")] if "plex" in design.columns else []
     rows = design.orderBy(*order, *T.natural_key("sample")).select("sample").collect()
     samples = [r["sample"] for r in rows]
-    wide_quant(values, samples, keys).write.mode("overwrite").parquet(path)
-    values.sparkSession.createDataFrame(
-        [(i, s) for i, s in enumerate(samples)], "position int, sample string"
-    ).write.mode("overwrite").parquet(path + "_samples")
+    columns = values.sparkSession.createDataFrame([(i, s) for i, s in enumerate(samples)], "position int, sample string")
+    publish({"quant": Table(wide_quant(values, samples, keys), keys), "samples": Table(columns, ["position"])}, path)
     return samples
 
 
@@ -111,9 +106,13 @@ def linked_assays(
     return out
 
 
-def write_linked_assays(tables: dict[str, DataFrame], path: str) -> None:
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+def write_linked_assays(tables: dict[str, DataFrame], path: str, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """All tables as one published version, with unique keys where a table has one; read back."""
+    keys = {
+        "proteins": ["protein_id"], "samples": ["sample"], "peptides": ["feature_id"], "link": ["feature_id"],
+        "protein_values": ["protein_id", "sample"], "peptide_values": ["feature_id", "sample"],
+    }
+    return publish({name: Table(df, [*by, *keys[name]]) for name, df in tables.items()}, path)
 
 
 def fasta_text(pid: Column | str = "protein_id", seq: Column | str = "seq") -> Column:
