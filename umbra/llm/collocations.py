@@ -16,7 +16,7 @@ longer by one word does, so it is enough to see, while the phrase is counted, wh
 word stands before, or behind, all its occurrences.
 
 Between steps the corpus is a table of runs of frequent words, in blobs of bounded size
-per language; a step reads it once for each length. Counts are summed in a blob, then per
+per language, coded by the words of their blob; a step reads it once for each length. Counts are summed in a blob, then per
 task, then over tasks, so a common phrase or language is no hot key. What is broadcast are
 filters of FILTER_VALUES hashed values; the counts that follow are of the phrases
 themselves.
@@ -28,6 +28,7 @@ table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -47,13 +48,17 @@ BLOB_BYTES = 2_000_000
 
 #: By byte: lower case, a full stop for a delimiter, a blank for a tab.
 _FOLD = bytes(46 if b in DELIMITERS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-_FOUND = "lang string, phrase binary, n bigint, before binary, after binary"
+_FOUND = "lang string, phrase binary, n bigint, before bigint, after bigint"
 
 
-def blobs(batch: pd.DataFrame) -> Iterator[tuple[str, bytes]]:
-    """The folded texts of a batch by language, in stretches of about BLOB_BYTES cut at full stops."""
-    for lang, texts in batch.groupby("lang", sort=True)["t"]:
-        text = b".".join(bytes(t) for t in texts).translate(_FOLD)
+def blobs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]]:
+    """The folded texts by language, in stretches of about BLOB_BYTES cut at full stops."""
+    held: dict[str, list[bytes]] = {}
+    size: dict[str, int] = {}
+
+    def stretches(lang: str) -> Iterator[tuple[str, bytes]]:
+        text = b".".join(held.pop(lang)).translate(_FOLD)
+        del size[lang]
         at = 0
         while at < len(text):
             end = text.find(b".", at + BLOB_BYTES)
@@ -61,13 +66,31 @@ def blobs(batch: pd.DataFrame) -> Iterator[tuple[str, bytes]]:
             yield lang, text[at:end]
             at = end
 
+    for batch in batches:
+        for lang, texts in batch.groupby("lang", sort=True)["t"]:
+            held.setdefault(lang, []).extend(bytes(t) for t in texts)
+            size[lang] = size.get(lang, 0) + sum(map(len, texts))
+            if size[lang] >= BLOB_BYTES:
+                yield from stretches(lang)
+        if sum(size.values()) > 8 * BLOB_BYTES:  # many languages, each with a little
+            for lang in list(held):
+                yield from stretches(lang)
+    for lang in list(held):
+        yield from stretches(lang)
+
 
 def words_of(folded: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the words in order, -1 for a full stop, and the distinct words."""
     tokens = np.array(folded.replace(b".", b" . ").split(), dtype=object)
     codes, distinct = pd.factorize(tokens) if len(tokens) else (np.zeros(0, np.int64), tokens)
     stop = np.flatnonzero(distinct == b".")
-    return np.where(np.isin(codes, stop), -1, codes).astype(np.int64), distinct
+    return np.where(codes == (stop[0] if len(stop) else -1), -1, codes).astype(np.int64), distinct
+
+
+def word_numbers(words: Sequence[bytes]) -> np.ndarray:
+    """A number above 0 for each word, and 0 for none: 63 bits of a digest."""
+    numbers = [1 + (int.from_bytes(hashlib.blake2b(w, digest_size=8).digest()) >> 1) for w in words]
+    return np.minimum(np.array([*numbers, 0], np.uint64), np.uint64((1 << 63) - 1)).astype(np.int64)
 
 
 def hashed(lang: str, phrases: Sequence[bytes]) -> np.ndarray:
@@ -94,38 +117,37 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """lang, phrase (one word) and n; the null phrase has the number of all words. `docs`: lang, t."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lang, text in blobs(batch):
-                codes, distinct = words_of(text)
-                count = np.bincount(codes[codes >= 0], minlength=len(distinct))
-                some = np.flatnonzero(count)
-                yield pd.DataFrame({"lang": lang, "phrase": [None, *distinct[some]], "n": np.append(count.sum(), count[some])})
+        for lang, text in blobs(batches):
+            codes, distinct = words_of(text)
+            count = np.bincount(codes[codes >= 0], minlength=len(distinct))
+            some = np.flatnonzero(count)
+            yield pd.DataFrame({"lang": lang, "phrase": [None, *distinct[some]], "n": np.append(count.sum(), count[some])})
 
     return docs.mapInPandas(run, "lang string, phrase binary, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_runs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """lang and blob: stretches of two or more words that may be frequent, separated by full stops."""
+    """lang, words and codes: stretches of two or more words that may be frequent, as places in `words` with -1 between stretches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lang, text in blobs(batch):
-                codes, distinct = words_of(text)
-                often = np.append(frequent[hashed(lang, distinct)], False)[codes]  # the last one is for -1
-                beside = np.zeros(len(often), bool)
-                beside[1:] |= often[:-1]
-                beside[:-1] |= often[1:]
-                often &= beside
-                keep = often | np.append(often[1:], False)  # of all that is left out, one stop before a stretch
-                names = np.append(distinct, None)
-                names[-1] = b"."
-                yield pd.DataFrame({"lang": [lang], "blob": [b" ".join(names[np.where(often, codes, -1)[keep]])]})
-
-    return docs.mapInPandas(run, "lang string, blob binary")
+        for lang, text in blobs(batches):
+            codes, distinct = words_of(text)
+            often = np.append(frequent[hashed(lang, distinct)], False)[codes]  # the last one is for -1
+            beside = np.zeros(len(often), bool)
+            beside[1:] |= often[:-1]
+            beside[:-1] |= often[1:]
+            often &= beside
+            keep = often | np.append(often[1:], False)  # of all that is left out, one mark before a stretch
+            left, used = pd.factorize(np.where(often, codes, -1)[keep], use_na_sentinel=False)
+            number = np.where(used < 0, -1, np.cumsum(used >= 0) - 1)
+            left = number[left] if len(left) else left
+            yield pd.DataFrame({"lang": [lang], "words": [b" ".join(distinct[used[used >= 0]])], "codes": [left.astype("<i4").tobytes()]})
+
+    return docs.mapInPandas(run, "lang string, words binary, codes binary")
 
 
 def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Sequence[int]) -> DataFrame:
-    """lang, phrase, n, and the one word before and behind all occurrences (empty if there is no such word).
+    """lang, phrase, n, and the number of the one word before and behind all occurrences (0 if there is no such word).
 
     Counted are phrases of `lengths`. A phrase grows by a word only if it passes the filter of
     its length; it is returned only if it passes that, where there is one.
@@ -134,18 +156,17 @@ def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Seque
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lang, blob in zip(batch["lang"], batch["blob"], strict=True):
-                codes, distinct = words_of(bytes(blob))
+            for lang, words, codes in zip(batch["lang"], batch["words"], batch["codes"], strict=True):
+                distinct, codes = bytes(words).split(), np.frombuffer(codes, "<i4").astype(np.int64)
                 padded = np.concatenate([[-1], codes, np.full(LONGEST + 1, -1)])  # codes[i] is padded[i + 1]
                 at = np.flatnonzero(codes >= 0)
-                ids, phrases = codes[at], distinct
-                words = np.append(distinct, b"")
+                ids, phrases, numbers = codes[at], distinct, word_numbers(distinct)
                 for length in range(1, max(lengths) + 1):
                     if length > 1:
                         following = padded[at + length]
                         whole = following >= 0
                         at, ids, following = at[whole], ids[whole], following[whole]
-                        key, ids = np.unique(ids * len(distinct) + following, return_inverse=True)
+                        ids, key = pd.factorize(ids * len(distinct) + following)
                         phrases = [phrases[i] + b" " + distinct[j] for i, j in zip(*(x.tolist() for x in np.divmod(key, len(distinct))), strict=True)]
                     if length <= len(filters):
                         passes = filters[length - 1][hashed(lang, phrases)]
@@ -161,7 +182,7 @@ def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Seque
                             one = np.full(len(phrases), -1)
                             one[ids] = beside
                             mixed = np.bincount(ids, beside != one[ids], len(phrases)) > 0
-                            row[name] = words[np.where(mixed, -1, one)[some]]
+                            row[name] = numbers[np.where(mixed, -1, one)[some]]
                         yield pd.DataFrame(row)
 
     return corpus.mapInPandas(run, _FOUND)
@@ -170,7 +191,7 @@ def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Seque
 def summed(found: DataFrame, least: int) -> DataFrame:
     """Phrases with at least `least` occurrences: lang, phrase, n, and whether one word is beside all of them."""
     of = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), *[f(c).alias(f"{c}_{k}") for c in ("before", "after") for k, f in (("low", F.min), ("high", F.max))])
-    inside = lambda c: (F.col(f"{c}_low") == F.col(f"{c}_high")) & (F.length(f"{c}_low") > 0)
+    inside = lambda c: (F.col(f"{c}_low") == F.col(f"{c}_high")) & (F.col(f"{c}_low") > 0)
     return of.where(F.col("n") >= least).select("lang", "phrase", "n", (inside("before") | inside("after")).alias("inside"))
 
 
