@@ -73,6 +73,27 @@ def test_op9_on_a_table_equals_all_pairs(spark, sf):
     assert got == components_of(texts)
 
 
+def test_one_stray_round_a_leader_costs_few_rows(spark):
+    around = spark.range(2000).selectExpr("1L AS leader", "id AS node", "CASE WHEN id = 7 THEN 7L ELSE 0L END AS label")
+    rows = neardup.in_blocks(around, 256).collect()
+    assert len(rows) == 1999 + 8 + 1
+    blocks = {}
+    for r in rows:
+        blocks.setdefault((r["low"], r["high"]), []).append(r)
+    met = {x["node"] for b in blocks.values() if any(r["node"] == 7 for r in b) for x in b if x["half"] == 0}
+    assert met == set(range(2000)) - {7}
+
+
+def test_many_texts_under_one_id_each_meet_their_own_node(docs_of):
+    base = sentences(3, 60)
+    texts = [" ".join([*base[:57], *sentences(k, 3)]) for k in range(30)] + [" ".join(sentences(100 + k, 40)) for k in range(30)]
+    docs = docs_of(texts, ids=[5] * 20 + [None] * 10 + list(range(100, 130)))
+    wanted = docs.select(neardup._text_id(F.col("text")).alias("tid")).withColumn("node", F.monotonically_increasing_id())
+    assert neardup._texts_of(docs.union(docs), wanted).count() == 60
+    got = neardup.near_duplicates(docs).collect()
+    assert len(got) == 60 and {r["component_id"] for r in got if r["doc_id"] in (5, None)} == {5}
+
+
 # ------------------------------------------------------------- repeated passages
 def kept_bytes(texts, width):
     raw = [(t or "").encode() for t in texts]

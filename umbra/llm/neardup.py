@@ -12,7 +12,8 @@ A group of copies is never expanded. Equal sets are one node. Under each pair th
 are first compared with its leader alone, the node whose pairs hold most documents, and
 what that links is contracted. Only where different components are left around a leader
 are its nodes compared with each other, in blocks of bounded size, and from a block come
-no pairs but the links that join components. Many texts that are like their leader and
+no pairs but the links that join components. The nodes of the commonest component round a
+leader meet only those of other components. Many texts that are like their leader and
 yet unlinked cost the square of their number in comparisons, though not in rows.
 
 Defined cases: words are split at ASCII white space and lower-cased in A-Z only; a null
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from umbra.llm.common import BYTE_VALUES, in_small_batches, joined_bytes, mix64, powers, prefix_sums, split_by, stage, text_batches
@@ -95,10 +96,14 @@ def set_id(s: np.ndarray) -> bytes:
     return a.tobytes() + b.tobytes()
 
 
+def _text_id(text: Column) -> Column:
+    return F.unhex(F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8")))
+
+
 def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES, key: str | None = None) -> DataFrame:
-    """doc_id, n_shingles, set (its id, null without shingles), sig, the keys of the signature, and key if one is named."""
+    """doc_id, n_shingles, set (its id, null without shingles), sig, the keys of the signature, tid (md5 of the text), and key if one is named."""
     keyed = docs[key] if key else F.lit(None)
-    source = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("_text"), keyed.cast("string").alias("key"))
+    source = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("_text"), _text_id(docs["text"]).alias("tid"), keyed.cast("string").alias("key"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,10 +116,11 @@ def signed(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES
                     "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
                     "set": [set_id(s) if len(s) else None for s in sets],
                     "sig": [next(keys) if len(s) else None for s in sets],
+                    "tid": batch["tid"].iloc[at : at + len(texts)].reset_index(drop=True),
                     "key": batch["key"].iloc[at : at + len(texts)].reset_index(drop=True),
                 })
 
-    return in_small_batches(source).mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>, key string")
+    return in_small_batches(source).mapInPandas(run, "doc_id bigint, n_shingles bigint, set binary, sig array<bigint>, tid binary, key string")
 
 
 def prefix_keys(nodes: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
@@ -174,21 +180,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int = SHINGLE, percent:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(run, "a bigint, b bigint")
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and one text of it, for the nodes of `wanted` (node, set, doc_id)."""
-    texts = docs.select(docs["doc_id"].cast("bigint").alias("_id"), docs["text"].alias("text"))
-    few, _ = split_by(texts, wanted.select(F.col("doc_id").alias("_id")), "_id")
-    found = few.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select("node", "set", "text")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own: list[bytes | None] = []
-            for _, part in text_batches(batch["text"].tolist()):
-                own += [set_id(s) if len(s) else None for s in shingle_sets(part, width)]
-            yield batch.loc[[x is not None and x == bytes(y) for x, y in zip(own, batch["set"], strict=True)], ["node", "text"]]
-
-    # Rows that repeat a doc_id have several texts; those with the node's own set are right, and any of them.
-    return in_small_batches(found).mapInPandas(run, "node bigint, text string").groupBy("node").agg(F.min("text").alias("text"))
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and the text of its `tid`, for the nodes of `wanted`; copies of a text, and texts under one id, meet nothing but their own node."""
+    texts = docs.select(_text_id(docs["text"]).alias("tid"), docs["text"].alias("text"))
+    few, _ = split_by(texts, wanted, "tid")
+    return few.dropDuplicates(["tid"]).join(wanted, "tid").select("node", "text")
 
 
 def links_between(rows: pd.DataFrame, width: int, percent: int, matches: int) -> list[tuple[int, int]]:
@@ -230,16 +226,33 @@ def links_between(rows: pd.DataFrame, width: int, percent: int, matches: int) ->
     return out
 
 
+def in_blocks(around: DataFrame, block_nodes: int) -> DataFrame:
+    """The nodes around each leader dealt to pairs of blocks: leader, node, label, low, high, half.
+
+    The nodes of the leader's most common label meet those of other labels, never each
+    other, so one stray among N nodes makes N rows and one for each of their blocks. The
+    others also meet among themselves.
+    """
+    sizes = around.groupBy("leader", "label").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("leader").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n")).where("most.n < n")
+    blocks = lambda n: F.ceil(n / block_nodes).cast("int")
+    mixed = mixed.select("leader", F.col("most.label").alias("main"), blocks(F.col("most.n")).alias("mains"), blocks(F.col("n") - F.col("most.n")).alias("others"))
+    rows = around.join(mixed, "leader").withColumn("is_main", F.col("label") == F.col("main"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
+    own = F.col("own")
+    place = lambda low, high, half: F.struct(low.alias("low"), high.alias("high"), half.cast("int").alias("half"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    with_others = F.transform(upto("others"), lambda o: place(own, o, F.lit(0)))
+    with_mains = F.transform(upto("mains"), lambda m: place(m, own, F.lit(1)))
+    # Blocks of others among themselves have numbers below zero.
+    among = F.transform(upto("others"), lambda o: place(-1 - F.least(own, o), -1 - F.greatest(own, o), F.when(own == o, -1).otherwise((own > o).cast("int"))))
+    met = F.when(F.col("is_main"), with_others).otherwise(F.concat(with_mains, among))
+    return rows.select("leader", "node", "label", F.explode(met).alias("x")).select("leader", "node", "label", "x.*")
+
+
 def cross_links(around: DataFrame, sig: DataFrame, texts: DataFrame, width: int, percent: int, matches: int, block_nodes: int) -> DataFrame:
     """Links (a, b) between different labels around one leader. `around`: leader, node, label."""
-    mixed = around.groupBy("leader").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.where("low != high").select("leader", F.ceil(F.col("n") / block_nodes).cast("int").alias("blocks"))
-    rows = around.join(mixed, "leader").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A node meets its own block, and each other block once.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "leader", "node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")).alias("half"),
-    )
+    rows = in_blocks(around, block_nodes)
     rows = rows.join(sig, "node").join(texts, "node")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -259,7 +272,7 @@ def near_duplicates(
     """
     rows = stage(signed(docs, width, coordinates, key), "signed")
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("key"))
-    nodes = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.min(first).alias("first"))
+    nodes = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.min(first).alias("first"), F.min("tid").alias("tid"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sig = nodes.select("node", "sig")
 
@@ -271,7 +284,7 @@ def near_duplicates(
     stars = stars.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
     stars = stage(stars.where(F.expr(matched("sa", "sb")) >= matches).select("a", "b"), "stars")
     asked = around.select("node").union(around.select(F.col("leader").alias("node"))).distinct()
-    texts = stage(_texts_of(docs, nodes.select("node", "set", "doc_id").join(asked, "node"), width), "texts")
+    texts = stage(_texts_of(docs, nodes.select("node", "tid").join(asked, "node")), "texts")
     edges = stage(confirmed(stars, texts, width, percent), "links")
     labels = components(edges)
 
