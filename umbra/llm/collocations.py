@@ -12,8 +12,9 @@ whose bound reaches the language's `most`-th surviving score. A language is sett
 score is above the bound of its frontier, or the frontier is empty; ties are expanded.
 
 A phrase is dropped when some longer one with as many occurrences holds it. Then a phrase
-longer by one word does, so it is enough to see, while the phrase is counted, whether one
-word stands before, or behind, all its occurrences.
+longer by one word does, so it is enough to see whether one word stands before, or behind,
+all its occurrences. That is asked in the pass that counts rests, of the phrases grown in
+the step whose bound reaches the list.
 
 Between steps the corpus is a table of runs of frequent words, in blobs of bounded size
 per language, coded by the words of their blob; a step reads it once for each length. Counts are summed in a blob, then per
@@ -48,7 +49,7 @@ BLOB_BYTES = 2_000_000
 
 #: By byte: lower case, a full stop for a delimiter, a blank for a tab.
 _FOLD = bytes(46 if b in DELIMITERS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-_FOUND = "lang string, phrase binary, n bigint, before bigint, after bigint"
+_FOUND = "lang string, phrase binary, n bigint"
 
 
 def blobs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]]:
@@ -146,8 +147,8 @@ def frequent_runs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.mapInPandas(run, "lang string, words binary, codes binary")
 
 
-def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Sequence[int]) -> DataFrame:
-    """lang, phrase, n, and the number of the one word before and behind all occurrences (0 if there is no such word).
+def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Sequence[int], beside: bool = False) -> DataFrame:
+    """lang, phrase, n, and with `beside` the number of the one word before and behind all occurrences (0 if there is no such word).
 
     Counted are phrases of `lengths`. A phrase grows by a word only if it passes the filter of
     its length; it is returned only if it passes that, where there is one.
@@ -160,7 +161,7 @@ def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Seque
                 distinct, codes = bytes(words).split(), np.frombuffer(codes, "<i4").astype(np.int64)
                 padded = np.concatenate([[-1], codes, np.full(LONGEST + 1, -1)])  # codes[i] is padded[i + 1]
                 at = np.flatnonzero(codes >= 0)
-                ids, phrases, numbers = codes[at], distinct, word_numbers(distinct)
+                ids, phrases, numbers = codes[at], distinct, word_numbers(distinct) if beside else None
                 for length in range(1, max(lengths) + 1):
                     if length > 1:
                         following = padded[at + length]
@@ -178,21 +179,21 @@ def occurrences(corpus: DataFrame, filters: Sequence[np.ndarray], lengths: Seque
                         count = np.bincount(ids, minlength=len(phrases))
                         some = np.flatnonzero(count)
                         row = {"lang": lang, "phrase": [phrases[i] for i in some.tolist()], "n": count[some]}
-                        for name, beside in (("before", padded[at]), ("after", padded[at + 1 + length])):
+                        for name, near in (("before", padded[at]), ("after", padded[at + 1 + length])) if beside else ():
                             one = np.full(len(phrases), -1)
-                            one[ids] = beside
-                            mixed = np.bincount(ids, beside != one[ids], len(phrases)) > 0
+                            one[ids] = near
+                            mixed = np.bincount(ids, near != one[ids], len(phrases)) > 0
                             row[name] = numbers[np.where(mixed, -1, one)[some]]
                         yield pd.DataFrame(row)
 
-    return corpus.mapInPandas(run, _FOUND)
+    return corpus.mapInPandas(run, _FOUND + ", before bigint, after bigint" * beside)
 
 
-def summed(found: DataFrame, least: int) -> DataFrame:
-    """Phrases with at least `least` occurrences: lang, phrase, n, and whether one word is beside all of them."""
+def settled(found: DataFrame) -> DataFrame:
+    """lang, phrase, n, and whether one word is beside all occurrences (`inside`)."""
     of = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), *[f(c).alias(f"{c}_{k}") for c in ("before", "after") for k, f in (("low", F.min), ("high", F.max))])
     inside = lambda c: (F.col(f"{c}_low") == F.col(f"{c}_high")) & (F.col(f"{c}_low") > 0)
-    return of.where(F.col("n") >= least).select("lang", "phrase", "n", (inside("before") | inside("after")).alias("inside"))
+    return of.select("lang", "phrase", "n", (inside("before") | inside("after")).alias("inside"))
 
 
 def cuts(phrases: DataFrame) -> DataFrame:
@@ -257,7 +258,8 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
             filters = [filter_of(words.join(F.broadcast(chosen), ["lang", "level"]))]
             grown = None
             for length in range(2, longest + 1):
-                found = stage(summed(occurrences(corpus, filters, [length]), least).withColumn("inside", F.col("inside") & F.lit(length < longest)), "phrases")
+                counts = occurrences(corpus, filters, [length]).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+                found = stage(counts.where(F.col("n") >= least), "phrases")
                 filters.append(filter_of(found))
                 if not filters[-1].any():
                     break
@@ -267,15 +269,18 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
                 low = F.lit(0).cast("bigint")
                 for x, s in floors.items():
                     low = F.when(F.col("lang") == x, s).otherwise(low)
-                bounded = stage(scored(cuts(grown.where("NOT inside")), known, totals).where(F.col("score") >= low), "bounded")
-                asked = stage(bounded.select("lang", F.explode("missing").alias("phrase")).distinct(), "rests")
+                bounded = stage(scored(cuts(grown), known, totals).where(F.col("score") >= low), "bounded")
+                rests = bounded.select("lang", F.explode("missing").alias("phrase")).distinct()
+                whole = bounded.where(F.size(F.split(F.col("phrase").cast("string"), " ")) < longest).select("lang", "phrase")
+                asked = stage(rests.withColumn("rest", F.lit(True)).unionByName(whole.withColumn("rest", F.lit(False))), "asked")
                 filters = _beginnings(asked, longest)
+                exact = bounded
                 if filters[0].any():
-                    rests = occurrences(corpus, filters, range(2, longest)).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-                    known = known.unionByName(stage(rests.join(asked, ["lang", "phrase"]), "rests"))
-                    exact = scored(cuts(bounded.select("lang", "phrase", F.col("a").alias("n"))), known, totals)
-                else:
-                    exact = bounded
+                    seen = stage(settled(occurrences(corpus, filters, range(2, longest), beside=True)).join(asked, ["lang", "phrase"]), "seen")
+                    known = known.unionByName(seen.where("rest").select("lang", "phrase", "n"))
+                    gone = seen.where("NOT rest AND inside").select("lang", "phrase")
+                    left = bounded.join(gone, ["lang", "phrase"], "left_anti")
+                    exact = scored(cuts(left.select("lang", "phrase", F.col("a").alias("n"))), known, totals)
                 exact = exact.drop("missing")
                 top = stage(best(exact if top is None else exact.unionByName(top.drop("rank")), most), "best")
                 for r in top.where(F.col("rank") == most).collect():
