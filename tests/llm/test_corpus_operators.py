@@ -1,5 +1,6 @@
 """Near duplicates, repeated passages, exact search, models and the pipeline."""
 
+import os
 import random
 import re
 
@@ -201,6 +202,139 @@ def test_label_model_finds_good_voters_and_discounts_copies():
     assert found["weight"][0] < found["weight"][1]
 
 
+def plain_ftrl(rows, labels, n_labels, epochs):
+    """The same learner, a weight at a time."""
+    z, n = {}, {}
+
+    def weight(key):
+        a, b = z.get(key, 0.0), n.get(key, 0.0)
+        return 0.0 if abs(a) <= langid.L1 else -(a - np.sign(a) * langid.L1) / ((langid.BETA + b**0.5) / langid.ALPHA + langid.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)).tolist():
+            x = {**dict(zip(*[c.tolist() for c in rows[k]], strict=True)), langid.DIMENSIONS: 1.0}
+            w = {(i, c): weight((i, c)) for i in x for c in range(n_labels)}
+            s = [sum(v * w[i, c] for i, v in x.items()) for c in range(n_labels)]
+            p = [np.exp(a - max(s)) for a in s]
+            p = [a / sum(p) for a in p]
+            for i, v in x.items():
+                for c in range(n_labels):
+                    g = v * (p[c] - (c == labels[k]))
+                    was = n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - ((was + g * g) ** 0.5 - was**0.5) / langid.ALPHA * w[i, c]
+                    n[i, c] = was + g * g
+    return {key: weight(key) for key in z}
+
+
+def test_language_scores_equal_a_plain_learner(docs_of):
+    rng = random.Random(4)
+    words = {"en": "the and of to with this that".split(), "de": "der die und nicht mit das ein".split(), "fr": "le la et de que pour avec".split()}
+    langs = [rng.choice(["en", "de", "fr"]) for _ in range(60)]
+    texts = [" ".join(rng.choices(words[x], k=12)) for x in langs]
+    docs = docs_of(texts).drop("lang").join(docs_of(texts).sparkSession.createDataFrame(list(enumerate(langs)), "doc_id bigint, lang string"), "doc_id")
+    model = langid.learn(docs, per_language=10_000)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, model).collect()}
+    # Document frequencies, TF-IDF, the learner and the temperature again, from the n-gram counts alone.
+    counts = [dict(zip(i.tolist(), c.tolist(), strict=True)) for i, c in langid.ngram_counts(texts)]
+    df = {}
+    for c in counts:
+        for i in c:
+            df[i] = df.get(i, 0) + 1
+    vectors = []
+    for c in counts:
+        x = {i: np.log1p(k) * (np.log((1 + len(texts)) / (1 + df[i])) + 1) for i, k in c.items()}
+        size = sum(v * v for v in x.values()) ** 0.5
+        vectors.append((np.array(list(x)), np.array([v / size for v in x.values()])))
+    spots = {r["doc_id"]: r["s"] for r in docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("sample")).alias("s")).collect()}
+    order = sorted(dict.fromkeys(range(60)), key=lambda k: spots[k])
+    names = sorted(set(langs))
+    apart = {k: (spots[k] >> 20) % 5 == 0 for k in order}
+    train, test = [k for k in order if not apart[k]], [k for k in order if apart[k]]
+    w = plain_ftrl([vectors[k] for k in train], [names.index(langs[k]) for k in train], len(names), langid.EPOCHS)
+    score = lambda k: np.array([sum(v * w.get((i, c), 0.0) for i, v in zip(*[a.tolist() for a in vectors[k]], strict=True)) + w.get((langid.DIMENSIONS, c), 0.0) for c in range(len(names))])
+    heat = langid.temperature(np.array([score(k) for k in test]), np.array([names.index(langs[k]) for k in test]))
+    assert heat == pytest.approx(model["temperature"])
+    for k in range(60):
+        p = np.exp(score(k) / heat - (score(k) / heat).max())
+        p /= p.sum()
+        assert got[k] == (names[int(p.argmax())], pytest.approx(p.max(), abs=1e-4))
+
+
+def test_toxicity_scores_equal_a_plain_learner(docs_of, spark):
+    rng = random.Random(6)
+    bad, fine = ["grobian", "lumpenhund", "wicht", "idiot"], [f"word{i}" for i in range(40)]
+    toxic = [int(rng.random() < 0.3) for _ in range(120)]
+    texts = [" ".join(rng.choices(fine, k=15) + (rng.sample(bad, 2) if t else [])) + (" !!!" if t and rng.random() < 0.5 else "") for t in toxic]
+    docs, labels = docs_of(texts), spark.createDataFrame(list(enumerate(toxic)), "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels, F.lit(True)).collect()}
+    # Terms as words, beginnings and patterns; significance, votes, label model and regression in plain loops.
+    sets = []
+    for t in texts:
+        w = re.findall("[a-z\x80-\xff]+", t.lower())
+        sets.append({("w", x) for x in w} | {("4", x[:4]) for x in w if len(x) > 4} | {("5", x[:5]) for x in w if len(x) > 5} | ({("p", 0)} if "!!!" in t else set()))
+    n1, n = sum(toxic), len(texts)
+    every, seeds = sorted(set().union(*sets), key=str), {("w", s) for s in toxicity.SEEDS}
+    chosen = []
+    for term in every:
+        c1, c = sum(t for s, t in zip(sets, toxic) if term in s), sum(term in s for s in sets)
+        rate, e = c1 / c, n1 / n
+        kl = (rate * np.log(rate / e) if rate else 0) + ((1 - rate) * np.log((1 - rate) / (1 - e)) if rate < 1 else 0)
+        if term in seeds or (rate > e and c1 >= toxicity.LEAST_DOCUMENTS and c * kl > np.log(len(every))):
+            chosen.append((term, (c1 + 0.5) / (c - c1 + 0.5)))
+    rows = [[k for k, (term, _) in enumerate(chosen) if term in s] for s in sets]
+    codes = {term: h for (term, _), h in zip(chosen, [_term_hash(term) for term, _ in chosen])}
+    order = sorted(range(len(chosen)), key=lambda k: codes[chosen[k][0]])
+    place = {k: i for i, k in enumerate(order)}
+    kind = np.array(["w45p".index(chosen[k][0][0]) for k in order])
+    votes = toxicity.votes_of([np.array(sorted(place[k] for k in r), np.int64) for r in rows], kind, np.array([chosen[k][1] for k in order]), np.array([chosen[k][0] in seeds for k in order]), np.array(toxic))
+    keep = [texts.index(t) == i for i, t in enumerate(texts)]
+    post, _ = toxicity.label_model(votes[keep], np.ones(sum(keep)), annotator=votes.shape[1] - 1)
+    w, b, w2, b2 = np.zeros(len(order)), 0.0, np.zeros(len(order)), 0.0
+    x = np.zeros((n, len(order)))
+    for i, r in enumerate(rows):
+        x[i, [place[k] for k in r]] = 1
+    x0, target = x[keep], np.clip(post, 0.001, 0.999)
+    b = np.log(target.mean() / (1 - target.mean()))
+    for _ in range(300):
+        e = 1 / (1 + np.exp(-(b + x0 @ w))) - target
+        g = (x0.T @ e + w) / np.maximum(x0.sum(0), 1e-9)
+        w2, b2 = w2 + g**2, b2 + e.mean() ** 2
+        w, b = w - 0.5 * g / np.sqrt(w2 + 1e-8), b - 0.5 * e.mean() / np.sqrt(b2 + 1e-8)
+    w = np.array([max(v, 1.0) if chosen[k][0] in seeds else max(v, 0.0) for v, k in zip(w, order, strict=True)])
+    assert {i: pytest.approx(1 / (1 + np.exp(-(b + x[i] @ w))), abs=1e-6) for i in range(n)} == got
+    assert all((got[i] >= 0.3) == bool(t) for i, t in enumerate(toxic))
+
+
+def _term_hash(term):
+    kind, text = term
+    if kind == "p":
+        return int(toxicity.PATTERN_TERMS[text])
+    h, k = next(toxicity.terms([text.encode() if kind == "w" else text.encode() + b"x"]))
+    return int(h[k == "w45".index(kind)][0])
+
+
+def test_held_out_toxic_documents_are_found(spark):
+    sf = "/root/testdata/sf0.1"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables are absent")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in queries.QUERIES["op10_toxicity"](spark, sf).where("held_out").collect() if labels.get(r["doc_id"]) is not None]
+    hits = sum(r["predicted"] for r in rows if labels[r["doc_id"]])
+    false = sum(r["predicted"] for r in rows if not labels[r["doc_id"]])
+    assert hits >= 90 and false <= 5, (hits, false, len(rows))
+
+
+def test_one_id_on_many_rows_does_not_swell_the_samples(docs_of, spark):
+    texts = [f"the text number {k} of many and more" for k in range(900)]
+    docs = docs_of(texts, ids=[5] * 900)
+    labels = spark.createDataFrame([(5, 1), (6, 0)], "doc_id bigint, toxic int")
+    docs = docs.unionByName(docs_of(["a fine day"], ids=[6]))
+    model = toxicity.learn(docs, labels, per_class=20)
+    assert model["terms"] is not None
+    assert len({r["lang_pred"] for r in langid.languages(docs, F.lit(True), per_language=20).collect()}) == 1
+
+
 # ------------------------------------------------------------- pipeline
 def test_stages_hand_on_the_columns_of_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -216,7 +350,7 @@ def test_stages_hand_on_the_columns_of_documents(spark, sf):
             assert set(after) == {ids[i] for i, (_, root) in roots.items() if root == i}
         if name == "suffix_array_dedup":
             ids = sorted(before)
-            for i, (_, _, _, kept) in zip(ids, kept_bytes([before[i] for i in ids], 400), strict=True):
+            for i, (_, _, _, kept) in zip(ids, kept_bytes([before[i] for i in ids], corpus_pipeline.PASSAGE_BYTES), strict=True):
                 assert after[i] == kept.decode("utf-8", "ignore")
         if name == "secret_scan":
             assert not any(re.search(r'token = "[0-9a-f]{40}"', t) for t in after.values())

@@ -2,7 +2,7 @@
 
 Document frequencies are counted over every learnable document. The weights are learned
 by follow-the-regularised-leader with elastic-net penalties on a sample of at most
-`per_language` documents of each language (in expectation: documents are kept by a hash),
+`per_language` documents of each language (in expectation: kept by a hash of id and text),
 and one temperature is fitted on a part of the sample kept apart for that.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; rows whose
@@ -164,9 +164,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     idf = np.log((1 + n) / (1 + df)) + 1
     scale = 1 << 20
     share = F.create_map(*[F.lit(v) for r in counted for v in (r["lang"], min(scale, int(scale * per_language / r["count"]) + 1))])
-    spot = F.xxhash64(F.col(key).cast("string"), F.lit("sample"))
+    # Rows are told apart by id and text: one id on many rows is neither taken nor left as a whole, and rows that repeat both count once.
+    spot = F.xxhash64(F.col(key).cast("string"), F.col(text), F.lit("sample"))
     chosen = known.where(F.pmod(spot, F.lit(scale)) < share[F.col(lang)])
     chosen = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("t"), (F.pmod(F.shiftright(spot, 20), F.lit(5)) == 0).alias("apart"), spot.alias("spot"))
+    chosen = chosen.dropDuplicates(["lang", "spot"])
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
