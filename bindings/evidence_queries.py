@@ -515,28 +515,37 @@ def annotation_coverage_by_tier(spark, sf):
 # ---------------------------------------------------------------- agreement
 SIDES_SQL = """sides AS (SELECT p_partkey,
   coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'A'), []) AS a,
-  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'N'), []) AS b
+  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'N'), []) AS b,
+  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R'), []) AS r,
+  coalesce((SELECT list_sort(list(DISTINCT l_suppkey)) FROM lineitem WHERE l_partkey = p_partkey AND l_linestatus = 'O'), []) AS o
   FROM part)"""
 
 
 def two_sources(spark, sf) -> DataFrame:
+    """Calls of each source for each part: the suppliers of lines of one flag, in the source's own way of writing."""
     li = load(spark, sf, "lineitem")
-    calls = lambda f, t: F.collect_set(F.when(F.col("l_returnflag") == f, t))
-    plain = s("l_suppkey")
+    calls = lambda when, t: F.collect_set(F.when(when, t))
+    flag, plain = F.col("l_returnflag"), s("l_suppkey")
+    tagged = lambda tag, end="": F.concat(F.lit(tag), plain, F.lit(end))
     sides = li.groupBy(F.col("l_partkey").alias("protein_id")).agg(
-        calls("A", F.concat(F.lit("ko:"), plain, F.lit(".29"))).alias("ko"), calls("N", plain).alias("kofam_ko"))
+        calls(flag == "A", tagged("ko:", ".29")).alias("ko"), calls(flag == "N", plain).alias("kofam_ko"),
+        calls(flag == "A", tagged("PF", ".7")).alias("pfam_accs"), calls(flag == "N", tagged("NF", ".1")).alias("ncbifam_accs"),
+        F.concat(calls(flag == "R", tagged("Pfam:PF")), calls(F.col("l_linestatus") == "O", tagged("NCBIfam:NF"))).alias("interpro_sigs"),
+        calls(flag == "R", tagged("Fam")).alias("pfam_hits"), calls(flag == "A", tagged("Fam")).alias("pfams_emapper"))
     return load(spark, sf, "part").select(F.col("p_partkey").alias("protein_id")).join(sides, "protein_id", "left")
 
 
 @query("source_agreement", f"""WITH {SIDES_SQL},
-t AS (SELECT len(a) AS na, len(b) AS nb, len(list_intersect(a, b)) AS sh FROM sides),
-c AS (SELECT count(*) FILTER (na > 0 AND nb = 0) AS a_only, count(*) FILTER (na = 0 AND nb > 0) AS b_only,
+p AS (SELECT unnest(['ko: eggnog vs kofamscan', 'pfam: hmmsearch vs interproscan', 'ncbifam: hmmsearch vs interproscan', 'pfam names: hmmsearch vs eggnog']) AS comparison,
+  unnest([a, a, b, r]) AS a, unnest([b, r, o, a]) AS b FROM sides),
+t AS (SELECT comparison, len(a) AS na, len(b) AS nb, len(list_intersect(a, b)) AS sh FROM p)
+SELECT comparison, count(*) FILTER (na > 0 AND nb = 0) AS a_only, count(*) FILTER (na = 0 AND nb > 0) AS b_only,
   count(*) FILTER (na > 0 AND nb > 0) AS "both", count(*) FILTER (na > 0 AND nb > 0 AND sh = na AND sh = nb) AS identical,
   count(*) FILTER (na > 0 AND nb > 0 AND sh > 0 AND NOT (sh = na AND sh = nb)) AS overlapping,
   count(*) FILTER (na > 0 AND nb > 0 AND sh = 0) AS disjoint,
-  count(*) FILTER (sh > 0 AND sh = nb AND sh < na) AS a_superset, count(*) FILTER (sh > 0 AND sh = na AND sh < nb) AS b_superset,
-  count(*) FILTER (sh > 0 AND sh < na AND sh < nb) AS mutually_exclusive FROM t)
-SELECT 'ko: eggnog vs kofamscan' AS comparison, * FROM c""")
+  count(*) FILTER (na > 0 AND nb > 0 AND sh > 0 AND sh = nb AND sh < na) AS a_superset,
+  count(*) FILTER (na > 0 AND nb > 0 AND sh > 0 AND sh = na AND sh < nb) AS b_superset,
+  count(*) FILTER (sh > 0 AND sh < na AND sh < nb) AS mutually_exclusive FROM t GROUP BY comparison""")
 def source_agreement(spark, sf):
     return A.source_agreement(two_sources(spark, sf)).drop("pct_agree", "pct_disjoint", "namespace_warning")
 

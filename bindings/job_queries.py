@@ -70,15 +70,50 @@ ANALYSE_SQL = CENTRED_SQL.replace("FROM pv)", """FROM pv WHERE protein_id IN (
   SELECT protein_id FROM (SELECT protein_id, "group" FROM pv GROUP BY ALL HAVING count(*) >= 3) GROUP BY 1 HAVING count(*) = 2))""")
 
 
-@query("analyse_job", f"WITH RECURSIVE {ANALYSE_SQL}, {plex_fit_sql('ce')}, {moderated_sql('x', 'fit')} {tested_sql('xq')}")
-def analyse_job(spark, sf):
+def analysed(spark, sf) -> J.Tested:
     part = load(spark, sf, "part")
     annotation = part.select(
         F.col("p_partkey").alias("protein_id"), F.col("p_type").alias("bin"), F.col("p_size").alias("export_score"),
         (F.col("p_size") > 20).alias("has_ko"), (F.col("p_size") < 40).alias("surface_or_secreted"))
     quant, design = _quant_of_parts(spark, sf), R.design(spark, sf)
-    out = J.analyse(quant, annotation, design, J.size_factors(quant, design), ("group", "plex"), min_valid=3)
-    return tested(out.abundance)
+    return J.analyse(quant, annotation, design, J.size_factors(quant, design), min_valid=3)
+
+
+@query("analyse_job", f"WITH RECURSIVE {ANALYSE_SQL}, {plex_fit_sql('ce')}, {moderated_sql('x', 'fit')} {tested_sql('xq')}")
+def analyse_job(spark, sf):
+    return tested(analysed(spark, sf).abundance)
+
+
+@query("analyse_job_retention", f"""WITH RECURSIVE {ANALYSE_SQL}, {plex_fit_sql('ce')}, {moderated_sql('x', 'fit')}
+SELECT p_type AS bin, count(*) AS n, count(xq.protein_id) AS kept, count(p_value) AS tested, round(100.0 * count(p_value) / count(*), 1) AS percent,
+  CASE WHEN count(p_value) > 0 THEN 'ok' WHEN count(*) >= 10 THEN 'GATE' ELSE 'NOTE' END AS verdict
+FROM (SELECT DISTINCT l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey LEFT JOIN xq ON xq.protein_id = l_partkey GROUP BY p_type""")
+def analyse_job_retention(spark, sf):
+    return analysed(spark, sf).retention
+
+
+# The adjusted model of the job: values less the organism's factor, with plexes; a protein deviates where that is significant and large.
+_FACTORS, _FACTOR = factor_sql(4).replace(
+    "round(CASE WHEN method = 'sum_fallback' THEN plain ELSE fac END, 6)", "CASE WHEN method = 'sum_fallback' THEN plain ELSE fac END",
+).rsplit("\nSELECT taxid, sample,", 1)
+RISK_SQL = f"""{_FACTORS.replace("WITH ", "WITH RECURSIVE ", 1)},
+sf AS (SELECT taxid, sample,{_FACTOR}),
+lg AS ({ANALYSE_SQL.split("lg AS (", 1)[1]},
+ra AS (SELECT protein_id, ce.plex, ce."group", v - log2(factor) AS v FROM ce JOIN taxa USING (protein_id) JOIN sf ON sf.taxid = taxa.taxid AND sf.sample = ce.sample WHERE factor > 0),
+{plex_fit_sql("ra", "a_")}, {moderated_sql("a_", "a_fit")},
+fc AS (SELECT taxid, avg(log2(factor)) FILTER ("group" = 'O') - avg(log2(factor)) FILTER ("group" = 'F') AS f, min(method) AS method
+  FROM sf JOIN (SELECT DISTINCT sample, "group" FROM pv) USING (sample) WHERE factor > 0 GROUP BY taxid),
+mv AS (SELECT taxid, f, method, lfc, coalesce(q_value < 0.05 AND abs(lfc) >= 0.585, false) AS deviates FROM a_q JOIN taxa USING (protein_id) JOIN fc USING (taxid) WHERE contrast IS NOT NULL),
+rk AS (SELECT taxid, f, min(method) AS method, count(*) AS n_tested, count(*) FILTER (deviates) AS n_dev, count(*) FILTER (deviates AND sign(lfc) <> sign(f)) AS n_opposing FROM mv GROUP BY ALL)
+SELECT taxid, round(f, 6) AS factor_log2fc, n_tested, n_dev, n_opposing, CASE WHEN method = 'sum_fallback' THEN 'fragile (too few proteins)'
+  WHEN abs(f) > 0.585 AND n_dev >= 3 AND n_opposing / n_dev > 0.6 AND n_opposing / n_tested >= 0.3 THEN 'AT RISK'
+  WHEN n_dev / n_tested > 0.5 THEN 'check (median in a sparse region)' ELSE 'ok' END AS assumption FROM rk"""
+
+
+@query("analyse_job_risk", RISK_SQL)
+def analyse_job_risk(spark, sf):
+    out = analysed(spark, sf).risk
+    return out.select("taxid", F.round("factor_log2fc", 6).alias("factor_log2fc"), "n_tested", "n_dev", "n_opposing", "assumption")
 
 
 def _quant_of_parts(spark, sf):

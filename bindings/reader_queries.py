@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindings.registry import joined, load, query
+from umbra.operators import design as Dg
 from umbra.plans.lineage import checkpoint_root
 from umbra.sources import hits as H
 from umbra.sources import plexes as X
@@ -368,6 +369,17 @@ def manifest_samples(spark, sf):
     return out.select("sample", "experiment", "bioreplicate", "n_fractions", "data_type")
 
 
+@query("design_from_manifest", """
+SELECT o_orderstatus || '_' || substr(o_orderpriority, 1, 1) AS sample, o_orderstatus AS "group", substr(o_orderpriority, 1, 1) AS bioreplicate
+FROM orders GROUP BY ALL""")
+def design_from_manifest(spark, sf):
+    orders = load(spark, sf, "orders")
+    line = tabbed(F.concat(F.lit("/runs/"), s("o_orderkey"), F.lit(".raw")), F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1), "DDA")
+    path = scratch(spark, "manifest")
+    orders.select(line.alias("value")).write.text(path)
+    return Dg.design_from_manifest(Q.read_manifest(spark, path))
+
+
 STATUS_COLUMNS = {"A Intensity": "A", "N Intensity": "N", "R Intensity": "R"}
 WIDE_SQL = """
   CAST(coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0) AS DOUBLE) AS A,
@@ -535,6 +547,16 @@ def plex_tables(spark, sf):
     return plex_run(spark, sf).values.select("plex", "feature_id", "sample", "value")
 
 
+# The channel of status F is the reference of its plex, and the condition is the last letter of a name.
+@query("design_from_plexes", """
+SELECT DISTINCT l_returnflag || l_linestatus AS sample, 'TMT' || CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS plex,
+  CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS plex_order, l_linestatus AS "group"
+FROM lineitem WHERE l_linestatus <> 'F'""")
+def design_from_plexes(spark, sf):
+    channels = X.resolve_reference(plex_run(spark, sf).design, name="*F")
+    return Dg.design_from_plexes(channels, "([A-Z])$")
+
+
 @query("plex_features_united", """
 SELECT l_orderkey || '_n' || l_orderkey || '_2' AS feature_id, count(DISTINCT l_partkey) AS n_candidates
 FROM lineitem GROUP BY l_orderkey""")

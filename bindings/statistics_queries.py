@@ -140,22 +140,22 @@ def moderated_sql(x: str, fit: str) -> str:
 
 
 # With two conditions the model with plexes is a regression within plexes: sums of squares and products about each plex's mean.
-def plex_fit_sql(source: str) -> str:
-    """CTEs bl and fit from protein_id, plex, "group" and v of {source}."""
-    return f"""bl AS (SELECT protein_id, plex, count(*) AS n, var_pop(v) * count(*) AS syy,
+def plex_fit_sql(source: str, x: str = "") -> str:
+    """CTEs {x}bl, {x}sq and {x}fit from protein_id, plex, "group" and v of {source}."""
+    return f"""{x}bl AS (SELECT protein_id, plex, count(*) AS n, var_pop(v) * count(*) AS syy,
     count(*) FILTER ("group" = 'O') * count(*) FILTER ("group" = 'F') / count(*) AS sxx,
     coalesce(avg(v) FILTER ("group" = 'O') - avg(v) FILTER ("group" = 'F'), 0) * count(*) FILTER ("group" = 'O') * count(*) FILTER ("group" = 'F') / count(*) AS sxy
   FROM {source} GROUP BY ALL),
-sq AS (SELECT protein_id, sum(n) AS n, count(*) AS k, sum(syy) AS syy, nullif(sum(sxx), 0) AS sxx, sum(sxy) AS sxy FROM bl GROUP BY protein_id),
-fit AS (SELECT protein_id, CAST(n AS BIGINT) AS n_observed, CAST(n - k - (sxx IS NOT NULL)::INT AS BIGINT) AS df_residual,
+{x}sq AS (SELECT protein_id, sum(n) AS n, count(*) AS k, sum(syy) AS syy, nullif(sum(sxx), 0) AS sxx, sum(sxy) AS sxy FROM {x}bl GROUP BY protein_id),
+{x}fit AS (SELECT protein_id, CAST(n AS BIGINT) AS n_observed, CAST(n - k - (sxx IS NOT NULL)::INT AS BIGINT) AS df_residual,
   (syy - coalesce(sxy * sxy / sxx, 0)) / nullif(n - k - (sxx IS NOT NULL)::INT, 0) AS sigma2,
-  CASE WHEN sxx IS NOT NULL THEN 'O_vs_F' END AS contrast, sxy / sxx AS lfc, 1 / sqrt(sxx) AS su FROM sq)"""
+  CASE WHEN sxx IS NOT NULL THEN 'O_vs_F' END AS contrast, sxy / sxx AS lfc, 1 / sqrt(sxx) AS su FROM {x}sq)"""
 
 
 CENTRED_SQL = f"""{R.PROTVAL_SQL},
 lg AS (SELECT protein_id, sample, plex, "group", log2(value) AS v FROM pv),
 md AS (SELECT sample, median(v) AS md FROM lg GROUP BY sample),
-ce AS (SELECT protein_id, plex, "group", v - md AS v FROM lg JOIN md USING (sample))"""
+ce AS (SELECT protein_id, sample, plex, "group", v - md AS v FROM lg JOIN md USING (sample))"""
 TESTED_COLUMNS = ("lfc", "sigma2", "s2_post", "df_total", "stdev_unscaled", "t", "p_value", "q_value")
 
 

@@ -70,6 +70,23 @@ def condition_from_name(design: DataFrame, rule: str = "auto", by: Sequence[str]
     return rows.select(*[c for c in design.columns if c != "group"], group.alias("group"))
 
 
+def design_from_manifest(manifest: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """sample, group (the experiment; NULL where the manifest leaves it blank) and bioreplicate, one row per sample."""
+    blank = lambda c: F.nullif(F.trim(c), F.lit("")).alias(c if c != "experiment" else "group")
+    return manifest.select(*by, "sample", blank("experiment"), blank("bioreplicate")).distinct()
+
+
+def design_from_plexes(channels: DataFrame, rule: str = "auto", by: Sequence[str] = ()) -> DataFrame:
+    """sample, plex, plex_order and group of the channels that are samples.
+
+    References (`is_reference`) leave the design. The group is never the plex: it comes from
+    the sample names by `rule`, or is NULL, and the metadata then has to give it.
+    """
+    rows = channels.where(~F.coalesce(F.col("is_reference"), F.lit(False))) if "is_reference" in channels.columns else channels
+    kept = [c for c in (*by, "sample", "plex", "plex_order") if c in rows.columns]
+    return condition_from_name(rows.select(*kept), rule, by)
+
+
 def default_terms(design: DataFrame) -> tuple[str, ...]:
     """`~ 0 + group`, with the plex as a batch term from two plexes on."""
     if "plex" in design.columns and design.select("plex").distinct().limit(2).count() > 1:

@@ -372,6 +372,19 @@ def factor_fold_change(
     )
 
 
+def factor_changes(factors: DataFrame, design: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same for every pair of levels of each data set, under the name of the contrast of the pair."""
+    rows = with_design(factors.where("factor > 0"), design, ["group"], by)
+    key = [*by, "taxid"]
+    means = rows.groupBy(*key, "group").agg(F.avg(F.log2("factor")).alias("m"), F.min("method").alias("method"))
+    # One row per organism and level, so the pairs of an organism are few.
+    late = means.select(*key, F.col("group").alias("_late"), F.col("m").alias("_m"))
+    pairs = means.join(late, key).where("_late > `group`")
+    return pairs.select(
+        *key, F.concat_ws("_vs_", "_late", "group").alias("contrast"), (F.col("_m") - F.col("m")).alias("factor_log2fc"), "method"
+    )
+
+
 # ---------------------------------------------------------------- enrichment
 def kegg_enrichment(
     results: DataFrame,

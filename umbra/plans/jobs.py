@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from umbra.operators import bins, coding, evidence, features, filters, isobaric, models, organisms, tables
-from umbra.operators.design import default_terms
+from umbra.operators.design import default_terms, with_design
 from umbra.operators.taxonomy import effective_taxid
+from umbra.plans.joins import lookup_join
 from umbra.plans.lineage import cut_lineage
 
 
@@ -118,6 +119,12 @@ class Tested(NamedTuple):
     abundance: DataFrame
     ratio: DataFrame
     shortlist: DataFrame
+    retention: DataFrame
+    coverage: DataFrame
+    population: DataFrame
+    risk: DataFrame
+    exposure: DataFrame | None
+    warnings: DataFrame
 
 
 def analyse(
@@ -130,12 +137,19 @@ def analyse(
     min_plexes: int = 1,
     normalise: bool = True,
     by: Sequence[str] = (),
+    alpha: float = 0.05,
+    min_lfc: float = 0.585,
 ) -> Tested:
     """Protein quant to moderated statistics, with and without the organism reference.
 
     Without `terms` the model is `~ 0 + group`, with the plex as a further term where there are
     plexes; a model that is given is left as it is. A design whose statistics cannot be
     honest stops the job before anything is fitted.
+
+    `warnings` gathers what a reader has to be told: bins that reach no model, a model
+    that hardly reaches proteins without a KO, an empty shortlist, organisms whose factor may
+    have absorbed a shift (a protein deviates when its adjusted change is significant and
+    at least `min_lfc`), and organisms whose factor rests on single plexes.
     """
     keys = [*by, "protein_id"]
     model = coding.model_of(default_terms(design) if terms is None else terms)
@@ -152,8 +166,40 @@ def analyse(
         *keys, F.col("effective_taxid").alias("taxid")
     ).distinct()
     ratio = models.ratio_model(centred, taxa, factors, design, model, by)
+    ratio = cut_lineage(ratio, "ratio")
     results = tables.annotate_quant(
         abundance, [annotation.select(*keys, "bin", "has_ko", "surface_or_secreted", "export_score")], by,
         check_keys=False,
     )
-    return Tested(flags, abundance, ratio, tables.candidate_shortlist(results, by))
+    reached = abundance.where("p_value IS NOT NULL").select(*keys).distinct().withColumn("_tested", F.lit(True))
+    quantified = lookup_join(lookup_join(flags, annotation.select(*keys, "bin"), keys), reached, keys).select(
+        *by, "bin", (F.col("keep_valid") & F.col("keep_plex")).alias("kept"), F.coalesce("_tested", F.lit(False)).alias("tested")
+    )
+    quantified = cut_lineage(quantified, "quantified")
+    retention, coverage = bins.retention_by_bin(quantified, by), bins.ko_less_coverage(quantified, by)
+    population = tables.shortlist_population(results.where("contrast IS NOT NULL"), [*by, "contrast"], alpha)
+    changes = models.factor_changes(factors, design, by)
+    deviates = (F.col("q_adj") < alpha) & (F.abs("lfc_adj") >= min_lfc)
+    moved = lookup_join(ratio, changes, [*by, "taxid", "contrast"], "inner").select(
+        *by, "taxid", "factor_log2fc", "method", F.col("lfc_adj").alias("lfc"), F.coalesce(deviates, F.lit(False)).alias("deviates")
+    )
+    risk = organisms.normalisation_risk(moved, by, min_lfc)
+    exposure = None
+    if "plex" in design.columns:
+        members = with_design(quant.withColumn("taxid", F.col("effective_taxid")).drop("plex"), design, ["plex"], by)
+        exposure = isobaric.plex_exposure(members, by=by)
+    said = [
+        retention.where("verdict <> 'ok'").select(*by, F.lit("retention").alias("what"), F.col("bin").alias("subject"), "verdict"),
+        coverage.where("gate").select(*by, F.lit("ko_less_coverage"), F.lit(""), F.lit("GATE")),
+        population.where("n_listed = 0").select(*by, F.lit("shortlist"), "contrast", F.lit("EMPTY")),
+        risk.where("assumption <> 'ok'").select(*by, F.lit("normalisation"), F.col("taxid").cast("string"), "assumption"),
+    ]
+    if exposure is not None:
+        said.append(exposure.where("n_exposed > 0").select(
+            *by, F.lit("plex_exposure"), F.lit(""), F.concat_ws(" of ", F.col("n_exposed").cast("string"), F.col("n_taxa").cast("string"))))
+    warnings = said[0]
+    for rows in said[1:]:
+        warnings = warnings.union(rows)
+    return Tested(
+        flags, abundance, ratio, tables.candidate_shortlist(results, by, alpha), retention, coverage, population, risk, exposure, warnings
+    )
