@@ -204,6 +204,27 @@ def test_a_settled_language_leaves_its_frontier(spark, monkeypatch):
     assert passes == [[2], [3], [2, 3, 4]]  # nothing of the frequent words is grown
 
 
+def test_words_of_one_filter_value_are_listed_once(spark):
+    start, seen, rng = zlib.crc32(b"en\t"), {}, random.Random(5)
+    while True:  # two words of one hashed value, the first of which is rarer
+        word = "".join(rng.choices("abcdefghij", k=9))
+        other = seen.setdefault(zlib.crc32(word.encode(), start) % collocations.FILTER_VALUES, word)
+        if other != word:
+            break
+    rows = [("en", " . ".join([f"{other} x"] * 6 + [f"{word} y z", f"{word} y"] * 300))]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = collocations.collocations(docs, most=50, least=5, shares=(0.001, 1.0)).collect()
+    assert sorted(tuple(r) for r in got) == phrases_by_hand(rows, 5, 50)
+
+
+@pytest.mark.parametrize("most", [1, 3, 9, 30])
+def test_best_bounds_first_lose_no_phrase(spark, most):
+    rows = phrase_rows(seed=11)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = collocations.collocations(docs, most=most, least=4, shares=(0.2, 0.6, 1.0)).collect()
+    assert sorted(tuple(r) for r in got) == phrases_by_hand(rows, 4, most)
+
+
 def test_collocations_of_an_empty_table_and_of_rare_words(spark):
     docs = spark.createDataFrame([("en", "a b c")], "lang string, text string")
     assert collocations.collocations(docs.limit(0)).count() == 0 and collocations.collocations(docs).count() == 0

@@ -14,7 +14,8 @@ score is above the bound of its frontier, or the frontier is empty; ties are exp
 A phrase is dropped when some longer one with as many occurrences holds it. Then a phrase
 longer by one word does, so it is enough to see whether one word stands before, or behind,
 all its occurrences. That is asked in the pass that counts rests, of the phrases grown in
-the step whose bound reaches the list.
+the step whose bound reaches the list. While a language has no full list, its 2 * `most`
+best bounds are asked first, and the others only where their bound reaches what these gave.
 
 Between steps the corpus is a table of runs of frequent words, in blobs of bounded size
 per language, coded by the words of their blob; a step reads it once for each length. Counts are summed in a blob, then per
@@ -35,7 +36,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from umbra.llm.common import FILTER_VALUES, in_small_batches, stage
@@ -266,25 +267,25 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
                 grown = found if grown is None else grown.unionByName(found)
             if grown is not None:
                 known = known.unionByName(grown.select("lang", "phrase", "n"))
-                low = F.lit(0).cast("bigint")
-                for x, s in floors.items():
-                    low = F.when(F.col("lang") == x, s).otherwise(low)
+                low = _by_language(floors)
                 bounded = stage(scored(cuts(grown), known, totals).where(F.col("score") >= low), "bounded")
-                rests = bounded.select("lang", F.explode("missing").alias("phrase")).distinct()
-                whole = bounded.where(F.size(F.split(F.col("phrase").cast("string"), " ")) < longest).select("lang", "phrase")
-                asked = stage(rests.withColumn("rest", F.lit(True)).unionByName(whole.withColumn("rest", F.lit(False))), "asked")
-                filters = _beginnings(asked, longest)
-                exact = bounded
-                if filters[0].any():
-                    seen = stage(settled(occurrences(corpus, filters, range(2, longest), beside=True)).join(asked, ["lang", "phrase"]), "seen")
-                    known = known.unionByName(seen.where("rest").select("lang", "phrase", "n"))
-                    gone = seen.where("NOT rest AND inside").select("lang", "phrase")
-                    left = bounded.join(gone, ["lang", "phrase"], "left_anti")
-                    exact = scored(cuts(left.select("lang", "phrase", F.col("a").alias("n"))), known, totals)
-                exact = exact.drop("missing")
-                top = stage(best(exact if top is None else exact.unionByName(top.drop("rank")), most), "best")
-                for r in top.where(F.col("rank") == most).collect():
-                    floors[r["lang"]] = r["score"]
+                rounds = [bounded]
+                if any(x not in floors for x, _ in taken):  # the best bounds first, which give a floor to the others
+                    head = stage(best(bounded, 2 * most).drop("rank"), "head")
+                    rounds = [head, bounded.join(head.select("lang", "phrase"), ["lang", "phrase"], "left_anti")]
+                for i, some in enumerate(rounds):
+                    if i:
+                        some = stage(some.where(F.col("score") >= _by_language(floors)), "tail")
+                        if some.isEmpty():
+                            break
+                    exact, counted_rests = _survivors(corpus, some, known, totals, longest)
+                    if counted_rests is not None:
+                        known = known.unionByName(counted_rests)
+                    # A word off the frontier grows as well where it meets a value of the filter, and so again in its own step.
+                    both = exact if top is None else exact.unionByName(top.drop("rank")).dropDuplicates(["lang", "phrase"])
+                    top = stage(best(both, most), "best")
+                    for r in top.where(F.col("rank") == most).collect():
+                        floors[r["lang"]] = r["score"]
         # A language is settled when nothing on its frontier can reach its list.
         for x, levels in list(frontier.items()):
             if not levels or (x in floors and 1000 * size[x] // levels[0][2] < floors[x]):
@@ -296,6 +297,29 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, longest:
     return top.select("lang", "rank", F.col("phrase").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
 
 
+def _by_language(floors: dict[str, int]) -> Column:
+    """The floor of a row's language, or 0."""
+    low = F.lit(0).cast("bigint")
+    for x, score in floors.items():
+        low = F.when(F.col("lang") == x, score).otherwise(low)
+    return low
+
+
+def _survivors(corpus: DataFrame, bounded: DataFrame, known: DataFrame, totals: DataFrame, longest: int) -> tuple[DataFrame, DataFrame | None]:
+    """Exact scores of the phrases that no longer one holds, and the counts of rests (None if all were known)."""
+    rests = bounded.select("lang", F.explode("missing").alias("phrase")).distinct()
+    whole = bounded.where(F.size(F.split(F.col("phrase").cast("string"), " ")) < longest).select("lang", "phrase")
+    asked = stage(rests.withColumn("rest", F.lit(True)).unionByName(whole.withColumn("rest", F.lit(False))), "asked")
+    filters = _beginnings(asked, longest)
+    if not filters[0].any():
+        return bounded.drop("missing"), None
+    seen = stage(settled(occurrences(corpus, filters, range(2, longest), beside=True)).join(asked, ["lang", "phrase"]), "seen")
+    counted = seen.where("rest").select("lang", "phrase", "n")
+    gone = seen.where("NOT rest AND inside").select("lang", "phrase")
+    left = bounded.join(gone, ["lang", "phrase"], "left_anti")
+    return scored(cuts(left.select("lang", "phrase", F.col("a").alias("n"))), known.unionByName(counted), totals).drop("missing"), counted
+
+
 def _beginnings(phrases: DataFrame, longest: int) -> list[np.ndarray]:
     """Filters of the first 1, 2, ... words of the phrases, so that one pass over the corpus finds them."""
     words = F.split(F.col("phrase").cast("string"), " ")
