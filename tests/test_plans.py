@@ -29,6 +29,22 @@ def test_exact_median(groups, limit, splits):
     assert len(got) == 3
 
 
+def test_exact_median_writes_no_rows_of_a_large_group(groups, monkeypatch):
+    rows, df = groups
+    written = []
+    monkeypatch.setattr(O, "cut_lineage", lambda d, name="stage", f=O.cut_lineage: written.append(out := f(d, name)) or out)
+    O.exact_median(df, ["k"], "v", "m", 20, 50).collect()
+    assert sum(w.count() for w in written) <= 6  # keys, marks and medians of two groups
+
+
+@pytest.mark.parametrize("low,high", [(-2.0, -1.0), (1e9, 2e9), (0.25, 0.25)])
+def test_exact_median_outside_of_its_sketch(groups, monkeypatch, low, high):
+    rows, df = groups
+    monkeypatch.setattr(O.F, "percentile_approx", lambda *a: F.min(F.array(F.lit(low), F.lit(high))))
+    got = {r["k"]: r["m"] for r in O.exact_median(df, ["k"], "v", "m", 20, 50).collect()}
+    assert got == {k: pytest.approx(statistics.median(r[1] for r in rows if r[0] == k)) for k in ("hot", "warm", "cold")}
+
+
 @pytest.mark.parametrize("limit", [10_000, 50])
 def test_row_numbers_and_suffix_minimum(groups, limit):
     rows, df = groups

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from umbra.errors import DesignError, OptionError
 from umbra.plans.joins import lookup_join
+from umbra.plans.lineage import cut_lineage
 from umbra.plans.order import exact_median
 
 
@@ -57,6 +58,11 @@ def purity_filter(
 # ---------------------------------------------------------------- channel scale
 def channel_factors(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per channel its median, the plex's median channel and the scale between them."""
+    return _factors(cut_lineage(values.select(*by, "plex", "sample", "value"), "values"), by)
+
+
+def _factors(values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The same of written values, which several passes read."""
     channel = exact_median(values, [*by, "plex", "sample"], "value", "channel_median")
     # At most one row per channel, so a plex is a handful of rows.
     plex = channel.groupBy(*by, "plex").agg(F.median("channel_median").alias("plex_median"))
@@ -73,7 +79,8 @@ def channel_median_normalise(
         return values
     if method != "median":
         raise OptionError(f"within_plex_normalise must be median or none, not {method!r}")
-    factors = channel_factors(values, by).select(*by, "plex", "sample", "factor")
+    values = cut_lineage(values, "values")
+    factors = _factors(values, by).select(*by, "plex", "sample", "factor")
     scaled = lookup_join(values, factors, [*by, "plex", "sample"])
     return scaled.withColumn("value", F.col("value") * F.col("factor")).drop("factor")
 
@@ -85,7 +92,8 @@ def under_corrected_channels(
 
     Missing shares are over the features the plex has at all.
     """
-    factors = channel_factors(values, by)
+    values = cut_lineage(values.select(*by, "plex", "sample", "feature_id", "value"), "values")
+    factors = _factors(values, by)
     seen = values.groupBy(*by, "plex", "sample").agg(F.count("value").alias("n_seen"))
     feats = values.select(*by, "plex", "feature_id").distinct().groupBy(*by, "plex").agg(
         F.count("*").alias("n_features")

@@ -160,6 +160,8 @@ def analyse(
     flags = cut_lineage(filters.protein_filters(linear, design, min_valid, min_plexes, by), "flags")
     kept = flags.where("keep_valid AND keep_plex").select(*keys)
     logged = linear.join(kept, keys, "left_semi").where("value > 0").withColumn("value", F.log2("value"))
+    if normalise:  # several passes find the medians
+        logged = cut_lineage(logged, "logged")
     centred = cut_lineage(filters.sample_median_shift(logged, by, normalise), "log2")
     abundance = cut_lineage(models.differential_abundance(centred, design, model, by=by), "abundance")
     taxa = quant.where("effective_taxid IS NOT NULL").select(

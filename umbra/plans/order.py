@@ -17,6 +17,10 @@ from umbra.plans.lineage import cut_lineage
 
 GROUP_LIMIT = 2_000_000
 SPLITS = 200
+#: Rows of a group that a median may hold at once, each a boxed value of a hash map.
+MEDIAN_LIMIT = 200_000
+#: Relative accuracy of the sketch that finds the middle of a larger group.
+ACCURACY = 10_000
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -100,10 +104,15 @@ def exact_median(
     keys: Sequence[str],
     value: str,
     out: str,
-    limit: int = GROUP_LIMIT,
-    splits: int = SPLITS,
+    limit: int = MEDIAN_LIMIT,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """keys -> exact median of `value` over its non-null rows."""
+    """keys -> exact median of `value` over its non-null rows.
+
+    A larger group is sketched in one pass. In another its values below and above the middle
+    of the sketch are only counted, and so is each value in between. A group whose median is
+    not in between after all is counted value by value.
+    """
     keys = list(keys)
     values = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v")
@@ -112,51 +121,29 @@ def exact_median(
     def direct(rows):
         return rows.groupBy(*keys).agg(F.median("_v").alias(out))
 
+    def middle(rows, marks):
+        side = F.when(F.col("_v") < F.col("_from"), -1).when(F.col("_v") > F.col("_to"), 1).otherwise(0)
+        sided = lookup_join(rows, marks.select(*keys, "_from", "_to"), keys, "inner").withColumn("_side", side)
+        tied = sided.groupBy(*keys, "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_v")).agg(F.count("*").alias("_w"))
+        cum = F.sum("_w").over(Window.partitionBy(*keys).orderBy("_side", "_v"))
+        ranked = lookup_join(tied.withColumn("_cum", cum), marks.select(*keys, "_n"), keys, "inner")
+        # The ranks of the one or two middle rows, from 1.
+        at = lambda rank: F.min(F.when(F.col("_cum") >= F.floor(rank), F.struct("_side", "_v")))
+        found = ranked.groupBy(*keys).agg(at((F.col("_n") + 1) / 2).alias("_l"), at((F.col("_n") + 2) / 2).alias("_h"))
+        return found.select(*keys, ((F.col("_l._v") + F.col("_h._v")) / 2).alias(out))
+
     def ranged(rows):
-        target = rows.groupBy(*keys).agg(F.count("*").alias("_n")).select(
-            *keys,
-            F.floor((F.col("_n") + 1) / 2).cast("long").alias("_lo"),
-            F.floor((F.col("_n") + 2) / 2).cast("long").alias("_hi"),
-        )
-        # Each pass keeps the one or two ranges that hold the middle ranks.
-        for _ in range(3):
-            cut = _with_range(rows, _sketch_bounds(rows, keys, "_v", splits), keys, "_v")
-            upto = Window.partitionBy(*keys).orderBy("_range")
-            histogram = cut.groupBy(*keys, "_range").count().withColumn(
-                "_cum", F.sum("count").over(upto)
-            )
-            has_lo, has_hi = F.col("_cum") >= F.col("_lo"), F.col("_cum") >= F.col("_hi")
-            marks = cut_lineage(
-                lookup_join(histogram, target, keys, "inner")
-                .groupBy(*keys)
-                .agg(
-                    F.min(F.when(has_lo, F.col("_range"))).alias("_rlo"),
-                    F.min(F.when(has_hi, F.col("_range"))).alias("_rhi"),
-                    F.min(F.when(has_lo, F.col("_cum") - F.col("count"))).alias("_skipped"),
-                    F.min("_lo").alias("_lo"),
-                    F.min("_hi").alias("_hi"),
-                ),
-                "marks",
-            )
-            rows = cut_lineage(
-                lookup_join(cut, marks.select(*keys, "_rlo", "_rhi"), keys, "inner")
-                .where("_range BETWEEN _rlo AND _rhi")
-                .select(*keys, "_v"),
-                "middle",
-            )
-            target = marks.select(
-                *keys,
-                (F.col("_lo") - F.col("_skipped")).alias("_lo"),
-                (F.col("_hi") - F.col("_skipped")).alias("_hi"),
-            )
-            if largest_group(rows, keys) <= limit:
-                break
-        tied = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_w"))
-        cum = F.sum("_w").over(Window.partitionBy(*keys).orderBy("_v"))
-        ranked = lookup_join(tied.withColumn("_cum", cum), target, keys, "inner")
-        low = F.min(F.when(F.col("_cum") >= F.col("_lo"), F.col("_v")))
-        high = F.min(F.when(F.col("_cum") >= F.col("_hi"), F.col("_v")))
-        return ranked.groupBy(*keys).agg(((low + high) / 2).alias(out))
+        # The sketch is off by one rank in `accuracy` at most; these points are two away from the middle.
+        points = F.array(F.lit(max(0.0, 0.5 - 2 / accuracy)), F.lit(min(1.0, 0.5 + 2 / accuracy)))
+        sketch = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.percentile_approx("_v", points, accuracy).alias("_b"))
+        marks = cut_lineage(sketch.select(*keys, "_n", F.col("_b")[0].alias("_from"), F.col("_b")[1].alias("_to")), "marks")
+        found = cut_lineage(middle(rows, marks), "medians")
+        missed = marks.join(found.where(F.col(out).isNull()).select(*keys), keys, "left_semi")
+        if missed.isEmpty():
+            return found
+        nothing = F.lit(None).cast("double")
+        again = middle(rows, missed.withColumn("_from", nothing).withColumn("_to", nothing))
+        return found.where(F.col(out).isNotNull()).unionByName(again)
 
     return by_size(values, keys, limit, direct, ranged)
 
