@@ -7,6 +7,7 @@ import pytest
 
 from umbra.operators import features as Ft
 from umbra.operators.context import neighbours_by_distance, neighbours_by_gene
+from umbra.operators.design import with_design
 from umbra.operators.models import bh_adjust
 from umbra.plans import joins as J
 from umbra.plans import order as O
@@ -154,3 +155,15 @@ def test_the_shipped_archive_holds_the_packages():
     names = zipfile.ZipFile(io.BytesIO(archive(root, ("umbra", "bindings", "absent")))).namelist()
     assert {"umbra/__init__.py", "umbra/plans/joins.py", "bindings/registry.py"} <= set(names)
     assert all(n.endswith(".py") for n in names)
+
+
+def test_values_are_not_dealt_by_sample(spark):
+    values = spark.createDataFrame([(i, f"s{i % 2}", 1.0) for i in range(20)], "protein_id int, sample string, value double")
+    design = values.select("sample", F.col("sample").alias("group")).distinct()  # of no size known beforehand
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = with_design(values, design, ["group"])
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)

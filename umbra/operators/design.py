@@ -131,4 +131,5 @@ def level_names(design: DataFrame) -> DataFrame:
 
 
 def with_design(values: DataFrame, design: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return lookup_join(values, design.select(*by, "sample", *columns), [*by, "sample"], "inner")
+    """`values` with columns of their sample. The samples are sent to all tasks: dealt by sample, all values would meet in as many tasks as there are samples."""
+    return lookup_join(values, F.broadcast(design.select(*by, "sample", *columns)), [*by, "sample"], "inner")
