@@ -1,12 +1,15 @@
-"""Tail probabilities as column expressions, so that tests and enrichment stay in the JVM."""
+"""Tail probabilities of Student's t, a batch of rows at a time, and of the hypergeometric distribution as column expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from math import log, pi
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: Steps of the continued fraction; Student's t needs up to 50 at any degrees of freedom.
 STEPS = 100
@@ -21,11 +24,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _odd_series(y: Column, terms: tuple[float, ...]) -> Column:
-    """The sum of terms[k] / y**(2 k + 1)."""
-    out = F.lit(0.0)
+def _odd_series(y, terms: tuple[float, ...]):
+    """The sum of terms[k] / y**(2 k + 1), of columns or arrays."""
+    out = 0.0
     for t in reversed(terms):
-        out = F.lit(t) + out / (y * y)
+        out = t + out / (y * y)
     return out / y
 
 
@@ -36,50 +39,65 @@ def log_gamma(x: Column) -> Column:
     return let(x.cast("double"), lambda a: at(a + 8) - below(a))
 
 
-def log_gamma_half_step(a: Column) -> Column:
-    """ln(gamma(a + 1/2) / gamma(a)), without the cancellation of two large numbers."""
-    product = F.lit(1.0)
+def log_gamma_half_step(a, ln: Callable = F.ln):
+    """ln(gamma(a + 1/2) / gamma(a)) of a column, or of an array with its logarithm, without the cancellation of two large numbers."""
+    product = 1.0
     for k in range(8):
         product = product * (a + k) / (a + (k + 0.5))
-    return 0.5 * F.ln(a + 8) + _odd_series(a + 8, _HALF_STEP) + F.ln(product)
+    return 0.5 * ln(a + 8) + _odd_series(a + 8, _HALF_STEP) + ln(product)
 
 
-def beta_fraction(a: Column, b: Column, x: Column, steps: int = STEPS) -> Column:
-    """The continued fraction of the incomplete beta function, by Lentz's method; a, b and x are cheap columns."""
-    safe = lambda v: F.when(F.abs(v) < _TINY, F.lit(_TINY)).otherwise(v)
-
-    def half(s: Column, number: Column) -> Column:
-        grown = F.struct((F.lit(1.0) / safe(1 + number * s["d"])).alias("d"), safe(1 + number / s["c"]).alias("c"), s["h"].alias("h"))
-        return let(grown, lambda g: F.struct(g["d"].alias("d"), g["c"].alias("c"), (g["h"] * g["c"] * g["d"]).alias("h")))
-
-    def step(s: Column, i: Column) -> Column:
-        m = i.cast("double")
+def beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """The continued fraction of the incomplete beta function, by Lentz's method; a row that has settled takes no further step."""
+    safe = lambda v: np.where(np.abs(v) < _TINY, _TINY, v)
+    out = np.empty(len(x))
+    left = np.arange(len(x))
+    d = 1 / safe(1 - (a + b) * x / (a + 1))
+    c, h = np.ones(len(x)), d.copy()
+    for m in range(1, steps + 1):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        return F.when(F.abs(s["c"] * s["d"] - 1) < 1e-15, s).otherwise(let(half(s, even), lambda e: half(e, odd)))
-
-    start = let(F.lit(1.0) / safe(1 - (a + b) * x / (a + 1)), lambda d: F.struct(d.alias("d"), F.lit(1.0).alias("c"), d.alias("h")))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["h"])
+        for number in (even, odd):
+            d, c = 1 / safe(1 + number * d), safe(1 + number / c)
+            h = h * c * d
+        going = np.abs(c * d - 1) >= 1e-15
+        if not going.all():
+            out[left[~going]] = h[~going]
+            a, b, x, c, d, h, left = (v[going] for v in (a, b, x, c, d, h, left))
+        if not len(left):
+            break
+    out[left] = h
+    return out
+
+
+def _t_tails(t: np.ndarray, nu: np.ndarray) -> np.ndarray:
+    """p is the incomplete beta function at nu / (nu + t^2) with nu / 2 and 1 / 2; t is finite and not 0."""
+    q = t * t
+    total = nu + q
+    front = np.exp(log_gamma_half_step(nu / 2, np.log) - 0.5 * log(pi) - nu / 2 * np.log1p(q / nu) + 0.5 * np.log(q / total))
+    direct = nu / total < (nu / 2 + 1) / (nu / 2 + 2.5)
+    a = np.where(direct, nu / 2, 0.5)
+    part = front * beta_fraction(a, np.where(direct, 0.5, nu / 2), np.where(direct, nu, q) / total) / a
+    return np.clip(np.where(direct, part, 1 - part), 0.0, 1.0)
+
+
+def _two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
+    t, df = t.to_numpy(float), df.to_numpy(float)
+    out = np.full(len(t), np.nan)
+    usable = ~np.isnan(t) & (df > 0) & (df < np.inf)
+    with np.errstate(all="ignore"):  # squares of the largest and smallest t
+        out[usable & (t * t == 0)], out[usable & np.isinf(t * t)] = 1.0, 0.0
+        rest = usable & (t * t > 0) & np.isfinite(t * t)
+        out[rest] = _t_tails(t[rest], df[rest])
+    return pd.Series(out)
+
+
+_two_sided_of = F.pandas_udf(_two_sided, DoubleType())
 
 
 def t_two_sided(t: Column, df: Column) -> Column:
     """Two-sided p value of Student's t; NULL without a t or positive degrees of freedom."""
-    def tail(v: Column) -> Column:
-        # p is the incomplete beta function at nu / (nu + t^2) with nu / 2 and 1 / 2.
-        total = v["nu"] + v["q"]
-        front = F.exp(log_gamma_half_step(v["nu"] / 2) - F.lit(0.5 * log(pi)) - v["nu"] / 2 * F.log1p(v["q"] / v["nu"]) + 0.5 * F.ln(v["q"] / total))
-        direct = v["nu"] / total < (v["nu"] / 2 + 1) / (v["nu"] / 2 + 2.5)
-        of = F.struct(
-            direct.alias("direct"), front.alias("front"), F.when(direct, v["nu"] / 2).otherwise(0.5).alias("a"),
-            F.when(direct, F.lit(0.5)).otherwise(v["nu"] / 2).alias("b"), (F.when(direct, v["nu"]).otherwise(v["q"]) / total).alias("x"),
-        )
-        part = lambda s: let(s["front"] * beta_fraction(s["a"], s["b"], s["x"]) / s["a"], lambda p: F.when(s["direct"], p).otherwise(1 - p))
-        return let(of, part)
-
-    t, df = t.cast("double"), df.cast("double")
-    p = let(F.struct((t * t).alias("q"), df.alias("nu")), tail)
-    usable = t.isNotNull() & ~F.isnan(t) & (df > 0) & (df < float("inf"))
-    return F.when(usable, F.when(t == 0, 1.0).when(F.abs(t) == float("inf"), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))))
+    return _two_sided_of(t.cast("double"), df.cast("double"))
 
 
 def hypergeometric_tail(k: Column, drawn: Column, marked: Column, total: Column) -> Column:

@@ -7,6 +7,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -40,32 +42,35 @@ COEFFICIENTS = Ty.ArrayType(
 
 
 class Pattern(NamedTuple):
-    """The least-squares solution for all proteins observed in the same samples."""
+    """The decomposition that all proteins observed in the same samples share."""
 
-    sigma2: np.ndarray
-    df: int
-    beta: np.ndarray
+    x: np.ndarray
+    u: np.ndarray
     half: np.ndarray  # c @ half has the length stdev_unscaled of a combination c of coefficients
     null: np.ndarray  # projects on what the samples do not determine
+    df: int
+
+    def estimable(self, c: np.ndarray) -> bool:
+        return bool(np.abs(self.null @ c).max(initial=0.0) <= 1e-8)
 
-    def combined(self, c: np.ndarray) -> tuple[np.ndarray, float] | None:
-        """Estimates of a combination of coefficients and its unscaled deviation; None if it is not estimable."""
-        if np.abs(self.null @ c).max(initial=0.0) > 1e-8:
-            return None
-        return c @ self.beta, float(np.sqrt(((c @ self.half) ** 2).sum()))
+    def deviation(self, c: np.ndarray) -> float:
+        """The unscaled deviation of a combination of coefficients."""
+        return float(np.sqrt(((c @ self.half) ** 2).sum()))
 
+    def fit(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least-squares coefficients and residual variance of each column of `y`."""
+        beta = self.half @ (self.u.T @ y)
+        if self.df <= 0:
+            return beta, np.full(y.shape[1], np.nan)
+        return beta, ((y - self.x @ beta) ** 2).sum(axis=0) / self.df
 
-def fit_pattern(x: np.ndarray, y: np.ndarray) -> Pattern:
-    """Least squares of each column of `y` on `x`."""
+
+def pattern_of(x: np.ndarray) -> Pattern:
+    """The decomposition of the rows of the design in `x`."""
     n, p = x.shape
     u, s, vt = np.linalg.svd(x, full_matrices=False)
     keep = s > s.max() * max(n, p) * np.finfo(float).eps
-    rank = int(keep.sum())
-    half = vt[keep].T / s[keep]
-    beta = half @ (u[:, keep].T @ y)
-    df = n - rank
-    sigma2 = ((y - x @ beta) ** 2).sum(axis=0) / df if df > 0 else np.full(y.shape[1], np.nan)
-    return Pattern(sigma2, df, beta, half, np.eye(p) - vt[keep].T @ vt[keep])
+    return Pattern(x, u[:, keep], vt[keep].T / s[keep], np.eye(p) - vt[keep].T @ vt[keep], n - int(keep.sum()))
 
 
 def _weights(names: Sequence[str], levels: Sequence[str], first: int, full: bool, wanted: Mapping[str, Mapping[str, float]] | None) -> dict[str, np.ndarray]:
@@ -90,36 +95,83 @@ def _weights(names: Sequence[str], levels: Sequence[str], first: int, full: bool
     return out
 
 
+#: Decompositions a task remembers; without missing values there is one.
+PATTERNS = 4096
+
+
+class _Cells:
+    """Lists of (name, value, deviation), each row's of the same length as its pattern has names."""
+
+    def __init__(self, name: str, value: str):
+        self.fields = (name, value, "stdev_unscaled")
+        self.names: dict[str, int] = {}
+        self.codes, self.values, self.deviations, self.sizes = [], [], [], []
+
+    def add(self, names: Sequence[str], values: np.ndarray, deviations: np.ndarray) -> None:
+        """`values` has a row for each protein; NaN is a value that the samples do not determine."""
+        n = len(values)
+        self.codes.append(np.tile(np.array([self.names.setdefault(x, len(self.names)) for x in names], np.int32), n))
+        self.values.append(values.ravel())
+        self.deviations.append(np.tile(deviations, n))
+        self.sizes.append(np.full(n, len(names), np.int32))
+
+    def array(self) -> pa.Array:
+        number = lambda parts: (lambda v: pa.array(v, pa.float64(), mask=np.isnan(v)))(np.concatenate(parts))
+        names = pa.array(list(self.names), pa.string()).take(pa.array(np.concatenate(self.codes)))
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))]).astype(np.int32)
+        cells = pa.StructArray.from_arrays([names, number(self.values), number(self.deviations)], names=list(self.fields))
+        return pa.ListArray.from_arrays(pa.array(offsets), cells)
+
+
 def _fit_batches(keys: list[str], first: int, full: bool, wanted: Mapping[str, Mapping[str, float]] | None):
+    """Rows (keys, design rows one after another, values, names, levels) of an Arrow batch are fitted a pattern at a time."""
+
     def run(batches):
-        for pdf in batches:
+        known: dict[tuple, tuple] = {}
+
+        def solved(x: bytes, names: tuple, levels: tuple):
+            if (x, names, levels) not in known:
+                if len(known) >= PATTERNS:
+                    known.clear()
+                pattern = pattern_of(np.frombuffer(x).reshape(-1, len(names)))
+                asked = {k: c for k, c in _weights(names, levels, first, full, wanted).items() if pattern.estimable(c)}
+                own = np.array([pattern.estimable(c) for c in np.eye(len(names))])
+                known[x, names, levels] = (
+                    pattern, list(asked), np.array(list(asked.values())).reshape(-1, len(names)),
+                    np.array([pattern.deviation(c) for c in asked.values()]), own,
+                    np.array([pattern.deviation(c) if e else np.nan for c, e in zip(np.eye(len(names)), own)]),
+                )
+            return known[x, names, levels]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = lambda c: batch.column(batch.schema.get_field_index(c))
+            flat = [np.ascontiguousarray(column(c).flatten().to_numpy(zero_copy_only=False), dtype=float) for c in ("xs", "ys")]
+            at = [np.concatenate([[0], np.cumsum(pc.list_value_length(column(c)).to_numpy(zero_copy_only=False))]) for c in ("xs", "ys")]
+            shapes = list(zip(map(tuple, column("names").to_pylist()), map(tuple, column("levels").to_pylist())))
+            xs, cut = flat[0].tobytes(), (8 * at[0]).tolist()
             patterns: dict[tuple, list[int]] = {}
-            matrices = [np.stack([np.asarray(r, dtype=float) for r in xs]) for xs in pdf["xs"]]
-            for i, (m, names) in enumerate(zip(matrices, pdf["names"])):
-                patterns.setdefault((m.tobytes(), tuple(names)), []).append(i)
-            n = len(pdf)
-            sigma2, df = np.full(n, np.nan), np.zeros(n, dtype=np.int64)
-            contrasts: list[list] = [[] for _ in range(n)]
-            coefficients: list[list] = [[] for _ in range(n)]
-            for (_, names), idx in patterns.items():
-                fit = fit_pattern(matrices[idx[0]], np.stack([np.asarray(pdf["ys"].iloc[i], dtype=float) for i in idx], axis=1))
-                sigma2[idx], df[idx] = fit.sigma2, fit.df
-                asked = _weights(names, list(pdf["levels"].iloc[idx[0]]), first, full, wanted)
-                for of, field, out in ((asked, "contrast", contrasts), (dict(zip(names, np.eye(len(names)))), "coefficient", coefficients)):
-                    value = "lfc" if field == "contrast" else "estimate"
-                    for name, c in of.items():
-                        found = fit.combined(c)
-                        if found is None and field == "contrast":
-                            continue  # a contrast that these samples do not determine
-                        for k, i in enumerate(idx):
-                            out[i].append({field: name, value: None if found is None else float(found[0][k]), "stdev_unscaled": None if found is None else found[1]})
-            out = pdf[keys].copy()
-            out["n_observed"] = [len(y) for y in pdf["ys"]]
-            out["sigma2"] = pd.Series(sigma2, index=out.index).where(lambda v: v.notna(), None)
-            out["df_residual"] = df
-            out["contrasts"] = contrasts
-            out["coefficients"] = coefficients
-            yield out
+            for i, (names, levels) in enumerate(shapes):
+                patterns.setdefault((xs[cut[i] : cut[i + 1]], names, levels), []).append(i)
+            contrasts, coefficients = _Cells("contrast", "lfc"), _Cells("coefficient", "estimate")
+            order, sigma2, df, seen = [], [], [], []
+            for key, idx in patterns.items():
+                pattern, asked, weights, deviations, own, own_deviations = solved(*key)
+                n = len(pattern.x)
+                beta, s2 = pattern.fit(flat[1][at[1][idx][:, None] + np.arange(n)].T)
+                contrasts.add(asked, (weights @ beta).T, deviations)
+                coefficients.add(key[1], np.where(own[:, None], beta, np.nan).T, own_deviations)
+                order += idx
+                sigma2.append(s2)
+                df.append(np.full(len(idx), pattern.df, np.int64))
+                seen.append(np.full(len(idx), n, np.int64))
+            rows, s2 = pa.array(order, pa.int64()), np.concatenate(sigma2)
+            yield pa.RecordBatch.from_arrays(
+                [*[column(k).take(rows) for k in keys], pa.array(np.concatenate(seen)), pa.array(s2, mask=np.isnan(s2)),
+                 pa.array(np.concatenate(df)), contrasts.array(), coefficients.array()],
+                names=[*keys, "n_observed", "sigma2", "df_residual", "contrasts", "coefficients"],
+            )
 
     return run
 
@@ -150,7 +202,7 @@ def fit_proteins(
     rows = with_design(values.where("value IS NOT NULL"), coded, ["x"], by)
     cells = F.array_sort(F.collect_list(F.struct("sample", "x", F.col("value").alias("y"))))
     packed = spread(rows, keys).groupBy(*keys).agg(cells.alias("_c")).select(
-        *keys, F.transform("_c", lambda c: c["x"]).alias("xs"), F.transform("_c", lambda c: c["y"]).alias("ys")
+        *keys, F.flatten(F.transform("_c", lambda c: c["x"])).alias("xs"), F.transform("_c", lambda c: c["y"]).alias("ys")
     )
     shapes = coded.select(*by, "names", "levels").distinct()  # one row for each data set
     if by:
@@ -170,7 +222,7 @@ def fit_proteins(
             Ty.StructField("coefficients", COEFFICIENTS),
         ]
     )
-    return packed.mapInPandas(_fit_batches(keys, int(model.intercept), full, contrasts), schema)
+    return packed.mapInArrow(_fit_batches(keys, int(model.intercept), full, contrasts), schema)
 
 
 def _prior(pdf: pd.DataFrame) -> tuple[float, float, float]:
@@ -318,7 +370,12 @@ def differential_abundance(
     """Fit, moderate and adjust. `contrasts` selects by name, or gives weights of coefficients. The fits are written once: several passes read them."""
     weights = contrasts if isinstance(contrasts, Mapping) else None
     fits = cut_lineage(fit_proteins(values, design, terms, by, weights), "fits")
-    tested = cut_lineage(select_contrasts(moderated_contrasts(fits, by), () if weights else contrasts), "tests")
+    return adjusted_contrasts(fits, () if weights else contrasts, by)
+
+
+def adjusted_contrasts(fits: DataFrame, contrasts: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
+    """Moderated and adjusted contrasts of written fits."""
+    tested = cut_lineage(select_contrasts(moderated_contrasts(fits, by), contrasts), "tests")
     return bh_adjust(tested, [*by, "contrast"])
 
 
@@ -340,12 +397,19 @@ def ratio_model(
     design: DataFrame,
     terms: Model | str | Sequence[str] = ("group",),
     by: Sequence[str] = (),
+    fits: DataFrame | None = None,
 ) -> DataFrame:
-    """Naive and organism-adjusted result of the first contrast for proteins with a usable taxon."""
+    """Naive and organism-adjusted result of the first contrast for proteins with a usable taxon.
+
+    `fits` are those of `values` by the same design and terms where they are written already:
+    a protein's fit does not depend on the other proteins.
+    """
     adjusted_values = cut_lineage(ratio_values(values, taxa, factors, by), "ratios")
     usable = adjusted_values.select(*by, "protein_id").distinct()
-    naive_values = lookup_join(values, usable, [*by, "protein_id"], "left_semi")
-    naive = differential_abundance(naive_values, design, terms, by=by)
+    if fits is None:
+        naive = differential_abundance(lookup_join(values, usable, [*by, "protein_id"], "left_semi"), design, terms, by=by)
+    else:
+        naive = adjusted_contrasts(cut_lineage(lookup_join(fits, usable, [*by, "protein_id"], "left_semi"), "fits"), by=by)
     adjusted = differential_abundance(adjusted_values.drop("taxid"), design, terms, by=by)
     keys = [*by, "protein_id", "contrast"]
     first = naive.groupBy(*by).agg(F.min("contrast").alias("contrast")) if by else None

@@ -163,11 +163,12 @@ def analyse(
     if normalise:  # several passes find the medians
         logged = cut_lineage(logged, "logged")
     centred = cut_lineage(filters.sample_median_shift(logged, by, normalise), "log2")
-    abundance = cut_lineage(models.differential_abundance(centred, design, model, by=by), "abundance")
+    fits = cut_lineage(models.fit_proteins(centred, design, model, by), "fits")
+    abundance = cut_lineage(models.adjusted_contrasts(fits, by=by), "abundance")
     taxa = quant.where("effective_taxid IS NOT NULL").select(
         *keys, F.col("effective_taxid").alias("taxid")
     ).distinct()
-    ratio = models.ratio_model(centred, taxa, factors, design, model, by)
+    ratio = models.ratio_model(centred, taxa, factors, design, model, by, fits)
     ratio = cut_lineage(ratio, "ratio")
     results = tables.annotate_quant(
         abundance, [annotation.select(*keys, "bin", "has_ko", "surface_or_secreted", "export_score")], by,
