@@ -62,13 +62,21 @@ def header_of(lines: DataFrame, path: str = "") -> list[str]:
     return [row[0]["value"]]
 
 
-def headers(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> dict[str, list[str]]:
-    """Header line -> the files that have it: the first line with text, or the first that matches."""
+def first_lines(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
+    """file_path and header: the first line with text of each file, or the first that matches.
+
+    A file's first block is read by one task, in order. The set of block starts, which are all
+    0, makes Spark keep one row for each file: `first` of a text alone would sort all lines of the block.
+    """
     lines = spark.read.text(path).select(F.regexp_replace("value", r"\r$", "").alias("value"), "_metadata.file_path", "_metadata.file_block_start")
     lines = lines.where((F.col("file_block_start") == 0) & (F.col("value").rlike(pattern) if pattern else F.trim("value") != ""))
-    # A file's first block is read by one task, in order.
+    return lines.groupBy("file_path").agg(F.first("value").alias("header"), F.collect_set("file_block_start").alias("starts"))
+
+
+def headers(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> dict[str, list[str]]:
+    """Header line -> the files that have it."""
     found: dict[str, list[str]] = {}
-    for r in lines.groupBy("file_path").agg(F.first("value").alias("header")).orderBy("file_path").collect():
+    for r in first_lines(spark, path, pattern).orderBy("file_path").collect():
         found.setdefault(r["header"], []).append(r["file_path"])
     return found
 
