@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbra.plans.lineage import cut_lineage
+from umbra.plans.lineage import cut_lineage, dealt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,8 +80,9 @@ def taxa(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
-    li = load(spark, sf, "lineitem")
-    return li.select(F.col("l_orderkey").alias("feature_id"), F.col("l_partkey").alias("protein_id")).distinct()
+    """Distinct pairs; nearly all lines are, so they are dealt before they are made distinct."""
+    pairs = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("feature_id"), F.col("l_partkey").alias("protein_id"))
+    return dealt(pairs, ["feature_id", "protein_id"]).distinct()
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:

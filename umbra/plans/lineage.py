@@ -56,3 +56,16 @@ def spread(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
+
+
+#: Rows of a task that groups or joins large tables.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, keys: list[str], rows: int = TASK_ROWS) -> DataFrame:
+    """Hash `df` by `keys` into tasks of about `rows` rows each, so that a task's memory does not grow with the table.
+
+    The rows are counted first, which is cheap where they come from a columnar file.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // rows)), *keys)
