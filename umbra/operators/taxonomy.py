@@ -141,40 +141,40 @@ def consensus_taxon(
 
     The leader must reach `min_fraction` and be strictly ahead; a tie goes up
     one rank. Only aggregates: the smallest and the largest taxid of the top
-    count are the same exactly when there is one leader.
+    count are the same exactly when there is one leader. Votes are counted
+    before the shuffle, the number of peptides as one of them; from then on all
+    rows of a protein, one for each taxid, are together.
     """
-    depth = {r: i for i, r in enumerate(ranks)}
     per_rank = F.array(
-        *[
-            F.struct(F.lit(depth[r]).alias("depth"), F.lit(r).alias("rank"), F.col(f"{r}{suffix}").alias("taxid"))
-            for r in ranks
-        ]
+        F.struct(F.lit(-1).alias("depth"), F.lit("").alias("taxid")),
+        *[F.struct(F.lit(i).alias("depth"), F.col(f"{r}{suffix}").alias("taxid")) for i, r in enumerate(ranks)],
     )
     has_lineage = F.coalesce(*[F.col(f"{r}{suffix}") for r in ranks]).isNotNull()
-    rows = peptides.where(has_lineage)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n_peptides"))
     votes = (
-        rows.select(*keys, F.explode(per_rank).alias("_r"))
-        .select(*keys, "_r.depth", "_r.rank", "_r.taxid")
+        peptides.where(has_lineage)
+        .select(*keys, F.explode(per_rank).alias("_r"))
+        .select(*keys, "_r.depth", "_r.taxid")
         .where("taxid IS NOT NULL")
-        .groupBy(*keys, "depth", "rank", "taxid")
+        .groupBy(*keys, "depth", "taxid")
         .agg(F.count("*").alias("_n"))
     )
-    ranked = votes.groupBy(*keys, "depth", "rank").agg(
+    ranked = votes.repartition(*keys).groupBy(*keys, "depth").agg(
         F.sum("_n").alias("_total"),
         F.min(F.struct((-F.col("_n")).alias("n"), F.col("taxid").alias("t"))).alias("_low"),
         F.max(F.struct(F.col("_n").alias("n"), F.col("taxid").alias("t"))).alias("_high"),
     )
     fraction = F.col("_high.n") / F.col("_total")
-    good = ranked.where((F.col("_low.t") == F.col("_high.t")) & (fraction >= min_fraction))
-    best = good.groupBy(*keys).agg(
-        F.max(F.struct("depth", "rank", F.col("_high.t").alias("taxid"), fraction.alias("fraction"))).alias("_b")
+    good = (F.col("depth") >= 0) & (F.col("_low.t") == F.col("_high.t")) & (fraction >= min_fraction)
+    best = ranked.groupBy(*keys).agg(
+        F.max(F.when(F.col("depth") < 0, F.col("_total"))).alias("n_peptides"),
+        F.max(F.when(good, F.struct("depth", F.col("_high.t").alias("taxid"), fraction.alias("fraction")))).alias("_b"),
     )
     enough = F.col("n_peptides") >= min_peptides
-    return sizes.join(best, list(keys), "left").select(
+    rank = F.get(F.array(*[F.lit(r) for r in ranks]), F.col("_b.depth"))
+    return best.select(
         *keys,
         F.when(enough, F.col("_b.taxid")).alias("consensus_taxid"),
-        F.when(enough, F.col("_b.rank")).alias("consensus_rank"),
+        F.when(enough, rank).alias("consensus_rank"),
         F.when(enough, F.col("_b.fraction")).alias("fraction"),
         "n_peptides",
     )
