@@ -127,31 +127,34 @@ def rollup_sum(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def _middle(cells: np.ndarray, axis: int) -> np.ndarray:
     """Median along an axis over the cells that are present, NaN where none is."""
-    n = (~np.isnan(cells)).sum(axis=axis, keepdims=True)
-    filled = np.sort(np.where(np.isnan(cells), np.inf, cells), axis=axis)
+    filled = np.sort(cells, axis=axis)  # gaps come last
+    n = (filled == filled).sum(axis=axis, keepdims=True)
     low = np.take_along_axis(filled, np.maximum(n - 1, 0) // 2, axis=axis)
     high = np.take_along_axis(filled, np.minimum(n // 2, cells.shape[axis] - 1), axis=axis)
-    return np.where(n > 0, (low + high) / 2, np.nan).squeeze(axis)
+    return ((low + high) / 2).squeeze(axis)
 
 
 def _polish(cells: np.ndarray, iterations: int) -> tuple[np.ndarray, np.ndarray]:
     """Level per (protein, sample) of log cells (protein, feature, sample) with gaps, and whether the last sweep moved nothing."""
-    resid = cells.copy()
     rows = np.where(np.isnan(cells).all(axis=2), np.nan, 0.0)
     cols = np.where(np.isnan(cells).all(axis=1), np.nan, 0.0)
     overall = np.zeros(len(cells))
     moved = np.ones(len(cells), bool)
+    # Proteins that still move; the others are left as they are.
+    on, resid = np.arange(len(cells)), cells.copy()
     for _ in range(iterations):
-        moved = np.zeros(len(cells), bool)
-        for axis, effect in ((2, rows), (1, cols)):
+        moving = np.zeros(len(on), bool)
+        for axis, effects in ((2, rows), (1, cols)):
             step = _middle(resid, axis)
-            moved |= (np.abs(np.nan_to_num(step)) > STILL).any(axis=1)
+            moving |= (np.abs(np.nan_to_num(step)) > STILL).any(axis=1)
             resid -= np.expand_dims(step, axis)
-            effect += step
+            effect = effects[on] + step
             shift = _middle(effect, 1)
-            effect -= shift[:, None]
-            overall += shift
-        if not moved.any():
+            effects[on] = effect - shift[:, None]
+            overall[on] += shift
+        moved[on] = moving
+        on, resid = on[moving], resid[moving]
+        if not len(on):
             break
     return overall[:, None] + cols, ~moved
 
@@ -189,47 +192,75 @@ STILL = 1e-12
 DENSE_CELLS = 200_000
 
 
-def _coded(fs, ss, vs) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, list]:
-    """Cells of one protein by its own features and samples: row, column and value, number of rows, names of columns."""
-    feats: dict = {}
-    samples: dict = {}
-    r = np.fromiter((feats.setdefault(f, len(feats)) for f in fs), np.int64, len(fs))
-    c = np.fromiter((samples.setdefault(x, len(samples)) for x in ss), np.int64, len(ss))
-    cell, at = np.unique(r * len(samples) + c, return_inverse=True)
-    value = np.bincount(at, np.asarray(vs, dtype=float), len(cell))
-    return cell // max(1, len(samples)), cell % max(1, len(samples)), value, len(feats), list(samples)
+def _numbers(lists) -> tuple[np.ndarray, np.ndarray]:
+    """All values of the lists as numbers, and the values numbered."""
+    flat = np.concatenate([x if isinstance(x, np.ndarray) else np.array(x, object) for x in lists])
+    return pd.factorize(flat, use_na_sentinel=False)
+
+
+def _numbered(of: np.ndarray, code: np.ndarray, kinds: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each (protein, code), first number of each protein, and the code behind each number."""
+    found, at = np.unique(of * kinds + code, return_inverse=True)
+    return at, np.searchsorted(found, np.arange(n + 1) * kinds), found % kinds
+
+
+def _spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges, one range after another."""
+    return np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
 
 
 def _polish_packed(iterations: int, keys: list[str], chunk_cells: int = 1_000_000, dense_cells: int = DENSE_CELLS):
-    """Rows of one protein each, its cells packed in arrays; proteins of similar size share a dense chunk."""
+    """Rows of one protein each, its cells packed in arrays; proteins of similar size share a dense chunk.
+
+    The cells of all proteins of a batch are numbered at once.
+    """
 
     def run(batches):
         for pdf in batches:
-            coded = [_coded(*x) for x in zip(pdf["fs"], pdf["ss"], pdf["vs"])]
-            order = sorted(range(len(coded)), key=lambda i: (coded[i][3] * len(coded[i][4]) > dense_cells, coded[i][3], len(coded[i][4])))
+            if not len(pdf):
+                continue
+            of = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["fs"]])
+            (f, fs), (s, ss) = _numbers(pdf["fs"]), _numbers(pdf["ss"])
+            row, row0, _ = _numbered(of, f, len(fs), len(pdf))
+            col, col0, sample = _numbered(of, s, len(ss), len(pdf))
+            n, m = np.diff(row0), np.diff(col0)
+            cell, at = np.unique(row * m.max() + (col - col0[of]), return_inverse=True)
+            value = np.bincount(at, np.concatenate([np.asarray(x, float) for x in pdf["vs"]]), len(cell))
+            row, c = cell // m.max(), cell % m.max()
+            cell0 = np.searchsorted(row, row0)
+            n_cells = np.diff(cell0)
+            of = np.repeat(np.arange(len(pdf)), n_cells)
+            total = np.bincount(of, value, len(pdf))
+            r, log = row - row0[of], np.log2(value)
+            order = np.lexsort((m, n, n * m > dense_cells))
             start = 0
             while start < len(order):
-                r, c, v, n, names = coded[order[start]]
-                if n * len(names) > dense_cells:
-                    level, still = _polish_sparse(r, c, np.log2(v), n, len(names), iterations)
-                    done, end = [(order[start], 2.0**level, v.sum(), still)], start + 1
+                first = order[start]
+                end, most = start + 1, m[first]
+                if n[first] * m[first] > dense_cells:
+                    part = order[start:end]
+                    own = slice(cell0[first], cell0[first + 1])
+                    level, still = _polish_sparse(r[own], c[own], log[own], n[first], m[first], iterations)
+                    still = np.array([still])
                 else:
-                    end, most = start + 1, len(names)
                     while end < len(order):
-                        n, most = coded[order[end]][3], max(most, len(coded[order[end]][4]))
-                        if n * most > dense_cells or (end + 1 - start) * n * most > chunk_cells:
+                        wider = max(most, m[order[end]])
+                        size = n[order[end]] * wider
+                        if size > dense_cells or (end + 1 - start) * size > chunk_cells:
                             break
-                        end += 1
+                        end, most = end + 1, wider
                     part = order[start:end]
-                    wide = np.full((len(part), max(coded[i][3] for i in part), max(len(coded[i][4]) for i in part)), np.nan)
-                    for k, i in enumerate(part):
-                        wide[k, coded[i][0], coded[i][1]] = np.log2(coded[i][2])
+                    wide = np.full((len(part), n[part].max(), most), np.nan)
+                    own = _spans(cell0[part], n_cells[part])
+                    wide[np.repeat(np.arange(len(part)), n_cells[part]), r[own], c[own]] = log[own]
                     level, still = _polish(wide, iterations)
-                    done = [(i, 2.0 ** level[k, : len(coded[i][4])], coded[i][2].sum(), still[k]) for k, i in enumerate(part)]
-                out = pdf[keys].iloc[[i for i, x, _, _ in done for _ in x]].reset_index(drop=True)
-                out["sample"] = [s for i, _, _, _ in done for s in coded[i][4]]
-                out["value"] = np.concatenate([x * (total / x.sum()) for _, x, total, _ in done])
-                out["converged"] = [bool(still) for _, x, _, still in done for _ in x]
+                    level = level[np.arange(most) < m[part][:, None]]
+                x = 2.0**level
+                k = np.repeat(np.arange(len(part)), m[part])
+                out = pdf[keys].iloc[part[k]].reset_index(drop=True)
+                out["sample"] = ss[sample[_spans(col0[part], m[part])]]
+                out["value"] = x * (total[part] / np.bincount(k, x))[k]
+                out["converged"] = still[k]
                 yield out
                 start = end
 
@@ -293,10 +324,11 @@ def rollup_median_polish(
     A protein within `cell_limit` observed cells is polished in one task, which holds its
     observed cells, and a dense matrix only where that is small. A larger one is polished
     by distributed medians, so no task holds it. `converged` tells whether the last of at
-    most `iterations` sweeps moved nothing.
+    most `iterations` sweeps moved nothing. The values are written once, since they are
+    counted before they are polished.
     """
-    rows = rows.where("value > 0")
     prot = [*by, "protein_id"]
+    rows = cut_lineage(rows.where("value > 0").select(*prot, "feature_id", "sample", "value"), "values")
     order = [*prot, "sample", "value", "converged"]
 
     def small(part: DataFrame) -> DataFrame:
