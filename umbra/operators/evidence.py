@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from umbra.functions import text as T
 from umbra.operators.bins import assign_bin
 from umbra.plans.joins import assert_unique, lookup_join
+from umbra.plans.lineage import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -138,7 +139,9 @@ def reduce_hits(
     """One row per protein from every source, in two aggregations and no wide join.
 
     Set columns hold distinct family names, so their size is bounded by the
-    profile libraries and not by the number of hits.
+    profile libraries and not by the number of hits. The maps of the KOs are written
+    first: their size is known then, and the hits are not shuffled to meet them. A source's
+    hits are reduced to what is read of it: names, accessions or the best hit.
     """
     keys = [*by, "protein_id"]
     if library is not None:
@@ -158,18 +161,17 @@ def reduce_hits(
         maps = ko_maps.groupBy(*by, "ko").agg(F.bool_or("ko_specific").alias("ko_specific")).select(
             *by, F.lit("kofam").alias("source"), F.col("ko").alias("name"), "ko_specific"
         )
-        hits = lookup_join(hits, maps, [*by, "source", "name"])
+        hits = lookup_join(hits, cut_lineage(maps, "ko_maps"), [*by, "source", "name"])
     else:
         hits = hits.withColumn("ko_specific", F.lit(None).cast("boolean"))
     src = F.col("source")
-    says = (
+    any_says = (
         F.when(src == "pfam", T.is_informative("name", empty=True))
         .when(src == "ncbifam",
               T.is_informative("lib_desc", empty=True) if options.ncbifam_uninformative_test else F.lit(True))
         .when(src == "interpro", T.interpro_informative("db", "description"))
-        .when(src.isin("foldseek", "hhblits"), T.is_informative("description", empty=True))
-        .otherwise(F.lit(True))
     )
+    says = F.when(src.isin("foldseek", "hhblits"), T.is_informative("description", empty=True))
     rank = F.lit(0)
     if options.foldseek_priority:
         pos = F.array_position(F.array(*[F.lit(p) for p in options.foldseek_priority]), F.col("db"))
@@ -187,10 +189,10 @@ def reduce_hits(
     )
     label = F.when(src == "interpro", F.concat_ws(":", "db", "name")).otherwise(F.col("name"))
     per_db = hits.groupBy(*keys, "source", group.alias("db")).agg(
-        F.min(best).alias("best"),
-        F.collect_set(label).alias("names"),
-        F.collect_set(T.strip_version("accession")).alias("accs"),
-        F.bool_or(says).alias("any_says"),
+        F.min(F.when(src.isin("diamond", "foldseek", "hhblits", "jackhmmer"), best)).alias("best"),
+        F.collect_set(F.when(src.isin("pfam", "ncbifam", "interpro", "dbcan", "kofam"), label)).alias("names"),
+        F.collect_set(F.when(src.isin("pfam", "ncbifam"), T.strip_version("accession"))).alias("accs"),
+        F.bool_or(any_says).alias("any_says"),
         F.bool_or("ko_specific").alias("ko_specific"),
     )
 
