@@ -37,17 +37,20 @@ def group_members(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return groups.select(*by, "group_id", F.explode(parts).alias("protein_id"))
 
 
-def group_conflicts(groups: DataFrame, annotation: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def group_conflicts(groups: DataFrame, annotation: DataFrame, by: Sequence[str] = (), name: Sequence[str] = ("group_id",)) -> DataFrame:
     """Per protein group: members with different bins or KOs, or no annotation at all.
 
-    Members without an annotation row count only when no member has one.
+    Members without an annotation row count only when no member has one. `name` are the columns
+    of `groups` that name a group within a data set; with short names the lists of members
+    are not carried along.
     """
     keys = [*by, "protein_id"]
     side = annotation.select(
         *keys, "bin", F.nullif(F.array_join(F.array_sort("ko"), ","), F.lit("")).alias("ko_set")
     )
-    rows = lookup_join(group_members(groups, by), side, keys)
-    return rows.groupBy(*by, "group_id").agg(
+    members = group_members(groups, [*by, *(c for c in name if c != "group_id")]).select(*by, *name, "protein_id")
+    rows = lookup_join(members, side, keys)
+    return rows.groupBy(*by, *name).agg(
         F.count("*").alias("n_members"),
         F.coalesce(F.min("bin") != F.max("bin"), F.lit(False)).alias("bin_conflict"),
         F.coalesce(F.min("ko_set") != F.max("ko_set"), F.lit(False)).alias("ko_conflict"),
