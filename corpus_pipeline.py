@@ -13,7 +13,7 @@ from umbra.llm import neardup, packing, quality, secrets, suffixes
 from umbra.llm.common import fresh, load, split_by, stage
 
 #: About 50 words: the shortest passage that counts as repeated.
-PASSAGE_BYTES = 250
+PASSAGE_BYTES = suffixes.PASSAGE_BYTES
 
 
 def with_text(docs: DataFrame, text) -> DataFrame:

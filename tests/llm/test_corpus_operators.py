@@ -130,6 +130,41 @@ def test_repeats_equal_brute_force(docs_of, monkeypatch, width, block):
     assert suffixes.repeats_removed(docs_of(texts).limit(0), width).count() == 0
 
 
+@pytest.mark.parametrize("width,passage,block", [(400, 250, 1_000_000), (100, 60, 600), (40, 7, 300)])
+def test_both_widths_of_one_pass_equal_brute_force(docs_of, monkeypatch, width, passage, block):
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", block)
+    rng = random.Random(width)
+    alphabet = "abcdé 日"
+    passages = ["".join(rng.choices(alphabet, k=width + 50)) for _ in range(4)]
+    texts = [None, "", "short", passages[0], passages[0], "z" * (width + 7), "q" * passage, "ab" * width, "copied" * (passage // 5), "copied" * (passage // 5)]
+    for _ in range(40):  # parts of all lengths about both widths, also next to each other
+        i, j = rng.randint(0, 60), rng.randint(passage // 2, width)
+        texts.append("".join(rng.choices(alphabet, k=rng.randint(0, 90))) + rng.choice(passages)[i : i + j] + rng.choice(passages)[: rng.randint(0, width)])
+    got = {r["doc_id"]: r for r in suffixes.repeats_removed(docs_of(texts), width, passage=passage).collect()}
+    for i, (long, short) in enumerate(zip(kept_bytes(texts, width), kept_bytes(texts, passage), strict=True)):
+        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], bytes(got[i]["kept"])) == long, i
+        assert (got[i]["n_bytes"], got[i]["n_passage_bytes"], got[i]["n_passages"], bytes(got[i]["kept_of_passages"])) == short, i
+    assert suffixes.repeats_removed(docs_of(texts).limit(0), width, passage=passage).count() == 0
+    with pytest.raises(ValueError):
+        suffixes.repeated_spans(docs_of(texts), width, passage=width)
+
+
+def test_op3_tells_passages_of_over_50_words_from_its_400_bytes(spark, docs_of, tmp_path):
+    own = [" ".join(sentences(200 + k, 80)) for k in range(6)]
+    passage = " ".join(sentences(300, 55))  # of 285 bytes or more, and under 400
+    assert 285 <= len(passage) < 400
+    texts = [own[0] + " " + passage + " " + own[1], own[2] + " " + passage + " " + own[3], own[4], own[5]]
+    docs_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op3_suffix_array_dedup"](spark, str(tmp_path)).collect()}
+    assert [got[k]["n_removed"] for k in range(4)] == [0] * 4
+    assert [got[k]["n_passages"] for k in range(4)] == [1, 1, 0, 0]
+    for k, text in enumerate(texts):
+        assert got[k]["text"] == text
+        assert (passage in got[k]["text_without_passages"]) is False
+        assert got[k]["n_passage_bytes"] == len(text) - len(got[k]["text_without_passages"])
+    assert got[0]["n_passage_bytes"] >= len(passage) and got[2]["text_without_passages"] == own[4]
+
+
 def test_difference_cover_meets_every_offset():
     for width in (400, 200, 146, 60, 26, 9):
         period, cover = suffixes.difference_cover(width)

@@ -84,8 +84,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------- repeated passages
 @query("op3_suffix_array_dedup")
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = suffixes.repeats_removed(load(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), suffixes.whole_characters(F.col("kept")).alias("text"))
+    kept = suffixes.repeats_removed(load(spark, sf_dir, "documents"), passage=suffixes.PASSAGE_BYTES)
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), suffixes.whole_characters(F.col("kept")).alias("text"),
+        "n_passage_bytes", "n_passages", suffixes.whole_characters(F.col("kept_of_passages")).alias("text_without_passages"),
+    )
 
 
 # ------------------------------------------------------------- secrets
